@@ -41,9 +41,9 @@ def serial_or_text(col: Column, parse) -> Column:
     return F.when(col.rlike(SERIAL_TEXT), serial_to_timestamp(col)).otherwise(parse(col))
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    """end − start in whole seconds (wall clocks)."""
-    return F.timestamp_diff("SECOND", start, end)
+def hours_between(start: Column, end: Column) -> Column:
+    """end − start in hours, to the microsecond."""
+    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(3.6e9)
 
 
 def add_seconds(ts: Column, seconds: Column) -> Column:
@@ -109,4 +109,4 @@ def floor_hour(clock: Column) -> Column:
 
 def shift_hours(start: Column, end: Column) -> Column:
     """Length of a shift in hours; a reversed shift counts by its absolute length."""
-    return F.abs(seconds_between(start, end)) / F.lit(3600.0)
+    return F.abs(hours_between(start, end))

@@ -39,10 +39,13 @@ def split_digits_from_letters(col: Column) -> Column:
 def title_case(col: Column) -> Column:
     """Capitalise each word, also after brackets and hyphens (``initcap`` does neither)."""
     pieces = F.regexp_extract_all(F.lower(col), F.lit(WORD_OR_GAP), F.lit(0))
-    return F.array_join(
-        F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))),
-        "",
-    )
+
+    def capital(word: Column) -> Column:
+        # A letter whose capital is two letters keeps the second one small (ß → Ss).
+        head = F.upper(F.substring(word, 1, 1))
+        return F.concat(F.substring(head, 1, 1), F.lower(F.substr(head, F.lit(2))), F.substr(word, F.lit(2)))
+
+    return F.array_join(F.transform(pieces, capital), "")
 
 
 def between_commas(col: Column) -> Column:
