@@ -124,8 +124,10 @@ def extract_clock(df: DataFrame) -> DataFrame:
     df = df.withColumns({"__given": given, "__seen": seen, "new_tranche": new})
     given, seen, new = F.col("__given"), F.col("__seen"), F.col("new_tranche")
     local = F.when(new, clock.parse_wall_clock(given)).otherwise(seen)
+    kept = {"Inspection Time": F.when(~new, given)} if "Inspection Time" in df.columns else {}
     return df.withColumns(
         {
+            **kept,
             "TimeOfInspection": clock.to_instant(clock.force_zone(local, clock.PACIFIC)),
             "Inspection Date": F.date_format(seen, "yyyy-MM-dd"),
             "Hour_Min_of_Insp": F.when(~new, F.coalesce(given, clock.hour_minute(seen))),
@@ -137,7 +139,7 @@ def extract_clock(df: DataFrame) -> DataFrame:
 def canonical_extracts(raw: DataFrame, full_repair: bool = False) -> DataFrame:
     """The extracts with typed times and cleaned names; they carry canonical names already."""
     df = clean_column_names(extract_clock(extract_shifts(raw, full_repair)))
-    return df.drop("new_tranche", "Inspection_Time")
+    return df.drop("new_tranche")
 
 
 def fouled_keys(lists: Mapping[int, DataFrame], position: str = "position") -> DataFrame:

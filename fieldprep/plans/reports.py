@@ -158,9 +158,9 @@ def report_tables(
     """All report tables as branches of one prepared table."""
     flags = ("Clean_Drain_Dry_After_Inspection_Ind", "Unknown_Destination_Waterbody_Ind")
     df = df.withColumns({f: recode.flag_text_to_boolean(F.col(f).cast("string")) for f in flags})
-    df = add_effort(df)
     by_source = inspections_by_source(df, states, year)
-    named = df.withColumn("CityName", city_name(F.col(DEST_CITY), F.col("Destination_Major_City")))
+    by_station = inspections_by_station(df, stations)
+    named = add_effort(df).withColumn("CityName", city_name(F.col(DEST_CITY), F.col("Destination_Major_City")))
     everything = joins.null_safe_join(named, city_regions(named, gazetteer, regions), ["CityName"])
     return ReportTables(
         this_year=with_destination_region(keep_year(everything, year), toggle=True),
@@ -168,6 +168,6 @@ def report_tables(
         high_risk=with_destination_region(strict_high_risk(everything), toggle=False),
         fouled=with_destination_region(everything.filter(F.col("MusselsFound_Ind")), toggle=False),
         by_source=by_source,
-        by_station=inspections_by_station(df, stations),
+        by_station=by_station,
         labels=label_layers(by_source),
     )

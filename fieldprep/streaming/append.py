@@ -18,13 +18,24 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldprep.operators.joins import anti
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the least by its other columns; combined before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    least = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
+    return least.select(*[c if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
+
+
 def append_new(batch: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
-    """Append the rows whose key is not stored yet; the first row of a key wins within a batch.
+    """Append the rows whose key is not stored yet; within a batch the least row of a key stays.
+
+    Which row stays is decided by value, so a recomputed batch makes the same choice.
 
     The stored side is read only where it can match: the partitions the batch touches.
     """
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(list(keys)).persist()
+    fresh = one_per_key(batch, keys).persist()
     try:
         # One value per touched partition (years, days): a handful by construction.
         touched = [row[0] for row in fresh.select(partition).distinct().collect()]
