@@ -26,8 +26,14 @@ def remove_all(col: Column, pattern: str) -> Column:
     return F.regexp_replace(col, pattern, "")
 
 
-def extract(col: Column, pattern: str) -> Column:
-    """First match of ``pattern``, NULL where there is none."""
+def extract(col: Column, pattern: str, may_be_empty: bool = False) -> Column:
+    """First match of ``pattern``, NULL where there is none.
+
+    Spark's ``regexp_substr`` also gives NULL for an empty match; where a pattern can match
+    nothing, ``may_be_empty`` keeps the empty text.
+    """
+    if may_be_empty:
+        return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, 0))
     return F.regexp_substr(col, F.lit(pattern))
 
 
@@ -50,7 +56,7 @@ def title_case(col: Column) -> Column:
 
 def between_commas(col: Column) -> Column:
     """Text after the first ", " up to the last ",": the region in ``City, Region, Country``."""
-    return extract(col, "(?<=, ).*(?=,)")
+    return extract(col, "(?<=, ).*(?=,)", may_be_empty=True)
 
 
 def before_comma(col: Column) -> Column:
@@ -79,7 +85,7 @@ def query_placename(col: Column, fold_accents: bool = True) -> Column:
 
 def leading_word(col: Column) -> Column:
     """Letters that stand before the first blank that follows letters or nothing."""
-    return extract(col, "[A-Za-z]*(?= )")
+    return extract(col, "[A-Za-z]*(?= )", may_be_empty=True)
 
 
 def province_code(col: Column) -> Column:

@@ -1 +1,557 @@
-"""(filled in below)"""
+"""The whole inspection plan on raw tables that Spark derives from orders and customers.
+
+Every order becomes one raw inspection record in the shape of its year: text columns,
+serial dates, misspelt names, list-based corrections. The SQL states what must come out,
+directly from the orders.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from fieldprep.functions import geometry as g
+from fieldprep.operators.reshape import literal_rows, union_by_name
+from fieldprep.plans.cleaning import clean_inspections
+from fieldprep.plans.combining import combine_sources, fouled_keys
+from fieldprep.plans.polygons import summarise_to_polygons, synthetic_boxes
+from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
+from fieldprep.plans.run import Layers, Lookups, Sources, run_all
+from fieldprep.plans.schema_map import YEARLY_SCHEMA
+from fieldprep.workload.registry import query, table
+from fieldprep.workload.storage import scratch
+
+STAMP = "yyyy-MM-dd HH:mm:ss"
+
+
+def _pick(by: Column, *values) -> Column:
+    """One of the values, by remainder."""
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), (by % len(values)).cast("int"))
+
+
+def base(spark, d):
+    """Order key, inspection year, day and the customer's nation."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    people = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    at = F.col("o_orderdate")
+    return orders.join(people, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("k"),
+        (F.year(at) + 20).alias("y"),
+        F.make_date(F.year(at) + 20, F.month(at), F.dayofmonth(at)).alias("day"),
+        F.col("c_nationkey").alias("n"),
+    )
+
+
+def _common(k: Column, n: Column, y: int) -> dict[str, Column]:
+    """What all yearly tables say, under the cleaned header of that year."""
+    known = {name: rules[y].columns for name, rules in YEARLY_SCHEMA.items() if y in rules}
+    bare = k.cast("string")
+    destination = _pick(k, "kalamalka lake", "100mile lake", "Dry Storage", "pacific ocean", "wrong lake", "lost lake", None, "Other")
+    city = _pick(n, "Vernon", "Langley", "Calgary", "Chemainus,", "Nelson")
+    values = {
+        "Watercraft_Risk_Assessment_ID": bare if y == 2015 else F.concat(F.lit(f"{y}-"), bare),
+        "Station": _pick(n, "CUTTS (hwy 93)", "olsen creek", "Dry gulch", "penticton", "golden", "keremeos hwy 3"),
+        "Province_Code": _pick(k, "AB", "Wi", "Unknown", None, "Montana", "Mexico"),
+        "Previous_Waterbody_2_Province_Or_State": F.when(k % 10 == 0, "AB"),
+        "High_Risk_AIS_Ind": _pick(k, "yes", "no", None),
+        "Number_Of_People_In_Party": _pick(k, "2.34", "x", None, "5"),
+        "Destination_Waterbody_1_Name": destination,
+        "Destination_Waterbody_1_Closest_City": F.concat(city, F.lit(" BC")) if y == 2015 else city,
+        "Destination_Waterbody_1_Province_Or_State": _pick(n, "British Columbia", "Alberta", None),
+    }
+    if y == 2015:
+        # The province is part of the city there; the city column must win.
+        del values["Destination_Waterbody_1_Province_Or_State"]
+    if y <= 2018:
+        values["WatercraftType"] = _pick(k, "Kayak, Ski boat", "Kayak,Kayak,Kayak,Kayak", None, "Zeppelin", "Other")
+    out = {known[name][0]: value for name, value in values.items() if name in known}
+    if y >= 2016:
+        out[known["Destination_Waterbody_1_Name"][1]] = F.lit("okanagan lake, BC")
+    if y <= 2018:
+        out[known["WatercraftType"][1]] = F.lit("Canoe")
+    return out
+
+
+def raw_year(spark, d, y: int):
+    """All records of one year in that year's raw shape, every column text."""
+    rows = base(spark, d).filter(F.col("y") == y)
+    k, n, day = F.col("k"), F.col("n"), F.col("day")
+    date_text = F.date_format(day, "yyyy-MM-dd")
+    serial = F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string")
+    out = _common(k, n, y)
+    if y <= 2016:
+        taken = "Time of High Risk Inspection" if y == 2015 else "Date + Time of High Risk Inspection"
+        short = F.concat(date_text, F.lit(" 9:05"))
+        if y == 2016:
+            short = F.when(k % 7 == 0, F.concat(F.lit("2014"), F.substr(date_text, F.lit(5)), F.lit(" 9:05"))).otherwise(short)
+        out[taken] = F.when(k % 3 == 1, F.concat(serial, F.lit(".375"))).when(k % 3 == 2, short)
+        seen = F.concat(date_text, F.lit(" 10:15:00"))
+        if y == 2016:
+            seen = F.when(k % 5 == 0, F.concat(F.lit("2099"), F.substr(seen, F.lit(5)))).otherwise(seen)
+        out["Timestamp of inspection"] = F.when(k % 2 == 1, seen)
+        out["Shift Start Time"] = F.concat(date_text, F.lit(" 06:00:00"))
+        out["Shift End Time"] = F.concat(date_text, F.lit(" 18:00:00"))
+        if y == 2015:
+            out["Reason_for_High_Risk_Inspection2"] = F.when(k % 11 == 0, "Dreissenid Mussels Found").otherwise("Standing Water")
+    else:
+        clock = ("00:20:00", "11:30:00") if y == 2017 else ("0.0104166667", "0.375")
+        time = F.when(k % 4 == 1, clock[0]).when(k % 4 != 0, clock[1])
+        out["Time of inspection" if y == 2017 else "Time of Inspection"] = time
+        out["Timestamp"] = F.when(k % 5 != 0, F.concat(serial, F.lit(".5")))
+        out["Shift Start Time"] = F.concat(serial, F.lit(".25"))
+        out["Shift End Time"] = F.concat(serial, F.lit(".75"))
+    out["Shift Date"] = serial
+    if y == 2019:
+        out["Single_watercraft_type"] = _pick(
+            k, "Non-motorized / hand launched watercraft", "Simple watercraft", "Complex watercraft", "Very complex watercraft"
+        )
+        out["Number_watercraft"] = _pick(k, "1", "2", "0")
+    made = {"TimeOfInspection", "shift_start", "Shift_Start_Time", "Shift_End_Time", "Shift_Date"}
+    needed = {c for rules in YEARLY_SCHEMA.values() if y in rules for c in rules[y].columns}
+    missing = needed - set(out) - made
+    # Some headers in their raw spelling: the cleaning step has to find them.
+    spelling = {"Station_Name": "Station Name", "Inspection_ID": "Inspection ID#"}
+    if y == 2016:
+        spelling["State_Province_of_Destination_Waterbody"] = "Destination Province/State"
+    return rows.select(
+        *[c.cast("string").alias(spelling.get(h, h)) for h, c in out.items()],
+        *[F.lit(None).cast("string").alias(spelling.get(h, h)) for h in sorted(missing)],
+    )
+
+
+def raw_extracts(spark, d):
+    """The records of 2020 and later: canonical headers with blanks, two generations of time columns."""
+    rows = base(spark, d).filter(F.col("y") >= 2020)
+    k, n, day, new = F.col("k"), F.col("n"), F.col("day"), F.col("k") % 2 == 1
+    date_text = F.date_format(day, "yyyy-MM-dd")
+    at = lambda late, early: F.concat(date_text, F.lit("T"), F.when(new, late).otherwise(early))
+    columns = {
+        "Watercraft Risk Assessment ID": k.cast("string"),
+        "Station": _pick(n, "CUTTS (hwy 93)", "olsen creek", "Dry gulch", "penticton", "golden", "keremeos hwy 3"),
+        "Start Time": at("15:00:00", "20:00:00"),
+        "End Time": at("23:00:00", "04:00:00"),
+        "raw_timestamp": at("17:00:00", "21:10:00"),
+        "Inspection Time": F.when(new, F.concat(date_text, F.lit(" 10:00:00"))).when(k % 4 == 0, "14:05"),
+        "Workflow ID": F.when(k % 3 != 0, F.concat(F.lit("w"), (k % 50).cast("string"))),
+        "Shift Start Comment": F.lit("0600-18"),
+        "Province Code": _pick(k, "AB", "Wi", "Unknown", None, "Montana", "Mexico"),
+        "Previous Waterbody 1 Province Or State": F.when(k % 6 < 3, _pick(k, "AB", "Wi", "Unknown")),
+        "Previous Waterbody 2 Province Or State": F.when(k % 10 == 0, "AB"),
+        "Previous Waterbody 3 Province Or State": F.lit(None),
+        "Previous Major City": _pick(k, "Spokane, Washington, USA", "None", None, "Montana"),
+        "High Risk AIS Ind": _pick(k, "TRUE", "false", None),
+        "Number Of People In Party": _pick(k, "2.34", "x", None, "5"),
+        "Destination Waterbody 1 Name": _pick(
+            k, "kalamalka lake", "100mile lake", "Dry Storage", "pacific ocean", "wrong lake", "lost lake", None, "okanagan lake, BC"
+        ),
+        "Destination Waterbody 1 Closest City": _pick(n, "Vernon", "Langley", "Calgary", "Chemainus,", "Nelson"),
+        "Destination Waterbody 1 Province Or State": _pick(n, "BC", "AB", None),
+        "Destination Waterbody 2 Name": F.when(k % 5 == 0, "right lake"),
+        "Destination Waterbody 2 Closest City": F.when(k % 5 == 0, "Nelson"),
+        "Destination Major City": F.when(k % 3 == 0, "Kelowna, British Columbia, CAN"),
+        "Destination Dry Storage Ind": F.when(k % 8 == 2, "true").otherwise("false"),
+        "Unknown Destination Waterbody Ind": F.when(k % 8 == 6, "TRUE").otherwise("FALSE"),
+        "Clean Drain Dry After Inspection Ind": F.when(k % 7 == 0, "true").otherwise("false"),
+        "Commercially Hauled Ind": F.when(k % 9 == 0, "true").otherwise("false"),
+        "Non Motorized Counter": _pick(k, "1", "0"),
+        "Simple Counter": _pick(k, "0", "2", "0"),
+        "Complex Counter": F.lit("0"),
+        "Very Complex Counter": F.lit("0"),
+    }
+    return rows.select(F.col("y").alias("Year"), *[c.cast("string").alias(h) for h, c in columns.items()])
+
+
+def sources(spark, d) -> Sources:
+    orders = base(spark, d)
+    k = F.col("k")
+    years = {y: raw_year(spark, d, y) for y in (2015, 2016, 2017, 2018, 2019)}
+    by_year = {
+        y: orders.filter((F.col("y") == y) & (k % 13 == 0)).select(k.cast("string").alias("Inspection ID"))
+        for y in (2016, 2017, 2018, 2019)
+    }
+    late = orders.filter(F.col("y") >= 2020)
+    listed = late.filter(k % 17 == 0).select(k.cast("string").alias("Watercraft Risk Assessment ID"))
+    # The list of 2020 counts up to its sixteenth row only; here a row's number is its key.
+    first = late.select(k.alias("position"), k.cast("string").alias("watercraftRiskAssessmentID"))
+    return Sources(years, raw_extracts(spark, d), by_year, fouled_keys({2020: first, 2023: listed}))
+
+
+def lookups(spark) -> Lookups:
+    rows = lambda schema, values: literal_rows(spark, schema, values)
+    kinds = rows(
+        "kind string, class string",
+        [("kayak kind", "Non-motorized"), ("ski boat kind", "Complex"), ("canoe kind", "Simple"), ("unused", "Very complex")],
+    )
+    return Lookups(
+        corrections=rows(
+            "Non_Matching_Name string, Corrected_Name string",
+            [("Wrong Lake", "Right Lake"), ("Lost Lake", "No Match"), ("Never Seen", "Right Lake")],
+        ),
+        craft_types=rows(
+            "WatercraftType string, BoatType string",
+            [("Kayak", "kayak kind"), (" Ski boat", "ski boat kind"), ("Canoe", "canoe kind")],
+        ),
+        craft_categories=kinds.withColumnsRenamed({"kind": "watercraft type", "class": "New Category"}),
+        abbreviations=rows("Province_or_State string, Abbrev string", [("Montana", "MT"), ("Washington", "WA")]),
+        gazetteer=rows(
+            "names string, lon double, lat double",
+            [("Vernon", -119.25, 50.25), ("Langley", -122.5, 49.0), ("Calgary", -114.0, 51.0), ("Nelson", -117.25, 49.5), ("Kelowna", -119.5, 49.875)],
+        ),
+    )
+
+
+def _clean(spark, d):
+    made, known = sources(spark, d), lookups(spark)
+    combined = combine_sources(made.years, made.extracts, made.fouled_by_year, made.fouled_recent)
+    return clean_inspections(combined, known.corrections, known.craft_types, known.craft_categories, known.abbreviations)
+
+
+# What must come out, stated on the orders themselves.
+CLEAN_SQL = """
+    b AS (SELECT o_orderkey AS k, year(o_orderdate) + 20 AS y,
+                 make_date(year(o_orderdate) + 20, month(o_orderdate), day(o_orderdate)) AS day, c_nationkey AS n
+          FROM orders JOIN customer ON o_custkey = c_custkey),
+    t AS (SELECT *, y >= 2020 AND k % 2 = 1 AS fresh, y >= 2020 AS late,
+                 CASE WHEN y IN (2015, 2016) THEN CASE
+                          WHEN k % 3 = 1 THEN INTERVAL 540 MINUTE WHEN k % 3 = 2 THEN INTERVAL 545 MINUTE
+                          WHEN k % 2 = 0 OR (y = 2016 AND k % 5 = 0) THEN INTERVAL 360 MINUTE ELSE INTERVAL 615 MINUTE END
+                      WHEN y IN (2017, 2018, 2019) THEN CASE
+                          WHEN k % 4 = 0 THEN CASE WHEN k % 5 = 0 THEN INTERVAL 360 MINUTE ELSE INTERVAL 720 MINUTE END
+                          WHEN k % 4 = 1 THEN CASE WHEN y = 2017 THEN INTERVAL 1460 MINUTE ELSE INTERVAL 1455 MINUTE END
+                          WHEN y = 2017 THEN INTERVAL 690 MINUTE ELSE INTERVAL 540 MINUTE END
+                      WHEN k % 2 = 1 THEN INTERVAL 600 MINUTE ELSE INTERVAL 1270 MINUTE END AS taken
+          FROM b
+          WHERE NOT (y = 2016 AND k % 3 = 2 AND k % 7 = 0) AND NOT (y <= 2018 AND k % 5 = 3)),
+    v AS (SELECT k, y, n, late,
+                 CASE WHEN y BETWEEN 2016 AND 2019 THEN y || '-' || k ELSE CAST(k AS VARCHAR) END AS id,
+                 (['Cutts (Hwy 93)', 'Olsen', 'Dry Gulch', 'Penticton Roving', 'Golden', 'Keremeos'])[CAST(n % 6 AS INTEGER) + 1] AS station,
+                 CASE WHEN fresh THEN ((day + INTERVAL 15 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles'
+                      WHEN late THEN day + INTERVAL 27 HOUR ELSE day + INTERVAL 6 HOUR END AS s,
+                 CASE WHEN fresh THEN ((day + INTERVAL 23 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles'
+                      WHEN late THEN day + INTERVAL 35 HOUR ELSE day + INTERVAL 18 HOUR END AS e,
+                 ((day + taken) AT TIME ZONE 'America/Los_Angeles') AT TIME ZONE 'UTC' AS taken_utc,
+                 CASE WHEN y = 2015 THEN k % 11 = 0 WHEN late THEN k % 17 = 0 OR k <= 16 ELSE k % 13 = 0 END AS fouled,
+                 k % 3 = 0 AS high_risk,
+                 (['Kalamalka Lake', '100 Mile Lake', 'Dry Storage', 'Pacific Ocean', 'Right Lake', 'No Match', NULL,
+                   CASE WHEN y = 2015 THEN 'Other' ELSE 'Okanagan Lake' END])[CAST(k % 8 AS INTEGER) + 1] AS corrected,
+                 (['Vernon', 'Langley', 'Calgary', 'Chemainus,', 'Nelson'])[CAST(n % 5 AS INTEGER) + 1] AS town,
+                 CASE WHEN y = 2015 THEN 'BC' ELSE (['BC', 'AB', NULL])[CAST(n % 3 AS INTEGER) + 1] END AS told,
+                 (['AB', 'Wi', 'Unknown', NULL, 'Montana', 'Mexico'])[CAST(k % 6 AS INTEGER) + 1] AS home,
+                 CASE WHEN late THEN (['Spokane, Washington, USA', 'None', NULL, 'Montana'])[CAST(k % 4 AS INTEGER) + 1] END AS major
+          FROM t),
+    w AS (SELECT *, CASE WHEN y = 2015 THEN town || ' ' ELSE town END AS city,
+                 CASE WHEN late AND k % 6 >= 3 THEN NULL ELSE home END AS place FROM v),
+    x AS (SELECT *, CASE WHEN city IN ('Langley', 'Chemainus,') THEN 'Pacific Ocean' ELSE corrected END AS dest,
+                 CASE WHEN corrected = 'Right Lake' OR city IN ('Vernon', 'Langley', 'Chemainus,') THEN 'BC' ELSE told END AS province,
+                 CASE WHEN place IS NOT NULL AND place <> 'Unknown' THEN place
+                      WHEN major IS NOT NULL AND major <> 'None' THEN CASE WHEN major LIKE 'Spokane%' THEN 'Washington' ELSE major END
+                      ELSE home END AS source_raw
+          FROM w),
+    clean AS (SELECT *,
+                 coalesce(province <> 'BC' OR dest = 'No Match', false) AS not_bc,
+                 coalesce(dest = 'Dry Storage' OR k % 8 = 2, false) AS storage,
+                 coalesce(dest LIKE '%Ocean%', false) AS ocean,
+                 home IS NULL AND place IS NULL AND (y = 2015 OR k % 10 <> 0) AS unknown_source,
+                 CASE source_raw WHEN 'Montana' THEN 'MT' WHEN 'Washington' THEN 'WA' WHEN 'Wi' THEN 'WI' WHEN 'Mexico' THEN 'BN' ELSE source_raw END AS abbr,
+                 CASE k % 4 WHEN 0 THEN 2 WHEN 3 THEN 5 END AS people,
+                 CAST(CASE WHEN y <= 2018 THEN CASE k % 5 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END
+                      WHEN y = 2019 THEN CASE WHEN k % 4 = 0 THEN (k + 1) % 3 ELSE 0 END ELSE (k + 1) % 2 END AS DOUBLE) AS non_motorized,
+                 CAST(CASE WHEN y <= 2018 THEN CASE WHEN k % 5 = 4 THEN 1 ELSE 0 END
+                      WHEN y = 2019 THEN CASE WHEN k % 4 = 1 THEN (k + 1) % 3 ELSE 0 END ELSE CASE WHEN k % 3 = 1 THEN 2 ELSE 0 END END AS DOUBLE) AS simple,
+                 CAST(CASE WHEN y <= 2018 THEN CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END
+                      WHEN y = 2019 THEN CASE WHEN k % 4 = 2 THEN (k + 1) % 3 ELSE 0 END ELSE 0 END AS DOUBLE) AS complex,
+                 CAST(CASE WHEN y = 2019 AND k % 4 = 3 THEN (k + 1) % 3 ELSE 0 END AS DOUBLE) AS very_complex
+          FROM x)
+"""
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL}
+    SELECT y AS year, id, station, strftime(s, '%Y-%m-%d %H:%M:%S') AS s, strftime(e, '%Y-%m-%d %H:%M:%S') AS e,
+           strftime(taken_utc, '%Y-%m-%d %H:%M:%S') AS taken_utc, fouled, high_risk, dest, city, province, not_bc, storage, ocean,
+           unknown_source, abbr, people, non_motorized, simple, complex, very_complex
+    FROM clean
+    """
+)
+def combine_and_clean(spark, d):
+    """Seven years in six shapes to one cleaned table."""
+    df = _clean(spark, d).everything
+    return df.select(
+        F.col("Year").cast("bigint").alias("year"),
+        F.col("Watercraft_Risk_Assessment_ID").alias("id"),
+        F.col("Station").alias("station"),
+        F.date_format("Start_Time", STAMP).alias("s"),
+        F.date_format("End_Time", STAMP).alias("e"),
+        F.date_format(_utc("TimeOfInspection"), STAMP).alias("taken_utc"),
+        F.col("MusselsFound_Ind").alias("fouled"),
+        F.col("High_Risk_AIS_Ind").alias("high_risk"),
+        F.col("Destination_Waterbody_1_Name").alias("dest"),
+        F.col("Destination_Waterbody_1_Closest_City").alias("city"),
+        F.col("Destination_Waterbody_1_Province_Or_State").alias("province"),
+        F.col("DestNotBC").alias("not_bc"),
+        F.col("DryStorage").alias("storage"),
+        F.col("OceanBoat").alias("ocean"),
+        F.col("UnknownSourceBoat").alias("unknown_source"),
+        F.col("Previous_Waterbody_1_Province_Or_State").alias("abbr"),
+        F.col("Number_Of_People_In_Party").alias("people"),
+        F.col("Non_Motorized_Counter").alias("non_motorized"),
+        F.col("Simple_Counter").alias("simple"),
+        F.col("Complex_Counter").alias("complex"),
+        F.col("Very_Complex_Counter").alias("very_complex"),
+    )
+
+
+def _utc(column: str) -> Column:
+    from fieldprep.functions.clock import utc_clock
+
+    return utc_clock(F.col(column))
+
+
+def states(spark, d):
+    """A square per nation, coded as a region; two codes of them occur as sources."""
+    k = F.col("n_nationkey")
+    code = F.when(k == 3, "CA.AB").when(k == 4, "US.MT").when(k == 5, "MX.BN").when(k == 6, "US.WA").otherwise(
+        F.concat(F.lit("US.X"), k.cast("string"))
+    )
+    country = F.when(k == 5, "Mexico").when(k == 3, "Canada").otherwise("United States")
+    x, y = k * 2.0 - 140, F.lit(45.0)
+    return table(spark, d, "nation").select(
+        country.alias("NAME_0"), F.col("n_name").alias("NAME_1"), code.alias("HASC_1"), g.box(x, y, x + 2, y + 1).alias("rings")
+    )
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL},
+    c AS (SELECT abbr, count(*) AS total, nullif(count(*) FILTER (WHERE high_risk AND k % 7 <> 0), 0) AS hr,
+                 nullif(count(*) FILTER (WHERE fouled), 0) AS mf, nullif(count(*) FILTER (WHERE k % 9 = 0), 0) AS ch
+          FROM clean WHERE y = 2020 GROUP BY abbr)
+    SELECT n_name AS name, total, hr, mf, ch, n_nationkey * 2.0 - 139 AS x, 45.5 AS y
+    FROM nation LEFT JOIN c ON abbr = CASE n_nationkey WHEN 3 THEN 'AB' WHEN 4 THEN 'MT' WHEN 5 THEN 'BN' WHEN 6 THEN 'WA' ELSE 'X' || n_nationkey END
+    """
+)
+def report_by_source(spark, d):
+    """A report year's inspections per source region, at the region's centroid."""
+    df = _clean(spark, d).selected
+    done = inspections_by_source(df, states(spark, d), 2020)
+    return done.select(
+        F.col("NAME_1").alias("name"),
+        F.col("TotalInsp").alias("total"),
+        F.col("HRInsp").alias("hr"),
+        F.col("MFInsp").alias("mf"),
+        F.col("CHInsp").alias("ch"),
+        F.round("x", 6).alias("x"),
+        F.round("y", 6).alias("y"),
+    )
+
+
+def stations(spark, d):
+    """A station per supplier, most of them without records."""
+    k = F.col("s_suppkey")
+    label = F.when(k < 6, _pick(k, "Cutts (Hwy 93)", "Olsen", "Dry Gulch", "Penticton Roving", "Golden", "Nowhere")).otherwise(
+        F.concat(F.lit("Station "), k.cast("string"))
+    )
+    return table(spark, d, "supplier").select(label.alias("map_label"), (k * 1.0 - 120).alias("x"), F.lit(50.0).alias("y"))
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL},
+    g AS (SELECT station, y, count(*) AS total, count(*) FILTER (WHERE fouled) AS mf, count(*) FILTER (WHERE high_risk) AS hr,
+                 nullif(count(DISTINCT home) FILTER (WHERE home <> 'Unknown'), 0) AS provs FROM clean GROUP BY ALL),
+    s AS (SELECT CASE WHEN s_suppkey < 6 THEN (['Cutts (Hwy 93)', 'Olsen', 'Dry Gulch', 'Penticton Roving', 'Golden', 'Nowhere'])[CAST(s_suppkey AS INTEGER) + 1]
+                      ELSE 'Station ' || s_suppkey END AS station FROM supplier)
+    SELECT y AS year, station, coalesce(total, 0) AS total, coalesce(mf, 0) AS mf, coalesce(hr, 0) AS hr, provs
+    FROM s LEFT JOIN g USING (station) WHERE station <> 'Penticton Roving'
+    """
+)
+def report_by_station(spark, d):
+    done = inspections_by_station(_clean(spark, d).selected, stations(spark, d))
+    return done.select(
+        F.col("Year").cast("bigint").alias("year"),
+        F.col("Station").alias("station"),
+        F.col("TotalInspections").alias("total"),
+        F.col("MusselFouled").alias("mf"),
+        F.col("HighRisk").alias("hr"),
+        F.col("number_of_provs").alias("provs"),
+    )
+
+
+def regions(spark, d):
+    """Two squares on the provincial grid around two of the cities, and far squares from the suppliers."""
+    k = F.col("s_suppkey")
+    x, y = F.lit(5_000_000.0) + (k % 1000) * 1000, F.floor(k / 1000) * 1000.0
+    far = table(spark, d, "supplier").select(
+        F.lit("far").alias("REGION_G"), F.concat(F.lit("Far "), k.cast("string")).alias("REGION_N"), g.box(x, y, x + 500, y + 500).alias("rings")
+    )
+    near = literal_rows(spark, "REGION_G string, REGION_N string, lon double, lat double", [("8", "Okanagan", -119.5, 49.875), ("4", "Kootenay", -117.25, 49.5)])
+    px, py = g.PROVINCIAL_GRID.forward(F.col("lon"), F.col("lat"))
+    near = near.withColumns({"px": px, "py": py})
+    boxes = near.select(
+        "REGION_G", "REGION_N", g.box(F.col("px") - 5000, F.col("py") - 5000, F.col("px") + 5000, F.col("py") + 5000).alias("rings")
+    )
+    return far.unionByName(boxes)
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL},
+    m AS (SELECT *, CASE WHEN late AND k % 3 = 0 THEN 'Kelowna' END AS big FROM clean),
+    r AS (SELECT *, regexp_replace(city, ',.*', '') AS city_name FROM m),
+    q AS (SELECT city_name, CASE city_name WHEN 'Nelson' THEN 'Kootenay' END AS region FROM r
+          WHERE dest IS NULL AND big IS NOT NULL AND city_name = 'Nelson' GROUP BY ALL),
+    z AS (SELECT r.*, q.region FROM r LEFT JOIN q USING (city_name)),
+    o AS (SELECT y, k, 'year' AS part,
+                 coalesce(dest, region, CASE WHEN not_bc OR storage THEN 'Outside BC' WHEN k % 8 = 6 THEN 'Unknown (Toggle)' ELSE 'Unknown' END) AS dest_region,
+                 CASE WHEN non_motorized + simple + complex + very_complex = 0 THEN 1 ELSE non_motorized + simple + complex + very_complex END AS boats,
+                 abs(epoch(e) - epoch(s)) / 3600 AS hours FROM z WHERE y = 2020
+          UNION ALL
+          SELECT y, k, 'high risk', coalesce(dest, region, CASE WHEN not_bc OR storage THEN 'Outside BC' ELSE 'Unknown' END),
+                 CASE WHEN non_motorized + simple + complex + very_complex = 0 THEN 1 ELSE non_motorized + simple + complex + very_complex END,
+                 abs(epoch(e) - epoch(s)) / 3600 FROM z WHERE high_risk AND (y < 2020 OR k % 7 <> 0)
+          UNION ALL
+          SELECT y, k, 'fouled', coalesce(dest, region, CASE WHEN not_bc OR storage THEN 'Outside BC' ELSE 'Unknown' END),
+                 CASE WHEN non_motorized + simple + complex + very_complex = 0 THEN 1 ELSE non_motorized + simple + complex + very_complex END,
+                 abs(epoch(e) - epoch(s)) / 3600 FROM z WHERE fouled)
+    SELECT part, y AS year, dest_region, count(*) AS n, CAST(sum(boats) AS DOUBLE) AS boats, round(sum(hours), 3) AS hours FROM o GROUP BY ALL
+    """
+)
+def report_destination_regions(spark, d):
+    """The three report tables, counted per year and destination region."""
+    df = _clean(spark, d).selected
+    made = report_tables(df, states(spark, d), stations(spark, d), regions(spark, d), lookups(spark).gazetteer, 2020)
+    parts = {"year": made.this_year, "high risk": made.high_risk, "fouled": made.fouled}
+    columns = ["Year", "DestRegion", "TotalBoats", "Shift_hours"]
+    rows = union_by_name([t.select(F.lit(p).alias("part"), *columns) for p, t in parts.items()])
+    return rows.groupBy("part", F.col("Year").cast("bigint").alias("year"), F.col("DestRegion").alias("dest_region")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("TotalBoats").alias("boats"), F.round(F.sum("Shift_hours"), 3).alias("hours")
+    )
+
+
+def waterbodies(spark, d):
+    """Lakes around the cities, one per supplier, three names in turn, and the two made-up boxes."""
+    k = F.col("s_suppkey")
+    towns = lookups(spark).gazetteer
+    px, py = g.PROVINCIAL_GRID.forward(F.col("lon"), F.col("lat"))
+    slots = towns.select("names", px.alias("px"), py.alias("py"))
+    town = _pick(k, "Vernon", "Calgary", "Nelson", "Kelowna")
+    lakes = table(spark, d, "supplier").select(
+        (k % 40).alias("WATERSH"),
+        _pick(k, "Kalamalka Lake", "Right Lake", "Okanagan Lake").alias("GNIS_NA"),
+        town.alias("names"),
+        (F.floor(k / 12) * 3000.0 + 1000).alias("away"),
+    )
+    x, y = F.col("px") + F.col("away"), F.col("py") + F.col("away")
+    shaped = lakes.join(slots, "names").select("WATERSH", "GNIS_NA", g.box(x, y, x + 500, y + 500).alias("rings"))
+    return shaped.unionByName(synthetic_boxes(shaped))
+
+
+# Reference distances on boxes: brute force over all lakes of the name.
+_POLYGON_SQL = """
+    k0 AS (SELECT 6378137.0::DOUBLE AS a, 1 / 298.257222101::DOUBLE AS f), k1 AS (SELECT a, sqrt(f * (2 - f)) AS ec FROM k0),
+    k2 AS (SELECT a, ec, 1 - ec * ec AS g, cos(radians(50)) ** 2 / (1 - (ec * sin(radians(50))) ** 2) AS m1,
+                  cos(radians(58.5)) ** 2 / (1 - (ec * sin(radians(58.5))) ** 2) AS m2,
+                  (1 - ec * ec) * (sin(radians(45)) / (1 - (ec * sin(radians(45))) ** 2) - ln((1 - ec * sin(radians(45))) / (1 + ec * sin(radians(45)))) / (2 * ec)) AS q0,
+                  (1 - ec * ec) * (sin(radians(50)) / (1 - (ec * sin(radians(50))) ** 2) - ln((1 - ec * sin(radians(50))) / (1 + ec * sin(radians(50)))) / (2 * ec)) AS q1,
+                  (1 - ec * ec) * (sin(radians(58.5)) / (1 - (ec * sin(radians(58.5))) ** 2) - ln((1 - ec * sin(radians(58.5))) / (1 + ec * sin(radians(58.5)))) / (2 * ec)) AS q2 FROM k1),
+    k3 AS (SELECT *, (m1 - m2) / (q2 - q1) AS nn FROM k2),
+    k4 AS (SELECT *, m1 + nn * q1 AS cc, a * sqrt(m1 + nn * q1 - nn * q0) / nn AS r0 FROM k3),
+    towns(names, lon, lat) AS (VALUES ('Vernon', -119.25, 50.25), ('Langley', -122.5, 49.0), ('Calgary', -114.0, 51.0),
+                                      ('Nelson', -117.25, 49.5), ('Kelowna', -119.5, 49.875), ('ocean1', -130.805, 48.767), ('ocean2', -129.090, 48.767),
+                                      ('ocean3', -129.090, 49.9512), ('ocean4', -130.805, 49.9512)),
+    tp AS (SELECT names, 1000000 + r * sin(th) AS px, r0 - r * cos(th) AS py FROM (
+             SELECT names, r0, a * sqrt(cc - nn * g * (sin(radians(lat)) / (1 - (ec * sin(radians(lat))) ** 2)
+                    - ln((1 - ec * sin(radians(lat))) / (1 + ec * sin(radians(lat)))) / (2 * ec))) / nn AS r, nn * radians(lon + 126) AS th FROM towns, k4)),
+    lakes AS (SELECT s_suppkey % 40 AS watersh, (['Kalamalka Lake', 'Right Lake', 'Okanagan Lake'])[CAST(s_suppkey % 3 AS INTEGER) + 1] AS name,
+                     px + (s_suppkey // 12) * 3000.0 + 1000 AS x0, py + (s_suppkey // 12) * 3000.0 + 1000 AS y0
+              FROM supplier JOIN tp ON names = (['Vernon', 'Calgary', 'Nelson', 'Kelowna'])[CAST(s_suppkey % 4 AS INTEGER) + 1]),
+    slots AS (SELECT y, k, high_risk AND (y < 2020 OR k % 7 <> 0) AS hr, fouled AS mf, non_motorized, simple, complex, very_complex, dest AS name, city FROM clean
+              UNION ALL SELECT y, k, high_risk AND (y < 2020 OR k % 7 <> 0), fouled, non_motorized, simple, complex, very_complex, 'Right Lake', 'Nelson'
+              FROM clean WHERE late AND k % 5 = 0),
+    near AS (SELECT DISTINCT name, city, px, py FROM slots JOIN tp ON city = names WHERE name IS NOT NULL),
+    dist AS (SELECT n.name, city, watersh, sqrt(greatest(x0 - px, 0, px - x0 - 500) ** 2 + greatest(y0 - py, 0, py - y0 - 500) ** 2) AS far
+             FROM near n JOIN lakes l ON n.name = l.name),
+    best AS (SELECT name, city, watersh, row_number() OVER (PARTITION BY name, city ORDER BY round(far, 6), watersh) AS place FROM dist),
+    goal AS (SELECT name, city, watersh FROM best WHERE place = 1
+             UNION ALL SELECT name, city, 0 FROM near WHERE name IN ('Pacific Ocean', 'Dry Storage'))
+"""
+_POLYGON_COUNTS = """
+    SELECT watersh, name, count(*) AS total, count(*) FILTER (WHERE mf) AS fouled, count(*) FILTER (WHERE hr) AS high_risk,
+           sum(non_motorized) AS non_motorized, sum(simple) AS simple,
+           count(*) FILTER (WHERE NOT hr AND NOT mf AND simple > 0) AS low_simple,
+           count(*) FILTER (WHERE hr AND non_motorized > 0) AS hr_nonmot,
+           count(*) FILTER (WHERE hr AND simple > 0) + count(*) FILTER (WHERE hr AND complex > 0) + count(*) FILTER (WHERE hr AND very_complex > 0) AS hr_mot
+    FROM slots JOIN goal USING (name, city)
+"""
+
+
+def _polygon_columns(df):
+    return df.select(
+        F.col("WATERSH").cast("bigint").alias("watersh"),
+        F.col("GNIS_NA").alias("name"),
+        F.col("TotalInspections").alias("total"),
+        F.col("NumberMusselFouled").alias("fouled"),
+        F.col("highrisk_Counter").alias("high_risk"),
+        F.col("Non_Motorized_Counter").alias("non_motorized"),
+        F.col("Simple_Counter").alias("simple"),
+        F.col("LowRisk_Simple_Counter").alias("low_simple"),
+        F.col("HR_nonmot").alias("hr_nonmot"),
+        F.col("HR_mot").alias("hr_mot"),
+    )
+
+
+def _polygons(spark, d, year=None, rows=None):
+    from fieldprep.plans.reports import strict_high_risk
+
+    clean = _clean(spark, d)
+    high_risk = strict_high_risk(clean.everything)
+    return summarise_to_polygons(
+        clean.everything, waterbodies(spark, d), lookups(spark).gazetteer, high_risk, clean.fouled, year, rows
+    )
+
+
+@query(f"WITH {CLEAN_SQL}, {_POLYGON_SQL} {_POLYGON_COUNTS} GROUP BY ALL")
+def polygon_summary_all_years(spark, d):
+    """Inspections per waterbody: the nearest of the name to the city that was given."""
+    return _polygon_columns(_polygons(spark, d))
+
+
+@query(f"WITH {CLEAN_SQL}, {_POLYGON_SQL} {_POLYGON_COUNTS} WHERE y = 2020 GROUP BY ALL")
+def polygon_summary_report_year(spark, d):
+    return _polygon_columns(_polygons(spark, d, year=2020))
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL}
+    SELECT 'AllYears_All_Columns' AS stored, count(*) AS n FROM clean
+    UNION ALL SELECT 'AllYears_Selected_Columns', count(*) FROM clean
+    UNION ALL SELECT 'AllYears_high_risk', count(*) FROM clean WHERE high_risk
+    UNION ALL SELECT 'AllYears_mussel_fouled', count(*) FROM clean WHERE fouled
+    UNION ALL SELECT 'figure_dat', count(*) FROM clean WHERE y = 2020
+    UNION ALL SELECT 'figure_dat_all', count(*) FROM clean
+    UNION ALL SELECT 'figure_dat_hr', count(*) FROM clean WHERE high_risk AND (y < 2020 OR k % 7 <> 0)
+    UNION ALL SELECT 'figure_dat_mf', count(*) FROM clean WHERE fouled
+    """
+)
+def run_everything(spark, d):
+    """All three stages with stored tables between them; how many rows each stored table holds."""
+    folder = scratch(spark)
+    layers = Layers(states(spark, d), stations(spark, d), regions(spark, d), waterbodies(spark, d))
+    run_all(spark, sources(spark, d), lookups(spark), layers, folder, 2020)
+    names = [
+        "AllYears_All_Columns",
+        "AllYears_Selected_Columns",
+        "AllYears_high_risk",
+        "AllYears_mussel_fouled",
+        "figure_dat",
+        "figure_dat_all",
+        "figure_dat_hr",
+        "figure_dat_mf",
+    ]
+    counts = [
+        spark.read.parquet(f"{folder}/{n}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("stored"), "n")
+        for n in names
+    ]
+    return union_by_name(counts)

@@ -250,7 +250,7 @@ def _line_groups(spark, d):
 
 @query(
     f"""
-    WITH c AS (SELECT c_custkey, ({INFECTED_SOURCE_REGIONS + ('BC', 'ON', 'QC')!r})[CAST(c_custkey % 32 AS INTEGER) + 1] AS province,
+    WITH c AS (SELECT c_custkey, ({[*INFECTED_SOURCE_REGIONS, 'BC', 'ON', 'QC']!r})[CAST(c_custkey % 32 AS INTEGER) + 1] AS province,
                       (['Goat River', 'Elk River', 'Upper Elk River', 'Kalamalka Lake', 'Duck Creek'])[CAST(c_nationkey % 5 AS INTEGER) + 1] AS water,
                       CASE c_custkey % 4 WHEN 0 THEN 'Fernie' WHEN 1 THEN 'Elko' WHEN 2 THEN 'Prince George' END AS city FROM customer)
     SELECT c_custkey, 'regions' AS preset FROM c WHERE province IN {INFECTED_SOURCE_REGIONS!r}
