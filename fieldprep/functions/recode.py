@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -32,8 +33,12 @@ def fold_rules(rules: Sequence[tuple[Column, Column]], otherwise: Column) -> Col
 
 
 def recode_first_match(col: Column, rules: Sequence[tuple[str, str]], otherwise: Column | None = None) -> Column:
-    """Ordered (pattern, value) rules; the first pattern found in the text wins."""
-    return fold_rules([(col.rlike(p), F.lit(v)) for p, v in rules], col if otherwise is None else otherwise)
+    """Ordered (pattern, value) rules; the first pattern found in the text wins.
+
+    A pattern without special characters is a plain search, which needs no regex engine.
+    """
+    test = lambda p: col.contains(p) if p == re.escape(p).replace("\\ ", " ").replace("\\-", "-") else col.rlike(p)
+    return fold_rules([(test(p), F.lit(v)) for p, v in rules], col if otherwise is None else otherwise)
 
 
 def recode_contains(col: Column, rules: Sequence[tuple[str, str]], otherwise: Column | None = None) -> Column:

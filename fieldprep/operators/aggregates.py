@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldprep.operators.joins import null_safe_join
+from fieldprep.operators.joins import anti, null_safe_join, semi
+from fieldprep.session import stored
 
 
 def total(col: Column | str) -> Column:
@@ -135,16 +136,26 @@ def classify_multi_value(
     helper = [f"__{p}{i}" for p in ("c", "f") for i in range(slots)]
     own_columns = {cls: f"__own{i}" for i, cls in enumerate(classes)}
     work = work.filter(known > 0).withColumns({a: own(c) for c, a in own_columns.items()}).drop(*helper)
-    pooled = work.groupBy(F.col(id_column).alias("__id")).agg(
-        *[F.sum(a).alias(f"{a}_all") for a in own_columns.values()]
-    )
-    dropped = {column, *classes.values()}
-    rows = work.drop(*dropped).distinct()
-    joined = null_safe_join(rows, pooled, [(id_column, "__id")])
-    counted = {
-        out: F.when(F.col(own_columns[c]) > 0, F.col(f"{own_columns[c]}_all")).otherwise(0).cast("double")
-        for c, out in classes.items()
-    }
-    return joined.withColumns(counted).drop(
-        *own_columns.values(), *[f"{a}_all" for a in own_columns.values()], *[f"__part{i}" for i in range(slots)]
+    # An id that occurs once pools nothing and has no twin: only repeated ids need more work. They
+    # are found by a narrow aggregation and stored, so that their true size decides the joins: with
+    # a short list the wide rows of unique ids are never shuffled, and each row is worked out once.
+    repeated = stored(
+        work.groupBy(F.col(id_column).alias("__id"))
+        .agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(a).alias(f"{a}_all") for a in own_columns.values()])
+        .filter(F.col("__rows") > 1)
+        .drop("__rows")
     )
+    rows = work.drop(column, *classes.values())
+    key = [(id_column, "__id")]
+    single = anti(rows, repeated, key)
+    several = null_safe_join(semi(rows, repeated, key).distinct(), repeated, key, "inner")
+
+    def finished(df: DataFrame, suffix: str) -> DataFrame:
+        counted = {
+            out: F.when(F.col(own_columns[c]) > 0, F.col(own_columns[c] + suffix)).otherwise(0).cast("double")
+            for c, out in classes.items()
+        }
+        helpers = [c for c in df.columns if c.startswith(("__own", "__part"))]
+        return df.withColumns(counted).drop(*helpers)
+
+    return finished(single, "").unionByName(finished(several, "_all"))

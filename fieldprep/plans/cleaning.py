@@ -36,9 +36,17 @@ def with_missing_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def tidy_destination_names(df: DataFrame) -> DataFrame:
-    tidy = lambda c: text.title_case(text.remove_first(c, ", Bc"))
+    """Title case, numbers set off, a trailing province dropped.
+
+    The first name is in title case before the province is looked for; it needs a second pass only
+    where something was removed.
+    """
+    bare = lambda c: text.remove_first(c, ", Bc")
     first = text.title_case(text.split_digits_from_letters(F.col(DEST)))
-    return apply_to_columns(df.withColumn(DEST, first), tidy, DESTINATIONS)
+    df = df.withColumn(DEST, first)
+    again = F.when(F.col(DEST).contains(", Bc"), text.title_case(bare(F.col(DEST)))).otherwise(F.col(DEST))
+    df = df.withColumn(DEST, again)
+    return apply_to_columns(df, lambda c: text.title_case(bare(c)), DESTINATIONS[1:])
 
 
 def tidy_stations(df: DataFrame) -> DataFrame:

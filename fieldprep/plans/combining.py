@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldprep.functions import clock, recode, text
 from fieldprep.operators.columns import PROVINCE_HEADER, clean_column_names, snake_column_names
 from fieldprep.operators.filters import drop_missing, first_source_rows
-from fieldprep.operators.joins import flag_expression_membership, flag_membership
+from fieldprep.operators.joins import flag_membership
 from fieldprep.operators.reshape import union_by_name
 from fieldprep.operators.shifts import repair_shift_full, repair_shift_simple
 from fieldprep.plans.fixed_values import FOULED_LIST_ROWS, REGION_NAMES
@@ -19,6 +19,8 @@ from fieldprep.plans.schema_map import YEARLY_SCHEMA, SchemaMap, map_schema
 ID = "Watercraft_Risk_Assessment_ID"
 FOULED_FLAGS = ("Adult_Dressenidae_Found_Ind", "Adult_Dreissenidae_Mussel_Found_Ind")
 RESIDENCE_HEADER = "State_Province_of_Boat_Residence"
+# Years whose fouled flags come from a list; later ones share one list.
+FIRST_LISTED_YEAR, LAST_TABLE_YEAR = 2016, 2019
 # A full date marks records of the newer app, whose shift times are UTC.
 NEW_TRANCHE = r"^[0-9\-]{10}"
 
@@ -81,10 +83,9 @@ def abbreviate_regions(df: DataFrame, columns: Sequence[str] = (RESIDENCE_HEADER
 
 
 def canonical_year(raw: DataFrame, year: int, schema: SchemaMap = YEARLY_SCHEMA) -> DataFrame:
-    """A raw yearly table in canonical columns, its inspection time an instant."""
+    """A raw yearly table in canonical columns; its inspection time is still a wall clock."""
     df = abbreviate_regions(clean_column_names(year_clock(raw, year)))
-    df = map_schema(df, schema, year)
-    return df.withColumn("TimeOfInspection", clock.to_instant(clock.force_zone(F.col("TimeOfInspection"), clock.PACIFIC)))
+    return map_schema(df, schema, year)
 
 
 def extract_shifts(df: DataFrame, full_repair: bool = False) -> DataFrame:
@@ -113,7 +114,7 @@ def extract_shifts(df: DataFrame, full_repair: bool = False) -> DataFrame:
 
 
 def extract_clock(df: DataFrame) -> DataFrame:
-    """Inspection instant, date and HH:MM of the extracts.
+    """Inspection time, date and HH:MM of the extracts.
 
     Newer records carry a full inspection time, older ones only HH:MM or nothing and take the
     raw timestamp. Both are Pacific wall clocks.
@@ -128,7 +129,7 @@ def extract_clock(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             **kept,
-            "TimeOfInspection": clock.to_instant(clock.force_zone(local, clock.PACIFIC)),
+            "TimeOfInspection": local,
             "Inspection Date": F.date_format(seen, "yyyy-MM-dd"),
             "Hour_Min_of_Insp": F.when(~new, F.coalesce(given, clock.hour_minute(seen))),
             "raw_timestamp": F.when(new, seen),
@@ -153,19 +154,34 @@ def fouled_keys(lists: Mapping[int, DataFrame], position: str = "position") -> D
     return drop_missing(union_by_name(tables), ID)
 
 
-def align_fouled_year(df: DataFrame, keys: DataFrame, year: int, key: str = "Inspection ID") -> DataFrame:
-    """Both fouled flags of a yearly table set by its corrected list."""
-    bare = text.strip_year_prefix(F.col(ID), year)
-    flagged = flag_expression_membership(df, bare, keys.withColumnRenamed(key, "__id"), "__id", "__fouled")
-    return _set_flags(flagged)
+def zoned_inspection_time(df: DataFrame, zone: str = clock.PACIFIC) -> DataFrame:
+    """The wall clock of the inspection as an instant; clocks a DST gap skips become NULL."""
+    return df.withColumn("TimeOfInspection", clock.to_instant(clock.force_zone(F.col("TimeOfInspection"), zone)))
 
 
-def align_fouled_extracts(df: DataFrame, keys: DataFrame) -> DataFrame:
-    return _set_flags(flag_membership(df, keys, [ID], "__fouled"))
+def fouled_lists(by_year: Mapping[int, DataFrame], recent: DataFrame, key: str = "Inspection ID") -> DataFrame:
+    """All hand-corrected lists as one key table: the list's year, 0 for the extracts', and the bare id."""
+    yearly = [df.select(F.lit(y).alias("__list"), F.col(f"`{key}`").alias("__bare")) for y, df in by_year.items()]
+    return union_by_name([*yearly, recent.select(F.lit(0).alias("__list"), F.col(ID).alias("__bare"))])
 
 
-def _set_flags(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: recode.flag_text(F.col("__fouled")) for c in FOULED_FLAGS}).drop("__fouled")
+def align_fouled(df: DataFrame, lists: DataFrame) -> DataFrame:
+    """Both fouled flags set by the corrected lists: one join for all years.
+
+    Listed ids of the years 2016 to 2019 lack the year prefix; those of the extracts are whole.
+    2015 keeps what its own columns say.
+    """
+    year = F.col("Year")
+    listed = year.between(FIRST_LISTED_YEAR, LAST_TABLE_YEAR)
+    prefixed = [(year == y, text.strip_year_prefix(F.col(ID), y)) for y in range(FIRST_LISTED_YEAR, LAST_TABLE_YEAR + 1)]
+    keyed = df.withColumns(
+        {"__list": F.when(listed, year).otherwise(0), "__bare": recode.fold_rules(prefixed, F.col(ID))}
+    )
+    flagged = flag_membership(keyed, lists, ["__list", "__bare"], "__fouled").drop("__list", "__bare")
+    flags = {
+        c: F.when(year < FIRST_LISTED_YEAR, F.col(c)).otherwise(recode.flag_text(F.col("__fouled"))) for c in FOULED_FLAGS
+    }
+    return flagged.withColumns(flags).drop("__fouled")
 
 
 def combine_fouled_flags(df: DataFrame) -> DataFrame:
@@ -180,11 +196,11 @@ def combine_sources(
     fouled_recent: DataFrame,
     full_repair: bool = False,
 ) -> DataFrame:
-    """All yearly tables and extracts as one canonical table. Narrow but for the flag joins."""
-    tables = [align_fouled_extracts(canonical_extracts(extracts, full_repair), fouled_recent)]
-    for year in sorted(years, reverse=True):
-        df = canonical_year(years[year], year)
-        if year >= 2016:
-            df = align_fouled_year(df, fouled_by_year[year], year)
-        tables.append(df)
-    return combine_fouled_flags(union_by_name(tables))
+    """All yearly tables and extracts as one canonical table. Narrow but for the one flag join.
+
+    What is the same for every source (zone, flags) is done once, on the union.
+    """
+    tables = [canonical_extracts(extracts, full_repair)]
+    tables += [canonical_year(years[y], y) for y in sorted(years, reverse=True)]
+    df = zoned_inspection_time(union_by_name(tables))
+    return combine_fouled_flags(align_fouled(df, fouled_lists(fouled_by_year, fouled_recent)))

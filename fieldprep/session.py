@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,8 @@ def local_session(cpus: int | str = 8, app: str = "fieldprep") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # Call sites of every column expression cost several JVM calls each while a plan is built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -57,3 +60,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A small intermediate written as a table in the shared folder and read back.
+
+    Besides cutting the lineage this tells the planner its true size before the plans that use
+    it are made, so a short list is broadcast and a long one is not.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -103,14 +103,14 @@ def lenient_parse(spark, d):
     """
 )
 def tranche_split_clock(spark, d):
-    from fieldprep.plans.combining import extract_clock
+    from fieldprep.plans.combining import extract_clock, zoned_inspection_time
 
     ts, k = F.col("ts"), F.col("event_id") % 4
     given = F.when(k == 0, stamp(ts)).when(k != 1, F.date_format(ts + F.expr("INTERVAL 1 HOUR"), "HH:mm"))
     raw = table(spark, d, "events").select(
         "event_id", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss").alias("raw_timestamp"), given.alias("Inspection Time")
     )
-    done = extract_clock(raw)
+    done = zoned_inspection_time(extract_clock(raw))
     return done.select(
         "event_id",
         F.col("new_tranche"),

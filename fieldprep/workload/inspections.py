@@ -12,168 +12,160 @@ from pyspark.sql import functions as F
 
 from fieldprep.functions import geometry as g
 from fieldprep.operators.reshape import literal_rows, union_by_name
-from fieldprep.plans.cleaning import clean_inspections
+from fieldprep.plans.cleaning import clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources, fouled_keys
 from fieldprep.plans.polygons import summarise_to_polygons, synthetic_boxes
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
 from fieldprep.plans.run import Layers, Lookups, Sources, run_all
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
+from fieldprep.sources.sinks import write_table
 from fieldprep.workload.registry import query, table
 from fieldprep.workload.storage import scratch
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
-def _pick(by: Column, *values) -> Column:
-    """One of the values, by remainder."""
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), (by % len(values)).cast("int"))
+def _pick(by: str, *values) -> str:
+    """SQL for one of the values, by remainder."""
+    texts = ", ".join("CAST(NULL AS STRING)" if v is None else f"'{v}'" for v in values)
+    return f"get(array({texts}), CAST({by} % {len(values)} AS INT))"
+
+
+STATIONS = ("CUTTS (hwy 93)", "olsen creek", "Dry gulch", "penticton", "golden", "keremeos hwy 3")
+HOMES = ("AB", "Wi", "Unknown", None, "Montana", "Mexico")
+TOWNS = ("Vernon", "Langley", "Calgary", "Chemainus,", "Nelson")
+GOALS = ("kalamalka lake", "100mile lake", "Dry Storage", "pacific ocean", "wrong lake", "lost lake", None)
+DATE = "date_format(day, 'yyyy-MM-dd')"
+SERIAL = "CAST(datediff(day, date'1899-12-30') AS STRING)"
 
 
 def base(spark, d):
     """Order key, inspection year, day and the customer's nation."""
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    people = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    at = F.col("o_orderdate")
-    return orders.join(people, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("k"),
-        (F.year(at) + 20).alias("y"),
-        F.make_date(F.year(at) + 20, F.month(at), F.dayofmonth(at)).alias("day"),
-        F.col("c_nationkey").alias("n"),
+    orders = table(spark, d, "orders").selectExpr(
+        "o_orderkey AS k",
+        "o_custkey",
+        "year(o_orderdate) + 20 AS y",
+        "make_date(year(o_orderdate) + 20, month(o_orderdate), day(o_orderdate)) AS day",
     )
+    people = table(spark, d, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS n")
+    return orders.join(people, "o_custkey").drop("o_custkey")
 
 
-def _common(k: Column, n: Column, y: int) -> dict[str, Column]:
-    """What all yearly tables say, under the cleaned header of that year."""
+def _common(y: int) -> dict[str, str]:
+    """What all yearly tables say, under the cleaned header of that year, as SQL."""
     known = {name: rules[y].columns for name, rules in YEARLY_SCHEMA.items() if y in rules}
-    bare = k.cast("string")
-    destination = _pick(k, "kalamalka lake", "100mile lake", "Dry Storage", "pacific ocean", "wrong lake", "lost lake", None, "Other")
-    city = _pick(n, "Vernon", "Langley", "Calgary", "Chemainus,", "Nelson")
+    city = _pick("n", *TOWNS)
     values = {
-        "Watercraft_Risk_Assessment_ID": bare if y == 2015 else F.concat(F.lit(f"{y}-"), bare),
-        "Station": _pick(n, "CUTTS (hwy 93)", "olsen creek", "Dry gulch", "penticton", "golden", "keremeos hwy 3"),
-        "Province_Code": _pick(k, "AB", "Wi", "Unknown", None, "Montana", "Mexico"),
-        "Previous_Waterbody_2_Province_Or_State": F.when(k % 10 == 0, "AB"),
-        "High_Risk_AIS_Ind": _pick(k, "yes", "no", None),
-        "Number_Of_People_In_Party": _pick(k, "2.34", "x", None, "5"),
-        "Destination_Waterbody_1_Name": destination,
-        "Destination_Waterbody_1_Closest_City": F.concat(city, F.lit(" BC")) if y == 2015 else city,
-        "Destination_Waterbody_1_Province_Or_State": _pick(n, "British Columbia", "Alberta", None),
+        "Watercraft_Risk_Assessment_ID": "CAST(k AS STRING)" if y == 2015 else f"concat('{y}-', k)",
+        "Station": _pick("n", *STATIONS),
+        "Province_Code": _pick("k", *HOMES),
+        "Previous_Waterbody_2_Province_Or_State": "CASE WHEN k % 10 = 0 THEN 'AB' END",
+        "High_Risk_AIS_Ind": _pick("k", "yes", "no", None),
+        "Number_Of_People_In_Party": _pick("k", "2.34", "x", None, "5"),
+        "Destination_Waterbody_1_Name": _pick("k", *GOALS, "Other"),
+        "Destination_Waterbody_1_Closest_City": f"concat({city}, ' BC')" if y == 2015 else city,
+        "Destination_Waterbody_1_Province_Or_State": _pick("n", "British Columbia", "Alberta", None),
     }
     if y == 2015:
         # The province is part of the city there; the city column must win.
         del values["Destination_Waterbody_1_Province_Or_State"]
     if y <= 2018:
-        values["WatercraftType"] = _pick(k, "Kayak, Ski boat", "Kayak,Kayak,Kayak,Kayak", None, "Zeppelin", "Other")
+        values["WatercraftType"] = _pick("k", "Kayak, Ski boat", "Kayak,Kayak,Kayak,Kayak", None, "Zeppelin", "Other")
     out = {known[name][0]: value for name, value in values.items() if name in known}
     if y >= 2016:
-        out[known["Destination_Waterbody_1_Name"][1]] = F.lit("okanagan lake, BC")
+        out[known["Destination_Waterbody_1_Name"][1]] = "'okanagan lake, BC'"
     if y <= 2018:
-        out[known["WatercraftType"][1]] = F.lit("Canoe")
+        out[known["WatercraftType"][1]] = "'Canoe'"
     return out
 
 
-def raw_year(spark, d, y: int):
+def raw_year(rows, y: int):
     """All records of one year in that year's raw shape, every column text."""
-    rows = base(spark, d).filter(F.col("y") == y)
-    k, n, day = F.col("k"), F.col("n"), F.col("day")
-    date_text = F.date_format(day, "yyyy-MM-dd")
-    serial = F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string")
-    out = _common(k, n, y)
+    out = _common(y)
     if y <= 2016:
         taken = "Time of High Risk Inspection" if y == 2015 else "Date + Time of High Risk Inspection"
-        short = F.concat(date_text, F.lit(" 9:05"))
+        # Some records of 2016 were stamped with a wrong year.
+        short, seen = f"concat({DATE}, ' 9:05')", f"concat({DATE}, ' 10:15:00')"
         if y == 2016:
-            short = F.when(k % 7 == 0, F.concat(F.lit("2014"), F.substr(date_text, F.lit(5)), F.lit(" 9:05"))).otherwise(short)
-        out[taken] = F.when(k % 3 == 1, F.concat(serial, F.lit(".375"))).when(k % 3 == 2, short)
-        seen = F.concat(date_text, F.lit(" 10:15:00"))
-        if y == 2016:
-            seen = F.when(k % 5 == 0, F.concat(F.lit("2099"), F.substr(seen, F.lit(5)))).otherwise(seen)
-        out["Timestamp of inspection"] = F.when(k % 2 == 1, seen)
-        out["Shift Start Time"] = F.concat(date_text, F.lit(" 06:00:00"))
-        out["Shift End Time"] = F.concat(date_text, F.lit(" 18:00:00"))
+            short = f"CASE WHEN k % 7 = 0 THEN concat('2014', substr({short}, 5)) ELSE {short} END"
+            seen = f"CASE WHEN k % 5 = 0 THEN concat('2099', substr({seen}, 5)) ELSE {seen} END"
+        out[taken] = f"CASE WHEN k % 3 = 1 THEN concat({SERIAL}, '.375') WHEN k % 3 = 2 THEN {short} END"
+        out["Timestamp of inspection"] = f"CASE WHEN k % 2 = 1 THEN {seen} END"
+        out["Shift Start Time"] = f"concat({DATE}, ' 06:00:00')"
+        out["Shift End Time"] = f"concat({DATE}, ' 18:00:00')"
         if y == 2015:
-            out["Reason_for_High_Risk_Inspection2"] = F.when(k % 11 == 0, "Dreissenid Mussels Found").otherwise("Standing Water")
+            out["Reason_for_High_Risk_Inspection2"] = "CASE WHEN k % 11 = 0 THEN 'Dreissenid Mussels Found' ELSE 'Standing Water' END"
     else:
-        clock = ("00:20:00", "11:30:00") if y == 2017 else ("0.0104166667", "0.375")
-        time = F.when(k % 4 == 1, clock[0]).when(k % 4 != 0, clock[1])
+        late, day = ("00:20:00", "11:30:00") if y == 2017 else ("0.0104166667", "0.375")
+        time = f"CASE WHEN k % 4 = 1 THEN '{late}' WHEN k % 4 <> 0 THEN '{day}' END"
         out["Time of inspection" if y == 2017 else "Time of Inspection"] = time
-        out["Timestamp"] = F.when(k % 5 != 0, F.concat(serial, F.lit(".5")))
-        out["Shift Start Time"] = F.concat(serial, F.lit(".25"))
-        out["Shift End Time"] = F.concat(serial, F.lit(".75"))
-    out["Shift Date"] = serial
+        out["Timestamp"] = f"CASE WHEN k % 5 <> 0 THEN concat({SERIAL}, '.5') END"
+        out["Shift Start Time"] = f"concat({SERIAL}, '.25')"
+        out["Shift End Time"] = f"concat({SERIAL}, '.75')"
+    out["Shift Date"] = SERIAL
     if y == 2019:
         out["Single_watercraft_type"] = _pick(
-            k, "Non-motorized / hand launched watercraft", "Simple watercraft", "Complex watercraft", "Very complex watercraft"
+            "k", "Non-motorized / hand launched watercraft", "Simple watercraft", "Complex watercraft", "Very complex watercraft"
         )
-        out["Number_watercraft"] = _pick(k, "1", "2", "0")
+        out["Number_watercraft"] = _pick("k", "1", "2", "0")
     made = {"TimeOfInspection", "shift_start", "Shift_Start_Time", "Shift_End_Time", "Shift_Date"}
     needed = {c for rules in YEARLY_SCHEMA.values() if y in rules for c in rules[y].columns}
-    missing = needed - set(out) - made
+    out |= {h: "CAST(NULL AS STRING)" for h in sorted(needed - set(out) - made)}
     # Some headers in their raw spelling: the cleaning step has to find them.
     spelling = {"Station_Name": "Station Name", "Inspection_ID": "Inspection ID#"}
     if y == 2016:
         spelling["State_Province_of_Destination_Waterbody"] = "Destination Province/State"
-    return rows.select(
-        *[c.cast("string").alias(spelling.get(h, h)) for h, c in out.items()],
-        *[F.lit(None).cast("string").alias(spelling.get(h, h)) for h in sorted(missing)],
-    )
+    return rows.filter(f"y = {y}").selectExpr(*[f"{sql} AS `{spelling.get(h, h)}`" for h, sql in out.items()])
 
 
-def raw_extracts(spark, d):
+def raw_extracts(rows):
     """The records of 2020 and later: canonical headers with blanks, two generations of time columns."""
-    rows = base(spark, d).filter(F.col("y") >= 2020)
-    k, n, day, new = F.col("k"), F.col("n"), F.col("day"), F.col("k") % 2 == 1
-    date_text = F.date_format(day, "yyyy-MM-dd")
-    at = lambda late, early: F.concat(date_text, F.lit("T"), F.when(new, late).otherwise(early))
+    at = lambda late, early: f"concat({DATE}, 'T', CASE WHEN k % 2 = 1 THEN '{late}' ELSE '{early}' END)"
     columns = {
-        "Watercraft Risk Assessment ID": k.cast("string"),
-        "Station": _pick(n, "CUTTS (hwy 93)", "olsen creek", "Dry gulch", "penticton", "golden", "keremeos hwy 3"),
+        "Watercraft Risk Assessment ID": "CAST(k AS STRING)",
+        "Station": _pick("n", *STATIONS),
         "Start Time": at("15:00:00", "20:00:00"),
         "End Time": at("23:00:00", "04:00:00"),
         "raw_timestamp": at("17:00:00", "21:10:00"),
-        "Inspection Time": F.when(new, F.concat(date_text, F.lit(" 10:00:00"))).when(k % 4 == 0, "14:05"),
-        "Workflow ID": F.when(k % 3 != 0, F.concat(F.lit("w"), (k % 50).cast("string"))),
-        "Shift Start Comment": F.lit("0600-18"),
-        "Province Code": _pick(k, "AB", "Wi", "Unknown", None, "Montana", "Mexico"),
-        "Previous Waterbody 1 Province Or State": F.when(k % 6 < 3, _pick(k, "AB", "Wi", "Unknown")),
-        "Previous Waterbody 2 Province Or State": F.when(k % 10 == 0, "AB"),
-        "Previous Waterbody 3 Province Or State": F.lit(None),
-        "Previous Major City": _pick(k, "Spokane, Washington, USA", "None", None, "Montana"),
-        "High Risk AIS Ind": _pick(k, "TRUE", "false", None),
-        "Number Of People In Party": _pick(k, "2.34", "x", None, "5"),
-        "Destination Waterbody 1 Name": _pick(
-            k, "kalamalka lake", "100mile lake", "Dry Storage", "pacific ocean", "wrong lake", "lost lake", None, "okanagan lake, BC"
-        ),
-        "Destination Waterbody 1 Closest City": _pick(n, "Vernon", "Langley", "Calgary", "Chemainus,", "Nelson"),
-        "Destination Waterbody 1 Province Or State": _pick(n, "BC", "AB", None),
-        "Destination Waterbody 2 Name": F.when(k % 5 == 0, "right lake"),
-        "Destination Waterbody 2 Closest City": F.when(k % 5 == 0, "Nelson"),
-        "Destination Major City": F.when(k % 3 == 0, "Kelowna, British Columbia, CAN"),
-        "Destination Dry Storage Ind": F.when(k % 8 == 2, "true").otherwise("false"),
-        "Unknown Destination Waterbody Ind": F.when(k % 8 == 6, "TRUE").otherwise("FALSE"),
-        "Clean Drain Dry After Inspection Ind": F.when(k % 7 == 0, "true").otherwise("false"),
-        "Commercially Hauled Ind": F.when(k % 9 == 0, "true").otherwise("false"),
-        "Non Motorized Counter": _pick(k, "1", "0"),
-        "Simple Counter": _pick(k, "0", "2", "0"),
-        "Complex Counter": F.lit("0"),
-        "Very Complex Counter": F.lit("0"),
+        "Inspection Time": f"CASE WHEN k % 2 = 1 THEN concat({DATE}, ' 10:00:00') WHEN k % 4 = 0 THEN '14:05' END",
+        "Workflow ID": "CASE WHEN k % 3 <> 0 THEN concat('w', k % 50) END",
+        "Shift Start Comment": "'0600-18'",
+        "Province Code": _pick("k", *HOMES),
+        "Previous Waterbody 1 Province Or State": f"CASE WHEN k % 6 < 3 THEN {_pick('k', *HOMES[:3])} END",
+        "Previous Waterbody 2 Province Or State": "CASE WHEN k % 10 = 0 THEN 'AB' END",
+        "Previous Waterbody 3 Province Or State": "CAST(NULL AS STRING)",
+        "Previous Major City": _pick("k", "Spokane, Washington, USA", "None", None, "Montana"),
+        "High Risk AIS Ind": _pick("k", "TRUE", "false", None),
+        "Number Of People In Party": _pick("k", "2.34", "x", None, "5"),
+        "Destination Waterbody 1 Name": _pick("k", *GOALS, "okanagan lake, BC"),
+        "Destination Waterbody 1 Closest City": _pick("n", *TOWNS),
+        "Destination Waterbody 1 Province Or State": _pick("n", "BC", "AB", None),
+        "Destination Waterbody 2 Name": "CASE WHEN k % 5 = 0 THEN 'right lake' END",
+        "Destination Waterbody 2 Closest City": "CASE WHEN k % 5 = 0 THEN 'Nelson' END",
+        "Destination Major City": "CASE WHEN k % 3 = 0 THEN 'Kelowna, British Columbia, CAN' END",
+        "Destination Dry Storage Ind": "CASE WHEN k % 8 = 2 THEN 'true' ELSE 'false' END",
+        "Unknown Destination Waterbody Ind": "CASE WHEN k % 8 = 6 THEN 'TRUE' ELSE 'FALSE' END",
+        "Clean Drain Dry After Inspection Ind": "CASE WHEN k % 7 = 0 THEN 'true' ELSE 'false' END",
+        "Commercially Hauled Ind": "CASE WHEN k % 9 = 0 THEN 'true' ELSE 'false' END",
+        "Non Motorized Counter": _pick("k", "1", "0"),
+        "Simple Counter": _pick("k", "0", "2", "0"),
+        "Complex Counter": "'0'",
+        "Very Complex Counter": "'0'",
     }
-    return rows.select(F.col("y").alias("Year"), *[c.cast("string").alias(h) for h, c in columns.items()])
+    return rows.filter("y >= 2020").selectExpr("y AS Year", *[f"{sql} AS `{h}`" for h, sql in columns.items()])
 
 
 def sources(spark, d) -> Sources:
-    orders = base(spark, d)
-    k = F.col("k")
-    years = {y: raw_year(spark, d, y) for y in (2015, 2016, 2017, 2018, 2019)}
+    rows = base(spark, d)
+    years = {y: raw_year(rows, y) for y in (2015, 2016, 2017, 2018, 2019)}
     by_year = {
-        y: orders.filter((F.col("y") == y) & (k % 13 == 0)).select(k.cast("string").alias("Inspection ID"))
-        for y in (2016, 2017, 2018, 2019)
+        y: rows.filter(f"y = {y} AND k % 13 = 0").selectExpr("CAST(k AS STRING) AS `Inspection ID`") for y in years if y >= 2016
     }
-    late = orders.filter(F.col("y") >= 2020)
-    listed = late.filter(k % 17 == 0).select(k.cast("string").alias("Watercraft Risk Assessment ID"))
+    late = rows.filter("y >= 2020")
+    listed = late.filter("k % 17 = 0").selectExpr("CAST(k AS STRING) AS `Watercraft Risk Assessment ID`")
     # The list of 2020 counts up to its sixteenth row only; here a row's number is its key.
-    first = late.select(k.alias("position"), k.cast("string").alias("watercraftRiskAssessmentID"))
-    return Sources(years, raw_extracts(spark, d), by_year, fouled_keys({2020: first, 2023: listed}))
+    first = late.selectExpr("k AS position", "CAST(k AS STRING) AS watercraftRiskAssessmentID")
+    return Sources(years, raw_extracts(rows), by_year, fouled_keys({2020: first, 2023: listed}))
 
 
 def lookups(spark) -> Lookups:
@@ -206,6 +198,14 @@ def _clean(spark, d):
     return clean_inspections(combined, known.corrections, known.craft_types, known.craft_categories, known.abbreviations)
 
 
+def _stored(spark, d):
+    """The cleaned tables as later stages meet them: stored once, partitioned by year."""
+    made = _clean(spark, d).everything
+    folder = scratch(spark)
+    write_table(made, f"{folder}/clean", partition_by=["Year"])
+    return clean_views(spark.read.parquet(f"{folder}/clean"))
+
+
 # What must come out, stated on the orders themselves.
 CLEAN_SQL = """
     b AS (SELECT o_orderkey AS k, year(o_orderdate) + 20 AS y,
@@ -333,7 +333,7 @@ def states(spark, d):
 )
 def report_by_source(spark, d):
     """A report year's inspections per source region, at the region's centroid."""
-    df = _clean(spark, d).selected
+    df = _stored(spark, d).selected
     done = inspections_by_source(df, states(spark, d), 2020)
     return done.select(
         F.col("NAME_1").alias("name"),
@@ -349,7 +349,7 @@ def report_by_source(spark, d):
 def stations(spark, d):
     """A station per supplier, most of them without records."""
     k = F.col("s_suppkey")
-    label = F.when(k < 6, _pick(k, "Cutts (Hwy 93)", "Olsen", "Dry Gulch", "Penticton Roving", "Golden", "Nowhere")).otherwise(
+    label = F.when(k < 6, F.expr(_pick("s_suppkey", "Cutts (Hwy 93)", "Olsen", "Dry Gulch", "Penticton Roving", "Golden", "Nowhere"))).otherwise(
         F.concat(F.lit("Station "), k.cast("string"))
     )
     return table(spark, d, "supplier").select(label.alias("map_label"), (k * 1.0 - 120).alias("x"), F.lit(50.0).alias("y"))
@@ -367,7 +367,7 @@ def stations(spark, d):
     """
 )
 def report_by_station(spark, d):
-    done = inspections_by_station(_clean(spark, d).selected, stations(spark, d))
+    done = inspections_by_station(_stored(spark, d).selected, stations(spark, d))
     return done.select(
         F.col("Year").cast("bigint").alias("year"),
         F.col("Station").alias("station"),
@@ -419,7 +419,7 @@ def regions(spark, d):
 )
 def report_destination_regions(spark, d):
     """The three report tables, counted per year and destination region."""
-    df = _clean(spark, d).selected
+    df = _stored(spark, d).selected
     made = report_tables(df, states(spark, d), stations(spark, d), regions(spark, d), lookups(spark).gazetteer, 2020)
     parts = {"year": made.this_year, "high risk": made.high_risk, "fouled": made.fouled}
     columns = ["Year", "DestRegion", "TotalBoats", "Shift_hours"]
@@ -435,10 +435,10 @@ def waterbodies(spark, d):
     towns = lookups(spark).gazetteer
     px, py = g.PROVINCIAL_GRID.forward(F.col("lon"), F.col("lat"))
     slots = towns.select("names", px.alias("px"), py.alias("py"))
-    town = _pick(k, "Vernon", "Calgary", "Nelson", "Kelowna")
+    town = F.expr(_pick("s_suppkey", "Vernon", "Calgary", "Nelson", "Kelowna"))
     lakes = table(spark, d, "supplier").select(
         (k % 40).alias("WATERSH"),
-        _pick(k, "Kalamalka Lake", "Right Lake", "Okanagan Lake").alias("GNIS_NA"),
+        F.expr(_pick("s_suppkey", "Kalamalka Lake", "Right Lake", "Okanagan Lake")).alias("GNIS_NA"),
         town.alias("names"),
         (F.floor(k / 12) * 3000.0 + 1000).alias("away"),
     )
@@ -504,7 +504,7 @@ def _polygon_columns(df):
 def _polygons(spark, d, year=None, rows=None):
     from fieldprep.plans.reports import strict_high_risk
 
-    clean = _clean(spark, d)
+    clean = _stored(spark, d)
     high_risk = strict_high_risk(clean.everything)
     return summarise_to_polygons(
         clean.everything, waterbodies(spark, d), lookups(spark).gazetteer, high_risk, clean.fouled, year, rows
