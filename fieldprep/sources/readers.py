@@ -123,22 +123,23 @@ class Options:
     """Paths and report year: a one-row options table."""
 
     base_dir: str
-    zqm_operations_data_folder: str
+    operations_folder: str
     year: int
-    remote_spatial_data: str
-    zqm_figure_local_folder: str
-    zqm_figure_output_remote_folder: str
+    spatial_folder: str
+    figure_folder: str
+    figure_output_folder: str
 
 
-def read_options(spark: SparkSession, path: str | None) -> Options:
+def read_options(spark: SparkSession, path: str | None, headers: Mapping[str, str] | None = None) -> Options:
+    """Read the options; ``headers`` names the column of a field where it differs from the field."""
     if not path:
         raise ValueError("no path to the options table given")
     rows = spark.read.option("header", True).csv(path).head(2)
     if len(rows) != 1:
         raise ValueError("the options table must have exactly one row")
     values = rows[0].asDict()
-    missing = [f.name for f in fields(Options) if values.get(f.name) is None]
+    named = {f.name: values.get((headers or {}).get(f.name, f.name)) for f in fields(Options)}
+    missing = [name for name, value in named.items() if value is None]
     if missing:
         raise ValueError(f"options missing: {missing}")
-    named = {f.name: values[f.name] for f in fields(Options)}
     return Options(**{**named, "year": int(named["year"])})
