@@ -180,26 +180,6 @@ def box_distance_bounds(b: Column, x: Column, y: Column) -> tuple[Column, Column
     return F.sqrt(dx * dx + dy * dy), F.sqrt(fx * fx + fy * fy)
 
 
-def _ring_moments(ring: Column) -> Column:
-    """struct(area, mx, my) of one ring, sign independent of its direction.
-
-    Coordinates are taken relative to the first corner to keep the products small.
-    """
-    ox, oy = ring[0]["x"], ring[0]["y"]
-    summed = F.aggregate(
-        edges(F.array(ring)),
-        F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")),
-        lambda acc, e: _add_moment(acc, e, ox, oy),
-    )
-    sign = F.when(summed["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    area = summed["a"] * sign / 2
-    return F.struct(
-        area.alias("a"),
-        (summed["mx"] * sign / 6 + area * ox).alias("mx"),
-        (summed["my"] * sign / 6 + area * oy).alias("my"),
-    )
-
-
 def _add_moment(acc: Column, e: Column, ox: Column, oy: Column) -> Column:
     x1, y1, x2, y2 = e["x1"] - ox, e["y1"] - oy, e["x2"] - ox, e["y2"] - oy
     w = x1 * y2 - x2 * y1
@@ -208,10 +188,31 @@ def _add_moment(acc: Column, e: Column, ox: Column, oy: Column) -> Column:
     )
 
 
+def _nothing() -> Column:
+    return F.struct(*[F.lit(0.0).alias(f) for f in ("a", "mx", "my")])
+
+
 def part_moments(rings: Column) -> Column:
-    """struct(a, mx, my): outline minus holes. Sums over parts give area and centroid."""
-    each = F.transform(rings, _ring_moments)
-    hole = lambda f: F.aggregate(
-        F.slice(each, F.lit(2), F.greatest(F.size(each) - 1, F.lit(0))), F.lit(0.0), lambda acc, m: acc + m[f]
-    )
-    return F.struct(*[(each[0][f] - hole(f)).alias(f) for f in ("a", "mx", "my")])
+    """struct(a, mx, my): outline minus holes. Sums over parts give area and centroid.
+
+    Ring directions do not matter. Coordinates are taken relative to a ring's first corner to
+    keep the products small. Each step feeds the next once, so nothing is worked out twice.
+    """
+
+    def raw(ring: Column, i: Column) -> Column:
+        ox, oy = ring[0]["x"], ring[0]["y"]
+        summed = F.aggregate(edges(F.array(ring)), _nothing(), lambda acc, e: _add_moment(acc, e, ox, oy))
+        return F.struct(summed.alias("s"), ox.alias("ox"), oy.alias("oy"), F.when(i == 0, 1.0).otherwise(-1.0).alias("hole"))
+
+    def signed(t: Column) -> Column:
+        turn = F.when(t["s"]["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0)) * t["hole"]
+        area = t["s"]["a"] * turn / 2
+        return F.struct(
+            area.alias("a"),
+            (t["s"]["mx"] * turn / 6 + area * t["ox"]).alias("mx"),
+            (t["s"]["my"] * turn / 6 + area * t["oy"]).alias("my"),
+        )
+
+    real = F.filter(rings, lambda r: F.size(r) > 0)
+    plus = lambda acc, m: F.struct(*[(acc[f] + m[f]).alias(f) for f in ("a", "mx", "my")])
+    return F.aggregate(F.transform(F.transform(real, raw), signed), _nothing(), plus)

@@ -121,7 +121,8 @@ def nearest_in_name(
         above = found.withColumnsRenamed({"__cx": "__px", "__cy": "__py"})
         found = _tighten(above.join(below, ["__name", "__px", "__py"]), F.col("__b"), place).drop("__b", "__px", "__py")
     near = _tighten(found.join(shapes, ["__name", "__cx", "__cy"]), F.col("__b"), place)
-    measured = near.withColumn("__d", g.distance(g.edges(F.col("__rings")), F.col("__x"), F.col("__y")))
+    near = near.withColumn("__edges", g.edges(F.col("__rings"))).drop("__rings")
+    measured = near.withColumn("__d", g.distance(F.col("__edges"), F.col("__x"), F.col("__y")))
     best = measured.groupBy(*place).agg(F.min(F.struct("__d", "__feature")).alias("__best"))
     answer = best.select(
         *place, F.col("__best.__d").alias(distance), *[F.col(f"__best.__feature.{f}").alias(f) for f in feature if f != name]

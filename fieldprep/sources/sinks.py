@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 
 
 def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    gather: bool = False,
 ) -> None:
     """Write one table, replacing what is there.
 
-    With partition columns the rows are rebalanced by them first: each partition gets
-    files of a sensible size, and a large one is split over several tasks.
+    Partitioned tables are written where the rows are: sources arrive year by year, so a task
+    holds few partitions. ``gather`` moves the rows of a partition together first, at the price of
+    a shuffle, for sources that mix them; a large partition is still split over several tasks.
     """
-    if partition_by:
+    if partition_by and gather:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:

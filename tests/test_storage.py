@@ -35,7 +35,7 @@ def test_options(spark, tmp_path):
     assert readers.read_options(spark, str(path)).year == 2024
     renamed = path.read_text().replace("spatial_folder", "maps")
     path.write_text(renamed)
-    assert readers.read_options(spark, str(path), {"spatial_folder": "maps"}).spatial_folder == "/spatial_folder"
+    assert readers.read_options(spark, str(path), {"spatial_folder": "maps"}).spatial_folder == "/maps"
     with pytest.raises(ValueError):
         readers.read_options(spark, None)
     path.write_text("year\n2024\n")
@@ -46,7 +46,7 @@ def test_options(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2020, "a"), (2021, "b")], "Year int, v string")
     sinks.write_table(df, str(tmp_path / "t"), partition_by=["Year"])
-    sinks.write_table(df.limit(1), str(tmp_path / "t"), partition_by=["Year"])
+    sinks.write_table(df.limit(1), str(tmp_path / "t"), partition_by=["Year"], gather=True)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
     paths = sinks.write_tables({"x": df}, str(tmp_path), "csv")
     assert readers.read_lookup(spark, paths["x"]).dtypes == [("Year", "string"), ("v", "string")]
