@@ -47,8 +47,9 @@ def recode_contains(col: Column, rules: Sequence[tuple[str, str]], otherwise: Co
 
 
 def recode_exact(col: Column, mapping: Mapping[str, str]) -> Column:
-    """Replace listed values, keep the rest."""
-    return fold_rules([(col == k, F.lit(v)) for k, v in mapping.items()], col)
+    """Replace listed values, keep the rest: one lookup in a constant map."""
+    constant = F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])
+    return F.coalesce(F.try_element_at(constant, col), col)
 
 
 def normalise_flag_text(col: Column) -> Column:
@@ -58,7 +59,7 @@ def normalise_flag_text(col: Column) -> Column:
 
 def flag_text_to_boolean(col: Column) -> Column:
     """TRUE for "TRUE" or "true", FALSE for other text, NULL for NULL."""
-    return col.isin("TRUE", TRUE_TEXT)
+    return F.array_contains(F.array(F.lit("TRUE"), F.lit(TRUE_TEXT)), col)
 
 
 def yes_no(col: Column) -> Column:

@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
 WORD_OR_GAP = rf"{WORD}|[^\p{{L}}\p{{M}}\p{{N}}_]+"
 
-PLAIN_WORDS = "^[A-Za-z0-9 ]*$"
+# Text in which no capital is two letters and the mark below does not occur.
+SIMPLE_LETTERS = "^[\\x02-\\x7FÀ-Þà-ÿ’]*$"
+# A character that ends a word and is followed by another; inner apostrophes and stops do not.
+WORD_BREAK = r"((?<![\p{L}\p{N}_])['’.]|[^\p{L}\p{N}_ '’.])(?=[\p{L}\p{N}_])"
+MARK = "\x01 "
 
 
 def replace_first(col: Column, pattern: str, replacement: str = "") -> Column:
@@ -53,10 +57,12 @@ def title_case(col: Column) -> Column:
         head = F.upper(F.substring(word, 1, 1))
         return F.concat(F.substring(head, 1, 1), F.lower(F.substr(head, F.lit(2))), F.substr(word, F.lit(2)))
 
-    # Plain ASCII words between blanks need no word search; ``initcap`` does exactly this.
-    return F.when(col.rlike(PLAIN_WORDS), F.initcap(col)).when(
-        col.isNotNull(), F.array_join(F.transform(pieces, capital), "")
-    )
+    # The common case needs no word list: ``initcap`` starts words after blanks, so a marked
+    # blank goes in wherever another character breaks a word, and comes out again.
+    marked = F.regexp_replace(col, WORD_BREAK, "$1" + MARK)
+    simple = F.replace(F.initcap(marked), F.lit(MARK), F.lit(""))
+    slow = F.array_join(F.transform(pieces, capital), "")
+    return F.when(col.rlike(SIMPLE_LETTERS), simple).when(col.isNotNull(), slow)
 
 
 def between_commas(col: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,12 +99,58 @@ def classify_multi_value(
     slots: int = 3,
     missing: str = "Unknown",
     also_missing: Sequence[str] = ("other",),
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Class counts of a comma-separated cell, pooled over all rows with the same id.
 
     ``classes`` maps each class to its output column. The first ``slots`` parts are looked up,
     untrimmed; a missing first part counts as ``missing``. A row none of whose parts has a class
-    vanishes; a row shows 0 for classes it does not hold itself. Identical rows collapse.
+    vanishes; a row shows 0 for classes it does not hold itself. Rows that are identical once
+    ``prepare`` (narrow rules on other columns) has run collapse.
+
+    An id that occurs once pools nothing and has no twin. Repeated ids are found first by a narrow
+    aggregation and stored, so that their true size decides the joins: with a short list the wide
+    rows are neither shuffled nor compared. The joins against that list come before ``prepare``, so
+    every row is prepared once.
+    """
+    own = {cls: f"__own{i}" for i, cls in enumerate(classes)}
+    classed = lambda rows: _with_own_counts(rows, column, lookup, key, value, own, slots, missing, also_missing)
+    narrow = df.select(F.col(id_column).alias("__id"), column)
+    repeated = stored(
+        classed(narrow)
+        .groupBy("__id")
+        .agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(a).alias(f"{a}_all") for a in own.values()])
+        .filter(F.col("__rows") > 1)
+        .drop("__rows")
+    )
+    held = [(id_column, "__id")]
+    rest = df.drop(*classes.values())
+
+    def finished(rows: DataFrame, suffix: str) -> DataFrame:
+        counted = {
+            out: F.when(F.col(own[c]) > 0, F.col(own[c] + suffix)).otherwise(0).cast("double") for c, out in classes.items()
+        }
+        helpers = [c for c in rows.columns if c.startswith(("__own", "__part"))]
+        return rows.withColumns(counted).drop(*helpers)
+
+    single = finished(classed(anti(rest, repeated, held)).drop(column), "")
+    twins = prepare(classed(semi(rest, repeated, held)).drop(column)).distinct()
+    several = finished(null_safe_join(twins, repeated, held, "inner"), "_all")
+    return prepare(single).unionByName(several)
+
+
+def _with_own_counts(
+    df: DataFrame,
+    column: str,
+    lookup: DataFrame,
+    key: str,
+    value: str,
+    own: Mapping[str, str],
+    slots: int,
+    missing: str,
+    also_missing: Sequence[str],
+) -> DataFrame:
+    """The parts of a cell and how often a row holds each class; rows without any class dropped.
 
     Each part meets the lookup once as an array of classes, so nothing is exploded and the row
     never has to be put together again; a key listed k times weighs the other parts k-fold, as
@@ -120,7 +166,7 @@ def classify_multi_value(
         work = null_safe_join(work, slot, [(f"__part{i}", key)])
     fan = lambda i: F.coalesce(F.col(f"__f{i}"), F.lit(1))
 
-    def own(cls: str) -> Column:
+    def held(cls: str) -> Column:
         out = F.lit(0).cast("bigint")
         for i in range(slots):
             here = F.coalesce(F.size(F.filter(f"__c{i}", lambda c: c == cls)), F.lit(0)).cast("bigint")
@@ -133,29 +179,5 @@ def classify_multi_value(
     known = F.lit(0)
     for i in range(slots):
         known = known + F.coalesce(F.size(f"__c{i}"), F.lit(0))
-    helper = [f"__{p}{i}" for p in ("c", "f") for i in range(slots)]
-    own_columns = {cls: f"__own{i}" for i, cls in enumerate(classes)}
-    work = work.filter(known > 0).withColumns({a: own(c) for c, a in own_columns.items()}).drop(*helper)
-    # An id that occurs once pools nothing and has no twin: only repeated ids need more work. They
-    # are found by a narrow aggregation and stored, so that their true size decides the joins: with
-    # a short list the wide rows of unique ids are never shuffled, and each row is worked out once.
-    repeated = stored(
-        work.groupBy(F.col(id_column).alias("__id"))
-        .agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(a).alias(f"{a}_all") for a in own_columns.values()])
-        .filter(F.col("__rows") > 1)
-        .drop("__rows")
-    )
-    rows = work.drop(column, *classes.values())
-    key = [(id_column, "__id")]
-    single = anti(rows, repeated, key)
-    several = null_safe_join(semi(rows, repeated, key).distinct(), repeated, key, "inner")
-
-    def finished(df: DataFrame, suffix: str) -> DataFrame:
-        counted = {
-            out: F.when(F.col(own_columns[c]) > 0, F.col(own_columns[c] + suffix)).otherwise(0).cast("double")
-            for c, out in classes.items()
-        }
-        helpers = [c for c in df.columns if c.startswith(("__own", "__part"))]
-        return df.withColumns(counted).drop(*helpers)
-
-    return finished(single, "").unionByName(finished(several, "_all"))
+    helpers = [f"__{p}{i}" for p in ("c", "f") for i in range(slots)]
+    return work.filter(known > 0).withColumns({a: held(c) for c, a in own.items()}).drop(*helpers)

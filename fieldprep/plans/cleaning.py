@@ -61,8 +61,15 @@ def craft_lookup(types: DataFrame, categories: DataFrame) -> DataFrame:
     return append_rows(both, "WatercraftType string, category string", [(fixed.UNKNOWN, fixed.UNKNOWN)])
 
 
+def tidy(df: DataFrame) -> DataFrame:
+    return tidy_stations(tidy_destination_names(df))
+
+
 def classify_craft(df: DataFrame, types: DataFrame, categories: DataFrame) -> DataFrame:
-    """Counters of the older years from their craft types; later years keep theirs, as numbers."""
+    """Counters of the older years from their craft types; later years keep theirs, as numbers.
+
+    Names are tidied on the way: twins among the older rows are those that agree after it.
+    """
     old = keep_era(df, 2015, LAST_RECODED_YEAR)
     recent = keep_era(df, LAST_RECODED_YEAR + 1, None).drop("WatercraftType")
     recent = recent.withColumns({c: text.to_number(F.col(c)) for c in fixed.CRAFT_COUNTERS.values()})
@@ -74,8 +81,9 @@ def classify_craft(df: DataFrame, types: DataFrame, categories: DataFrame) -> Da
         "WatercraftType",
         "category",
         {**fixed.CRAFT_COUNTERS, fixed.UNKNOWN: fixed.UNKNOWN},
+        prepare=tidy,
     )
-    return union_by_name([recent, counted])
+    return union_by_name([tidy(recent), counted])
 
 
 def settle_home_destinations(df: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -147,7 +155,6 @@ def clean_inspections(
         "Previous_Waterbody_3_Province_Or_State",
     )
     df = df.withColumn("High_Risk_AIS_Ind", recode.normalise_flag_text(F.col("High_Risk_AIS_Ind")))
-    df = tidy_stations(tidy_destination_names(df))
     df = classify_craft(df, craft_types, craft_categories)
     fixes = corrections.select("Non_Matching_Name", "Corrected_Name")
     df = joins.correct_by_lookup(df, DESTINATIONS, fixes, "Non_Matching_Name", "Corrected_Name")

@@ -14,6 +14,7 @@ from fieldprep.plans.reports import report_tables
 from fieldprep.sources.readers import table_or_read
 from fieldprep.sources.sinks import write_table, write_tables
 
+CANONICAL = "AllYears_Canonical"
 CLEAN_NAMES = ("AllYears_All_Columns", "AllYears_Selected_Columns", "AllYears_high_risk", "AllYears_mussel_fouled")
 
 
@@ -46,16 +47,23 @@ class Layers:
     waterbodies: DataFrame
 
 
+def store_canonical(df: DataFrame, folder: str) -> DataFrame:
+    path = f"{folder.rstrip('/')}/{CANONICAL}"
+    write_table(df, path, partition_by=["Year"])
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def prepare_inspections(
     spark: SparkSession, sources: Sources, lookups: Lookups, folder: str, full_repair: bool = False
 ) -> CleanTables:
     """Combine, clean and store the four tables; returns them read back, partitioned by year.
 
-    The full table is computed once and stored; the other three are read off it.
+    The canonical table is stored before it is cleaned: cleaning reads the older years more than
+    once, by partition, and only the columns it needs each time. The full clean table is computed
+    once and stored; the other three are read off it.
     """
-    combined = combine_sources(
-        sources.years, sources.extracts, sources.fouled_by_year, sources.fouled_recent, full_repair
-    )
+    made = combine_sources(sources.years, sources.extracts, sources.fouled_by_year, sources.fouled_recent, full_repair)
+    combined = store_canonical(made, folder)
     clean = clean_inspections(
         combined, lookups.corrections, lookups.craft_types, lookups.craft_categories, lookups.abbreviations
     )

@@ -16,7 +16,7 @@ from fieldprep.plans.cleaning import clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources, fouled_keys
 from fieldprep.plans.polygons import summarise_to_polygons, synthetic_boxes
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
-from fieldprep.plans.run import Layers, Lookups, Sources, run_all
+from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
 from fieldprep.sources.sinks import write_table
 from fieldprep.workload.registry import query, table
@@ -158,10 +158,11 @@ def raw_extracts(rows):
 def sources(spark, d) -> Sources:
     rows = base(spark, d)
     years = {y: raw_year(rows, y) for y in (2015, 2016, 2017, 2018, 2019)}
+    keys = table(spark, d, "orders").selectExpr("o_orderkey AS k", "year(o_orderdate) + 20 AS y")
     by_year = {
-        y: rows.filter(f"y = {y} AND k % 13 = 0").selectExpr("CAST(k AS STRING) AS `Inspection ID`") for y in years if y >= 2016
+        y: keys.filter(f"y = {y} AND k % 13 = 0").selectExpr("CAST(k AS STRING) AS `Inspection ID`") for y in years if y >= 2016
     }
-    late = rows.filter("y >= 2020")
+    late = keys.filter("y >= 2020")
     listed = late.filter("k % 17 = 0").selectExpr("CAST(k AS STRING) AS `Watercraft Risk Assessment ID`")
     # The list of 2020 counts up to its sixteenth row only; here a row's number is its key.
     first = late.selectExpr("k AS position", "CAST(k AS STRING) AS watercraftRiskAssessmentID")
@@ -195,6 +196,7 @@ def lookups(spark) -> Lookups:
 def _clean(spark, d):
     made, known = sources(spark, d), lookups(spark)
     combined = combine_sources(made.years, made.extracts, made.fouled_by_year, made.fouled_recent)
+    combined = store_canonical(combined, scratch(spark))
     return clean_inspections(combined, known.corrections, known.craft_types, known.craft_categories, known.abbreviations)
 
 
