@@ -58,7 +58,12 @@ def filter_label(
 
 
 def read_or_build(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], refresh: bool = False, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    refresh: bool = False,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """A stored table if there is one, else build it, store it and read it back."""
     if not refresh:
@@ -67,7 +72,7 @@ def read_or_build(
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" not in str(missing):
                 raise
-    write_table(build(), path, fmt)
+    write_table(build(), path, fmt, partition_by)
     return spark.read.format(fmt).load(path)
 
 

@@ -7,6 +7,8 @@ directly from the orders.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from fieldprep.plans.polygons import summarise_to_polygons, synthetic_boxes
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
 from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
-from fieldprep.sources.sinks import write_table
+from fieldprep.session import shared_folder
+from fieldprep.sources.sinks import read_or_build
 from fieldprep.workload.registry import query, table
 from fieldprep.workload.storage import scratch
 
@@ -201,11 +204,10 @@ def _clean(spark, d):
 
 
 def _stored(spark, d):
-    """The cleaned tables as later stages meet them: stored once, partitioned by year."""
-    made = _clean(spark, d).everything
-    folder = scratch(spark)
-    write_table(made, f"{folder}/clean", partition_by=["Year"])
-    return clean_views(spark.read.parquet(f"{folder}/clean"))
+    """The cleaned tables as later stages meet them: stored once per application, partitioned by year."""
+    tables = hashlib.sha1(str(d).encode()).hexdigest()[:12]
+    path = f"{shared_folder(spark).rstrip('/')}/clean-{spark.sparkContext.applicationId}-{tables}"
+    return clean_views(read_or_build(spark, path, lambda: _clean(spark, d).everything, partition_by=["Year"]))
 
 
 # What must come out, stated on the orders themselves.
