@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldprep.plans.cleaning import CleanTables, clean_inspections
+from fieldprep.operators.filters import keep_year
+from fieldprep.plans.cleaning import CleanTables, clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources
 from fieldprep.plans.polygons import RowFilter, summarise_to_polygons, summary_layer
-from fieldprep.plans.reports import report_tables
+from fieldprep.plans.reports import report_tables, strict_high_risk, with_destination_region
 from fieldprep.sources.readers import table_or_read
 from fieldprep.sources.sinks import write_table, write_tables
 
@@ -67,8 +68,6 @@ def prepare_inspections(
     clean = clean_inspections(
         combined, lookups.corrections, lookups.craft_types, lookups.craft_categories, lookups.abbreviations
     )
-    from fieldprep.plans.cleaning import clean_views
-
     base = f"{folder.rstrip('/')}/{CLEAN_NAMES[0]}"
     write_table(clean.everything, base, partition_by=["Year"])
     stored = clean_views(spark.read.parquet(base))
@@ -84,9 +83,6 @@ def make_reports(
     made = report_tables(df, layers.states, layers.stations, layers.regions, lookups.gazetteer, year)
     base = f"{folder.rstrip('/')}/figure_dat_all"
     write_table(made.everything, base, partition_by=["Year"])
-    from fieldprep.operators.filters import keep_year
-    from fieldprep.plans.reports import strict_high_risk, with_destination_region
-
     stored = spark.read.parquet(base)
     tables = {
         "figure_dat": with_destination_region(keep_year(stored, year), toggle=True),

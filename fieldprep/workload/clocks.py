@@ -16,10 +16,6 @@ def stamp(col):
     return F.date_format(col, STAMP)
 
 
-# An event's own made-up serial number: a day count with a fraction of whole seconds.
-_SERIAL = "42000 + (o_orderkey % 2000) + (o_orderkey % 86400) / 86400.0"
-
-
 @query(
     """
     SELECT o_orderkey,

@@ -8,7 +8,7 @@ from fieldprep.functions.recode import holds
 from fieldprep.operators import filters, joins
 from fieldprep.operators.aggregates import conditional_counts
 from fieldprep.operators.reshape import literal_rows
-from fieldprep.plans.fixed_values import INFECTED_SOURCE_REGIONS, INFECTED_WATERS
+from fieldprep.plans.fixed_values import INFECTED_SOURCE_REGIONS
 from fieldprep.workload.registry import query, table
 
 
@@ -282,7 +282,6 @@ def preset_filter(spark, d):
         "waters": apply_filter(df, RowFilter(preset="BC_WD_infected_wbs")),
         "segment": apply_filter(df, RowFilter(field="c_mktsegment", values=("BUILDING", "MACHINERY"))),
     }
-    assert INFECTED_WATERS
     named = [k.select("c_custkey", F.lit(n).alias("preset")) for n, k in kept.items()]
     return named[0].unionByName(named[1]).unionByName(named[2])
 

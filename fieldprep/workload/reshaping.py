@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fieldprep.functions import recode
 from fieldprep.operators import columns as cols
 from fieldprep.operators import reshape
 from fieldprep.plans.schema_map import Rule, copy, country, is_yes, map_schema
