@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldprep.llm import exact_dedup
+from fieldprep.llm import exact_dedup, simhash
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -17,3 +17,9 @@ def op10_exact_dedup(spark, d):
     """Exact copies by a minimal perfect hash over the digests of the first half, the rest arriving."""
     found = exact_dedup.exact_dedup(table(spark, d, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op5_simhash_near_dedup(spark, d):
+    """SimHash fingerprints of four-word shingles, linked at four differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, d, "documents"))
