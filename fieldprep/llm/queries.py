@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldprep.llm import exact_dedup, simhash
+from fieldprep.llm import exact_dedup, language, simhash, toxicity
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -23,3 +23,17 @@ def op10_exact_dedup(spark, d):
 def op5_simhash_near_dedup(spark, d):
     """SimHash fingerprints of four-word shingles, linked at four differing bits or fewer."""
     return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query()
+def op6_toxicity(spark, d):
+    """Toxicity of every text by a model of the labelled documents that are not held out."""
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.fit_on(docs, table(spark, d, "labels")))
+
+
+@query()
+def op3_language_id(spark, d):
+    """The language of every text by a model of the documents that are not held out."""
+    docs = table(spark, d, "documents")
+    return language.identify(docs, language.fit_on(docs))
