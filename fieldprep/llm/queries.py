@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from fieldprep.llm import exact_dedup, language, simhash, toxicity
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from fieldprep.llm import bpe, exact_dedup, language, simhash, toxicity
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -37,3 +40,16 @@ def op3_language_id(spark, d):
     """The language of every text by a model of the documents that are not held out."""
     docs = table(spark, d, "documents")
     return language.identify(docs, language.fit_on(docs))
+
+
+@query()
+def op4_bpe(spark, d):
+    """Byte-level BPE ids of every text and the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode_documents(bpe.encode_documents(table(spark, d, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
