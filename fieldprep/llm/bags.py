@@ -40,7 +40,7 @@ class Trainer:
 
     def __init__(self, texts: list[str], classes: int, *, width: int, bits: int, dimensions: int, spread: int, seed: int):
         self.rng, self.width = np.random.default_rng(seed), width
-        base, bucket, word, text = 0, [], [], []
+        base, bucket, word, sizes, held = 0, [], [], [], np.zeros(1 << bits, np.int64)
         first, end, doc = [], [], []
         for numbers, parts in blocks(texts):
             g = Grams(parts, bits, runs=True)
@@ -50,18 +50,18 @@ class Trainer:
             first.append(a + base)
             end.append(b + base)
             doc.append(numbers[g.part[a]])
-            text.append(numbers[g.part])
-            bucket.append(g.bucket)
-            word.append(g.word + base)
+            order = np.argsort(g.word, kind="stable")
+            bucket.append(g.bucket[order])
+            word.append((g.word[order] + base).astype(np.int32))
+            sizes.append(np.bincount(g.word, minlength=g.words))
+            # A text cut into several blocks counts once for each of them.
+            held += np.bincount(np.unique(g.bucket * np.int64(len(texts)) + numbers[g.part][g.word]) // len(texts), minlength=1 << bits)
             base += g.words
         none = [np.empty(0, np.int64)]
-        bucket, word, text = (np.concatenate(x or none) for x in (bucket, word, text))
+        self.bucket, self.word, sizes = (np.concatenate(x or none) for x in (bucket, word, sizes))
         self.first, self.end, self.doc = (np.concatenate(x or none) for x in (first, end, doc))
-        order = np.argsort(word, kind="stable")
-        self.bucket, self.word = bucket[order], word[order]
-        self.at = np.concatenate([[0], np.cumsum(np.bincount(self.word, minlength=base))]).astype(np.int64)
-        met = np.unique(self.bucket.astype(np.int64) * max(1, len(texts)) + text[self.word])
-        self.known = np.bincount(met // max(1, len(texts)), minlength=1 << bits) >= spread
+        self.at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.known = held >= spread
         self.vectors = self.rng.uniform(-1, 1, (1 << bits, dimensions)) / dimensions * self.known[:, None]
         self.weights, self.bias = self.rng.normal(0, 0.1, (dimensions, classes)), np.zeros(classes)
         self.moved = np.full(1 << bits, 1e-12)

@@ -24,7 +24,7 @@ BITS, DIMENSIONS, SPREAD = 16, 16, 3
 #: Words in a window that is learnt from.
 WINDOW = 16
 #: The most documents of a language that a model is fitted on, the longest in characters, the most languages.
-SAMPLE, LONGEST, LANGUAGES = 400, 20_000, 512
+SAMPLE, LONGEST, LANGUAGES = 300, 10_000, 512
 #: Of the sample, one document in this many calibrates the scores.
 CALIBRATE = 4
 #: The share of wrong predictions among the accepted ones that rejection aims at.

@@ -29,7 +29,7 @@ BITS, DIMENSIONS, SPREAD = 17, 8, 6
 #: Words in a window; the next one begins half a window later.
 WINDOW = 24
 #: The most labelled documents, clean and toxic, that a model is fitted on, and the longest in characters.
-SAMPLE, LONGEST = (2500, 1500), 50_000
+SAMPLE, LONGEST = (1500, 1200), 10_000
 #: Of the sample, one document in this many calibrates the scores.
 CALIBRATE = 4
 THRESHOLD = 0.7
@@ -105,7 +105,8 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 7, epochs
         return Model(np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.log(even / (1 - even))))
     model = _train([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held], seed, epochs, rate)
     z, y = model.logits([t for t, h in zip(texts, held, strict=True) if h]), toxic[held]
-    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    # Both classes weigh the same, so the threshold leans to neither, however rare toxic texts are.
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     model.scale, model.shift = _calibrate(z, y, weight)
     return model
 
