@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from fieldprep.llm import bpe, exact_dedup, language, simhash, toxicity
+import corpus_pipeline
+from fieldprep.llm import bpe, exact_dedup, language, mixing, quality_rules, simhash, toxicity
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -25,7 +26,7 @@ def op10_exact_dedup(spark, d):
 @query()
 def op5_simhash_near_dedup(spark, d):
     """SimHash fingerprints of four-word shingles, linked at four differing bits or fewer."""
-    return simhash.near_duplicates(table(spark, d, "documents"))
+    return simhash.near_duplicates(table(spark, d, "documents")).drop("component")
 
 
 @query()
@@ -53,3 +54,68 @@ def op4_bpe(spark, d):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    r"""
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+         w AS (SELECT *, CASE WHEN size = 0 THEN 0.5::DOUBLE WHEN length(t) BETWEEN 4 * size AND 12 * size THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+                      (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM d),
+         k AS (SELECT *, 1.0::DOUBLE - pow(u, 1.0::DOUBLE / weight) AS key FROM w),
+         s AS (SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS most FROM k GROUP BY source),
+         r AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS sw FROM s),
+         o AS (SELECT *, sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / sw, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                      sum(sw) OVER (ORDER BY most / sw, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS among FROM r),
+         b AS (SELECT rest::DOUBLE AS rest, among::DOUBLE AS among FROM o ORDER BY rest / among DESC LIMIT 1),
+         t AS (SELECT source, source_size, least(most::DOUBLE, b.rest * sw / b.among) AS target FROM r, b),
+         e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+         c AS (SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+                      sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id NULLS LAST) AS upto
+               FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+    SELECT doc_id, size::BIGINT AS size, source_size, target, (size * (epochs + (upto - size / 2 <= rest)::INT))::BIGINT AS taken FROM c
+    """
+)
+def op7_source_mixing(spark, d):
+    """Whole documents in weighted random order, to the target of each source."""
+    return mixing.mix(table(spark, d, "documents"))
+
+
+@query(
+    r"""
+    WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+         a AS (SELECT doc_id, lang, text, words, len(words) AS n_words, length(text) AS n_chars, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                      length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                      list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
+         g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS t FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+         r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+               FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, t) AS n FROM g) WHERE n > 1) GROUP BY doc_id),
+         c AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k
+               FROM (SELECT lang, lower(word) AS word, count(*) AS n FROM (SELECT lang, unnest(words) AS word FROM w WHERE lang IS NOT NULL) GROUP BY ALL) QUALIFY k <= 12),
+         h AS (SELECT doc_id, k, count(*) AS n FROM (SELECT doc_id, lang, lower(unnest(words)) AS word FROM w) JOIN c USING (lang, word) GROUP BY ALL),
+         bw AS (SELECT a.doc_id, a.lang, c.k, coalesce(h.n, 0) AS n FROM a JOIN c USING (lang) LEFT JOIN h ON h.doc_id = a.doc_id AND h.k = c.k
+                UNION ALL SELECT a.doc_id, a.lang, 0, a.n_words - coalesce((SELECT sum(n) FROM h WHERE h.doc_id = a.doc_id), 0) FROM a WHERE a.lang IS NOT NULL),
+         bc AS (SELECT doc_id, lang, unnest(range(0, 7)) AS k,
+                       unnest([length(regexp_replace(text, '[^a-z]+', '', 'g')), length(regexp_replace(text, '[^A-Z]+', '', 'g')), length(regexp_replace(text, '[^0-9]+', '', 'g')),
+                               n_symbols, length(regexp_replace(text, '[\x00-\x7F]+', '', 'g')), n_chars - word_chars,
+                               length(regexp_replace(text, '[a-zA-Z0-9#*$%&|<>\x20\x09-\x0D]+|[^\x00-\x7F]+', '', 'g'))]) AS n FROM a WHERE lang IS NOT NULL),
+         l AS (SELECT lang FROM a GROUP BY lang HAVING sum(n_words) >= 2000),
+         js AS (SELECT kind, doc_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS far
+                FROM (SELECT kind, doc_id, n / sum(n) OVER (PARTITION BY kind, doc_id) AS p, rn / sum(rn) OVER (PARTITION BY kind, doc_id) AS q
+                      FROM (SELECT *, sum(n) OVER (PARTITION BY kind, lang, k) AS rn
+                            FROM (SELECT 'w' AS kind, * FROM bw UNION ALL SELECT 'c' AS kind, * FROM bc) WHERE lang IN (SELECT lang FROM l)))
+                GROUP BY kind, doc_id),
+         f AS (SELECT a.*, coalesce(r.n_repeat_words, 0) AS n_repeat_words, n_words < 50 OR 100 * coalesce(r.n_repeat_words, 0) > 50 * n_words AS base_failed FROM a LEFT JOIN r USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(n_chars < 200 OR jc.far <= 0.32, true) AND coalesce(n_words < 100 OR jw.far <= 0.4, true) AS kept
+    FROM f LEFT JOIN (SELECT doc_id, far FROM js WHERE kind = 'c') jc USING (doc_id) LEFT JOIN (SELECT doc_id, far FROM js WHERE kind = 'w') jw USING (doc_id)
+    """
+)
+def op9_quality_rules(spark, d):
+    """Surface counts, base rules and divergence from the language of every text."""
+    return quality_rules.judged(table(spark, d, "documents")).drop("far_chars", "far_words")
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, d):
+    """Documents to token ids through all stages."""
+    return corpus_pipeline.run(spark, d)

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -195,17 +196,42 @@ def link_prints(prints: DataFrame, budget: int = BUDGET, node_size: int = NODE_S
 
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, component.
 
     Two rows are linked if their fingerprints differ in at most ``budget`` bits; ``component_id`` is
     the smallest doc_id that a row reaches. A NULL, empty or blank text has fingerprint zero. A row
     without doc_id is linked like any other but names no component; a component without any doc_id
-    has NULL. Rows that repeat a doc_id are each returned. Other columns are not read.
+    has NULL. ``component`` is its smallest fingerprint, as a number. Rows that repeat a doc_id are
+    each returned. Other columns are not read.
     """
     rows = cut(fingerprint_rows(docs))
     prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     links = components(link_prints(prints.select("fp"), budget, node_size))
     placed = prints.join(links.withColumnsRenamed({"u": "fp", "v": "top"}), "fp", "left").withColumn("top", F.coalesce("top", "fp"))
     named = placed.groupBy("top").agg(F.min("first").alias("component_id"))
-    by_print = placed.join(named, "top").select("fp", "component_id")
-    return rows.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_print = placed.join(named, "top").select("fp", "component_id", F.col("top").alias("component"))
+    return rows.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component")
+
+
+def drop_near_copies(docs: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are: of a component the smallest doc_id.
+
+    Rows that repeat a doc_id stay or go together. Of a component without any doc_id one row stays.
+    """
+    found = cut(near_duplicates(docs, budget, node_size))
+    stays = found.filter("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(stays, "doc_id", "left_semi").select(docs.columns)
+    lonely = found.filter("doc_id IS NULL AND component_id IS NULL").groupBy("component").agg(F.min("fingerprint").alias("print"))
+    if lonely.isEmpty():
+        return named
+    unnamed = docs.filter("doc_id IS NULL")
+    schema = unnamed.select(F.struct("*").alias("row"), F.lit("").alias("print")).schema
+
+    def attach(batches: Iterator) -> Iterator:
+        for batch in batches:
+            prints = [f"{fingerprint(t):016x}" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            rows = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([rows, pa.array(prints)], names=["row", "print"])
+
+    with_print = unnamed.mapInArrow(attach, schema).join(lonely.select("print"), "print")
+    return named.unionByName(with_print.dropDuplicates(["print"]).select("row.*"))
