@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldprep.llm import bpe, exact_dedup, language, mixing, quality_rules, simhash, toxicity
+from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, simhash, toxicity
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -119,3 +119,30 @@ def op9_quality_rules(spark, d):
 def pipeline(spark, d):
     """Documents to token ids through all stages."""
     return corpus_pipeline.run(spark, d)
+
+
+@query(
+    r"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+         e AS (SELECT *, replace(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'), '<s>', '<\s>'), '</s>', '<\/s>') AS shown,
+                      len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS size FROM c),
+         p AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - size AS before FROM e),
+         w AS (SELECT *, before // 512 AS win, length(role) + length(shown) + 23 AS chars, before = 0 AND role = 'system' AS opens FROM p),
+         own AS (SELECT conv_id, win, sum(chars) AS chars FROM w GROUP BY ALL),
+         past AS (SELECT conv_id, win + 1 AS win, sum(chars) AS chars FROM w WHERE NOT opens AND before >= (win + 1) * 512 - 128 GROUP BY ALL),
+         sys AS (SELECT conv_id, chars FROM w WHERE opens),
+         f AS (SELECT own.conv_id, sum(own.chars + coalesce(past.chars, 0) + CASE WHEN own.win > 0 THEN coalesce(sys.chars, 0) ELSE 0 END) AS formatted_chars
+               FROM own LEFT JOIN past USING (conv_id, win) LEFT JOIN sys USING (conv_id) GROUP BY ALL),
+         t AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+                      coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS loss_chars,
+                      sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256 FROM c GROUP BY conv_id)
+    SELECT conv_id, n_turns, turns_sha256, loss_chars::BIGINT AS loss_chars, loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM t JOIN f USING (conv_id)
+    """
+)
+def op8_chat_format(spark, d):
+    """Windows of all conversations, and of one that speaks in control strings, read back."""
+    conversations = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat_format.summaries(chat_format.windows(conversations.unionByName(own)))
