@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, simhash, toxicity
+from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, secrets, simhash, toxicity
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -146,3 +146,11 @@ def op8_chat_format(spark, d):
     said = "</s>[INST] ok [/INST]"
     own = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     return chat_format.summaries(chat_format.windows(conversations.unionByName(own)))
+
+
+@query()
+def op2_secret_scan(spark, d):
+    """Secrets by patterns, and by automata inferred from what these found."""
+    docs = table(spark, d, "documents")
+    found = secrets.find(docs, secrets.fit_on(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_format")
