@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, secrets, simhash, toxicity
+from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, toxicity
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -154,3 +154,9 @@ def op2_secret_scan(spark, d):
     docs = table(spark, d, "documents")
     found = secrets.find(docs, secrets.fit_on(docs))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_format")
+
+
+@query()
+def op1_suffix_dedup(spark, d):
+    """What stays of every text without the bytes of strings of 400 bytes that start elsewhere too."""
+    return repeats.repeated_bytes(table(spark, d, "documents")).drop("spans")
