@@ -25,9 +25,9 @@ from tokenizers import pre_tokenizers
 from fieldprep.llm.lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon; what a partition's table holds at most and hands on.
-LEXICON_WORDS, COUNTED, HANDED_ON = 50_000, 300_000, 20_000
+LEXICON_WORDS, COUNTED, HANDED_ON = 50_000, 200_000, 20_000
 #: Merged words that a worker remembers, of this many bytes at most.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 64
+REMEMBERED, REMEMBERED_BYTES = 150_000, 64
 #: A longer word is merged alone, by a heap.
 LONG_WORD = 256
 
@@ -226,16 +226,16 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         words = [self.split(t) for t in texts]
         new = set().union(*words).difference(self.remembered)
-        if new:
-            if len(self.remembered) + len(new) > REMEMBERED:
-                self.remembered = dict(self.fixed)
-                new = set().union(*words).difference(self.fixed)
-            found = self._learn(list(new))
-            known = self.remembered | found if len(found) > 1000 else {**self.remembered, **found}
-            self.remembered = {**self.remembered, **{w: x for w, x in found.items() if len(w) <= REMEMBERED_BYTES}}
-        else:
-            known = self.remembered
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        if len(self.remembered) + len(new) > REMEMBERED:
+            self.remembered = dict(self.fixed)
+            new = set().union(*words).difference(self.fixed)
+        found = self._learn(list(new))
+        self.remembered.update(found)
+        out = [b"".join(map(self.remembered.__getitem__, ws)) for ws in words]
+        for word in found:
+            if len(word) > REMEMBERED_BYTES:
+                del self.remembered[word]
+        return out
 
 
 def decode(ids: bytes, token_bytes: list[bytes]) -> str:
