@@ -25,6 +25,12 @@ def parse_wall_clock(col: Column) -> Column:
     return F.when(col.rlike(_YMD_HMS), tidy).try_cast("timestamp_ntz")
 
 
+def parse_iso_clock(col: Column) -> Column:
+    """As ``parse_wall_clock``, and ISO dates with hours and minutes, or without any time: midnight."""
+    iso = col.rlike(r"^\s*\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2})?\s*$")
+    return F.coalesce(parse_wall_clock(col), F.when(iso, F.trim(col)).try_cast("timestamp_ntz"))
+
+
 def serial_to_timestamp(col: Column) -> Column:
     """Days since the spreadsheet origin (number or numeric text) to a wall clock, to the second."""
     seconds = F.round(col.try_cast("double") * 86400).cast("bigint")

@@ -85,10 +85,10 @@ def class_of(col: Column, members: Iterable[str], inside: str, outside: str) ->
 
 
 def either_flag(*flags: Column) -> Column:
-    """OR over flags given as text or boolean, unknown counting as FALSE."""
+    """OR over flags given as text ("TRUE" or "true") or boolean, unknown counting as FALSE."""
     out = F.lit(False)
     for flag in flags:
-        out = out | holds(flag.cast("string") == TRUE_TEXT)
+        out = out | holds(flag_text_to_boolean(flag.cast("string")))
     return out
 
 

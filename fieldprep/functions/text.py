@@ -66,8 +66,14 @@ def title_case(col: Column) -> Column:
 
 
 def between_commas(col: Column) -> Column:
-    """Text after the first ", " up to the last ",": the region in ``City, Region, Country``."""
-    return extract(col, "(?<=, ).*(?=,)", may_be_empty=True)
+    """Text after the first ", " up to the last ",": the region in ``City, Region, Country``.
+
+    Text of one line is cut by position; with line breaks, the pattern finds the line.
+    """
+    start = F.locate(", ", col) + 2
+    last = F.length(col) - F.locate(",", F.reverse(col)) + 1
+    cut = F.when((start > 2) & (last >= start), F.substring(col, start, last - start))
+    return F.when(col.rlike(r"[\n\r\x85\u2028\u2029]"), extract(col, "(?<=, ).*(?=,)", may_be_empty=True)).otherwise(cut)
 
 
 def before_comma(col: Column) -> Column:

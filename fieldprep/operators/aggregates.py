@@ -83,9 +83,10 @@ def inside_outside_counts(df: DataFrame, keys: Sequence[str], inside: Column) ->
     )
 
 
-def class_lookup(lookup: DataFrame, key: str, value: str) -> DataFrame:
-    """One row per key with its non-NULL classes. A lookup is a dimension: gathering it is bounded by it."""
-    return lookup.groupBy(key).agg(F.collect_list(value).alias("__classes"), F.count(F.lit(1)).alias("__fan"))
+def class_lookup(lookup: DataFrame, key: str, value: str, classes: Sequence[str]) -> DataFrame:
+    """One row per key: how often it has each class, any class, and how often it is listed."""
+    of = [F.count_if(F.col(value) == c).alias(f"__n{i}") for i, c in enumerate(classes)]
+    return lookup.groupBy(key).agg(*of, F.count(value).alias("__any"), F.count(F.lit(1)).alias("__fan"))
 
 
 def classify_multi_value(
@@ -152,24 +153,25 @@ def _with_own_counts(
 ) -> DataFrame:
     """The parts of a cell and how often a row holds each class; rows without any class dropped.
 
-    Each part meets the lookup once as an array of classes, so nothing is exploded and the row
-    never has to be put together again; a key listed k times weighs the other parts k-fold, as
-    a row-multiplying join would.
+    Each part meets the lookup once as a row of counts, so nothing is exploded or gathered and the
+    row never has to be put together again; a key listed k times weighs the other parts k-fold,
+    as a row-multiplying join would.
     """
-    arrays = class_lookup(lookup, key, value)
+    counts = class_lookup(lookup, key, value, list(own))
+    columns = [c for c in counts.columns if c != key]
     parts = F.split(F.col(column), ",", -1)
     work = df.withColumns({f"__part{i}": F.get(parts, F.lit(i)) for i in range(slots)})
     first = F.coalesce("__part0", F.lit(missing))
     work = work.withColumn("__part0", F.when(first.isin(list(also_missing)), F.lit(missing)).otherwise(first))
     for i in range(slots):
-        slot = arrays.select(key, F.col("__classes").alias(f"__c{i}"), F.col("__fan").alias(f"__f{i}"))
+        slot = counts.select(key, *[F.col(c).alias(f"{c}_{i}") for c in columns])
         work = null_safe_join(work, slot, [(f"__part{i}", key)])
-    fan = lambda i: F.coalesce(F.col(f"__f{i}"), F.lit(1))
+    fan = lambda i: F.coalesce(F.col(f"__fan_{i}"), F.lit(1))
 
-    def held(cls: str) -> Column:
+    def held(number: int) -> Column:
         out = F.lit(0).cast("bigint")
         for i in range(slots):
-            here = F.coalesce(F.size(F.filter(f"__c{i}", lambda c: c == cls)), F.lit(0)).cast("bigint")
+            here = F.coalesce(F.col(f"__n{number}_{i}"), F.lit(0))
             for j in range(slots):
                 if j != i:
                     here = here * fan(j)
@@ -178,6 +180,6 @@ def _with_own_counts(
 
     known = F.lit(0)
     for i in range(slots):
-        known = known + F.coalesce(F.size(f"__c{i}"), F.lit(0))
-    helpers = [f"__{p}{i}" for p in ("c", "f") for i in range(slots)]
-    return work.filter(known > 0).withColumns({a: held(c) for c, a in own.items()}).drop(*helpers)
+        known = known + F.coalesce(F.col(f"__any_{i}"), F.lit(0))
+    helpers = [f"{c}_{i}" for c in columns for i in range(slots)]
+    return work.filter(known > 0).withColumns({a: held(n) for n, a in enumerate(own.values())}).drop(*helpers)

@@ -113,11 +113,20 @@ def full_outer_merge(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
     """Full outer natural join of aggregates over the same keys.
 
     Written as one union and one aggregation: a single shuffle for any number of
-    tables instead of one per join. Every table must be unique by the keys.
+    tables instead of one per join. Every table must be unique by the keys: a key that a table
+    holds twice fails the job that computes it. Columns of one name in two tables are refused.
     """
     payload = [c for t in tables for c in t.columns if c not in keys]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    return stacked.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in payload])
+    if len(set(payload)) < len(payload):
+        raise ValueError(f"a column is in two tables: {sorted({c for c in payload if payload.count(c) > 1})}")
+    marked = [t.withColumn("__from", F.lit(i)) for i, t in enumerate(tables)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    most = F.greatest(F.lit(0), *[F.count_if(F.col("__from") == i) for i in range(len(tables))])
+    refused = F.raise_error(F.lit(f"a table of the merge is not unique by {list(keys)}")).cast("boolean")
+    merged = stacked.groupBy(*keys).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in payload], most.alias("__most")
+    )
+    return merged.filter(F.when(F.col("__most") > 1, refused).otherwise(F.lit(True))).drop("__most")
 
 
 def attach_counts(dimension: DataFrame, counts: DataFrame, keys: Keys) -> DataFrame:

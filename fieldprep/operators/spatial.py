@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fieldprep.functions import geometry as g
 from fieldprep.operators.joins import null_safe_join
+from fieldprep.session import cut_lineage
 
 
 def locate_points(
@@ -22,55 +22,54 @@ def locate_points(
     parts: DataFrame,
     attributes: Sequence[str],
     cell: float,
-    levels: int = 12,
     x: str = "x",
     y: str = "y",
 ) -> DataFrame:
-    """Left join of points to the polygons that cover them (edges included).
+    """Left join of points to the features that cover them (edges included), one row per feature.
 
-    A polygon is filed at the level whose cells are at least as large as its box, so it
-    occupies at most four cells there; cells double in size from level to level. A point
-    looks into its one cell of each level. Equal points are looked up once.
+    A part is filed at the level whose cells are at least as large as its box, so it occupies at
+    most four cells there; cells double in size from level to level, as far as the largest box
+    needs. A point looks into its one cell of each level that occurs; which these are is read off
+    the boxes when the plan is made. The index holds boxes only: a point meets the edges of a part
+    once its box holds the point. Equal points are looked up once.
     """
-    top = levels - 1
-    shaped = parts.select(*attributes, F.col("rings").alias("__rings")).withColumn("__b", g.bounds(F.col("__rings")))
+    shaped = parts.select(*attributes, F.col("rings").alias("__rings")).withColumn("__id", F.xxhash64(*attributes, "__rings"))
+    boxes = shaped.select("__id", g.bounds(F.col("__rings")).alias("__b"))
     side = F.greatest(F.col("__b.x1") - F.col("__b.x0"), F.col("__b.y1") - F.col("__b.y0"))
-    level = F.when(side <= cell, 0).otherwise(F.least(F.ceil(F.log2(side / cell)), F.lit(top))).cast("int")
+    boxes = boxes.withColumn("__level", F.when(side <= cell, 0).otherwise(F.ceil(F.log2(side / cell))).cast("int"))
+    # A handful: one number per doubling of the box size.
+    occurring = sorted(r[0] for r in boxes.select("__level").distinct().collect() if r[0] is not None)
     size = lambda lv: F.lit(float(cell)) * F.pow(F.lit(2.0), lv)
     at = lambda v, lv: F.floor(v / size(lv))
-    filed = (
-        shaped.withColumn("__level", level)
-        .withColumn("__edges", g.edges(F.col("__rings")))
-        .drop("__rings")
-        .withColumn("__cx", F.explode(F.sequence(at(F.col("__b.x0"), F.col("__level")), at(F.col("__b.x1"), F.col("__level")))))
-        .withColumn("__cy", F.explode(F.sequence(at(F.col("__b.y0"), F.col("__level")), at(F.col("__b.y1"), F.col("__level")))))
-    )
+    across = lambda a, b: F.explode(F.sequence(at(F.col(a), F.col("__level")), at(F.col(b), F.col("__level"))))
+    filed = boxes.withColumn("__cx", across("__b.x0", "__b.x1")).withColumn("__cy", across("__b.y0", "__b.y1"))
     places = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()
-    probes = places.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+    probes = places.withColumn("__level", F.explode(F.array(*map(F.lit, occurring)).cast("array<int>")))
     probes = probes.withColumns(
         {"__cx": at(F.col("__x"), F.col("__level")), "__cy": at(F.col("__y"), F.col("__level"))}
     )
+    boxed = F.col("__x").between(F.col("__b.x0"), F.col("__b.x1")) & F.col("__y").between(F.col("__b.y0"), F.col("__b.y1"))
+    near = probes.join(filed, ["__level", "__cx", "__cy"]).filter(boxed).select("__id", "__x", "__y")
     hits = (
-        probes.join(filed, ["__level", "__cx", "__cy"])
-        .filter(g.covers(F.col("__edges"), F.col("__x"), F.col("__y")))
+        near.join(shaped, "__id")
+        .filter(g.covers(g.edges(F.col("__rings")), F.col("__x"), F.col("__y")))
         .select("__x", "__y", *attributes)
+        .distinct()
     )
     return null_safe_join(points, hits, [(x, "__x"), (y, "__y")])
 
 
-def _tighten(candidates: DataFrame, box: Column, place: Sequence[str]) -> DataFrame:
+def _tighten(candidates: DataFrame, place: Sequence[str]) -> DataFrame:
     """Drop candidates that cannot hold the nearest feature of their place.
 
-    The window groups the candidates of one place: at most a few hundred rows.
+    The reach of a place is aggregated before it meets the candidates again, so a place with very
+    many of them is no task of its own.
     """
-    least, most = g.box_distance_bounds(box, F.col("__x"), F.col("__y"))
-    bounded = candidates.withColumns({"__least": least, "__most": most})
-    reach = F.min("__most").over(Window.partitionBy(*place))
-    return (
-        bounded.withColumn("__reach", reach)
-        .filter(F.col("__least") <= F.col("__reach") * (1 + 1e-9) + 1e-9)
-        .drop("__least", "__most", "__reach")
-    )
+    least, most = g.box_distance_bounds(F.col("__b"), F.col("__x"), F.col("__y"))
+    bounded = candidates.withColumns({"__least": least, "__most": most}).drop("__b")
+    reach = bounded.groupBy(*place).agg(F.min("__most").alias("__reach"))
+    close = F.col("__least") <= F.col("__reach") * (1 + 1e-9) + 1e-9
+    return bounded.join(reach, list(place)).filter(close).drop("__least", "__most", "__reach")
 
 
 def nearest_in_name(
@@ -81,48 +80,46 @@ def nearest_in_name(
     x: str = "x",
     y: str = "y",
     distance: str = "distance",
-    sizes: Sequence[int] = (2**21, 2**17, 2**13),
+    sizes: Sequence[int] = (2**21, 2**16, 2**11, 2**6),
 ) -> DataFrame:
     """Nearest feature among those that carry the point's name; ties go to the lowest feature key.
 
     Points whose name no feature carries yield nothing. Polygons are filed by box centre in
     nested cells (sizes in map units, each a power of two); every cell knows the box of what
     it holds. For a point, a cell is kept only if its least possible distance is within the
-    greatest possible distance of the best cell, level by level, and exact distances are
-    taken to what the surviving cells hold. This is exact, and a point meets a few cells
-    instead of every polygon of its name. Equal points and equal shapes are handled once.
+    greatest possible distance of the best cell, level by level. Until then only names, numbers
+    and boxes move, from one reading of the layer; the rings are fetched for what survives, and
+    exact distances are taken to them. Equal points and equal shapes are handled once.
     """
     place = ["__name", "__x", "__y"]
     places = points.select(F.col(name).alias("__name"), F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()
-    shapes = (
-        parts.groupBy(F.col(name).alias("__name"), F.col("rings").alias("__rings"))
-        .agg(F.min(F.struct(*feature)).alias("__feature"))
-        .withColumn("__b", g.bounds(F.col("__rings")))
-    )
-    centre = {
-        "__cx": F.floor((F.col("__b.x0") + F.col("__b.x1")) / 2 / sizes[-1]),
-        "__cy": F.floor((F.col("__b.y0") + F.col("__b.y1")) / 2 / sizes[-1]),
-    }
-    shapes = shapes.withColumns(centre)
+    shaped = parts.select(
+        F.col(name).alias("__name"), F.struct(*feature).alias("__feature"), F.col("rings").alias("__rings")
+    ).withColumn("__id", F.xxhash64("__name", "__rings"))
+    centre = lambda a, b: F.floor((F.col(f"__b.{a}") + F.col(f"__b.{b}")) / 2 / sizes[-1])
+    boxes = shaped.select("__name", "__id", g.bounds(F.col("__rings")).alias("__b")).groupBy("__name", "__id").agg(F.first("__b").alias("__b"))
+    boxes = cut_lineage(boxes.withColumns({"__cx": centre("x0", "x1"), "__cy": centre("y0", "y1")}))
     whole = F.struct(
         F.min("__b.x0").alias("x0"), F.min("__b.y0").alias("y0"), F.max("__b.x1").alias("x1"), F.max("__b.y1").alias("y1")
     )
     # Cells from fine to coarse; a coarse cell number is a fine one shifted right.
-    nodes = [shapes.groupBy("__name", "__cx", "__cy").agg(whole.alias("__b"))]
+    nodes = [boxes.groupBy("__name", "__cx", "__cy").agg(whole.alias("__b"))]
     shifts = [int(big // small).bit_length() - 1 for big, small in zip(sizes, sizes[1:])]
     for shift in reversed(shifts):
         up = nodes[0].select(
             "__name", F.shiftright("__cx", shift).alias("__cx"), F.shiftright("__cy", shift).alias("__cy"), "__b"
         )
         nodes.insert(0, up.groupBy("__name", "__cx", "__cy").agg(whole.alias("__b")))
-    found = _tighten(places.join(nodes[0], "__name"), F.col("__b"), place).drop("__b")
+    found = _tighten(places.join(nodes[0], "__name"), place)
     for shift, level in zip(shifts, nodes[1:]):
         below = level.withColumns({"__px": F.shiftright("__cx", shift), "__py": F.shiftright("__cy", shift)})
         above = found.withColumnsRenamed({"__cx": "__px", "__cy": "__py"})
-        found = _tighten(above.join(below, ["__name", "__px", "__py"]), F.col("__b"), place).drop("__b", "__px", "__py")
-    near = _tighten(found.join(shapes, ["__name", "__cx", "__cy"]), F.col("__b"), place)
-    near = near.withColumn("__edges", g.edges(F.col("__rings"))).drop("__rings")
-    measured = near.withColumn("__d", g.distance(F.col("__edges"), F.col("__x"), F.col("__y")))
+        found = _tighten(above.join(below, ["__name", "__px", "__py"]), place).drop("__px", "__py")
+    near = _tighten(found.join(boxes, ["__name", "__cx", "__cy"]), place).select(*place, "__id")
+    shapes = shaped.groupBy("__name", "__id").agg(F.min("__feature").alias("__feature"), F.first("__rings").alias("__rings"))
+    measured = near.join(shapes, ["__name", "__id"]).select(
+        *place, "__feature", g.distance(g.edges(F.col("__rings")), F.col("__x"), F.col("__y")).alias("__d")
+    )
     best = measured.groupBy(*place).agg(F.min(F.struct("__d", "__feature")).alias("__best"))
     answer = best.select(
         *place, F.col("__best.__d").alias(distance), *[F.col(f"__best.__feature.{f}").alias(f) for f in feature if f != name]

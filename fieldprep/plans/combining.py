@@ -13,7 +13,7 @@ from fieldprep.operators.filters import drop_missing, first_source_rows
 from fieldprep.operators.joins import flag_membership
 from fieldprep.operators.reshape import union_by_name
 from fieldprep.operators.shifts import repair_shift_full, repair_shift_simple
-from fieldprep.plans.fixed_values import FOULED_LIST_ROWS, REGION_NAMES
+from fieldprep.plans.fixed_values import REGION_NAMES
 from fieldprep.plans.schema_map import YEARLY_SCHEMA, SchemaMap, map_schema
 
 ID = "Watercraft_Risk_Assessment_ID"
@@ -46,8 +46,8 @@ def _typed_clock(df: DataFrame, year: int) -> DataFrame:
     parse = lambda c: clock.parse_wall_clock(text.pad_clock(c))
     typed = {
         "TimeOfInspection": clock.serial_or_text(F.col("__first"), parse),
-        "Shift Start Time": clock.parse_wall_clock(_c("Shift Start Time")),
-        "Shift End Time": clock.parse_wall_clock(_c("Shift End Time")),
+        "Shift Start Time": clock.parse_iso_clock(_c("Shift Start Time")),
+        "Shift End Time": clock.parse_iso_clock(_c("Shift End Time")),
     }
     if year == 2016:
         typed["Shift Date"] = clock.serial_to_date(_c("Shift Date"))
@@ -143,12 +143,18 @@ def canonical_extracts(raw: DataFrame, full_repair: bool = False) -> DataFrame:
     return df.drop("new_tranche")
 
 
-def fouled_keys(lists: Mapping[int, DataFrame], position: str = "position") -> DataFrame:
-    """One key column from the recent hand-kept lists, whatever their header style."""
+def fouled_keys(
+    lists: Mapping[int, DataFrame], rows_per_list: Mapping[int, int] | None = None, position: str = "position"
+) -> DataFrame:
+    """One key column from the recent hand-kept lists, whatever their header style.
+
+    ``rows_per_list`` says of which lists only so many leading rows are records; the others count
+    whole. What follows the records in a list's file (notes, sums) is the caller's knowledge.
+    """
     tables = []
     for year, df in lists.items():
-        if year in FOULED_LIST_ROWS:
-            df = first_source_rows(df, FOULED_LIST_ROWS[year], position)
+        if year in (rows_per_list or {}):
+            df = first_source_rows(df, rows_per_list[year], position)
         tidy = snake_column_names(df)
         tables.append(tidy.select(F.col(ID.lower()).cast("string").alias(ID)))
     return drop_missing(union_by_name(tables), ID)

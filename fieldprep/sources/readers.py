@@ -1,4 +1,8 @@
-"""Readers. Raw tables come as text columns; types are given later, by rule."""
+"""Readers. Raw tables come as text columns; types are given later, by rule.
+
+Delimited text may have line breaks inside quotes, so a file is read by one task: splitting it would
+cut records. One file holds one year; convert large ones to Parquet once and read that.
+"""
 
 from __future__ import annotations
 
@@ -19,26 +23,45 @@ from fieldprep.operators.reshape import union_by_name
 EXTRACT_PATTERN = r"metabase_[0-9]+"
 FIRST_EXTRACT_YEAR = 2020
 
+#: Delimited text as it is written by hand: quotes doubled inside quotes, line breaks, padded cells.
+CSV = {
+    "quote": '"',
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": True,
+    "ignoreTrailingWhiteSpace": True,
+    "inferSchema": False,
+}
+#: Extracts and options say NA for a missing cell; the other tables keep the text.
+MISSING = {"nullValue": "NA"}
+
 
 def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 def read_titled_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV whose first line is a title and whose second line is the header; all columns text.
+    """One CSV file whose first line is a title and whose second line is the header; all columns text.
 
-    Only those two lines come to the driver. Repeated headers get a position suffix.
+    Only those two lines come to the driver. Repeated headers get a position suffix. Title and header
+    go by position: a record may say what the header says. An empty cell is NULL.
     """
     lines = [row.value for row in spark.read.text(path).head(2)]
     if len(lines) < 2:
         raise ValueError(f"no header line in {path}")
     header = next(csv.reader([lines[1]]))
     names = repair_duplicate_names(header)
-    df = spark.read.schema(text_schema(names)).option("header", True).option("multiLine", False).csv(path)
-    is_header = F.lit(True)
-    for name, title in zip(names, header):
-        is_header = is_header & F.col(f"`{name}`").eqNullSafe(title or None)
-    return df.filter(~is_header)
+    df = spark.read.schema(text_schema(names)).options(header=True, **CSV).csv(path)
+    if len(df.inputFiles()) != 1:
+        raise ValueError(f"expected one file: {path}")
+    # The title goes as the header of the reader. The file is one partition, whose rows count from 0.
+    at = F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
+    return df.withColumn("__at", at).filter("__at > 0").drop("__at")
+
+
+def empty_to_missing(df: DataFrame) -> DataFrame:
+    """Empty cells as NULL, which a reader with another word for missing leaves as empty texts."""
+    return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -81,7 +104,7 @@ def read_extracts(
 
     def one(path: str, year: int) -> DataFrame:
         if fmt == "csv":
-            df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+            df = empty_to_missing(spark.read.options(header=True, **CSV, **MISSING).csv(path))
         else:
             df = as_text(spark.read.format(fmt).load(path))
         return df.withColumn("Year", F.lit(year))
@@ -92,7 +115,7 @@ def read_extracts(
 def read_lookup(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """A lookup table, text columns."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("inferSchema", False).csv(path)
+        return spark.read.options(header=True, **CSV).csv(path)
     return as_text(spark.read.format(fmt).load(path))
 
 
@@ -134,7 +157,7 @@ def read_options(spark: SparkSession, path: str | None, headers: Mapping[str, st
     """Read the options; ``headers`` names the column of a field where it differs from the field."""
     if not path:
         raise ValueError("no path to the options table given")
-    rows = spark.read.option("header", True).csv(path).head(2)
+    rows = empty_to_missing(spark.read.options(header=True, **CSV, **MISSING).csv(path)).head(2)
     if len(rows) != 1:
         raise ValueError("the options table must have exactly one row")
     values = rows[0].asDict()

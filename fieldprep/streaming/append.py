@@ -32,8 +32,11 @@ def append_new(batch: DataFrame, path: str, keys: Sequence[str], partition: str)
 
     Which row stays is decided by value, so a recomputed batch makes the same choice.
 
-    The stored side is read only where it can match: the partitions the batch touches.
+    The stored side is read only where it can match: the partitions the batch touches. That needs
+    the partition to be part of the key, which is checked.
     """
+    if partition not in keys:
+        raise ValueError(f"the partition column {partition} must be one of the keys {list(keys)}")
     spark = batch.sparkSession
     fresh = one_per_key(batch, keys).persist()
     try:

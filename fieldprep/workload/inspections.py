@@ -16,6 +16,7 @@ from fieldprep.functions import geometry as g
 from fieldprep.operators.reshape import literal_rows, union_by_name
 from fieldprep.plans.cleaning import clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources, fouled_keys
+from fieldprep.plans.fixed_values import FOULED_LIST_ROWS
 from fieldprep.plans.polygons import summarise_to_polygons, synthetic_boxes
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
 from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical
@@ -169,7 +170,7 @@ def sources(spark, d) -> Sources:
     listed = late.filter("k % 17 = 0").selectExpr("CAST(k AS STRING) AS `Watercraft Risk Assessment ID`")
     # The list of 2020 counts up to its sixteenth row only; here a row's number is its key.
     first = late.selectExpr("k AS position", "CAST(k AS STRING) AS watercraftRiskAssessmentID")
-    return Sources(years, raw_extracts(rows), by_year, fouled_keys({2020: first, 2023: listed}))
+    return Sources(years, raw_extracts(rows), by_year, fouled_keys({2020: first, 2023: listed}, FOULED_LIST_ROWS))
 
 
 def lookups(spark) -> Lookups:

@@ -111,7 +111,7 @@ def text_boolean_normalise(spark, d):
     _LABELLED_SQL
     + """
     SELECT doc_id, lower(q) = 'true' AS "Quality_Ind", lower(t) = 'true' AS toxic_ind,
-           coalesce(q = 'true', false) OR coalesce(t = 'true', false) AS either
+           coalesce(q IN ('TRUE', 'true'), false) OR coalesce(t IN ('TRUE', 'true'), false) AS either
     FROM l
     """
 )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fieldprep.operators import columns as cols
 from fieldprep.operators import reshape
 from fieldprep.plans.schema_map import Rule, copy, country, is_yes, map_schema
+from fieldprep.session import cut_lineage
 from fieldprep.sources.sinks import counted
 from fieldprep.workload.registry import query, table
 
@@ -163,7 +164,6 @@ def ordered_output(spark, d):
 def observed_counts(spark, d):
     """Row counts taken while the table is aggregated, without a second pass."""
     orders, seen = counted(table(spark, d, "orders"), "orders", urgent=F.col("o_orderpriority") == "1-URGENT")
-    counts = orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    counts.cache().count()
+    counts = cut_lineage(orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
     metrics = seen.get
     return counts.withColumns({"rows": F.lit(metrics["rows"]), "urgent": F.lit(metrics["urgent"])})

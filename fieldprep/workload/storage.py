@@ -18,6 +18,98 @@ def scratch(spark) -> str:
     return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
 
 
+def one_file(lines, path: str) -> None:
+    """Lines (one text column) as one file of this name, in their order of ``at``."""
+    spark = lines.sparkSession
+    beside = f"{path}.writing"
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(beside)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(beside)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    files.rename(part, hadoop.Path(path))
+
+
+def quoted(cell):
+    return F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def titled(spark, df, title: str, header: str):
+    """The lines of a titled table: title, header, and one record per row of ``df`` (at, value)."""
+    top = spark.createDataFrame([(-2, title), (-1, header)], "at bigint, value string")
+    return top.unionByName(df.select("at", "value"))
+
+
+@query(
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text_md5, lang, 'NA' AS note, CAST(NULL AS VARCHAR) AS text_5 FROM documents
+    UNION ALL SELECT 'doc_id', md5('text'), 'lang', 'note', 'text'
+    """
+)
+def read_titled_tables(spark, d):
+    """A titled table with line breaks and quotes in its cells, padded cells, a repeated header and a record like the header."""
+    base = scratch(spark)
+    docs = table(spark, d, "documents")
+    value = F.concat(F.col("doc_id"), F.lit(","), quoted(F.col("text")), F.lit(",  "), F.col("lang"), F.lit("  ,NA,"))
+    records = docs.select(F.col("doc_id").alias("at"), value.alias("value"))
+    like_header = spark.createDataFrame([(-1, "doc_id,text,lang,note,text")], "at bigint, value string").select((F.col("at") + 1).alias("at"), "value")
+    one_file(titled(spark, records.unionByName(like_header), "Inspections, all stations", "doc_id,text,lang,note,text"), f"{base}/raw.csv")
+    read = readers.read_year_tables(spark, {2017: f"{base}/raw.csv"})[2017]
+    second = read.columns[4]
+    return read.select("doc_id", F.md5(F.col(f"`{read.columns[1]}`").cast("binary")).alias("text_md5"), "lang", "note", F.col(f"`{second}`").alias("text_5"))
+
+
+@query(
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text_md5, CASE WHEN lang = 'en' THEN NULL ELSE lang END AS lang,
+           CASE WHEN doc_id % 2 = 0 THEN 2020 ELSE 2021 END AS "Year" FROM documents
+    """
+)
+def read_extract_files(spark, d):
+    """Extracts of two years with headers in another order, NA for a missing cell, other files beside them."""
+    base = scratch(spark)
+    lang = F.when(F.col("lang") == "en", "NA").otherwise(F.col("lang"))
+    docs = table(spark, d, "documents").withColumn("shown", lang)
+    forms = {
+        "metabase_1.csv": ("doc_id,text,lang", ["doc_id", quoted(F.col("text")), "shown"], "doc_id % 2 = 0"),
+        "metabase_2.csv": ("lang,doc_id,text", ["shown", "doc_id", quoted(F.col("text"))], "doc_id % 2 = 1"),
+        "notes.csv": ("doc_id,text,lang", ["doc_id", F.lit("x"), "shown"], "doc_id >= 0"),
+    }
+    for name, (header, cells, rows) in forms.items():
+        records = docs.filter(rows).select(F.col("doc_id").alias("at"), F.concat_ws(",", *cells).alias("value"))
+        top = spark.createDataFrame([(-1, header)], "at bigint, value string")
+        one_file(top.unionByName(records), f"{base}/extracts/{name}")
+    read = readers.read_extracts(spark, f"{base}/extracts")
+    return read.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "Year")
+
+
+@query(
+    """
+    SELECT c_custkey, c_custkey % 2 AS list, c_mktsegment AS said FROM customer WHERE c_custkey % 3 = 0
+    """
+)
+def read_key_lists(spark, d):
+    """Hand-kept lists, one titled and one plain, read, brought to one key column and met with the records."""
+    base = scratch(spark)
+    customers = table(spark, d, "customer").filter("c_custkey % 3 = 0")
+    value = F.concat(F.lit(" "), F.col("c_custkey"), F.lit(' ,"said ""'), F.col("c_mktsegment"), F.lit('"""'))
+    records = customers.select(F.col("c_custkey").alias("at"), value.alias("value"))
+    header = "Watercraft Risk Assessment ID,Remark"
+    one_file(titled(spark, records.filter("at % 2 = 0"), "Fouled boats", header), f"{base}/2020.csv")
+    top = spark.createDataFrame([(-1, header)], "at bigint, value string")
+    one_file(top.unionByName(records.filter("at % 2 = 1")), f"{base}/2021.csv")
+    lists = {0: readers.read_key_list(spark, f"{base}/2020.csv"), 1: readers.read_key_list(spark, f"{base}/2021.csv", "csv")}
+    parts = [
+        df.select(
+            F.col(f"`{df.columns[0]}`").cast("bigint").alias("c_custkey"),
+            F.lit(n).cast("bigint").alias("list"),
+            F.regexp_extract(F.col(f"`{df.columns[1]}`"), '^said "(.*)"$', 1).alias("said"),
+        )
+        for n, df in lists.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     """
     SELECT o_orderstatus, CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys

@@ -8,6 +8,7 @@ from fieldprep.functions import clock
 from fieldprep.plans import cleaning, combining, reports
 from fieldprep.plans.fixed_values import SELECTED_COLUMNS
 from fieldprep.plans.schema_map import YEARLY_SCHEMA, map_schema
+from fieldprep.plans.fixed_values import FOULED_LIST_ROWS
 
 DAY = {2015: "42186", 2016: "42552", 2017: "42917", 2018: "43282", 2019: "43647"}
 
@@ -114,8 +115,9 @@ def test_fouled_lists(spark):
         2020: spark.createDataFrame([(15, "a"), (16, "b"), (17, "c")], "position int, `Watercraft Risk Assessment ID` string"),
         2024: spark.createDataFrame([(99, "d"), (1, None)], "position int, watercraftRiskAssessmentID string"),
     }
-    keys = combining.fouled_keys(recent)
+    keys = combining.fouled_keys(recent, FOULED_LIST_ROWS)
     assert rows(keys) == [("a",), ("b",), ("d",)]
+    assert rows(combining.fouled_keys(recent)) == [("a",), ("b",), ("c",), ("d",)]
     df = spark.createDataFrame(
         [(2015, "1", "true", "false"), (2016, "2016-1", "true", "true"), (2016, "2016-2", "true", "true"), (2017, "2016-1", "false", "false"), (2020, "a", None, None), (2021, "1", None, None)],
         f"Year int, {combining.ID} string, {combining.FOULED_FLAGS[0]} string, {combining.FOULED_FLAGS[1]} string",
