@@ -136,8 +136,17 @@ def repeated_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return named.join(grams, "gram").select("p1", "p2", "gram", "n", "rep", (F.col("kinds") > 1).alias("open"))
 
 
-_READ = (
-    "kind string, id bigint, rid bigint, doc_id bigint, p1 bigint, p2 bigint, gram bigint, n bigint, start bigint, off int, starts int, "
+_RUNS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+_NAMES = pa.list_(pa.int64())
+#: What reading the texts yields; each kind of row fills its own columns.
+_READ = pa.schema(
+    [("kind", pa.string()), ("id", pa.int64()), ("rid", pa.int64()), ("doc_id", pa.int64())]
+    + [(n, pa.int64()) for n in ("p1", "p2", "gram", "n", "start", "off", "starts")]
+    + [("content", pa.binary()), ("left", _NAMES), ("right", _NAMES), ("spans", _RUNS)]
+    + [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+)
+_DDL = (
+    "kind string, id bigint, rid bigint, doc_id bigint, p1 bigint, p2 bigint, gram bigint, n bigint, start bigint, off bigint, starts bigint, "
     "content binary, left array<bigint>, right array<bigint>, spans array<struct<a:bigint,b:bigint>>, "
     "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 )
@@ -154,59 +163,70 @@ def join_spans(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _outcome(data: bytes, found: list[tuple[int, int]]) -> dict:
+def _outcome(data: bytes, found: list[tuple[int, int]]) -> tuple:
+    """spans, n_bytes, n_removed, n_spans, kept_sha256 of a text without some stretches."""
     found = join_spans(found)
     digest, at = hashlib.sha256(), 0
     for a, b in found:
         digest.update(data[at:a])
         at = b
     digest.update(data[at:])
-    return {"n_bytes": len(data), "n_removed": sum(b - a for a, b in found), "n_spans": len(found), "kept_sha256": digest.hexdigest(), "spans": [{"a": a, "b": b} for a, b in found]}
+    return found, len(data), sum(b - a for a, b in found), len(found), digest.hexdigest()
+
+
+def _rows(kind: str, names: list[str], rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of one kind, whose other columns are NULL."""
+    columns = dict(zip(names, zip(*rows, strict=True), strict=True)) | {"kind": [kind] * len(rows)}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(rows), f.type) for f in _READ], schema=_READ
+    )
 
 
 def _read_off(docs: DataFrame, lists: DataFrame, length: int, gram: int) -> DataFrame:
     """Three kinds of rows: documents that are done, open spans to compare, documents that wait for them."""
     steps = levels(length, gram)
+    names = ["id", "rid", "doc_id"]
+    columns = {
+        "done": [*names, "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        "waits": [*names, "content", "spans"],
+        "span": [*names, "p1", "p2", "gram", "n", "start", "off", "starts", "content", "left", "right"],
+    }
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[str, list] = {kind: [] for kind in columns}
+        held = 0
         for batch in batches:
-            rows = []
-            for row in batch.itertuples(index=False):
-                data, known, waits = row.text.encode("utf-8", "surrogatepass"), [], False
-                name = {"id": row.id, "rid": row.rid, "doc_id": row.doc_id}
-                for x in row.found if row.found is not None else ():
-                    s, off, n = x["place"] >> 24, x["place"] >> 12 & 4095, x["place"] & 4095
-                    end = s + n - 1 + length
-                    if x["n"] > 1:
+            found = batch.column(4)
+            flat = found.flatten()
+            fields = {f.name: flat.field(f.name).to_pylist() for f in flat.type}
+            sizes = np.nan_to_num(found.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            ends = np.cumsum(sizes).tolist()
+            for at, (id_, rid, doc_id, text) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)):
+                data, known, waits = text.encode("utf-8", "surrogatepass"), [], False
+                for k in range(ends[at] - int(sizes[at]), ends[at]):
+                    place, copies = fields["place"][k], fields["n"][k]
+                    s, off, n = place >> 24, place >> 12 & 4095, place & 4095
+                    end, a = s + n - 1 + length, s + off
+                    if copies > 1:
                         known.append((s, end))
-                    waits |= x["n"] == 1
-                    if x["open"] and x["rep"] == row.rid:
-                        a = s + off
-                        # Left names are of the piece read backwards from the gram, cut where the span ends.
+                    waits |= copies == 1
+                    if fields["open"][k] and fields["rep"][k] == rid:
+                        # Names of the pieces on both sides of the gram, cut where the span ends.
                         left = [_name(data[max(s, a - h) : a]) for h in steps]
                         right = [_name(data[a + gram : min(end, a + gram + h)]) for h in steps]
-                        rows.append(name | {"kind": "span", "p1": x["p1"], "p2": x["p2"], "gram": x["gram"], "n": x["n"], "start": s, "off": off, "starts": n, "content": data[s:end], "left": left, "right": right})
+                        rows["span"].append((id_, rid, doc_id, fields["p1"][k], fields["p2"][k], fields["gram"][k], copies, s, off, n, data[s:end], left, right))
+                        held += end - s
                 if waits:
-                    rows.append(name | {"kind": "waits", "content": data, "spans": [{"a": a, "b": b} for a, b in join_spans(known)]})
+                    rows["waits"].append((id_, rid, doc_id, data, join_spans(known)))
+                    held += len(data)
                 else:
-                    rows.append(name | {"kind": "done"} | _outcome(data, known))
-                if sum(len(r["content"]) for r in rows if "content" in r) > 1 << 24:
-                    yield _table(rows)
-                    rows = []
-            if rows:
-                yield _table(rows)
-
-    return docs.join(lists, ["id", "rid"], "left").select("id", "rid", "doc_id", "text", "found").mapInPandas(run, _READ)
-
-
-_COLUMNS = [x.split(" ")[0] for x in _READ.split(", ")]
-
+                    rows["done"].append((id_, rid, doc_id, *_outcome(data, known)))
+                if held > 1 << 24:
+                    yield from (_rows(kind, columns[kind], r) for kind, r in rows.items() if r)
+                    rows, held = {kind: [] for kind in columns}, 0
+        yield from (_rows(kind, columns[kind], r) for kind, r in rows.items() if r)
 
-def _table(rows: list[dict]) -> pd.DataFrame:
-    frame = pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in _COLUMNS})
-    for c in ("id", "rid", "doc_id", "p1", "p2", "gram", "n", "start", "off", "starts", "n_bytes", "n_removed", "n_spans"):
-        frame[c] = pd.array([None if pd.isna(x) else int(x) for x in frame[c]], dtype="Int64")
-    return frame
+    return docs.join(lists, ["id", "rid"], "left").select("id", "rid", "doc_id", "text", "found").mapInArrow(run, _DDL)
 
 
 def _reach(opened: DataFrame, rounds: int) -> DataFrame:
@@ -329,7 +349,8 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             out = []
             for x in batch.itertuples(index=False):
                 known = [(y["a"], y["b"]) for part in (x.spans, x.more) if part is not None for y in part]
-                out.append(_outcome(bytes(x.content), known))
+                spans_, *numbers = _outcome(bytes(x.content), known)
+                out.append((*numbers, [{"a": a, "b": b} for a, b in spans_]))
             frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
             yield pd.concat([batch[["doc_id"]].astype("Int64").reset_index(drop=True), frame], axis=1)
 
