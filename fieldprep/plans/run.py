@@ -10,10 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldprep.operators.filters import keep_year
 from fieldprep.plans.cleaning import CleanTables, clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources
-from fieldprep.plans.polygons import RowFilter, summarise_to_polygons, summary_layer
+from fieldprep.plans.polygons import (
+    RowFilter,
+    placename_worklist,
+    resolve_placenames,
+    summarise_to_polygons,
+    summary_layer,
+    waterbody_layer,
+)
 from fieldprep.plans.reports import report_tables, strict_high_risk, with_destination_region
 from fieldprep.sources.readers import table_or_read
-from fieldprep.sources.sinks import write_table, write_tables
+from fieldprep.sources.sinks import read_or_build, write_table, write_tables
 
 CANONICAL = "AllYears_Canonical"
 CLEAN_NAMES = ("AllYears_All_Columns", "AllYears_Selected_Columns", "AllYears_high_risk", "AllYears_mussel_fouled")
@@ -97,6 +104,21 @@ def make_reports(
     return {"figure_dat_all": stored, **{n: spark.read.parquet(p) for n, p in paths.items()}}
 
 
+def stored_waterbodies(
+    spark: SparkSession, lakes: DataFrame, rivers: DataFrame, manmade: DataFrame, folder: str, refresh: bool = False
+) -> DataFrame:
+    """The layer of all named waterbodies, built once per folder."""
+    path = f"{folder.rstrip('/')}/waterbodies"
+    return read_or_build(spark, path, lambda: waterbody_layer(lakes, rivers, manmade), refresh)
+
+
+def locate_placenames(df: DataFrame, gazetteer: DataFrame, folder: str) -> DataFrame:
+    """The gazetteer of the names that the records use, stored; names it lacks are stored as a list to ask for."""
+    found, unresolved = resolve_placenames(placename_worklist(df), gazetteer)
+    paths = write_tables({"placenames_located": found, "placenames_unresolved": unresolved}, folder)
+    return df.sparkSession.read.parquet(paths["placenames_located"])
+
+
 def make_polygon_summaries(
     spark: SparkSession,
     lookups: Lookups,
@@ -109,10 +131,11 @@ def make_polygon_summaries(
     """All-years and report-year summaries on the polygons; returns the all-years one."""
     df = table_or_read(df, lambda: spark.read.parquet(f"{folder}/{CLEAN_NAMES[0]}"))
     listed = [spark.read.parquet(f"{folder}/{n}") for n in ("figure_dat_hr", "figure_dat_mf")]
+    places = locate_placenames(df, lookups.gazetteer, folder)
     rows_used = rows or RowFilter()
     paths = []
     for scope in (None, year):
-        summary = summarise_to_polygons(df, layers.waterbodies, lookups.gazetteer, *listed, year=scope, rows=rows)
+        summary = summarise_to_polygons(df, layers.waterbodies, places, *listed, year=scope, rows=rows)
         paths.append(f"{folder.rstrip('/')}/{rows_used.label(scope)}")
         write_table(summary_layer(summary, layers.waterbodies), paths[-1])
     return spark.read.parquet(paths[0])

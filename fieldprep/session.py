@@ -6,7 +6,6 @@ On a cluster the caller brings its own session; nothing here overrides it.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,22 +30,14 @@ def local_session(cpus: int | str = 8, app: str = "fieldprep") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: the caller names it, nothing here guesses one.
 
-    A temporary folder of this machine is used only where no folder is named and
-    the session runs on this machine alone; a cluster without one is an error.
+    It is ``spark.checkpoint.dir``, or what ``SparkContext.setCheckpointDir`` was given.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    already = spark.sparkContext.getCheckpointDir()
-    if already:
-        return already
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="fieldprep-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return named
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

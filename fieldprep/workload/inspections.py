@@ -17,13 +17,14 @@ from fieldprep.operators.reshape import literal_rows, union_by_name
 from fieldprep.plans.cleaning import clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources, fouled_keys
 from fieldprep.plans.fixed_values import FOULED_LIST_ROWS
-from fieldprep.plans.polygons import summarise_to_polygons, synthetic_boxes
+from fieldprep.plans.polygons import RowFilter, summarise_to_polygons, synthetic_boxes
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
-from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical
+from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical, stored_waterbodies
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
 from fieldprep.session import shared_folder
-from fieldprep.sources.sinks import read_or_build
-from fieldprep.workload.registry import query, table
+from fieldprep.sources import readers
+from fieldprep.sources.sinks import committed, read_or_build, write_tables
+from fieldprep.workload.registry import ORACLES, query, table
 from fieldprep.workload.storage import scratch
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -372,7 +373,10 @@ def stations(spark, d):
     """
 )
 def report_by_station(spark, d):
-    done = inspections_by_station(_stored(spark, d).selected, stations(spark, d))
+    return _station_columns(inspections_by_station(_stored(spark, d).selected, stations(spark, d)))
+
+
+def _station_columns(done):
     return done.select(
         F.col("Year").cast("bigint").alias("year"),
         F.col("Station").alias("station"),
@@ -542,9 +546,7 @@ def polygon_summary_report_year(spark, d):
 )
 def run_everything(spark, d):
     """All three stages with stored tables between them; how many rows each stored table holds."""
-    folder = scratch(spark)
-    layers = Layers(states(spark, d), stations(spark, d), regions(spark, d), waterbodies(spark, d))
-    run_all(spark, sources(spark, d), lookups(spark), layers, folder, 2020)
+    folder = _run(spark, d)
     names = [
         "AllYears_All_Columns",
         "AllYears_Selected_Columns",
@@ -560,3 +562,110 @@ def run_everything(spark, d):
         for n in names
     ]
     return union_by_name(counts)
+
+
+def _run(spark, d):
+    """The folder of a whole run, done once per application; the layers come through their readers."""
+    tables = hashlib.sha1(str(d).encode()).hexdigest()[:12]
+    folder = f"{shared_folder(spark).rstrip('/')}/run-{spark.sparkContext.applicationId}-{tables}"
+    last = f"{folder}/{RowFilter().label(2020)}"
+    if not committed(spark, last):
+        made = {"states": states(spark, d), "stations": stations(spark, d), "regions": regions(spark, d), "lakes": waterbodies(spark, d)}
+        paths = write_tables(made, f"{folder}/layers")
+        parts = lambda name, **columns: readers.read_parts(spark, paths[name], columns)
+        lakes = parts("lakes", WATERSH=dict(made["lakes"].dtypes)["WATERSH"], GNIS_NA="string")
+        layers = Layers(
+            parts("states", NAME_0="string", NAME_1="string", HASC_1="string"),
+            readers.read_points(spark, paths["stations"]),
+            parts("regions", REGION_G="string", REGION_N="string"),
+            stored_waterbodies(spark, lakes.filter(~F.col("GNIS_NA").isin("Pacific Ocean", "Dry Storage")), lakes.limit(0), lakes.limit(0), folder),
+        )
+        run_all(spark, sources(spark, d), lookups(spark), layers, folder, 2020)
+    return folder
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL},
+    c AS (SELECT abbr, count(*) AS total, nullif(count(*) FILTER (WHERE high_risk AND k % 7 <> 0), 0) AS hr,
+                 nullif(count(*) FILTER (WHERE fouled), 0) AS mf, nullif(count(*) FILTER (WHERE k % 9 = 0), 0) AS ch
+          FROM clean WHERE y = 2020 GROUP BY abbr),
+    s AS (SELECT n_name AS name, n_nationkey, total, hr, mf, ch
+          FROM nation LEFT JOIN c ON abbr = CASE n_nationkey WHEN 3 THEN 'AB' WHEN 4 THEN 'MT' WHEN 5 THEN 'BN' WHEN 6 THEN 'WA' ELSE 'X' || n_nationkey END
+          WHERE n_nationkey <> 5)
+    SELECT 'No_inspection' AS layer, name, n_nationkey * 2.0 - 139 AS x, 45.5 AS y FROM s WHERE total IS NULL
+    UNION ALL SELECT 'No_HR_inspection', name, n_nationkey * 2.0 - 139, 45.5 FROM s WHERE hr IS NULL
+    UNION ALL SELECT 'No_MF_inspection', name, n_nationkey * 2.0 - 139, 45.5 FROM s WHERE mf IS NULL
+    UNION ALL SELECT 'No_CH_inspection', name, n_nationkey * 2.0 - 139, 45.5 FROM s WHERE ch IS NULL
+    """
+)
+def stored_labels(spark, d):
+    """The label layers as a whole run stored them: regions without any inspection of a kind."""
+    folder = _run(spark, d)
+    layers = ["No_inspection", "No_HR_inspection", "No_MF_inspection", "No_CH_inspection"]
+    read = lambda n: spark.read.parquet(f"{folder}/{n}_states_labels")
+    return union_by_name(
+        [read(n).select(F.lit(n).alias("layer"), F.col("NAME_1").alias("name"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y")) for n in layers]
+    )
+
+
+@query(ORACLES["report_by_station"])
+def stored_stations(spark, d):
+    """The station table as a whole run stored it."""
+    return _station_columns(spark.read.parquet(f"{_run(spark, d)}/Inspections_Summarised_at_Station_level"))
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL}, {_POLYGON_SQL},
+    p AS ({_POLYGON_COUNTS} GROUP BY ALL), r AS ({_POLYGON_COUNTS} WHERE y = 2020 GROUP BY ALL),
+    parts AS (SELECT watersh, name FROM lakes UNION ALL VALUES (0, 'Pacific Ocean'), (0, 'Dry Storage'))
+    SELECT 'all years' AS scope, watersh, name, total, fouled, high_risk, count(*) AS parts FROM p JOIN parts USING (watersh, name) GROUP BY ALL
+    UNION ALL SELECT 'report year', watersh, name, total, fouled, high_risk, count(*) FROM r JOIN parts USING (watersh, name) GROUP BY ALL
+    """
+)
+def stored_polygons(spark, d):
+    """Both polygon layers as a whole run stored them, counted by feature; every part has its outline."""
+    folder = _run(spark, d)
+
+    def read(scope, year):
+        layer = spark.read.parquet(f"{folder}/{RowFilter().label(year)}").filter("size(rings) > 0")
+        keys = ["watersh", "name", "total", "fouled", "high_risk"]
+        shown = layer.select(
+            F.col("WATERSH").cast("bigint").alias("watersh"),
+            F.col("GNIS_NA").alias("name"),
+            F.col("TotalInspections").alias("total"),
+            F.col("NumberMusselFouled").alias("fouled"),
+            F.col("highrisk_Counter").alias("high_risk"),
+        )
+        return shown.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts")).withColumn("scope", F.lit(scope))
+
+    return read("all years", None).unionByName(read("report year", 2020))
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL} SELECT DISTINCT city AS names FROM clean WHERE city NOT IN ('Vernon', 'Langley', 'Calgary', 'Nelson', 'Kelowna')
+    UNION SELECT 'Kelowna, British Columbia, CAN' FROM clean WHERE late AND k % 3 = 0
+    """
+)
+def stored_placenames(spark, d):
+    """The names a whole run could not locate, stored as a list to ask for."""
+    return spark.read.parquet(f"{_run(spark, d)}/placenames_unresolved")
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL} SELECT CAST(y AS VARCHAR) AS year, id, station, CASE WHEN fouled THEN 'true' ELSE 'false' END AS fouled, dest FROM clean
+    """
+)
+def stored_text(spark, d):
+    """The report table that a whole run stored as delimited text, read back."""
+    text = readers.read_lookup(spark, f"{_run(spark, d)}/figure_dat_all_csv")
+    return text.select(
+        F.col("Year").alias("year"),
+        F.col("Watercraft_Risk_Assessment_ID").alias("id"),
+        F.col("Station").alias("station"),
+        F.col("MusselsFound_Ind").alias("fouled"),
+        F.col("Destination_Waterbody_1_Name").alias("dest"),
+    )

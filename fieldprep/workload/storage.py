@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldprep.operators.reshape import union_by_name
@@ -83,6 +84,26 @@ def read_extract_files(spark, d):
     return read.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "Year")
 
 
+@query(
+    """
+    SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(0 AS BIGINT) AS out_of_order FROM orders
+    """
+)
+def write_in_order(spark, d):
+    """A table sorted once at the sink: each stored file ends where the next one begins."""
+    path = f"{scratch(spark)}/ordered"
+    sinks.write_ordered(table(spark, d, "orders"), path, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.col("_metadata.file_name").alias("file"))
+        .agg(F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    )
+    # One row per file.
+    before = F.min("low").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    marked = files.withColumn("bad", F.col("high") > before)
+    return marked.agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.count_if("bad").alias("out_of_order"))
+
+
 @query(
     """
     SELECT c_custkey, c_custkey % 2 AS list, c_mktsegment AS said FROM customer WHERE c_custkey % 3 = 0

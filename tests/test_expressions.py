@@ -153,3 +153,14 @@ def test_hours(one):
     at = {"s": ("timestamp_ntz", datetime(2021, 7, 1, 8)), "e": ("timestamp_ntz", datetime(2021, 7, 1, 6, 30))}
     assert one(at, clock.shift_hours(A("s"), A("e"))) == 1.5
     assert one(at, clock.ceil_hour(A("e")), clock.ceil_hour(A("s"))) == (datetime(2021, 7, 1, 7), datetime(2021, 7, 1, 8))
+
+
+def test_flags_in_capitals_and_iso_clocks(one):
+    A = F.col
+    assert one({"a": ("string", "TRUE"), "b": ("string", None)}, recode.either_flag(A("a"), A("b"))) is True
+    read = lambda t: str(one({"a": ("string", t)}, clock.parse_iso_clock(A("a"))))
+    assert read("2016-05-01 12:30") == "2016-05-01 12:30:00" and read("2016-05-01") == "2016-05-01 00:00:00"
+    assert read("2016/5/1 1:2:3") == "2016-05-01 01:02:03" and read("May 1") == "None" and read("2016-13-01") == "None"
+    cut = lambda t: one({"a": ("string", t)}, text.between_commas(A("a")))
+    assert [cut(t) for t in ("City, Region, Country", "a, b, c, d", "a, b", "a,b,c", "no", None, "a, , b", "x\ny, z, w", "é, 日本, b")] == [
+        "Region", "b, c", None, None, None, None, "", "z", "日本"]

@@ -273,3 +273,12 @@ def test_missing_workflow_is_the_inspection_day(spark):
 def test_times_outside_the_shift_move_back(spark):
     df = spark.createDataFrame([(AT(5, 40), AT(6), AT(14)), (AT(20), AT(6), AT(14)), (AT(14, 30), AT(6), AT(14))], "t timestamp_ntz, s timestamp_ntz, e timestamp_ntz")
     assert [r.t for r in shifts.move_back_outside_shift(df, "t", "s", "e").collect()] == [AT(5, 40), AT(12), AT(14, 30)]
+
+
+def test_full_outer_merge_refuses_what_it_cannot_merge(spark):
+    a = spark.createDataFrame([(1, 5), (1, 6)], "k int, v int")
+    b = spark.createDataFrame([(1, 7)], "k int, w int")
+    with pytest.raises(Exception, match="not unique"):
+        joins.full_outer_merge([a, b], ["k"]).collect()
+    with pytest.raises(ValueError):
+        joins.full_outer_merge([b, b], ["k"])

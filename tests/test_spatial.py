@@ -99,7 +99,7 @@ def test_containment_matches_brute_force(spark, features, points):
     made = [(w, n, [square(x, y, r)]) for w, n, x, y, r in features]
     numbered = [(i, x * 1.0, y * 1.0) for i, (_, x, y) in enumerate(points)]
     found = sp.locate_points(
-        spark.createDataFrame(numbered, "i int, x double, y double"), parts_of(spark, made), ["w"], cell=4.0, levels=3
+        spark.createDataFrame(numbered, "i int, x double, y double"), parts_of(spark, made), ["w"], cell=4.0
     )
     got = sorted((r.i, -1 if r.w is None else r.w) for r in found.collect())
     want = []
@@ -151,3 +151,12 @@ def test_layer_keeps_boxes_and_drops_the_nameless(spark):
         (7, "M", "Manmade"),
         (7, "R", "River"),
     ]
+
+
+def test_point_on_a_shared_edge_counts_once_per_feature(spark):
+    square = lambda x: [[[x, 0.0], [x + 1, 0.0], [x + 1, 1.0], [x, 1.0], [x, 0.0]]]
+    made = [("a", square(0.0)), ("a", square(1.0)), ("b", square(1.0)), ("wide", [[[-1e6, -1e6], [1e6, -1e6], [1e6, 1e6], [-1e6, 1e6], [-1e6, -1e6]]])]
+    parts = spark.createDataFrame([(n, [[tuple(p) for p in ring] for ring in r]) for n, r in made], f"w string, rings {g.RINGS_TYPE}")
+    points = spark.createDataFrame([(1, 1.0, 0.5), (2, 5e5, 5e5), (3, 3e6, 0.0)], "i int, x double, y double")
+    found = sp.locate_points(points, parts, ["w"], 1.0)
+    assert sorted((r.i, str(r.w)) for r in found.collect()) == [(1, "a"), (1, "b"), (1, "wide"), (2, "wide"), (3, "None")]

@@ -131,3 +131,31 @@ def test_stream_refuses_a_changed_header(spark, tmp_path):
     )
     with pytest.raises(Exception):
         query.awaitTermination()
+
+
+def test_half_written_cache_is_built_again(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(5).write.parquet(path)
+    (tmp_path / "table" / "_SUCCESS").unlink()
+    assert sinks.read_or_build(spark, path, lambda: spark.range(7)).count() == 7
+    with pytest.raises(ValueError):
+        sinks.read_or_build(spark, "", lambda: spark.range(1))
+
+
+def test_append_needs_the_partition_in_the_key(spark, tmp_path):
+    batch = spark.createDataFrame([(1, 2020)], "id int, Year int")
+    with pytest.raises(ValueError):
+        append_new(batch, str(tmp_path / "t"), ["id"], "Year")
+
+
+def test_titled_table_keeps_every_record(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('A title, with a comma\nid,note,c,c\n1,"two\nlines",A,x\n2,"he said ""hi, you"" ok",  B  ,NA\nid,note,c,c\n3,,"a ""q"", b",\n')
+    found = readers.read_titled_csv(spark, str(path))
+    assert [tuple(r) for r in found.collect()] == [
+        ("1", "two\nlines", "A", "x"), ("2", 'he said "hi, you" ok', "B", "NA"), ("id", "note", "c", "c"), ("3", None, 'a "q", b', None),
+    ]
+    plain = tmp_path / "e" / "metabase_1.csv"
+    plain.parent.mkdir()
+    plain.write_text('a,b\n1,NA\n"x\ny",""\n')
+    assert [tuple(r) for r in readers.read_extracts(spark, str(plain.parent)).collect()] == [("1", None, 2020), ("x\ny", None, 2020)]
