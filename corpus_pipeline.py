@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldprep.llm import bpe, exact_dedup, mixing, simhash, toxicity
 from fieldprep.llm.store import written
@@ -35,8 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian 32-bit numbers) and the hash of the text they decode to."""
-    coded = bpe.decode_documents(bpe.encode_documents(docs, TOKENIZER), TOKENIZER)
-    return coded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, TOKENIZER)
 
 
 STAGES = [

@@ -10,18 +10,20 @@ decides the speed and never the ids.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
+from fieldprep.llm.batches import steps, texts
 from fieldprep.llm.lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon; what a partition's table holds at most and hands on.
@@ -247,19 +249,18 @@ def count_words(docs: DataFrame, vocabulary: Vocabulary, counted: int = COUNTED,
     """(word, n): the frequent words of all texts; a count lacks at most what a partition dropped."""
     whole = vocabulary.whole
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, counts = Splitter(whole), Counter()
-        for batch in batches:
-            for text in batch["text"]:
+        for batch in steps(batches):
+            for text in texts(batch):
                 counts.update(split(text))
                 if len(counts) > counted:
                     floor = sorted(counts.values())[len(counts) // 2]
                     counts = Counter({w: n for w, n in counts.items() if n > floor})
         top = [(w, n) for w, n in counts.most_common(handed_on) if w not in whole and len(w) <= REMEMBERED_BYTES]
-        yield pd.DataFrame(top, columns=["word", "n"]).astype({"word": str, "n": np.int64})
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
 
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_WORDS) -> Lexicon:
@@ -272,37 +273,67 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encode_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
-    """doc_id and ids (little-endian 32-bit numbers in a binary column) of every row of ``docs``.
-
-    ``path`` is a byte-level BPE file of the tokenizers library, read on the driver. Strings of its
-    whole tokens are encoded as these tokens. A NULL text is the empty one, which has no ids. Rows
-    that repeat, or have no doc_id, are encoded like any other. Other columns are not read.
-    """
+def _encoding(docs: DataFrame, path: str, words: int):
+    """A function that gives a worker its encoder, made once per worker and lexicon."""
     vocabulary = Vocabulary(path)
     spark = docs.sparkSession
     # Both have fixed bounds: the vocabulary file, and the lexicon's number of words.
     shared = spark.sparkContext.broadcast((vocabulary, build_lexicon(docs, vocabulary, words).to_bytes()))
     name = f"{spark.sparkContext.applicationId}-{id(shared)}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoder() -> Encoder:
         if name not in _ENCODERS:
             _ENCODERS.clear()
             _ENCODERS[name] = Encoder(shared.value[0], Lexicon.mapped(shared.value[1]))
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": _ENCODERS[name].encode(batch["text"].tolist())})
+        return _ENCODERS[name]
+
+    return encoder
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def encode_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
+    """doc_id and ids (little-endian 32-bit numbers in a binary column) of every row of ``docs``.
+
+    ``path`` is a byte-level BPE file of the tokenizers library, read on the driver. Strings of its
+    whole tokens are encoded as these tokens. A NULL text is the empty one, which has no ids. Rows
+    that repeat, or have no doc_id, are encoded like any other. Other columns are not read.
+    """
+    encoder = _encoding(docs, path, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            ids = pa.array(encoder().encode(texts(batch)), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, ids binary")
+    return _texts(docs).mapInArrow(run, "doc_id bigint, ids binary")
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with the text that the ids stand for; NULL ids are no ids."""
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(path).token_bytes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(text=[decode(bytes(x), shared.value) for x in batch["ids"]])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            text = pa.array([decode(x, shared.value) for x in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=["doc_id", "ids", "text"])
 
     rows = encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
-    return rows.mapInPandas(run, "doc_id bigint, ids binary, text string")
+    return rows.mapInArrow(run, "doc_id bigint, ids binary, text string")
+
+
+def round_trip(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded_sha256: both ways in one pass, the decoded text only as its hash."""
+    encoder = _encoding(docs, path, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            ids, pieces = encoder().encode(texts(batch)), encoder().vocabulary.token_bytes
+            hashes = [hashlib.sha256(decode(x, pieces).encode("utf-8", "replace")).hexdigest() for x in ids]
+            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+            columns = [batch.column(0), counts, pa.array(ids, pa.binary()), pa.array(hashes, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    return _texts(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, decoded_sha256 string")

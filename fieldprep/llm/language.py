@@ -13,11 +13,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldprep.llm.bags import Trainer
+from fieldprep.llm.batches import steps
 from fieldprep.llm.subwords import Grams, blocks
 
 BITS, DIMENSIONS, SPREAD = 16, 16, 3
@@ -130,10 +131,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            langs, found = shared.value.predict(batch["text"].tolist())
-            yield batch[["doc_id", "held_out"]].assign(lang_pred=langs, score=found, rejected=(found < shared.value.least) | (found == 0))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            langs, found = shared.value.predict(batch.column(2).to_pylist())
+            rejected = (found < shared.value.least) | (found == 0)
+            columns = [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(found), pa.array(rejected)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), held_out().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean")

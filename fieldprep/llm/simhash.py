@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldprep.llm.batches import steps, texts
 from fieldprep.llm.components import components
 from fieldprep.llm.store import cut
 
@@ -60,16 +61,16 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = np.fromiter((fingerprint(t) for t in batch["text"]), np.uint64, len(batch))
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": found.view(np.int64)})
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in steps(batches):
+        found = np.fromiter((fingerprint(t) for t in texts(batch)), np.uint64, batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
 
 def fingerprint_rows(docs: DataFrame) -> DataFrame:
     """doc_id and the fingerprint as a signed 64-bit number."""
     whole = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return whole.mapInPandas(_fingerprints, "doc_id bigint, fp bigint")
+    return whole.mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
 
 
 class Groups:
@@ -228,8 +229,8 @@ def drop_near_copies(docs: DataFrame, budget: int = BUDGET, node_size: int = NOD
     schema = unnamed.select(F.struct("*").alias("row"), F.lit("").alias("print")).schema
 
     def attach(batches: Iterator) -> Iterator:
-        for batch in batches:
-            prints = [f"{fingerprint(t):016x}" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+        for batch in steps(batches):
+            prints = [f"{fingerprint(t):016x}" for t in texts(batch)]
             rows = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
             yield pa.RecordBatch.from_arrays([rows, pa.array(prints)], names=["row", "print"])
 

@@ -17,12 +17,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldprep.llm.bags import Trainer, spans
+from fieldprep.llm.batches import steps, texts
 from fieldprep.llm.subwords import Grams, blocks
 
 BITS, DIMENSIONS, SPREAD = 17, 8, 6
@@ -44,10 +44,10 @@ class Model:
     scale: float = 1.0
     shift: float = 0.0
 
-    def logits(self, texts: list[str | None]) -> np.ndarray:
+    def logits(self, said: list[str | None]) -> np.ndarray:
         """The largest window logit of each text; that of an empty window where it has no word."""
-        best = np.full(len(texts), -np.inf)
-        for numbers, parts in blocks(texts):
+        best = np.full(len(said), -np.inf)
+        for numbers, parts in blocks(said):
             grams = Grams(parts, BITS, runs=True)
             if grams.words:
                 first, end = spans(grams.part, WINDOW)
@@ -55,19 +55,19 @@ class Model:
                 np.maximum.at(best, numbers[grams.part[first]], (sums[end] - sums[first]) / WINDOW + self.bias)
         return np.where(np.isfinite(best), best, min(self.bias, 0.0))
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        z = self.logits(texts) * self.scale + self.shift
+    def scores(self, said: list[str | None]) -> np.ndarray:
+        z = self.logits(said) * self.scale + self.shift
         return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _train(texts: list[str], toxic: np.ndarray, seed: int, epochs: int, rate: float) -> Model:
-    t = Trainer(texts, 2, width=WINDOW, bits=BITS, dimensions=DIMENSIONS, spread=SPREAD, seed=seed)
+def _train(said: list[str], toxic: np.ndarray, seed: int, epochs: int, rate: float) -> Model:
+    t = Trainer(said, 2, width=WINDOW, bits=BITS, dimensions=DIMENSIONS, spread=SPREAD, seed=seed)
     target = toxic[t.doc]
     for epoch in range(epochs):
         take = np.ones(len(t.doc), bool)
         if epoch >= 2:
             z = t.window_sums(t.vectors @ (t.weights[:, 1] - t.weights[:, 0])) + t.bias[1] - t.bias[0]
-            top = np.full(len(texts), -np.inf)
+            top = np.full(len(said), -np.inf)
             np.maximum.at(top, t.doc, z)
             # Toxic: the worst window and others that look toxic. Clean: all but most of the safely clean.
             take = np.where(target == 1, (z >= top[t.doc]) | (z > 1), (z > -4) | (t.rng.random(len(z)) < 0.2))
@@ -93,18 +93,18 @@ def _calibrate(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[fl
     return max(0.1, float(beta[0])), float(beta[1])
 
 
-def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 7, epochs: int = 8, rate: float = 0.3) -> Model:
+def fit(said: list[str], toxic: np.ndarray, share: float, seed: int = 7, epochs: int = 8, rate: float = 0.3) -> Model:
     """A model from labelled texts; ``share`` is the part of all labelled texts that is toxic.
 
     Without texts of both classes every score is that share.
     """
     toxic = np.asarray(toxic, np.int64)
-    held = np.arange(len(texts)) % CALIBRATE == 0
+    held = np.arange(len(said)) % CALIBRATE == 0
     if min(np.bincount(toxic[~held], minlength=2)) == 0 or min(np.bincount(toxic[held], minlength=2)) == 0:
         even = float(np.clip(share, 1e-12, 1 - 1e-12))
         return Model(np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.log(even / (1 - even))))
-    model = _train([t for t, h in zip(texts, held, strict=True) if not h], toxic[~held], seed, epochs, rate)
-    z, y = model.logits([t for t, h in zip(texts, held, strict=True) if h]), toxic[held]
+    model = _train([t for t, h in zip(said, held, strict=True) if not h], toxic[~held], seed, epochs, rate)
+    z, y = model.logits([t for t, h in zip(said, held, strict=True) if h]), toxic[held]
     # Both classes weigh the same, so the threshold leans to neither, however rare toxic texts are.
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     model.scale, model.shift = _calibrate(z, y, weight)
@@ -147,22 +147,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = _shared(docs, model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = shared.value.scores(batch["text"].tolist())
-            yield batch[["doc_id", "held_out"]].assign(score=found, predicted=(found >= THRESHOLD).astype(np.int32))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            found = shared.value.scores(texts(batch))
+            columns = [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= THRESHOLD).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), held_out().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose text scores below the threshold, all columns as they are."""
     shared = _shared(docs, model)
 
-    def run(batches: Iterator) -> Iterator:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array(shared.value.scores(texts) < THRESHOLD))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            yield batch.filter(pa.array(shared.value.scores(texts(batch)) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
