@@ -23,6 +23,8 @@ WEIGHTS = (5, 2, 1)
 REPEATS = 3
 #: Buckets of keys at each of the two levels.
 BUCKETS = 1024
+#: Parts that the rows of a source are dealt to when they meet what is known of the source.
+PARTS = 32
 
 _LAST = 2**63 - 1
 
@@ -82,6 +84,16 @@ def targets(rows: DataFrame) -> DataFrame:
     return found.select("src", "source_size", "target", "epochs", (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest"))
 
 
+def _meet(rows: DataFrame, known: DataFrame, *more: str) -> DataFrame:
+    """Rows with what is known of their source, a short table that is repeated for each part of the rows.
+
+    So a source that holds a third of all rows is spread whatever the join.
+    """
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("key", "doc_id"), F.lit(PARTS)).cast("int"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    return dealt.join(known.withColumn("part", parts), ["src", "part", *more]).drop("part")
+
+
 def _bucket(levels: int) -> Column:
     return F.floor(F.col("key") * BUCKETS**levels)
 
@@ -101,10 +113,10 @@ def cuts(rows: DataFrame) -> DataFrame:
     for level in (1, 2):
         inside = rows.withColumn("bucket", _bucket(level))
         if level == 2:
-            inside = inside.withColumn("outer", _bucket(1)).join(limits.select("src", F.col("bucket").alias("outer")), ["src", "outer"])
+            inside = _meet(inside.withColumn("outer", _bucket(1)), limits.select("src", F.col("bucket").alias("outer")), "outer")
         sums = inside.groupBy("src", "bucket").agg(F.sum("size").alias("size"))
         limits = cut(_crossing(sums, limits.select("src", "rest", "before")))
-    last = rows.withColumn("bucket", _bucket(2)).join(limits, ["src", "bucket"])
+    last = _meet(rows.withColumn("bucket", _bucket(2)), limits, "bucket")
     # About a millionth of a source's rows each.
     upto = F.sum("size").over(Window.partitionBy("src").orderBy("key", F.coalesce("doc_id", F.lit(_LAST))))
     taken = last.withColumn("upto", upto).filter(F.col("before") + F.col("upto") - F.col("size") / 2 <= F.col("rest"))
@@ -129,13 +141,13 @@ def mix(docs: DataFrame) -> DataFrame:
     are rows without doc_id. An empty table gives an empty result. Other columns are not read.
     """
     rows = cut(measured(docs))
-    found = rows.join(cuts(rows), "src")
+    found = _meet(rows, cuts(rows))
     return found.select("doc_id", "size", "source_size", "target", (passes(found) * F.col("size")).cast("bigint").alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
     ends = cut(cuts(cut(measured(docs))))
-    found = measured(docs, F.struct("*").alias("row")).join(ends, "src")
+    found = _meet(measured(docs, F.struct("*").alias("row")), ends)
     again = found.withColumn("again", F.explode(F.array_repeat(F.lit(0), passes(found))))
     return again.select("row.*")
