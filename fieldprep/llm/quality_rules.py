@@ -22,6 +22,8 @@ COMMON, CANDIDATES, SKETCH = 12, 32, 8192
 #: Distances beyond which a document fails, and the sizes from which it is judged.
 FAR_CHARS, FAR_WORDS = 0.32, 0.4
 JUDGED_CHARS, JUDGED_WORDS = 200, 100
+#: Languages up to which the short table of them is sent to every task, at about a kilobyte each.
+LANGUAGES = 2000
 #: Words of a language from which its reference counts.
 REFERENCE_WORDS = 2000
 
@@ -67,6 +69,12 @@ def measured(docs: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop("twice")
 
 
+def _of_language(rows: DataFrame, known: DataFrame, how: str) -> DataFrame:
+    """Rows with what is known of their language: without moving the rows, unless there are too many languages."""
+    known = cut(known)
+    return rows.join(F.broadcast(known) if known.count() <= LANGUAGES else known, "lang", how)
+
+
 def common_words(rows: DataFrame) -> DataFrame:
     """lang and ``common``, the words that are most frequent in its documents, in order.
 
@@ -74,8 +82,8 @@ def common_words(rows: DataFrame) -> DataFrame:
     """
     words = rows.filter("lang IS NOT NULL").select("lang", F.explode("lowered").alias("word"))
     sketch = words.groupBy("lang").agg(F.expr(f"approx_top_k(word, {CANDIDATES}, {SKETCH})").alias("top"))
-    candidates = cut(sketch.select("lang", F.transform("top", lambda x: x["item"]).alias("candidates")))
-    hits = rows.join(candidates, "lang").select("lang", F.explode(F.filter("lowered", lambda w: F.array_contains("candidates", w))).alias("word"))
+    candidates = sketch.select("lang", F.transform("top", lambda x: x["item"]).alias("candidates"))
+    hits = _of_language(rows, candidates, "inner").select("lang", F.explode(F.filter("lowered", lambda w: F.array_contains("candidates", w))).alias("word"))
     counts = hits.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     # At most the candidates of one language meet here.
     ordered = counts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("top"))
@@ -115,7 +123,7 @@ def judged(docs: DataFrame) -> DataFrame:
     repeat are each judged. An empty table gives an empty result. Other columns are not read.
     """
     rows = measured(docs)
-    ready = rows.join(cut(common_words(rows)), "lang", "left").withColumn("found", _common_counts())
+    ready = _of_language(rows, common_words(rows), "left").withColumn("found", _common_counts())
     counts = F.transform("common", lambda w: F.size(F.filter("found.hits", lambda x: x == w)))
     ready = ready.withColumn("by_word", F.concat(counts.cast("array<double>"), F.array(F.col("found.other").cast("double"))))
     ready = cut(ready.withColumn("by_class", _characters().cast("array<double>")).drop("lowered", "found", "common"))
@@ -126,7 +134,7 @@ def judged(docs: DataFrame) -> DataFrame:
         F.array(*[f"by_class_{i}" for i in range(len(CLASSES) + 2)]).alias("class_reference"),
         F.slice(F.array(*[f"by_word_{i}" for i in range(COMMON + 1)]), F.lit(1), F.col("bins")).alias("word_reference"),
     )
-    compared = ready.join(references, "lang", "left").select(
+    compared = _of_language(ready, references, "left").select(
         "*",
         F.when(F.col("n_chars") >= JUDGED_CHARS, distance(F.col("by_class"), F.col("class_reference"))).alias("far_chars"),
         F.when(F.col("n_words") >= JUDGED_WORDS, distance(F.col("by_word"), F.col("word_reference"))).alias("far_words"),
