@@ -209,4 +209,6 @@ def combine_sources(
     tables = [canonical_extracts(extracts, full_repair)]
     tables += [canonical_year(years[y], y) for y in sorted(years, reverse=True)]
     df = zoned_inspection_time(union_by_name(tables))
+    # Extracts alone lack what only yearly tables say.
+    df = df.withColumns({c: F.lit(None).cast("string") for c in YEARLY_SCHEMA if c not in df.columns})
     return combine_fouled_flags(align_fouled(df, fouled_lists(fouled_by_year, fouled_recent)))

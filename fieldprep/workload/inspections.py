@@ -22,6 +22,7 @@ from fieldprep.plans.reports import inspections_by_source, inspections_by_statio
 from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical, stored_waterbodies
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
 from fieldprep.session import shared_folder
+from fieldprep.streaming.inspections import append_inspections
 from fieldprep.sources import readers
 from fieldprep.sources.sinks import committed, read_or_build, write_tables
 from fieldprep.workload.registry import ORACLES, query, table
@@ -282,7 +283,10 @@ CLEAN_SQL = """
 )
 def combine_and_clean(spark, d):
     """Seven years in six shapes to one cleaned table."""
-    df = _clean(spark, d).everything
+    return _clean_columns(_clean(spark, d).everything)
+
+
+def _clean_columns(df):
     return df.select(
         F.col("Year").cast("bigint").alias("year"),
         F.col("Watercraft_Risk_Assessment_ID").alias("id"),
@@ -308,6 +312,21 @@ def combine_and_clean(spark, d):
     )
 
 
+@query(ORACLES["combine_and_clean"].rstrip() + " WHERE late")
+def stream_inspections(spark, d):
+    """The extracts arriving as one file per year, cleaned and appended batch by batch, then all replayed."""
+    folder, known = scratch(spark), lookups(spark)
+    raw = raw_extracts(base(spark, d))
+    for year in (2020, 2021, 2022, 2023, 2024, 2025):
+        raw.filter(F.col("Year") == year).coalesce(1).write.mode("append").parquet(f"{folder}/arrived")
+    fouled = sources(spark, d).fouled_recent
+    for replay, files in (("first", 3), ("again", None)):
+        append_inspections(
+            spark, f"{folder}/arrived", raw.schema, fouled, known, f"{folder}/table", f"{folder}/checkpoint-{replay}", "parquet", files_per_batch=files
+        ).awaitTermination()
+    return _clean_columns(spark.read.parquet(f"{folder}/table"))
+
+
 def _utc(column: str) -> Column:
     from fieldprep.functions.clock import utc_clock
 

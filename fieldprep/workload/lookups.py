@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldprep.functions.recode import holds
 from fieldprep.operators import filters, joins
-from fieldprep.operators.aggregates import conditional_counts
 from fieldprep.operators.reshape import literal_rows
-from fieldprep.plans.fixed_values import INFECTED_SOURCE_REGIONS
 from fieldprep.workload.registry import query, table
 
 
@@ -249,11 +249,12 @@ def _line_groups(spark, d):
 
 
 @query(
-    f"""
-    WITH c AS (SELECT c_custkey, ({[*INFECTED_SOURCE_REGIONS, 'BC', 'ON', 'QC']!r})[CAST(c_custkey % 32 AS INTEGER) + 1] AS province,
+    """
+    WITH c AS (SELECT c_custkey, (['WA', 'OR', 'CA', 'NV', 'ID', 'MT', 'WY', 'CO', 'UT', 'AZ', 'NM', 'NE', 'MI', 'OH', 'WV', 'VA',
+                                   'NC', 'PA', 'NY', 'VT', 'NH', 'MA', 'RI', 'CT', 'NJ', 'DE', 'MC', 'DC', 'AB', 'BC', 'ON', 'QC'])[CAST(c_custkey % 32 AS INTEGER) + 1] AS province,
                       (['Goat River', 'Elk River', 'Upper Elk River', 'Kalamalka Lake', 'Duck Creek'])[CAST(c_nationkey % 5 AS INTEGER) + 1] AS water,
                       CASE c_custkey % 4 WHEN 0 THEN 'Fernie' WHEN 1 THEN 'Elko' WHEN 2 THEN 'Prince George' END AS city FROM customer)
-    SELECT c_custkey, 'regions' AS preset FROM c WHERE province IN {INFECTED_SOURCE_REGIONS!r}
+    SELECT c_custkey, 'regions' AS preset FROM c WHERE province NOT IN ('BC', 'ON', 'QC')
     UNION ALL
     SELECT c_custkey, 'waters' FROM c WHERE regexp_matches(water, 'Goat River|Emerald Lake|Elk River|Boulder Creek|Duck Creek')
            AND NOT (water = 'Elk River' AND coalesce(city NOT IN ('Fernie', 'Elko'), true))
@@ -267,10 +268,11 @@ def preset_filter(spark, d):
     key = F.col("c_custkey")
     of = lambda values, k: F.get(F.array(*[F.lit(v) for v in values]), k.cast("int"))
     waters = ("Goat River", "Elk River", "Upper Elk River", "Kalamalka Lake", "Duck Creek")
+    provinces = "WA OR CA NV ID MT WY CO UT AZ NM NE MI OH WV VA NC PA NY VT NH MA RI CT NJ DE MC DC AB BC ON QC".split()
     df = table(spark, d, "customer").select(
         "c_custkey",
         "c_mktsegment",
-        of((*INFECTED_SOURCE_REGIONS, "BC", "ON", "QC"), key % 32).alias("Previous_Waterbody_1_Province_Or_State"),
+        of(provinces, key % 32).alias("Previous_Waterbody_1_Province_Or_State"),
         of(waters, F.col("c_nationkey") % 5).alias("Previous_Waterbody_1_Name"),
         F.when(key % 4 == 0, "Fernie")
         .when(key % 4 == 1, "Elko")
@@ -311,18 +313,18 @@ def first_n_source_rows(spark, d):
     """
 )
 def row_filters(spark, d):
-    """Each filter rule and what it keeps per year, counted in one pass over the table."""
+    """What each filter operator keeps per year."""
     orders = table(spark, d, "orders").select(F.year("o_orderdate").cast("bigint").alias("year"), "o_orderpriority", "o_orderstatus")
-    urgent, year = F.col("o_orderpriority") == "1-URGENT", F.col("year")
-    split = holds(F.col("o_orderpriority").rlike("^[0-9]-[HL]"))
-    rules = {
-        "report": year == 1998,
+    urgent = filters.keep_values(orders, "o_orderpriority", ["1-URGENT"])
+    yes, no = filters.split_by(orders, F.col("o_orderpriority").rlike("^[0-9]-[HL]"))
+    kept = {
+        "report": filters.keep_year(orders, 1998, "year"),
         "urgent": urgent,
-        "strict": urgent & ((F.col("o_orderstatus") != "F") | (year < 1997)),
-        "old era": year.between(1995, 1998),
-        "new era": year >= 1999,
-        "split yes": split,
-        "split no": ~split,
+        "strict": urgent.filter((F.col("o_orderstatus") != "F") | (F.col("year") < 1997)),
+        "old era": filters.keep_era(orders, 1995, 1998, "year"),
+        "new era": filters.keep_era(orders, 1999, None, "year"),
+        "split yes": yes,
+        "split no": no,
     }
-    wide = conditional_counts(orders, ["year"], rules)
-    return wide.unpivot(["year"], list(rules), "rule", "n").filter(F.col("n") > 0)
+    tagged = [df.select("year", F.lit(rule).alias("rule")) for rule, df in kept.items()]
+    return reduce(DataFrame.unionByName, tagged).groupBy("year", "rule").agg(F.count(F.lit(1)).alias("n"))

@@ -44,8 +44,46 @@ def recode_exact(spark, d):
     )
 
 
-_REGIONS_SQL = "CASE " + " ".join(f"WHEN contains(place, '{n}') THEN '{c}'" for n, c in REGION_NAMES) + " ELSE place END"
-_PLACES = [n for n, _ in REGION_NAMES] + ["Baja", "North Idaho Ontario", "ontario"]
+# Fixed values, stated once more so that a wrong or lost rule of the library shows.
+_REGIONS_SQL = """CASE
+                WHEN contains(place, 'Ontario') THEN 'ON'
+                WHEN contains(place, 'British') THEN 'BC'
+                WHEN contains(place, 'Alberta') THEN 'AB'
+                WHEN contains(place, 'Indiana') THEN 'IN'
+                WHEN contains(place, 'Manitoba') THEN 'MB'
+                WHEN contains(place, 'Washington') THEN 'WA'
+                WHEN contains(place, 'Califor') THEN 'CA'
+                WHEN contains(place, 'Sask') THEN 'SK'
+                WHEN contains(place, 'Oregon') THEN 'OR'
+                WHEN contains(place, 'Nova') THEN 'NS'
+                WHEN contains(place, 'Montana') THEN 'MT'
+                WHEN contains(place, 'Idaho') THEN 'ID'
+                WHEN contains(place, 'Nebraska') THEN 'NE'
+                WHEN contains(place, 'Colorado') THEN 'CO'
+                WHEN contains(place, 'Minnesota') THEN 'MN'
+                WHEN contains(place, 'Texas') THEN 'TX'
+                WHEN contains(place, 'Alaska') THEN 'AK'
+                WHEN contains(place, 'New York') THEN 'NY'
+                WHEN contains(place, 'North Dakota') THEN 'ND'
+                WHEN contains(place, 'Tennessee') THEN 'TN'
+                WHEN contains(place, 'Michigan') THEN 'MI'
+                WHEN contains(place, 'Nevada') THEN 'NV'
+                WHEN contains(place, 'Florida') THEN 'FL'
+                WHEN contains(place, 'Quebec') THEN 'QC'
+                WHEN contains(place, 'South Dakota') THEN 'SD'
+                WHEN contains(place, 'West Virginia') THEN 'WV'
+                WHEN contains(place, 'Arizona') THEN 'AZ'
+                WHEN contains(place, 'Wyoming') THEN 'WY'
+                ELSE place END"""
+# fmt: off
+_PLACES = [
+    "Ontario", "British", "Alberta", "Indiana", "Manitoba", "Washington", "Califor", "Sask",
+    "Oregon", "Nova", "Montana", "Idaho", "Nebraska", "Colorado", "Minnesota", "Texas",
+    "Alaska", "New York", "North Dakota", "Tennessee", "Michigan", "Nevada", "Florida", "Quebec",
+    "South Dakota", "West Virginia", "Arizona", "Wyoming",
+    "Baja", "North Idaho Ontario", "ontario",
+]
+# fmt: on
 
 
 @query(
