@@ -26,19 +26,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldprep.llm.batches import steps
 from fieldprep.llm.store import cut, written
 
 LENGTH, GRAM = 400, 64
 #: Windows in a block.
 BLOCK = 16
-#: Bytes of a text that are anchored at once.
-PIECE = 1 << 20
+#: Bytes of a text that are anchored at once; rows that a task holds before it hands them on.
+PIECE, ROWS_OUT = 1 << 20, 1 << 14
 
 _STEP = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
@@ -76,6 +76,10 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     return least[first], first, np.append(first[1:], len(least)) - 1
 
 
+def _numbers(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+
+
 def _pair(data: bytes) -> tuple[int, int]:
     """A 128-bit name as two signed numbers."""
     digest = xxhash.xxh3_128_digest(data)
@@ -111,18 +115,18 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int, placed: bool) -> DataF
     schema = pa.schema([(n, pa.int64()) for n in (("p1", "p2", "id", "rid", "place") if placed else ("p1", "p2", "gram", "rid"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             rows: list[tuple] = []
             for id_, rid, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 for s, off, n in spans(data, length, gram):
                     p = _pair(data[s : s + n - 1 + length])
                     rows.append((*p, id_, rid, s << 24 | off << 12 | n) if placed else (*p, _name(data[s + off : s + off + gram]), rid))
-                if len(rows) > 1 << 16:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
+                if len(rows) > ROWS_OUT:
+                    yield _numbers(rows, schema.names)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
+                yield _numbers(rows, schema.names)
 
     return docs.select("id", "rid", "text").mapInArrow(run, ", ".join(f"{f.name} bigint" for f in schema))
 
@@ -184,7 +188,7 @@ def _rows(kind: str, names: list[str], rows: list[tuple]) -> pa.RecordBatch:
 
 def _read_off(docs: DataFrame, lists: DataFrame, length: int, gram: int) -> DataFrame:
     """Three kinds of rows: documents that are done, open spans to compare, documents that wait for them."""
-    steps = levels(length, gram)
+    extents = levels(length, gram)
     names = ["id", "rid", "doc_id"]
     columns = {
         "done": [*names, "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
@@ -195,7 +199,7 @@ def _read_off(docs: DataFrame, lists: DataFrame, length: int, gram: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[str, list] = {kind: [] for kind in columns}
         held = 0
-        for batch in batches:
+        for batch in steps(batches):
             found = batch.column(4)
             flat = found.flatten()
             fields = {f.name: flat.field(f.name).to_pylist() for f in flat.type}
@@ -212,8 +216,8 @@ def _read_off(docs: DataFrame, lists: DataFrame, length: int, gram: int) -> Data
                     waits |= copies == 1
                     if fields["open"][k] and fields["rep"][k] == rid:
                         # Names of the pieces on both sides of the gram, cut where the span ends.
-                        left = [_name(data[max(s, a - h) : a]) for h in steps]
-                        right = [_name(data[a + gram : min(end, a + gram + h)]) for h in steps]
+                        left = [_name(data[max(s, a - h) : a]) for h in extents]
+                        right = [_name(data[a + gram : min(end, a + gram + h)]) for h in extents]
                         rows["span"].append((id_, rid, doc_id, fields["p1"][k], fields["p2"][k], fields["gram"][k], copies, s, off, n, data[s:end], left, right))
                         held += end - s
                 if waits:
@@ -249,45 +253,50 @@ def _reach(opened: DataFrame, rounds: int) -> DataFrame:
 
 def _blocks(opened: DataFrame, reach: DataFrame, length: int, gram: int) -> DataFrame:
     """A row per block of starts that may repeat: the span, the block's number, its names and which starts it has."""
-    steps = [*levels(length, gram), length]
+    reaches = [*levels(length, gram), length]
+    names = ["p1", "p2", "n", "b", "core", "w1", "w2", "near", "far"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
             rows = []
-            for x in batch.itertuples(index=False):
-                data = bytes(x.content)
-                low = max(0, x.off - steps[x.l] + 1)
-                high = min(x.starts - 1, x.off + gram + steps[x.r] - 1 - length)
+            for p1, p2, n, off, starts, data, lower, upper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                low = max(0, off - reaches[lower] + 1)
+                high = min(starts - 1, off + gram + reaches[upper] - 1 - length)
                 if high < low:
                     continue
-                for b in range((x.off - high) // BLOCK, (x.off - low) // BLOCK + 1):
-                    last = x.off - b * BLOCK  # the start with the smallest distance to the anchor
+                for b in range((off - high) // BLOCK, (off - low) // BLOCK + 1):
+                    last = off - b * BLOCK  # the start with the smallest distance to the anchor
                     i, j = max(low, last - BLOCK + 1), min(high, last)
                     core = _name(data[last : last - BLOCK + 1 + length])
-                    rows.append((x.p1, x.p2, x.n, b, core, *_pair(data[i : j + length]), last - j, last - i))
-            yield pd.DataFrame(rows, columns=["p1", "p2", "n", "b", "core", "w1", "w2", "near", "far"])
+                    rows.append((p1, p2, n, b, core, *_pair(data[i : j + length]), last - j, last - i))
+            if rows:
+                yield _numbers(rows, names)
 
-    schema = "p1 bigint, p2 bigint, n bigint, b int, core bigint, w1 bigint, w2 bigint, near int, far int"
-    return opened.join(reach, ["p1", "p2"]).select("p1", "p2", "n", "off", "starts", "content", "l", "r").mapInPandas(run, schema)
+    ranged = opened.join(reach, ["p1", "p2"]).select("p1", "p2", "n", "off", "starts", "content", "l", "r")
+    return ranged.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 def _windows(opened: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     """A row per start of the blocks asked for: the block's name, the weight, the start's bit, the window's name."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    names = ["w1", "w2", "near", "far", "weight", "d", "v1", "v2"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
             rows = []
-            for x in batch.itertuples(index=False):
-                data = bytes(x.content)
-                for y in x.asked:
+            for off, data, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for y in blocks:
                     for d in range(y["near"], y["far"] + 1):
-                        i = x.off - y["b"] * BLOCK - d
+                        i = off - y["b"] * BLOCK - d
                         rows.append((y["w1"], y["w2"], y["near"], y["far"], y["weight"], d, *_pair(data[i : i + length])))
-            yield pd.DataFrame(rows, columns=["w1", "w2", "near", "far", "weight", "d", "v1", "v2"])
+                if len(rows) > ROWS_OUT:
+                    yield _numbers(rows, names)
+                    rows = []
+            if rows:
+                yield _numbers(rows, names)
 
-    schema = "w1 bigint, w2 bigint, near int, far int, weight bigint, d int, v1 bigint, v2 bigint"
     per_span = asked.groupBy("p1", "p2").agg(F.collect_list(F.struct("b", "w1", "w2", "near", "far", "weight")).alias("asked"))
-    return opened.join(per_span, ["p1", "p2"]).select("off", "content", "asked").mapInPandas(run, schema)
+    return opened.join(per_span, ["p1", "p2"]).select("off", "content", "asked").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 def _masks(opened: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
@@ -344,16 +353,17 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     more = _runs(spans_, blocks, _masks(one, blocks, length), length)
     waiting = read.filter("kind = 'waits'").select("id", "rid", "doc_id", "content", "spans").join(more, ["id", "rid"], "left")
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    names = ["spans", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
             out = []
-            for x in batch.itertuples(index=False):
-                known = [(y["a"], y["b"]) for part in (x.spans, x.more) if part is not None for y in part]
-                spans_, *numbers = _outcome(bytes(x.content), known)
-                out.append((*numbers, [{"a": a, "b": b} for a, b in spans_]))
-            frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
-            yield pd.concat([batch[["doc_id"]].astype("Int64").reset_index(drop=True), frame], axis=1)
-
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<a:bigint,b:bigint>>"
+            for data, known, more in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                out.append(_outcome(data, [(y["a"], y["b"]) for part in (known, more) for y in part or ()]))
+            columns = [pa.array(c, _READ.field(n).type) for n, c in zip(names, zip(*out, strict=True), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *names])
+
+    schema = "doc_id bigint, spans array<struct<a:bigint,b:bigint>>, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     done = read.filter("kind = 'done'").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
-    return done.unionByName(waiting.mapInPandas(finish, schema))
+    ready = waiting.select("doc_id", "content", "spans", "more").mapInArrow(finish, schema)
+    return done.unionByName(ready)
