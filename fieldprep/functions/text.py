@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,7 +74,8 @@ def between_commas(col: Column) -> Column:
     start = F.locate(", ", col) + 2
     last = F.length(col) - F.locate(",", F.reverse(col)) + 1
     cut = F.when((start > 2) & (last >= start), F.substring(col, start, last - start))
-    return F.when(col.rlike(r"[\n\r\x85\u2028\u2029]"), extract(col, "(?<=, ).*(?=,)", may_be_empty=True)).otherwise(cut)
+    breaks = [col.contains(b) for b in ("\n", "\r", "\x85", "\u2028", "\u2029")]
+    return F.when(reduce(lambda a, b: a | b, breaks), extract(col, "(?<=, ).*(?=,)", may_be_empty=True)).otherwise(cut)
 
 
 def before_comma(col: Column) -> Column:

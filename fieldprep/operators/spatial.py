@@ -63,10 +63,11 @@ def _tighten(candidates: DataFrame, place: Sequence[str]) -> DataFrame:
     """Drop candidates that cannot hold the nearest feature of their place.
 
     The reach of a place is aggregated before it meets the candidates again, so a place with very
-    many of them is no task of its own.
+    many of them is no task of its own. The candidates are stored first, or both sides of that join
+    would repeat all levels before.
     """
     least, most = g.box_distance_bounds(F.col("__b"), F.col("__x"), F.col("__y"))
-    bounded = candidates.withColumns({"__least": least, "__most": most}).drop("__b")
+    bounded = cut_lineage(candidates.withColumns({"__least": least, "__most": most}).drop("__b"))
     reach = bounded.groupBy(*place).agg(F.min("__most").alias("__reach"))
     close = F.col("__least") <= F.col("__reach") * (1 + 1e-9) + 1e-9
     return bounded.join(reach, list(place)).filter(close).drop("__least", "__most", "__reach")
@@ -80,7 +81,7 @@ def nearest_in_name(
     x: str = "x",
     y: str = "y",
     distance: str = "distance",
-    sizes: Sequence[int] = (2**21, 2**16, 2**11, 2**6),
+    sizes: Sequence[int] = (2**21, 2**15, 2**9),
 ) -> DataFrame:
     """Nearest feature among those that carry the point's name; ties go to the lowest feature key.
 
