@@ -142,3 +142,24 @@ def test_automaton_is_smaller_than_its_prefix_tree():
     assert len(automaton.ends) < 100
     score = lambda t: automaton.score(t.translate(secrets._TABLE)) / len(t)
     assert score("".join(r.choices("0123456789abcdef", k=32))) > score("thequickbrownfoxjumpsoverthelazy")
+
+
+def test_ordinary_tokens_come_from_all_texts(spark):
+    r = random.Random(9)
+    few = [(i, " ".join(f"id-{r.randrange(10**9):09d}/x" for _ in range(6))) for i in range(1200)]
+    many = [(5000 + i, " ".join(f"v{r.randrange(10**4)}.{r.randrange(10**4)}.release+{x}" for x in "abcdefgh")) for i in range(1200)]
+    labelled = [(9000 + i, "token = " + "".join(r.choices("ABCDEFGH0123456789", k=24))) for i in range(40)]
+    rows = few + many + labelled
+    tokens = {t for _, text in few + many for t in text.split()}
+    expected = sorted(tokens, key=secrets.rank)[: secrets.ORDINARY]
+    models = []
+    for n, part in ((1, rows), (7, rows[::-1]), (3, r.sample(rows, len(rows)))):
+        docs = spark.createDataFrame(part, "doc_id bigint, text string").coalesce(1) if n == 1 else spark.createDataFrame(part, "doc_id bigint, text string").repartition(n)
+        assert secrets.samples(docs)[""] == expected
+        models.append(secrets.fit_on(docs))
+    assert models[0].background == models[1].background == models[2].background
+    assert models[0].threshold == models[1].threshold == models[2].threshold
+    least = secrets.Smallest(5)
+    for t in sorted(tokens):
+        least.add(t)
+    assert [t for t, _ in least.items()] == expected[:5]
