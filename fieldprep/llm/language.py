@@ -24,8 +24,10 @@ from fieldprep.llm.subwords import Grams, blocks
 BITS, DIMENSIONS, SPREAD = 16, 16, 3
 #: Words in a window that is learnt from.
 WINDOW = 16
-#: The most documents of a language that a model is fitted on, the longest in characters, the most languages.
-SAMPLE, LONGEST, LANGUAGES = 300, 10_000, 512
+#: The most documents of a language that a model is fitted on, the most characters that one gives.
+SAMPLE, LONGEST = 300, 10_000
+#: Characters that all languages share; with many of them a document gives fewer, then a language fewer documents, but never below these.
+CHARACTERS, SHORTEST, FEWEST = 24_000_000, 400, 8
 #: Of the sample, one document in this many calibrates the scores.
 CALIBRATE = 4
 #: The share of wrong predictions among the accepted ones that rejection aims at.
@@ -35,24 +37,28 @@ UNKNOWN = "und"
 
 @dataclass
 class Model:
+    """``values`` of a bucket per language; with ``weights`` its vector, of which these make the values of all languages."""
+
     languages: list[str] = field(default_factory=list)
     values: np.ndarray | None = None
     bias: np.ndarray | None = None
     temperature: float = 1.0
     least: float = 0.0
+    weights: np.ndarray | None = None
 
     def logits(self, texts: list[str | None]) -> np.ndarray:
         """The mean of the word values of each text, per language; zero words count nothing."""
-        sums, words = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        sums, words = np.zeros((len(texts), self.values.shape[1])), np.zeros(len(texts))
         for numbers, parts in blocks(texts):
             g = Grams(parts, BITS, runs=True)
             if g.words:
                 text = numbers[g.part]
                 words += np.bincount(text, minlength=len(texts))
                 share = 1.0 / np.bincount(g.word, minlength=g.words)[g.word]
-                for k in range(len(self.languages)):
+                for k in range(self.values.shape[1]):
                     sums[:, k] += np.bincount(text[g.word], weights=self.values[g.bucket, k] * share, minlength=len(texts))
-        return sums / np.maximum(words, 1)[:, None] + self.bias
+        means = sums / np.maximum(words, 1)[:, None]
+        return (means if self.weights is None else means @ self.weights) + self.bias
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         lettered = np.array([any(map(str.isalpha, t or "")) for t in texts], dtype=bool)
@@ -73,7 +79,8 @@ def fit(texts: list[str], langs: list[str], seed: int = 5, epochs: int = 4, rate
     languages = sorted(set(langs))
     if not languages:
         return Model()
-    label = np.array([languages.index(x) for x in langs])
+    number = {x: i for i, x in enumerate(languages)}
+    label = np.array([number[x] for x in langs])
     held = np.arange(len(texts)) % CALIBRATE == CALIBRATE - 1
     some = [t for t, h in zip(texts, held, strict=True) if not h]
     t = Trainer(some, len(languages), width=WINDOW, bits=BITS, dimensions=DIMENSIONS, spread=SPREAD, seed=seed)
@@ -84,7 +91,9 @@ def fit(texts: list[str], langs: list[str], seed: int = 5, epochs: int = 4, rate
         for i in range(0, len(chosen), 512):
             batch = chosen[i : i + 512]
             t.step(batch, target[batch], weight[target[batch]], rate * (1 - epoch / epochs))
-    model = Model(languages, t.values(), t.bias)
+    # A table of all languages would grow with them; the vectors do not.
+    few = len(languages) <= DIMENSIONS
+    model = Model(languages, t.values() if few else t.vectors.astype(np.float32), t.bias, weights=None if few else t.weights)
     if held.any():
         z, y = model.logits([t for t, h in zip(texts, held, strict=True) if h]), label[held]
         grid = np.geomspace(0.05, 20, 60)
@@ -103,24 +112,40 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def amounts(languages: int, sample: int = SAMPLE) -> tuple[int, int]:
+    """Documents that a language gives to the sample at most, and characters that a document gives."""
+    each = max(SHORTEST, min(LONGEST, CHARACTERS // (languages * sample)))
+    return min(sample, max(FEWEST, CHARACTERS // (languages * each))), each
+
+
 def fit_on(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from the documents that have a language and are not held out.
+    """A model from the documents that have a language and a letter and are not held out.
 
-    Of each language the ``sample`` documents with the smallest hash of their id are read, without
-    those over ``LONGEST`` characters; the languages are the ``LANGUAGES`` most frequent.
+    Every language is learnt, from its ``sample`` documents with the smallest hash, whatever their
+    length; a long one gives its first characters from its first letter on, as many as ``amounts`` says.
     """
-    known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    order = F.xxhash64("doc_id")
-    picks = [known.filter(F.col("lang") == x).select("doc_id", "lang").orderBy(order, "doc_id").limit(sample) for x in langs]
-    ids = [tuple(r) for p in picks for r in p.collect()]
-    if not ids:
+    known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
         return Model()
-    # At most as many ids as the sample allows.
-    wanted = F.broadcast(docs.sparkSession.createDataFrame(sorted(set(ids)), "doc_id bigint, lang string"))
-    text = docs.filter(F.length("text") <= LONGEST).select("doc_id", "lang", "text").join(wanted, ["doc_id", "lang"])
-    rows = sorted(text.collect(), key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    most, each = amounts(len(counts), sample)
+    opening = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, each)
+    hashed = known.select("lang", F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("hash"), "text")
+    # Hashes are even, so a share of their range holds that share of a language's documents, give or take; the smallest
+    # ones are all in it if it holds enough. Where documents repeat it may not, and is widened.
+    shares = {x: (most + 6 * most**0.5 + 20) / n for x, n in counts.items()}
+    picked, wanted = {}, shares
+    while wanted:
+        bounds = [(x, min(2**63 - 1, int(share * 2.0**64) - 2**63) if share < 1 else 2**63 - 1) for x, share in sorted(wanted.items())]
+        under = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound bigint"))
+        near = hashed.join(under, "lang").filter(F.col("hash") <= F.col("bound")).select("lang", "doc_id", "hash", opening.alias("text")).distinct()
+        found = {x: [] for x in wanted}
+        for r in near.collect():
+            found[r["lang"]].append((r["hash"], r["doc_id"], r["text"]))
+        picked |= found
+        wanted = {x: 8 * share for x, share in wanted.items() if share < 1 and len(found[x]) < most}
+    rows = sorted((i, x, text) for x, found in picked.items() for _, i, text in sorted(found)[:most])
+    return fit([text for *_, text in rows], [x for _, x, _ in rows])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 
 from fieldprep.llm.bags import Trainer, spans
 from fieldprep.llm.batches import steps, texts
+from fieldprep.llm.store import cut
 from fieldprep.llm.subwords import Grams, blocks
 
 BITS, DIMENSIONS, SPREAD = 17, 8, 6
 #: Words in a window; the next one begins half a window later.
 WINDOW = 24
-#: The most labelled documents, clean and toxic, that a model is fitted on, and the longest in characters.
+#: The most labelled documents, clean and toxic, that a model is fitted on; characters from which a document is long.
 SAMPLE, LONGEST = (1500, 1200), 10_000
 #: Of the sample, one document in this many calibrates the scores.
 CALIBRATE = 4
@@ -116,21 +117,39 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def taken(lengths: list[int], room: int) -> list[int]:
+    """Characters that each text gives if ``room`` is left for all: whole texts, the one that exceeds it in part."""
+    takes = []
+    for n in lengths:
+        takes.append(min(n, room))
+        room -= takes[-1]
+    return takes
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model:
-    """A model from the labelled documents that are not held out.
+    """A model from the labelled documents that have a text and are not held out.
 
     Of each class the first documents in the order of a hash of their ids are read, ``sample`` at
-    most, without those over ``LONGEST`` characters. A document labelled twice has the larger label.
+    most: those of up to ``LONGEST`` characters, and where these are too few the others, whole, as
+    long as the class has ``LONGEST`` characters for each missing document. A document labelled twice
+    has the larger label; of the texts of a doc_id that repeats the last in order is read.
     """
     marked = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    known = docs.filter(~held_out()).select("doc_id").join(marked, "doc_id")
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    order = F.xxhash64("doc_id")
-    picks = [known.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(n) for c, n in enumerate(sample)]
+    sizes = docs.filter(~held_out() & F.col("text").isNotNull()).groupBy("doc_id").agg(F.max(F.length("text")).alias("n"), F.count("*").alias("rows"))
+    known = cut(sizes.join(marked, "doc_id"))
+    counts = {r["toxic"]: r["rows"] for r in known.groupBy("toxic").agg(F.sum("rows").alias("rows")).collect()}
+    order = (F.col("n") > LONGEST, F.xxhash64("doc_id"), "doc_id")
+    picks = []
+    for c, most in enumerate(sample):
+        rows = known.filter(F.col("toxic") == c).orderBy(*order).limit(most).collect()
+        short, long = ([r for r in rows if (r["n"] > LONGEST) == over] for over in (False, True))
+        picks += [(r["doc_id"], c, r["n"]) for r in short]
+        takes = taken([r["n"] for r in long], (most - len(short)) * LONGEST)
+        picks += [(r["doc_id"], c, n) for r, n in zip(long, takes, strict=True) if n]
     # At most as many ids as the sample allows.
-    ids = docs.sparkSession.createDataFrame([tuple(r) for p in picks for r in p.collect()], "doc_id bigint, toxic int")
-    text = docs.filter(F.length("text") <= LONGEST).select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id")
-    rows = sorted({r["doc_id"]: r for r in text.orderBy("doc_id", "text").collect()}.values(), key=lambda r: (r["toxic"], r["doc_id"]))
+    ids = docs.sparkSession.createDataFrame(picks, "doc_id bigint, toxic int, take int")
+    text = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.max(F.substr(F.col("text"), F.lit(1), F.col("take"))).alias("text"))
+    rows = sorted(text.collect(), key=lambda r: (r["toxic"], r["doc_id"]))
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64), share)
 

@@ -163,3 +163,60 @@ def test_ordinary_tokens_come_from_all_texts(spark):
     for t in sorted(tokens):
         least.add(t)
     assert [t for t, _ in least.items()] == expected[:5]
+
+
+def test_long_documents_are_learnt_from(spark):
+    r = random.Random(12)
+    sets = {"long": "abcdefgh", "short": "mnopqrst", "mixed": "uvwxyzäö"}
+    rows = [(i, "1 2 3. " + prose(r, 2500, sets["long"]), "long") for i in range(40)]
+    rows += [(100 + i, prose(r, 30, sets["short"]), "short") for i in range(60)]
+    # Nearly all of this language is long or without a letter, as are its smallest hashes.
+    rows += [(1000 + i, prose(r, 2500, sets["mixed"]) if i % 2 else "12 !", "mixed") for i in range(60)] + [(3000 + i, prose(r, 30, sets["mixed"]), "mixed") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit_on(docs, sample=20)
+    assert model.languages == ["long", "mixed", "short"]
+    said, _ = model.predict([prose(r, 40, sets[x]) for x in model.languages])
+    assert said == model.languages
+
+
+def test_a_repeated_document_does_not_fill_the_sample(spark):
+    r = random.Random(13)
+    rows = [(1, prose(r, 20), "aa")] * 3000 + [(10 + i, prose(r, 20), "aa") for i in range(60)]
+    seen = []
+    fit, language.fit = language.fit, lambda texts, langs: seen.extend(texts)
+    try:
+        language.fit_on(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), sample=30)
+    finally:
+        language.fit = fit
+    assert len(seen) == 30 == len(set(seen))
+
+
+def test_every_language_is_learnt(spark):
+    r, rows = random.Random(14), []
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 4200)]
+    alphabets = {f"l{k:03d}": letters[7 * k : 7 * k + 7] for k in range(600)}
+    for x, alphabet in alphabets.items():
+        rows += [(len(rows) + j, prose(r, 40, alphabet), x) for j in range(8)]
+    model = language.fit_on(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.languages == sorted(alphabets) and model.values.shape[1] == language.DIMENSIONS
+    # The vectors and the table of all languages say the same.
+    few = language.Model(model.languages, (model.values @ model.weights), model.bias)
+    texts = [prose(r, 30, alphabets["l007"]), "", prose(r, 3, alphabets["l599"])]
+    assert np.allclose(few.logits(texts), model.logits(texts), atol=1e-4)
+    assert language.amounts(4) == (300, 10_000) and language.amounts(512)[0] >= 100 and language.amounts(10**6) == (8, 400)
+
+
+def test_toxicity_is_learnt_from_long_documents(spark):
+    rows, r = [], random.Random(15)
+    for i in range(240):
+        words = prose(r, 2600).split()
+        if i % 3 == 0:
+            for at in range(0, len(words), 12):
+                words[at] = r.choice(INSULTS)
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    assert min(len(t) for _, t, _ in rows) > toxicity.LONGEST
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id bigint, text string")
+    model = toxicity.fit_on(docs, spark.createDataFrame([(i, b) for i, _, b in rows], "doc_id bigint, toxic int"), sample=(60, 60))
+    z = model.scores([prose(r, 40) + " idiotic wretched stupidly dreckig " * 4, prose(r, 40)])
+    assert z[0] > 0.7 > z[1]
+    assert toxicity.taken([5, 9, 4], 12) == [5, 7, 0]
