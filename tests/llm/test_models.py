@@ -220,3 +220,20 @@ def test_toxicity_is_learnt_from_long_documents(spark):
     z = model.scores([prose(r, 40) + " idiotic wretched stupidly dreckig " * 4, prose(r, 40)])
     assert z[0] > 0.7 > z[1]
     assert toxicity.taken([5, 9, 4], 12) == [5, 7, 0]
+
+
+def test_every_token_beside_base_matches_is_scored():
+    r = random.Random(16)
+    key = lambda letters: "sk_" + "".join(r.choices(letters, k=24))
+    letters, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    words = prose(r, 40_000).split()
+    values = {"assign": [key(letters + digits) for _ in range(200)] + [key(letters) for _ in range(200)]}
+    values["access"] = ["sk_" + "".join(r.choices(digits, k=16)) + "-" + key(letters)[3:] for _ in range(200)]
+    model = secrets.fit(values, [a + b + c for a, b, c in zip(words, words[1:], words[2:]) if len(a + b + c) >= 12][:4000])
+    text = "a " + key(letters) + " b sk_1234567890123456-" + key(letters)[3:] + " c token=" + (own := key(letters + digits))
+    base, added = model.spans(text)
+    assert [k for _, k, _, _ in base] == [2, 0]
+    # One without a digit, one of which a base match covers the digits; the value of the assignment is its base match.
+    assert [text[a:b] for a, _, b, _ in added] == text.split()[1::2][:2] and own == base[1][3]
+    assert list(secrets.candidates("0123456789abcdef0123", secrets.base_matches("0123456789abcdef0123"))) == []
+    assert [x[3] for x in secrets.candidates(text, base)] == [False, True]
