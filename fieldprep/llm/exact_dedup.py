@@ -207,17 +207,17 @@ def drop_copies(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> DataFr
     doc_id at all.
     """
     found = cut(exact_dedup(docs, keys_per_shard=keys_per_shard).filter("kept").select("doc_id", "text_sha256"))
-    named = docs.join(found.select("doc_id").filter("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi").select(docs.columns)
     again = cut(found.groupBy("doc_id", "text_sha256").count().filter("count > 1 OR doc_id IS NULL").select("doc_id", "text_sha256"))
+    # A doc_id may also stand for another text, so the digest is compared too.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.sha2(normalised(F.col("text")), 256).alias("digest"))
+
+    def same(verdicts: DataFrame) -> DataFrame:
+        return verdicts.select(F.col("doc_id").alias("id2"), F.col("text_sha256").alias("digest2"))
+
+    met = F.col("id").eqNullSafe(F.col("id2")) & (F.col("digest") == F.col("digest2"))
     if again.isEmpty():
-        return named
-    once = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.sha2(normalised(F.col("text")), 256).alias("digest"))
-    stays = again.select(F.col("doc_id").alias("id2"), F.col("text_sha256").alias("digest2"))
-    once = once.join(stays, F.col("id").eqNullSafe(F.col("id2")) & (F.col("digest") == F.col("digest2")))
-    ids = again.filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    # A doc_id that repeats may also stand for another text, which the digest tells apart.
-    other = named.join(ids, "doc_id", "left_semi").select(docs.columns).withColumn("digest", F.sha2(normalised(F.col("text")), 256))
-    other = other.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), "digest")
-    other = other.join(stays, F.col("id").eqNullSafe(F.col("id2")) & (F.col("digest") == F.col("digest2")), "left_anti")
-    once = once.select("row", "id", "digest").dropDuplicates(["id", "digest"]).select("row.*")
-    return named.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(once).unionByName(other.select("row.*"))
+        return rows.join(same(found), met, "left_semi").select("row.*")
+    single = found.join(same(again), F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("text_sha256") == F.col("digest2")), "left_anti")
+    named = rows.join(same(single), met, "left_semi").select("row.*")
+    once = rows.join(same(again), met, "left_semi").dropDuplicates(["id", "digest"])
+    return named.unionByName(once.select("row.*"))

@@ -217,22 +217,30 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, node_size: int = NODE
 def drop_near_copies(docs: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are: of a component the smallest doc_id.
 
-    Rows that repeat a doc_id stay or go together. Of a component without any doc_id one row stays.
+    Rows that repeat a doc_id in one component stay or go together. Of a component without any
+    doc_id one row stays.
     """
     found = cut(near_duplicates(docs, budget, node_size))
-    stays = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stays, "doc_id", "left_semi").select(docs.columns)
+    verdicts = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("some"), F.min(F.col("doc_id") == F.col("component_id")).alias("all"))
+    verdicts = cut(verdicts.filter("some"))
+    named = docs.join(verdicts.filter("all").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    split = verdicts.filter("NOT all").select("doc_id")
     lonely = found.filter("doc_id IS NULL AND component_id IS NULL").groupBy("component").agg(F.min("fingerprint").alias("print"))
-    if lonely.isEmpty():
-        return named
-    unnamed = docs.filter("doc_id IS NULL")
-    schema = unnamed.select(F.struct("*").alias("row"), F.lit("").alias("print")).schema
+    schema = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.lit("").alias("print")).schema
 
     def attach(batches: Iterator) -> Iterator:
         for batch in steps(batches):
             prints = [f"{fingerprint(t):016x}" for t in texts(batch)]
             rows = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
-            yield pa.RecordBatch.from_arrays([rows, pa.array(prints)], names=["row", "print"])
-
-    with_print = unnamed.mapInArrow(attach, schema).join(lonely.select("print"), "print")
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            yield pa.RecordBatch.from_arrays([rows, ids, pa.array(prints)], names=["row", "id", "print"])
+
+    if not split.isEmpty():
+        # Other texts of the doc_id are in components that another doc_id stands for; the fingerprint tells them apart.
+        right = found.filter("doc_id = component_id").select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("print"))
+        both = docs.join(split, "doc_id", "left_semi").select(docs.columns).mapInArrow(attach, schema)
+        named = named.unionByName(both.join(right, ["id", "print"], "left_semi").select("row.*"))
+    if lonely.isEmpty():
+        return named
+    with_print = docs.filter("doc_id IS NULL").mapInArrow(attach, schema).join(lonely.select("print"), "print")
     return named.unionByName(with_print.dropDuplicates(["print"]).select("row.*"))

@@ -91,3 +91,19 @@ def test_rows_without_doc_id_and_repeated_rows(spark):
     assert sorted((str(r.doc_id), r.text[:4]) for r in near.collect()) == sorted([("1", "a b"), ("1", "c"), ("None", "only"), ("2", long[:4])])
     for empty in (exact_dedup.drop_copies(docs.limit(0)), simhash.drop_near_copies(docs.limit(0)), mixing.mixed(docs.limit(0).withColumnRenamed("row", "source"))):
         assert empty.count() == 0
+
+
+def test_a_copy_goes_though_its_doc_id_stays_with_another_text(spark):
+    from fieldprep.llm import exact_dedup, simhash
+
+    r = random.Random(21)
+    near, other = (" ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(300)) for _ in range(2))
+    rows = [(0, "a b", 1), (1, "a  b", 2), (1, "c", 3), (1, "c", 4), (2, "c ", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, digest int")
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.dtypes == docs.dtypes
+    assert sorted((x.doc_id, x.text) for x in kept.collect()) == [(0, "a b"), (1, "c"), (2, "c ")]
+    docs = spark.createDataFrame([(0, near, 1), (1, near.upper(), 2), (1, other, 3), (2, other.upper(), 4)], "doc_id bigint, text string, print int")
+    kept = simhash.drop_near_copies(docs)
+    assert kept.dtypes == docs.dtypes
+    assert sorted((x.doc_id, x.print) for x in kept.collect()) == [(0, 1), (1, 3)]
