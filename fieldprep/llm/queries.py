@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, toxicity
+from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, toxicity, whitening
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -155,3 +155,9 @@ def op2_secret_scan(spark, d):
 def op1_suffix_dedup(spark, d):
     """What stays of every text without the bytes of strings of 400 bytes that start elsewhere too."""
     return repeats.repeated_bytes(table(spark, d, "documents")).drop("spans")
+
+
+@query()
+def op13_whitening(spark, d):
+    """Embeddings along the four leading components of their covariance, each scaled to unit variance."""
+    return whitening.whiten(table(spark, d, "embeddings"))
