@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, toxicity, whitening
+from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, spelling, toxicity, whitening
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -161,3 +161,31 @@ def op1_suffix_dedup(spark, d):
 def op13_whitening(spark, d):
     """Embeddings along the four leading components of their covariance, each scaled to unit variance."""
     return whitening.whiten(table(spark, d, "embeddings"))
+
+
+@query(
+    r"""
+    WITH RECURSIVE bits AS (SELECT i, 0 AS k, i::BIGINT AS c FROM (SELECT unnest(range(256)) AS i)
+                            UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+         crc AS (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8),
+         runs AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+         once AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+         bytes AS (SELECT *, hex(encode(id || run)) AS x FROM once),
+         hashed AS (SELECT run, n, xor(list_reduce(list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+                           lambda a, b: xor(a >> 8, steps[xor(a, b) % 256 + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM bytes, crc),
+         words AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+         v AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+         gaps AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+         near AS (SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b USING (i, rest) WHERE a.word <> b.word
+                  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN v b ON a.rest = b.word
+                  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN v b ON a.rest = b.word),
+         best AS (SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+         lead AS (SELECT word, n_near, most, min(other) AS other FROM best JOIN near USING (word) WHERE near.n = most GROUP BY ALL),
+         f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * v.n THEN other END AS form, CASE WHEN most >= 10 * v.n THEN most END AS form_n FROM v LEFT JOIN lead USING (word)),
+         chain AS (SELECT word, word AS at, form FROM f UNION ALL SELECT chain.word, f.word, f.form FROM chain JOIN f ON chain.form = f.word)
+    SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n FROM f JOIN chain USING (word) WHERE chain.form IS NULL
+    """
+)
+def op12_spelling_variants(spark, d):
+    """Words one edit apart, each with its more frequent form and the end of the chain of forms."""
+    return spelling.variants(table(spark, d, "documents"))
