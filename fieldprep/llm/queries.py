@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, spelling, toxicity, whitening
+from fieldprep.llm import bpe, chat_format, exact_dedup, language, mixing, quality_rules, repeats, secrets, simhash, spelling, toxicity, vectors, whitening
 from fieldprep.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -189,3 +189,19 @@ def op13_whitening(spark, d):
 def op12_spelling_variants(spark, d):
     """Words one edit apart, each with its more frequent form and the end of the chain of forms."""
     return spelling.variants(table(spark, d, "documents"))
+
+
+@query(
+    """
+    WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+         ok AS (SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(v, lambda c: c <> 0)) > 0),
+         links AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r WHERE list_cosine_similarity(a.v, b.v) >= 0.93::DOUBLE),
+         reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+         least AS (SELECT reach.a AS r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY ALL),
+         many AS (SELECT a AS r, count(*) AS n FROM links GROUP BY ALL)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM e JOIN least USING (r) LEFT JOIN many USING (r)
+    """
+)
+def op11_embedding_near_dedup(spark, d):
+    """Embeddings of one label linked by cosine, found in small-world graphs of all shards."""
+    return vectors.near_vectors(table(spark, d, "embeddings"))
