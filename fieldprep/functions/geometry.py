@@ -134,7 +134,8 @@ def bounds(rings: Column) -> Column:
     )
 
 
-def _on_edge(x: Column, y: Column, e: Column) -> Column:
+def on_edge(x: Column, y: Column, e: Column) -> Column:
+    """Whether a point lies on an edge, its ends included."""
     cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
     return (
         (cross == 0)
@@ -143,7 +144,8 @@ def _on_edge(x: Column, y: Column, e: Column) -> Column:
     )
 
 
-def _crosses(x: Column, y: Column, e: Column) -> Column:
+def crosses(x: Column, y: Column, e: Column) -> Column:
+    """1 where the ray from a point towards greater x crosses an edge, else 0."""
     spans = (e["y1"] > y) != (e["y2"] > y)
     # CASE keeps the division away from level edges.
     at = F.when(spans, e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"]))
@@ -152,8 +154,8 @@ def _crosses(x: Column, y: Column, e: Column) -> Column:
 
 def covers(edge_array: Column, x: Column, y: Column) -> Column:
     """Point in polygon by the even-odd rule; a point on an edge counts as inside."""
-    crossings = F.aggregate(edge_array, F.lit(0), lambda acc, e: acc + _crosses(x, y, e))
-    return (crossings % 2 == 1) | F.exists(edge_array, lambda e: _on_edge(x, y, e))
+    crossings = F.aggregate(edge_array, F.lit(0), lambda acc, e: acc + crosses(x, y, e))
+    return (crossings % 2 == 1) | F.exists(edge_array, lambda e: on_edge(x, y, e))
 
 
 def _edge_distance2(x: Column, y: Column, e: Column) -> Column:
@@ -165,6 +167,10 @@ def _edge_distance2(x: Column, y: Column, e: Column) -> Column:
     return ex * ex + ey * ey
 
 
+def edge_distance(x: Column, y: Column, e: Column) -> Column:
+    return F.sqrt(_edge_distance2(x, y, e))
+
+
 def distance(edge_array: Column, x: Column, y: Column) -> Column:
     """0 inside, else the distance to the closest edge."""
     closest = F.array_min(F.transform(edge_array, lambda e: _edge_distance2(x, y, e)))

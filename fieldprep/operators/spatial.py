@@ -1,20 +1,96 @@
 """Joins and summaries on planar geometry.
 
 A spatial feature is a set of part rows (see ``functions.geometry``); grouping parts
-into features never gathers them. Both spatial joins are equi-joins on grid cells, so
-neither a cross join nor all pairs of a group is ever formed.
+into features never gathers them. Both spatial joins take a layer apart into its edges, once,
+and are equi-joins on cells or bands from there: no ring meets a point, and neither a cross
+join nor all pairs of a group is ever formed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldprep.functions import geometry as g
 from fieldprep.operators.joins import null_safe_join
-from fieldprep.session import cut_lineage
+from fieldprep.session import stored
+
+EDGE = ("x1", "y1", "x2", "y2")
+
+
+def edge_rows(parts: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """One narrow row per edge: the attributes, the number ``__id`` of its part, x1, y1, x2, y2.
+
+    The layer is read once and its edges are stored, so that all readers agree on the numbers;
+    two parts alike in everything keep numbers of their own.
+    """
+    numbered = parts.select(*attributes, "rings").withColumn("__id", F.monotonically_increasing_id())
+    apart = numbered.select(*attributes, "__id", F.explode(g.edges(F.col("rings"))).alias("__e"))
+    return stored(apart.select(*attributes, "__id", *[f"__e.{c}" for c in EDGE]))
+
+
+def _box_of(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The box around the edges of each key, as ``__b``."""
+    low = lambda a, b: F.min(F.least(a, b))
+    high = lambda a, b: F.max(F.greatest(a, b))
+    box = F.struct(
+        low("x1", "x2").alias("x0"), low("y1", "y2").alias("y0"), high("x1", "x2").alias("x1"), high("y1", "y2").alias("y1")
+    )
+    return edges.groupBy(*keys).agg(box.alias("__b"))
+
+
+def _boxed(places: DataFrame, boxes: DataFrame, on: Sequence[str], cell: float) -> DataFrame:
+    """Places (``on``, __x, __y) with the rows of ``boxes`` whose box holds them.
+
+    A box is filed at the level whose cells are at least as large as it, so it occupies at most four
+    cells there; cells double in size from level to level. A place looks into its one cell of each
+    level that occurs; which these are is read off the boxes when the plan is made.
+    """
+    side = F.greatest(F.col("__b.x1") - F.col("__b.x0"), F.col("__b.y1") - F.col("__b.y0"))
+    boxes = boxes.withColumn("__level", F.when(side <= cell, 0).otherwise(F.ceil(F.log2(side / cell))).cast("int"))
+    # A handful: one number per doubling of the box size.
+    occurring = sorted(r[0] for r in boxes.select("__level").distinct().collect() if r[0] is not None)
+    size = lambda lv: F.lit(float(cell)) * F.pow(F.lit(2.0), lv)
+    at = lambda v, lv: F.floor(v / size(lv))
+    across = lambda a, b: F.explode(F.sequence(at(F.col(a), F.col("__level")), at(F.col(b), F.col("__level"))))
+    filed = boxes.withColumn("__cx", across("__b.x0", "__b.x1")).withColumn("__cy", across("__b.y0", "__b.y1"))
+    probes = places.withColumn("__level", F.explode(F.array(*map(F.lit, occurring)).cast("array<int>")))
+    probes = probes.withColumns({"__cx": at(F.col("__x"), F.col("__level")), "__cy": at(F.col("__y"), F.col("__level"))})
+    inside = F.col("__x").between(F.col("__b.x0"), F.col("__b.x1")) & F.col("__y").between(F.col("__b.y0"), F.col("__b.y1"))
+    return probes.join(filed, [*on, "__level", "__cx", "__cy"]).filter(inside).drop("__level", "__cx", "__cy", "__b")
+
+
+def _band(v: Column, level: Column) -> Column:
+    return F.floor(v / F.pow(F.lit(4.0), level)).cast("bigint")
+
+
+def _covering(
+    places: DataFrame, edges: DataFrame, on: Sequence[str], carried: Sequence[str], cell: float
+) -> DataFrame:
+    """``on``, __x, __y and ``carried`` of every part that covers a place, its edges included.
+
+    An edge is filed in the horizontal bands that it touches, at the level whose bands are at least
+    as high as the edge is long: two bands at most. A place within the box of a part looks into its
+    one band of each level that the part has, and what its ray crosses there is summed per place
+    and part. A part of very many edges is so many rows, dealt by band.
+    """
+    near = _boxed(places, _box_of(edges, ["__id", *on, *carried]), on, cell)
+    longest = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
+    level = F.when(longest > 0, F.ceil(F.log2(longest) / 2)).otherwise(0).cast("int")
+    levelled = edges.select("__id", *EDGE, level.alias("__level"))
+    low, high = _band(F.least("y1", "y2"), F.col("__level")), _band(F.greatest("y1", "y2"), F.col("__level"))
+    banded = levelled.withColumn("__band", F.explode(F.sequence(low, high)))
+    probes = near.join(levelled.select("__id", "__level").distinct(), "__id")
+    probes = probes.withColumn("__band", _band(F.col("__y"), F.col("__level")))
+    x, y, e = F.col("__x"), F.col("__y"), F.struct(*EDGE)
+    # The ray goes towards greater x.
+    meets = y.between(F.least("y1", "y2"), F.greatest("y1", "y2")) & (x <= F.greatest("x1", "x2"))
+    met = probes.join(banded, ["__id", "__level", "__band"]).filter(meets)
+    place = [*on, "__x", "__y", *carried]
+    counted = met.groupBy("__id", *place).agg(F.sum(g.crosses(x, y, e)).alias("__n"), F.bool_or(g.on_edge(x, y, e)).alias("__on"))
+    return counted.filter((F.col("__n") % 2 == 1) | F.col("__on")).select(*place)
 
 
 def locate_points(
@@ -27,50 +103,24 @@ def locate_points(
 ) -> DataFrame:
     """Left join of points to the features that cover them (edges included), one row per feature.
 
-    A part is filed at the level whose cells are at least as large as its box, so it occupies at
-    most four cells there; cells double in size from level to level, as far as the largest box
-    needs. A point looks into its one cell of each level that occurs; which these are is read off
-    the boxes when the plan is made. The index holds boxes only: a point meets the edges of a part
-    once its box holds the point. Equal points are looked up once.
+    ``cell`` is about the size of a small part. Equal points are looked up once.
     """
-    shaped = parts.select(*attributes, F.col("rings").alias("__rings")).withColumn("__id", F.xxhash64(*attributes, "__rings"))
-    boxes = shaped.select("__id", g.bounds(F.col("__rings")).alias("__b"))
-    side = F.greatest(F.col("__b.x1") - F.col("__b.x0"), F.col("__b.y1") - F.col("__b.y0"))
-    boxes = boxes.withColumn("__level", F.when(side <= cell, 0).otherwise(F.ceil(F.log2(side / cell))).cast("int"))
-    # A handful: one number per doubling of the box size.
-    occurring = sorted(r[0] for r in boxes.select("__level").distinct().collect() if r[0] is not None)
-    size = lambda lv: F.lit(float(cell)) * F.pow(F.lit(2.0), lv)
-    at = lambda v, lv: F.floor(v / size(lv))
-    across = lambda a, b: F.explode(F.sequence(at(F.col(a), F.col("__level")), at(F.col(b), F.col("__level"))))
-    filed = boxes.withColumn("__cx", across("__b.x0", "__b.x1")).withColumn("__cy", across("__b.y0", "__b.y1"))
+    edges = edge_rows(parts, attributes)
     places = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()
-    probes = places.withColumn("__level", F.explode(F.array(*map(F.lit, occurring)).cast("array<int>")))
-    probes = probes.withColumns(
-        {"__cx": at(F.col("__x"), F.col("__level")), "__cy": at(F.col("__y"), F.col("__level"))}
-    )
-    boxed = F.col("__x").between(F.col("__b.x0"), F.col("__b.x1")) & F.col("__y").between(F.col("__b.y0"), F.col("__b.y1"))
-    near = probes.join(filed, ["__level", "__cx", "__cy"]).filter(boxed).select("__id", "__x", "__y")
-    hits = (
-        near.join(shaped, "__id")
-        .filter(g.covers(g.edges(F.col("__rings")), F.col("__x"), F.col("__y")))
-        .select("__x", "__y", *attributes)
-        .distinct()
-    )
+    hits = _covering(places, edges, [], attributes, cell).distinct()
     return null_safe_join(points, hits, [(x, "__x"), (y, "__y")])
 
 
 def _tighten(candidates: DataFrame, place: Sequence[str]) -> DataFrame:
-    """Drop candidates that cannot hold the nearest feature of their place.
+    """Drop candidates that cannot hold the nearest edge of their place.
 
-    The reach of a place is aggregated before it meets the candidates again, so a place with very
-    many of them is no task of its own. The candidates are stored first, or both sides of that join
-    would repeat all levels before.
+    The window holds the few cells that a single place still has to choose from.
     """
     least, most = g.box_distance_bounds(F.col("__b"), F.col("__x"), F.col("__y"))
-    bounded = cut_lineage(candidates.withColumns({"__least": least, "__most": most}).drop("__b"))
-    reach = bounded.groupBy(*place).agg(F.min("__most").alias("__reach"))
+    reach = F.min("__most").over(Window.partitionBy(*place))
+    bounded = candidates.withColumns({"__least": least, "__most": most}).drop("__b").withColumn("__reach", reach)
     close = F.col("__least") <= F.col("__reach") * (1 + 1e-9) + 1e-9
-    return bounded.join(reach, list(place)).filter(close).drop("__least", "__most", "__reach")
+    return bounded.filter(close).drop("__least", "__most", "__reach")
 
 
 def nearest_in_name(
@@ -81,46 +131,43 @@ def nearest_in_name(
     x: str = "x",
     y: str = "y",
     distance: str = "distance",
-    sizes: Sequence[int] = (2**21, 2**15, 2**9),
+    sizes: Sequence[int] = (2**21, 2**14, 2**7),
 ) -> DataFrame:
     """Nearest feature among those that carry the point's name; ties go to the lowest feature key.
 
-    Points whose name no feature carries yield nothing. Polygons are filed by box centre in
-    nested cells (sizes in map units, each a power of two); every cell knows the box of what
-    it holds. For a point, a cell is kept only if its least possible distance is within the
-    greatest possible distance of the best cell, level by level. Until then only names, numbers
-    and boxes move, from one reading of the layer; the rings are fetched for what survives, and
-    exact distances are taken to them. Equal points and equal shapes are handled once.
+    Points whose name no feature carries yield nothing. The edges of all parts are filed by their
+    middle in nested cells (sizes in map units, each a power of two); every cell knows the box of
+    what it holds. For a point, a cell is kept only if its least possible distance is within the
+    greatest possible distance of the best cell, level by level, down to single edges, to which
+    exact distances are taken. Points inside a feature of their name are 0 away from it; these are
+    found by crossings. The layer is read once; only edges, numbers and boxes move. Equal points
+    are handled once.
     """
     place = ["__name", "__x", "__y"]
     places = points.select(F.col(name).alias("__name"), F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()
-    shaped = parts.select(
-        F.col(name).alias("__name"), F.struct(*feature).alias("__feature"), F.col("rings").alias("__rings")
-    ).withColumn("__id", F.xxhash64("__name", "__rings"))
-    centre = lambda a, b: F.floor((F.col(f"__b.{a}") + F.col(f"__b.{b}")) / 2 / sizes[-1])
-    boxes = shaped.select("__name", "__id", g.bounds(F.col("__rings")).alias("__b")).groupBy("__name", "__id").agg(F.first("__b").alias("__b"))
-    boxes = cut_lineage(boxes.withColumns({"__cx": centre("x0", "x1"), "__cy": centre("y0", "y1")}))
+    named = parts.select(F.col(name).alias("__name"), F.struct(*feature).alias("__feature"), "rings")
+    edges = edge_rows(named, ["__name", "__feature"])
+    middle = lambda a, b: F.floor((F.col(a) + F.col(b)) / 2 / sizes[-1])
+    filed = edges.withColumns({"__cx": middle("x1", "x2"), "__cy": middle("y1", "y2")})
+    cell = ["__name", "__cx", "__cy"]
     whole = F.struct(
         F.min("__b.x0").alias("x0"), F.min("__b.y0").alias("y0"), F.max("__b.x1").alias("x1"), F.max("__b.y1").alias("y1")
     )
     # Cells from fine to coarse; a coarse cell number is a fine one shifted right.
-    nodes = [boxes.groupBy("__name", "__cx", "__cy").agg(whole.alias("__b"))]
+    nodes = [_box_of(filed, cell)]
     shifts = [int(big // small).bit_length() - 1 for big, small in zip(sizes, sizes[1:])]
     for shift in reversed(shifts):
-        up = nodes[0].select(
-            "__name", F.shiftright("__cx", shift).alias("__cx"), F.shiftright("__cy", shift).alias("__cy"), "__b"
-        )
-        nodes.insert(0, up.groupBy("__name", "__cx", "__cy").agg(whole.alias("__b")))
+        up = nodes[0].select("__name", F.shiftright("__cx", shift).alias("__cx"), F.shiftright("__cy", shift).alias("__cy"), "__b")
+        nodes.insert(0, up.groupBy(*cell).agg(whole.alias("__b")))
     found = _tighten(places.join(nodes[0], "__name"), place)
     for shift, level in zip(shifts, nodes[1:]):
         below = level.withColumns({"__px": F.shiftright("__cx", shift), "__py": F.shiftright("__cy", shift)})
         above = found.withColumnsRenamed({"__cx": "__px", "__cy": "__py"})
         found = _tighten(above.join(below, ["__name", "__px", "__py"]), place).drop("__px", "__py")
-    near = _tighten(found.join(boxes, ["__name", "__cx", "__cy"]), place).select(*place, "__id")
-    shapes = shaped.groupBy("__name", "__id").agg(F.min("__feature").alias("__feature"), F.first("__rings").alias("__rings"))
-    measured = near.join(shapes, ["__name", "__id"]).select(
-        *place, "__feature", g.distance(g.edges(F.col("__rings")), F.col("__x"), F.col("__y")).alias("__d")
-    )
+    far = g.edge_distance(F.col("__x"), F.col("__y"), F.struct(*EDGE))
+    measured = found.join(filed, cell).select(*place, far.alias("__d"), "__feature")
+    inside = _covering(places, edges, ["__name"], ["__feature"], float(sizes[-1]))
+    measured = measured.unionByName(inside.withColumn("__d", F.lit(0.0)))
     best = measured.groupBy(*place).agg(F.min(F.struct("__d", "__feature")).alias("__best"))
     answer = best.select(
         *place, F.col("__best.__d").alias(distance), *[F.col(f"__best.__feature.{f}").alias(f) for f in feature if f != name]

@@ -67,6 +67,28 @@ def point_in_polygon(spark, d):
     return sp.locate_points(places(spark, d), regions, ["region"], cell=64.0).select("c_custkey", "region")
 
 
+@query(
+    """
+    WITH n AS (SELECT count(*) AS n FROM lineitem),
+         p AS (SELECT o_orderkey, (o_orderkey * 7 % 2200 - 100)::DOUBLE AS x, (o_orderkey * 617 % (n + 10) - 5)::DOUBLE + (o_orderkey % 4) / 4.0::DOUBLE AS y, n FROM orders, n),
+         k AS (SELECT *, floor(y)::BIGINT AS k FROM p),
+         f AS (SELECT *, (1000 + k * 7919 % 997)::DOUBLE AS f0, (1000 + (k + 1) * 7919 % 997)::DOUBLE AS f1 FROM k)
+    SELECT o_orderkey, CASE WHEN x >= 0 AND y >= 0 AND y <= n - 1 AND x <= f0 + (y - k) * (CASE WHEN y = k THEN 0 ELSE f1 - f0 END) THEN 'coast' END AS region FROM f
+    """
+)
+def point_in_large_polygon(spark, d):
+    """One polygon with a corner per line item, ragged on one side, and a point per order."""
+    n = table(spark, d, "lineitem").count()
+    corner = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    ragged = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")), lambda i: corner(1000 + i * 7919 % 997, i))
+    straight = F.array(corner(F.lit(0), F.lit(n - 1)), corner(F.lit(0), F.lit(0)))
+    coast = spark.range(1).select(F.lit("coast").alias("region"), F.array(F.concat(ragged, straight)).alias("rings"))
+    o = F.col("o_orderkey")
+    x, y = o * 7 % 2200 - 100, (o * 617 % (n + 10) - 5) + (o % 4) / 4
+    points = table(spark, d, "orders").select("o_orderkey", x.cast("double").alias("x"), y.cast("double").alias("y"))
+    return sp.locate_points(points, coast, ["region"], cell=64.0).select("o_orderkey", "region")
+
+
 @query(
     f"""
     WITH {_FEATURES},

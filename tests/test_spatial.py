@@ -160,3 +160,48 @@ def test_point_on_a_shared_edge_counts_once_per_feature(spark):
     points = spark.createDataFrame([(1, 1.0, 0.5), (2, 5e5, 5e5), (3, 3e6, 0.0)], "i int, x double, y double")
     found = sp.locate_points(points, parts, ["w"], 1.0)
     assert sorted((r.i, str(r.w)) for r in found.collect()) == [(1, "a"), (1, "b"), (1, "wide"), (2, "wide"), (3, "None")]
+
+
+def test_parts_alike_are_counted_each_for_itself(spark):
+    """Two equal parts must not cancel each other's crossings."""
+    parts = parts_of(spark, [(1, "a", [square(0, 0, 2)]), (1, "a", [square(0, 0, 2)]), (2, "a", [square(0, 0, 3)])])
+    points = spark.createDataFrame([(1, "a", 0.5, 0.5), (2, "a", 2.5, 0.0), (3, "a", None, 0.0)], "i int, name string, x double, y double")
+    found = sp.locate_points(points, parts, ["w"], cell=1.0)
+    assert sorted((r.i, str(r.w)) for r in found.collect()) == [(1, "1"), (1, "2"), (2, "2"), (3, "None")]
+    near = sp.nearest_in_name(points, parts, "name", ["w"], sizes=(64, 8, 1))
+    assert sorted((r.i, r.w, r.distance) for r in near.collect()) == [(1, 1, 0.0), (2, 2, 0.0)]
+
+
+def test_edges_of_very_different_lengths(spark):
+    """Long edges beside thousands of short ones, and points on level edges and corners."""
+    ragged = [(10.0 + (i * 37 % 11) / 8, i / 64) for i in range(2000)]
+    ring = [*ragged, (0.0, 1999 / 64), (0.0, 0.0)]
+    parts = parts_of(spark, [(1, "a", [ring])])
+    asked = [(i, (i * 53 % 97) / 8, (i * 31 % 2100) / 64 - 0.5) for i in range(300)] + [(900, 5.0, 0.0), (901, 5.0, 1999 / 64), (902, 0.0, 3.0), (903, -0.5, 0.0)]
+    found = sp.locate_points(spark.createDataFrame(asked, "i int, x double, y double"), parts, ["w"], cell=1.0)
+    assert {r.i for r in found.collect() if r.w} == {i for i, x, y in asked if inside(x, y, [ring])}
+
+
+def test_a_large_polygon_meets_points_as_edges(spark):
+    """100,000 points against one ring of 200,000 corners: nothing that is joined or shuffled is an array."""
+    n = 200_000
+    corner = lambda x, y: F.struct(F.lit(x).cast("double").alias("x"), F.lit(y).cast("double").alias("y"))
+    ragged = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: corner(1000 + i * 7919 % 997, i))
+    rings = F.array(F.concat(ragged, F.array(corner(0, n - 1), corner(0, 0))))
+    parts = spark.range(1).select(F.lit(1).alias("w"), rings.alias("rings"))
+    k = F.col("id")
+    points = spark.range(100_000).select("id", (k * 7 % 2200 - 100).cast("double").alias("x"), (k * 617 % n).cast("double").alias("y"))
+    found = sp.locate_points(points, parts, ["w"], cell=64.0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rings" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    expected = sum(0 <= i * 7 % 2200 - 100 <= 1000 + (i * 617 % n) * 7919 % 997 and i * 617 % n <= n - 1 for i in range(100_000))
+    assert found.filter("w = 1").count() == expected
+
+
+def test_nearest_reads_a_layer_once_and_moves_no_rings(spark):
+    k = F.col("id")
+    parts = spark.range(2000).select((k % 50).cast("int").alias("w"), F.lit("Lake").alias("name"), g.box(k * 10.0, k * 0.0, k * 10.0 + 5, k * 0.0 + 5).alias("rings"))
+    points = spark.range(50).select(F.lit("Lake").alias("name"), (k * 391.0).alias("x"), (k * 3.0).alias("y"))
+    found = sp.nearest_in_name(points, parts, "name", ["w"])
+    assert "rings" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 50
