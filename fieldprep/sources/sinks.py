@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fieldprep.sources.versions import current, filesystem, publish
+
 
 def write_table(
     df: DataFrame,
@@ -57,16 +58,10 @@ def filter_label(
     return f"{base}_{field}_filtered" if field else base
 
 
-def _filesystem(spark: SparkSession, path: str):
-    """The path and its file system, whatever storage Spark is set up for."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a table was written to its end: its folder holds the marker of a committed job."""
-    where, files = _filesystem(spark, path)
-    return files.exists(spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"))
+    where, files = filesystem(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return files.exists(where)
 
 
 def read_or_build(
@@ -77,22 +72,18 @@ def read_or_build(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """A stored table if there is one, else build it, store it and read it back.
+    """A stored table if there is one, else build it, publish it and read it back.
 
-    Only a committed table counts as stored. A new one is written beside the path and moved there
-    when it is whole; what an interrupted run left is replaced. No path is refused.
+    A new one is a new version (see ``versions``): until it is whole, and if its writer stops on the
+    way, readers find the earlier one. A plain table counts as stored if it was committed. No path
+    is refused.
     """
     if not path:
         raise ValueError("no path for the stored table given")
-    if refresh or not committed(spark, path):
-        path = path.rstrip("/")
-        beside = f"{path}.building-{uuid.uuid4().hex[:12]}"
-        write_table(build(), beside, fmt, partition_by)
-        target, files = _filesystem(spark, path)
-        files.delete(target, True)
-        if not files.rename(_filesystem(spark, beside)[0], target):
-            raise OSError(f"could not move {beside} to {path}")
-    return spark.read.format(fmt).load(path)
+    found = current(spark, path) or (path if committed(spark, path) else None)
+    if refresh or found is None:
+        found = publish(spark, path, lambda folder: write_table(build(), folder, fmt, partition_by))
+    return spark.read.format(fmt).load(found)
 
 
 def counted(df: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, Observation]:

@@ -2,20 +2,22 @@
 
 Files land in a folder; each micro-batch is cleaned by the same functions as a full
 run and appended without the rows already stored, so replaying a batch, or the whole
-folder with a fresh checkpoint, changes nothing.
+folder with a fresh checkpoint, changes nothing. What is stored is known from a ledger
+beside the table; the table itself is not read for that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldprep.operators.joins import anti
+from fieldprep.sources.versions import children
+from fieldprep.streaming.ledger import Ledger, batch_name, digests
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,32 +29,53 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return least.select(*[c if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 
-def append_new(batch: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
-    """Append the rows whose key is not stored yet; within a batch the least row of a key stays.
+def _stored(spark: SparkSession, path: str, like: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """Partition and key digests of the stored rows, from the table itself."""
+    first, second = digests(keys)
+    if not any(not n.startswith(("_", ".")) for n in children(spark, path)):
+        return like.limit(0).select(partition, first.alias("__d1"), second.alias("__d2"))
+    return spark.read.schema(like.schema).parquet(path).select(partition, first.alias("__d1"), second.alias("__d2"))
+
 
-    Which row stays is decided by value, so a recomputed batch makes the same choice.
+def append_new(batch: DataFrame, path: str, keys: Sequence[str], partition: str) -> bool:
+    """Append the rows whose key is not stored yet; within a batch the least row of a key stays.
 
-    The stored side is read only where it can match: the partitions the batch touches. That needs
-    the partition to be part of the key, which is checked.
+    Which row stays is decided by value, so a recomputed batch makes the same choice. What is stored
+    is asked of the table's ledger (see ``ledger``): a batch applied before is known by its name, and
+    keys are met with a filter of the partitions that the batch touches, then, where that cannot
+    rule them out, with these partitions' digests. The partition has to be part of the key, which is
+    checked. Returns whether the batch was applied now. One writer at a time.
     """
     if partition not in keys:
         raise ValueError(f"the partition column {partition} must be one of the keys {list(keys)}")
     spark = batch.sparkSession
-    fresh = one_per_key(batch, keys).persist()
+    first, second = digests(keys)
+    fresh = one_per_key(batch, keys).withColumns({"__d1": first, "__d2": second}).persist()
     try:
-        # One value per touched partition (years, days): a handful by construction.
-        touched = [row[0] for row in fresh.select(partition).distinct().collect()]
+        sums = [F.count(F.lit(1)), F.bit_xor("__d1"), F.bit_xor("__d2"), F.sum(F.pmod("__d1", F.lit(2**31)))]
+        # One row per touched partition (years, days): a handful by construction.
+        summed = [tuple(row) for row in fresh.groupBy(partition).agg(*sums).collect()]
+        touched, name = [row[0] for row in summed], batch_name(summed)
+        if not summed:
+            return False
+        ledger = Ledger(spark, path, partition, dict(fresh.dtypes)[partition])
+        rows = fresh.drop("__d1", "__d2")
+        if ledger.interrupted() or not children(spark, ledger.base):
+            ledger.recover(_stored(spark, path, rows, keys, partition))
+        if ledger.applied(name):
+            return False
+        seen = ledger.seen(fresh, touched)
+        new = fresh if seen is None else anti(fresh, seen, [partition, "__d1", "__d2"])
+        # The ledger grows by what is new now; both writes must see the same rows.
+        new = new.persist()
         try:
-            stored = spark.read.schema(fresh.schema).parquet(path)
-            present = F.col(partition).isin([t for t in touched if t is not None])
-            if None in touched:
-                present = present | F.col(partition).isNull()
-            new = anti(fresh, stored.filter(present).select(*keys), list(keys))
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            new = fresh
-        new.write.mode("append").partitionBy(partition).parquet(path)
+            ledger.begin(name, touched)
+            new.drop("__d1", "__d2").write.mode("append").partitionBy(partition).parquet(path)
+            ledger.enter(new, touched)
+            ledger.finish(name)
+        finally:
+            new.unpersist()
+        return True
     finally:
         fresh.unpersist()
 

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from fieldprep.plans.polygons import RowFilter
 from fieldprep.session import cut_lineage, shared_folder
 from fieldprep.sources import readers, sinks
+from fieldprep.sources import versions
+from fieldprep.streaming import append, ledger
 from fieldprep.streaming.append import append_new, append_stream
 
 
@@ -159,3 +161,126 @@ def test_titled_table_keeps_every_record(spark, tmp_path):
     plain.parent.mkdir()
     plain.write_text('a,b\n1,NA\n"x\ny",""\n')
     assert [tuple(r) for r in readers.read_extracts(spark, str(plain.parent)).collect()] == [("1", None, 2020), ("x\ny", None, 2020)]
+
+
+def test_a_writer_that_stops_leaves_the_earlier_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    old = sinks.read_or_build(spark, path, lambda: spark.range(3))
+
+    def stop(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_point", stop)  # the data are written, the pointer is not
+        with pytest.raises(KeyboardInterrupt):
+            sinks.read_or_build(spark, path, lambda: spark.range(9), refresh=True)
+    assert sinks.read_or_build(spark, path, lambda: spark.range(99)).count() == 3 and old.count() == 3
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "write_table", stop)
+        with pytest.raises(KeyboardInterrupt):
+            sinks.read_or_build(spark, path, lambda: spark.range(9), refresh=True)
+    assert sinks.read_or_build(spark, path, lambda: spark.range(99)).count() == 3
+    assert sinks.read_or_build(spark, path, lambda: spark.range(4), refresh=True).count() == 4
+    assert old.count() == 3  # a plan on the version before still reads it
+    assert len(versions.sweep(spark, path, older_than=3600)) == 0
+    assert len(versions.sweep(spark, path, older_than=0)) == 1 and old.count() == 3
+
+
+def test_versions_are_retired_and_a_plain_table_is_superseded(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2).write.parquet(path)
+    assert sinks.read_or_build(spark, path, lambda: spark.range(9)).count() == 2
+    for n in (3, 4, 5):
+        assert sinks.read_or_build(spark, path, lambda n=n: spark.range(n), refresh=True).count() == n
+    assert len(versions.published(spark, path)) == 2
+    assert versions.children(spark, path) == ["_published", "versions"]
+    first = versions.publish(spark, path, lambda folder: spark.range(6).write.parquet(folder))
+    assert versions.current(spark, path) == first and spark.read.parquet(first).count() == 6
+
+
+def _table(spark, path):
+    return rows(spark.read.schema(RAW).parquet(path), "Year", "id", "v")
+
+
+def test_a_replayed_batch_reads_neither_table_nor_digests(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    batches = [spark.createDataFrame([(y, str(i), f"v{i}") for i in range(a, a + 40)], RAW) for y, a in ((2020, 0), (2021, 0), (2020, 20))]
+    assert [append_new(b, path, ["Year", "id"], "Year") for b in batches] == [True, True, True]
+    want = _table(spark, path)
+    assert len(want) == 100
+
+    def refuse(*_):
+        raise AssertionError("stored keys were read")
+
+    monkeypatch.setattr(append, "_stored", refuse)
+    monkeypatch.setattr(ledger.Ledger, "keys", refuse)
+    assert [append_new(b, path, ["Year", "id"], "Year") for b in batches] == [False, False, False]
+    assert _table(spark, path) == want
+
+
+def test_new_keys_are_known_to_be_new_by_the_filter(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    append_new(spark.createDataFrame([(2020, str(i), "a") for i in range(300)], RAW), path, ["Year", "id"], "Year")
+    met = []
+    real = ledger.Ledger.seen
+
+    def seen(self, fresh, touched):
+        out = real(self, fresh, touched)
+        met.append(None if out is None else out.count())
+        return out
+
+    monkeypatch.setattr(ledger.Ledger, "seen", seen)
+    append_new(spark.createDataFrame([(2021, str(i), "a") for i in range(50)], RAW), path, ["Year", "id"], "Year")
+    append_new(spark.createDataFrame([(2020, str(i), "b") for i in range(290, 310)], RAW), path, ["Year", "id"], "Year")
+    assert met == [None, 10]
+    assert len(_table(spark, path)) == 360
+
+
+@pytest.mark.parametrize("step", ["data", "keys", "filter", "finish"])
+def test_an_interrupted_batch_is_made_good(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    early = spark.createDataFrame([(2020, str(i), "a") for i in range(30)], RAW)
+    late = spark.createDataFrame([(y, str(i), "b") for y in (2020, 2021, None) for i in range(20, 40)], RAW)
+    append_new(early, path, ["Year", "id"], "Year")
+
+    def stop(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        if step == "data":
+            broken.setattr(ledger.Ledger, "enter", stop)
+        elif step == "finish":
+            broken.setattr(ledger.Ledger, "finish", stop)
+        else:
+            real = ledger.Ledger._write
+            broken.setattr(ledger.Ledger, "_write", lambda self, df, name, replace: stop() if name == step else real(self, df, name, replace))
+        with pytest.raises(KeyboardInterrupt):
+            append_new(late, path, ["Year", "id"], "Year")
+    want = _table(spark, path)
+    assert len(want) == 80
+    append_new(late, path, ["Year", "id"], "Year")
+    append_new(spark.createDataFrame([(2021, "21", "c"), (2020, "39", "c"), (None, "20", "c"), (2022, "1", "c")], RAW), path, ["Year", "id"], "Year")
+    assert _table(spark, path) == sorted([*want, (2022, "1", "c")], key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert ledger.Ledger(spark, path, "Year", "int").interrupted() == {}
+
+
+def test_a_table_without_a_ledger_gets_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(2020, "1", "a"), (2021, "2", "a")], RAW).write.partitionBy("Year").parquet(path)
+    append_new(spark.createDataFrame([(2020, "1", "b"), (2020, "3", "b")], RAW), path, ["Year", "id"], "Year")
+    assert _table(spark, path) == [(2020, "1", "a"), (2020, "3", "b"), (2021, "2", "a")]
+
+
+def test_filters_grow_with_their_partition(spark, tmp_path):
+    book = ledger.Ledger(spark, str(tmp_path / "t"), "Year", "int")
+    d1, d2 = ledger.digests(["Year", "id"])
+    keyed = lambda a, b: spark.range(a, b).select(F.lit(2020).alias("Year"), F.col("id").cast("string").alias("id")).select("Year", d1.alias("__d1"), d2.alias("__d2"))
+    book.enter(keyed(0, 100), [2020])
+    book.enter(keyed(100, 5000), [2020])
+    sizes = {r[0] for r in book.filter([2020]).select("__size").collect()}
+    assert sizes == {11}
+    assert book.seen(keyed(4000, 5000), [2020]).count() == 1000
+    other = book.seen(keyed(10_000, 20_000), [2020])
+    assert other is None or other.count() == 0
+    missing = spark.createDataFrame([(None, "1"), (2020, None), (None, None)], "Year int, id string").select(d1.alias("a"), d2.alias("b"))
+    assert len({tuple(r) for r in missing.collect()}) == 3
