@@ -140,6 +140,58 @@ def classify_multi_value(
     return prepare(single).unionByName(several)
 
 
+def class_parts(
+    df: DataFrame,
+    id_column: str,
+    column: str,
+    lookup: DataFrame,
+    key: str,
+    value: str,
+    classes: Mapping[str, str],
+    slots: int = 3,
+    missing: str = "Unknown",
+    also_missing: Sequence[str] = ("other",),
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> tuple[DataFrame, DataFrame]:
+    """One arriving table's share of ``classify_multi_value``: its rows, and what it adds per id.
+
+    The rows hold their own counts (``__own0`` and so on); twins, which agree in all columns and so
+    come in one table, collapsed. The second table has one narrow row per id, with the number of rows and
+    the sums of their counts; those of several tables add up. ``pool_parts`` puts both together.
+    """
+    own = {cls: f"__own{i}" for i, cls in enumerate(classes)}
+    classed = lambda rows: _with_own_counts(rows, column, lookup, key, value, own, slots, missing, also_missing)
+    narrow = classed(df.select(F.col(id_column).alias("__id"), column))
+    adds = narrow.groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(a).alias(f"{a}_all") for a in own.values()])
+    repeated = stored(adds.filter(F.col("__rows") > 1).select("__id"))
+    held, rest = [(id_column, "__id")], df.drop(*classes.values())
+
+    def bare(rows: DataFrame) -> DataFrame:
+        rows = rows.drop(column, *[c for c in rows.columns if c.startswith("__part")])
+        return prepare(rows)
+
+    single, twins = bare(classed(anti(rest, repeated, held))), bare(classed(semi(rest, repeated, held))).distinct()
+    return single.unionByName(twins), adds
+
+
+def pool_parts(rows: DataFrame, adds: DataFrame, id_column: str, classes: Mapping[str, str]) -> DataFrame:
+    """The classes' counts of all rows, pooled over the ids of all tables that ``adds`` has sums of.
+
+    Rows without own counts keep what they have. Only ids of several rows pool anything; they are
+    stored first, so that their true size decides the join.
+    """
+    own = {out: f"__own{i}" for i, out in enumerate(classes.values())}
+    sums = adds.groupBy("__id").agg(F.sum("__rows").alias("__rows"), *[F.sum(f"{a}_all").alias(f"{a}_all") for a in own.values()])
+    repeated = stored(sums.filter(F.col("__rows") > 1).drop("__rows"))
+    joined = null_safe_join(rows, repeated, [(id_column, "__id")])
+
+    def counter(out: str, a: str) -> Column:
+        pooled = F.when(F.col(a) > 0, F.coalesce(f"{a}_all", a)).otherwise(0).cast("double")
+        return F.when(F.col(a).isNull(), F.col(out)).otherwise(pooled) if out in rows.columns else F.when(F.col(a).isNotNull(), pooled)
+
+    return joined.withColumns({out: counter(out, a) for out, a in own.items()}).drop(*own.values(), *[f"{a}_all" for a in own.values()])
+
+
 def _with_own_counts(
     df: DataFrame,
     column: str,

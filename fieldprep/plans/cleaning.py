@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldprep.functions import recode, text
 from fieldprep.operators import joins
-from fieldprep.operators.aggregates import classify_multi_value
+from fieldprep.operators.aggregates import class_parts, classify_multi_value, pool_parts
 from fieldprep.operators.columns import apply_to_columns, select_once
 from fieldprep.operators.filters import keep_era
 from fieldprep.operators.reshape import append_rows, union_by_name
@@ -80,12 +80,32 @@ def classify_craft(df: DataFrame, types: DataFrame, categories: DataFrame) -> Da
         craft_lookup(types, categories),
         "WatercraftType",
         "category",
-        {**fixed.CRAFT_COUNTERS, fixed.UNKNOWN: fixed.UNKNOWN},
+        CRAFT_CLASSES,
         prepare=tidy,
     )
     return union_by_name([tidy(recent), counted])
 
 
+CRAFT_CLASSES = {**fixed.CRAFT_COUNTERS, fixed.UNKNOWN: fixed.UNKNOWN}
+
+
+def craft_parts(df: DataFrame, year: int, types: DataFrame, categories: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``classify_craft`` for the table of one year: its rows, and what it adds to the counts per id."""
+    df = with_all_columns(df)
+    if year > LAST_RECODED_YEAR:
+        df = df.withColumns({c: text.to_number(F.col(c)) for c in fixed.CRAFT_COUNTERS.values()})
+        return tidy(df.drop("WatercraftType")), None
+    lookup = craft_lookup(types, categories)
+    return class_parts(
+        df, "Watercraft_Risk_Assessment_ID", "WatercraftType", lookup, "WatercraftType", "category", CRAFT_CLASSES, prepare=tidy
+    )
+
+
+def pool_craft(rows: DataFrame, adds: DataFrame) -> DataFrame:
+    """The counters of tables that came one by one, as if they had come together."""
+    return pool_parts(rows, adds, "Watercraft_Risk_Assessment_ID", CRAFT_CLASSES)
+
+
 def settle_home_destinations(df: DataFrame, corrections: DataFrame) -> DataFrame:
     """Corrected names and a few cities settle the province; some cities also the name.
 
@@ -146,6 +166,11 @@ def clean_inspections(
     abbreviations: DataFrame,
 ) -> CleanTables:
     """The cleaned table and its three views. Rule order matters: later rules read earlier results."""
+    df = classify_craft(with_all_columns(df), craft_types, craft_categories)
+    return clean_views(clean_classified(df, corrections, abbreviations))
+
+
+def with_all_columns(df: DataFrame) -> DataFrame:
     df = with_missing_columns(
         df,
         *DESTINATIONS,
@@ -154,8 +179,11 @@ def clean_inspections(
         "Previous_Waterbody_2_Province_Or_State",
         "Previous_Waterbody_3_Province_Or_State",
     )
-    df = df.withColumn("High_Risk_AIS_Ind", recode.normalise_flag_text(F.col("High_Risk_AIS_Ind")))
-    df = classify_craft(df, craft_types, craft_categories)
+    return df.withColumn("High_Risk_AIS_Ind", recode.normalise_flag_text(F.col("High_Risk_AIS_Ind")))
+
+
+def clean_classified(df: DataFrame, corrections: DataFrame, abbreviations: DataFrame) -> DataFrame:
+    """The rules after craft is classified; each looks at one record and at lookups."""
     fixes = corrections.select("Non_Matching_Name", "Corrected_Name")
     df = joins.correct_by_lookup(df, DESTINATIONS, fixes, "Non_Matching_Name", "Corrected_Name")
     earlier = [F.col(f"Previous_Waterbody_{i}_Province_Or_State") for i in (1, 2, 3)]
@@ -163,8 +191,7 @@ def clean_inspections(
     df = destination_flags(settle_home_destinations(df, fixes))
     df = settle_source(flags_to_boolean(df), abbreviations)
     people = text.whole_number(F.col("Number_Of_People_In_Party"))
-    df = df.withColumn("Number_Of_People_In_Party", people)
-    return clean_views(df)
+    return df.withColumn("Number_Of_People_In_Party", people)
 
 
 def clean_views(df: DataFrame) -> CleanTables:

@@ -165,10 +165,11 @@ def zoned_inspection_time(df: DataFrame, zone: str = clock.PACIFIC) -> DataFrame
     return df.withColumn("TimeOfInspection", clock.to_instant(clock.force_zone(F.col("TimeOfInspection"), zone)))
 
 
-def fouled_lists(by_year: Mapping[int, DataFrame], recent: DataFrame, key: str = "Inspection ID") -> DataFrame:
+def fouled_lists(by_year: Mapping[int, DataFrame], recent: DataFrame | None, key: str = "Inspection ID") -> DataFrame:
     """All hand-corrected lists as one key table: the list's year, 0 for the extracts', and the bare id."""
     yearly = [df.select(F.lit(y).alias("__list"), F.col(f"`{key}`").alias("__bare")) for y, df in by_year.items()]
-    return union_by_name([*yearly, recent.select(F.lit(0).alias("__list"), F.col(ID).alias("__bare"))])
+    late = [] if recent is None else [recent.select(F.lit(0).alias("__list"), F.col(ID).alias("__bare"))]
+    return union_by_name([*yearly, *late])
 
 
 def align_fouled(df: DataFrame, lists: DataFrame) -> DataFrame:
@@ -212,3 +213,10 @@ def combine_sources(
     # Extracts alone lack what only yearly tables say.
     df = df.withColumns({c: F.lit(None).cast("string") for c in YEARLY_SCHEMA if c not in df.columns})
     return combine_fouled_flags(align_fouled(df, fouled_lists(fouled_by_year, fouled_recent)))
+
+
+def combine_year(raw: DataFrame, year: int, fouled: DataFrame) -> DataFrame:
+    """One yearly table as ``combine_sources`` has it; ``fouled`` is the list of the year."""
+    df = zoned_inspection_time(canonical_year(raw, year))
+    df = df.withColumns({c: F.lit(None).cast("string") for c in YEARLY_SCHEMA if c not in df.columns})
+    return combine_fouled_flags(align_fouled(df, fouled_lists({year: fouled}, None)))

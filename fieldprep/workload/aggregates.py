@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from fieldprep.functions.recode import recode_exact
 from fieldprep.operators import aggregates as agg
 from fieldprep.operators import joins, windows
-from fieldprep.operators.reshape import literal_rows, stacked_distinct
-from fieldprep.workload.registry import query, table
+from fieldprep.operators.reshape import literal_rows, stacked_distinct, union_by_name
+from fieldprep.workload.registry import ORACLES, query, table
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -123,6 +123,34 @@ _CLASSES = {
 }
 
 
+def _typed_parts(spark, d):
+    """Parts with a shared id and their types, and the lookup of the types' classes."""
+    size, kind = F.col("p_size"), F.col("p_type")
+    words = F.split("p_name", " ")
+    types = F.concat_ws(",", kind, words[0], F.concat(F.lit(" "), words[1]), kind)
+    df = table(spark, d, "part").select(
+        "p_partkey",
+        F.concat(F.col("p_brand"), F.lit("/"), (size % 5).cast("string")).alias("id"),
+        F.when(size % 11 == 0, None).when(size % 11 == 1, "other").otherwise(types).alias("types"),
+    )
+    lookup = literal_rows(
+        spark,
+        "type string, class string",
+        [
+            ("SMALL", "Simple"),
+            ("SMALL", "Non-motorized"),
+            ("LARGE", "Complex"),
+            ("PROMO", None),
+            ("red", "Simple"),
+            (" ring", "Very complex"),
+            (" bolt", "Complex"),
+            ("blue", "Simple"),
+            ("Unknown", "Unknown"),
+        ],
+    )
+    return df, lookup
+
+
 @query(
     """
     WITH w AS (SELECT p_partkey, p_brand || '/' || p_size % 5 AS id,
@@ -151,32 +179,19 @@ _CLASSES = {
     """
 )
 def classify_multi_value(spark, d):
-    size, kind = F.col("p_size"), F.col("p_type")
-    words = F.split("p_name", " ")
-    types = F.concat_ws(",", kind, words[0], F.concat(F.lit(" "), words[1]), kind)
-    df = table(spark, d, "part").select(
-        "p_partkey",
-        F.concat(F.col("p_brand"), F.lit("/"), (size % 5).cast("string")).alias("id"),
-        F.when(size % 11 == 0, None).when(size % 11 == 1, "other").otherwise(types).alias("types"),
-    )
-    lookup = literal_rows(
-        spark,
-        "type string, class string",
-        [
-            ("SMALL", "Simple"),
-            ("SMALL", "Non-motorized"),
-            ("LARGE", "Complex"),
-            ("PROMO", None),
-            ("red", "Simple"),
-            (" ring", "Very complex"),
-            (" bolt", "Complex"),
-            ("blue", "Simple"),
-            ("Unknown", "Unknown"),
-        ],
-    )
+    df, lookup = _typed_parts(spark, d)
     return agg.classify_multi_value(df, "id", "types", lookup, "type", "class", _CLASSES)
 
 
+@query(ORACLES["classify_multi_value"])
+def classify_arriving(spark, d):
+    """The same from four tables that came one by one and share ids: rows kept, sums per id added up."""
+    df, lookup = _typed_parts(spark, d)
+    came = [agg.class_parts(df.filter(F.col("p_partkey") % 4 == n), "id", "types", lookup, "type", "class", _CLASSES) for n in (2, 0, 3, 1)]
+    rows, adds = (union_by_name([part[i] for part in came]) for i in (0, 1))
+    return agg.pool_parts(rows, adds, "id", _CLASSES)
+
+
 @query(
     """
     SELECT o_orderkey, DENSE_RANK() OVER (ORDER BY o_orderdate NULLS LAST, st NULLS LAST) AS group_id

@@ -23,6 +23,7 @@ from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonic
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
 from fieldprep.session import shared_folder
 from fieldprep.streaming.inspections import append_inspections
+from fieldprep.streaming.yearly import arriving_years, read_years
 from fieldprep.sources import readers
 from fieldprep.sources.sinks import committed, read_or_build, write_tables
 from fieldprep.workload.registry import ORACLES, query, table
@@ -314,19 +315,33 @@ def _clean_columns(df):
 
 @query(ORACLES["combine_and_clean"].rstrip() + " WHERE late")
 def stream_inspections(spark, d):
-    """The extracts arriving as one file per year, cleaned and appended batch by batch, then all replayed."""
+    """The extracts arriving in several files a year, cleaned and appended batch by batch, then all replayed."""
     folder, known = scratch(spark), lookups(spark)
     raw = raw_extracts(base(spark, d))
-    for year in (2020, 2021, 2022, 2023, 2024, 2025):
-        raw.filter(F.col("Year") == year).coalesce(1).write.mode("append").parquet(f"{folder}/arrived")
+    # A file per year and task; no year passes through one task.
+    raw.repartition(4).write.partitionBy("Year").parquet(f"{folder}/arrived")
     fouled = sources(spark, d).fouled_recent
-    for replay, files in (("first", 3), ("again", None)):
+    for replay, files in (("first", 12), ("again", 12)):
         append_inspections(
             spark, f"{folder}/arrived", raw.schema, fouled, known, f"{folder}/table", f"{folder}/checkpoint-{replay}", "parquet", files_per_batch=files
         ).awaitTermination()
     return _clean_columns(spark.read.parquet(f"{folder}/table"))
 
 
+@query(ORACLES["combine_and_clean"].rstrip() + " WHERE NOT late")
+def stream_years(spark, d):
+    """The yearly tables arriving out of order, published year by year and read as one table."""
+    folder, made = scratch(spark), sources(spark, d)
+    for year, raw in made.years.items():
+        raw.write.parquet(f"{folder}/raw/{year}")
+    for years in ((2018, 2015), (2019, 2017), (2016,)):
+        notes = spark.createDataFrame([(y, f"{folder}/raw/{y}") for y in years], "year int, path string")
+        notes.coalesce(1).write.mode("append").option("header", True).csv(f"{folder}/arrivals")
+    read = lambda year, path: spark.read.parquet(path)
+    arriving_years(spark, f"{folder}/arrivals", read, made.fouled_by_year, lookups(spark), f"{folder}/years", f"{folder}/checkpoint", 2).awaitTermination()
+    return _clean_columns(read_years(spark, f"{folder}/years"))
+
+
 def _utc(column: str) -> Column:
     from fieldprep.functions.clock import utc_clock
 

@@ -128,6 +128,24 @@ def test_classify_pools_repeated_ids_and_collapses_twins(spark):
     ]
 
 
+def test_tables_that_come_one_by_one_are_pooled_like_one(spark):
+    """Any order, a table again in place of itself, twins within a table, rows that keep their own counters."""
+    records = [(2015, "7", "Kayak"), (2016, "7", "Kayak, Ski boat"), (2017, "8", "Kayak"), (2017, "8", "Kayak"), (2018, None, "Kayak"), (2016, None, "other"), (2018, "9", "Zeppelin")]
+    lookup = spark.createDataFrame([("Kayak", "Non-motorized"), (" Ski boat", "Complex"), ("Unknown", "Unknown")], "t string, c string")
+    came = {}
+    for year in (2018, 2016, 2015, 2017, 2016):
+        df = spark.createDataFrame([r for r in records if r[0] == year], "Year int, id string, types string")
+        came[year] = agg.class_parts(df, "id", "types", lookup, "t", "c", CLASSES)
+    late = spark.createDataFrame([(2019, "7", 5.0)], "Year int, id string, nonmotor double")
+    held = [part[0] for part in came.values()]
+    both = held[0].unionByName(held[1]).unionByName(held[2]).unionByName(held[3]).unionByName(late, allowMissingColumns=True)
+    adds = [part[1] for part in came.values()]
+    done = agg.pool_parts(both, adds[0].unionByName(adds[1]).unionByName(adds[2]).unionByName(adds[3]), "id", CLASSES)
+    shown = ("Year", "id", "nonmotor", "complex", "unknown")
+    assert rows(done.filter("Year < 2019"), *shown) == rows(classify(spark, records), *shown)
+    assert rows(done.filter("Year = 2019"), "nonmotor") == [(5.0,)]
+
+
 def test_classify_lookup_duplicates_multiply(spark):
     done = classify(spark, [(2015, "1", "Raft,Kayak")], extra=[("Raft", "Complex"), ("Raft", "Complex")])
     assert rows(done, "nonmotor", "complex") == [(2.0, 2.0)]
