@@ -10,15 +10,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldprep.llm.store import cut
 
 #: Base rules: fewest words, and the largest percentage of words in repeated windows of three words.
 LEAST_WORDS, REPEATED_PERCENT = 50, 50
-#: Common words of a language; candidates that are counted exactly; entries of the sketch that finds them.
-COMMON, CANDIDATES, SKETCH = 12, 32, 8192
+#: Common words of a language.
+COMMON = 12
 #: Distances beyond which a document fails, and the sizes from which it is judged.
 FAR_CHARS, FAR_WORDS = 0.32, 0.4
 JUDGED_CHARS, JUDGED_WORDS = 200, 100
@@ -27,38 +27,50 @@ LANGUAGES = 2000
 #: Words of a language from which its reference counts.
 REFERENCE_WORDS = 2000
 
-WORD, BLANKS = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
-#: Character classes apart from blanks; what is in none of them is the last class.
-CLASSES = {"lower": "[^a-z]+", "upper": "[^A-Z]+", "digit": "[^0-9]+", "symbol": "[^#*$%&|<>]+", "wide": r"[\x00-\x7F]+"}
+BLANKS = r"[\x20\x09-\x0D]+"
+#: Character classes apart from blanks and a-z, by what is not in them; what is in none is the last class.
+CLASSES = {"upper": "[^A-Z]+", "digit": "[^0-9]+", "symbol": "[^#*$%&|<>]+", "wide": r"[\x00-\x7F]+"}
 
 
-def _left(text: Column, drop: str) -> Column:
-    return F.length(F.regexp_replace(text, drop, "")).cast("bigint")
+def words_of(text: Column) -> Column:
+    """The words of a text in order."""
+    return F.array_remove(F.split(text, BLANKS), "")
+
+
+def _base(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, lang, the words and the counts of every row."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
-    rows = rows.select(
+    rows = _base(docs).select(
         "*",
-        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
+        words_of(F.col("text")).alias("words"),
+        # Most of a text is a-z and blanks; the other classes are looked for in the rest.
+        F.regexp_replace("text", r"[a-z\x20\x09-\x0D]+", "").alias("rest"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.struct(F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("i"))
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))
     )
+    long = lambda c: c.cast("bigint")
     rows = rows.select(
         "doc_id",
         "lang",
         F.transform("words", F.lower).alias("lowered"),
-        F.size("words").cast("bigint").alias("n_words"),
-        F.length("text").cast("bigint").alias("n_chars"),
-        _left(F.col("text"), BLANKS).alias("word_chars"),
-        *[_left(F.col("text"), drop).alias(f"n_{name}") for name, drop in CLASSES.items()],
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.when(F.size("words") >= 3, F.sort_array(windows)).otherwise(F.lit(None)).alias("sorted"),
+        long(F.size("words")).alias("n_words"),
+        long(F.length("text")).alias("n_chars"),
+        long(F.length(F.array_join("words", ""))).alias("word_chars"),
+        long(F.length("rest")).alias("n_rest"),
+        *[long(F.length(F.regexp_replace("rest", drop, ""))).alias(f"n_{name}") for name, drop in CLASSES.items()],
+        long(F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
+        F.when(F.size("words") >= 3, hashes).alias("hashes"),
     )
+    rows = rows.withColumn("n_lower", F.col("word_chars") - F.col("n_rest")).drop("n_rest")
+    # Only a text in which some window repeats is looked at window by window.
+    placed = F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    rows = rows.withColumn("sorted", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), F.sort_array(placed))).drop("hashes")
     # Windows whose neighbour in hash order has the same hash, then in text order.
     same = F.filter(
         "sorted", lambda x, j: (F.get("sorted", j - 1)["h"].eqNullSafe(x["h"])) | (F.get("sorted", j + 1)["h"].eqNullSafe(x["h"]))
@@ -75,23 +87,22 @@ def _of_language(rows: DataFrame, known: DataFrame, how: str) -> DataFrame:
     return rows.join(F.broadcast(known) if known.count() <= LANGUAGES else known, "lang", how)
 
 
-def common_words(rows: DataFrame) -> DataFrame:
+def common_words(docs: DataFrame) -> DataFrame:
     """lang and ``common``, the words that are most frequent in its documents, in order.
 
-    A sketch over all words finds the candidates in bounded memory; they are counted exactly.
+    Every word is counted, in partial sums before the shuffle; of equally frequent ones the first in
+    code-point order leads. Each task hands on the best few of a language, so no task gets its vocabulary.
     """
-    words = rows.filter("lang IS NOT NULL").select("lang", F.explode("lowered").alias("word"))
-    sketch = words.groupBy("lang").agg(F.expr(f"approx_top_k(word, {CANDIDATES}, {SKETCH})").alias("top"))
-    candidates = sketch.select("lang", F.transform("top", lambda x: x["item"]).alias("candidates"))
-    hits = _of_language(rows, candidates, "inner").select("lang", F.explode(F.filter("lowered", lambda w: F.array_contains("candidates", w))).alias("word"))
-    counts = hits.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    # At most the candidates of one language meet here.
-    ordered = counts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("top"))
-    return ordered.select("lang", F.transform(F.slice("top", 1, COMMON), lambda x: x["word"]).alias("common"))
+    spoken = _base(docs).filter("lang IS NOT NULL").select("lang", F.explode(words_of(F.col("text"))).alias("word"))
+    counts = spoken.select("lang", F.lower("word").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
+    best = counts.withColumn("place", place).filter(F.col("place") <= COMMON)
+    ordered = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("top"))
+    return ordered.select("lang", F.transform("top", lambda x: x["word"]).alias("common"))
 
 
 def _characters() -> Column:
-    known = [F.col(f"n_{name}") for name in CLASSES]
+    known = [F.col("n_lower"), *[F.col(f"n_{name}") for name in CLASSES]]
     blanks = F.col("n_chars") - F.col("word_chars")
     return F.array(*known, blanks, F.col("word_chars") - reduce(lambda a, b: a + b, known))
 
@@ -123,15 +134,15 @@ def judged(docs: DataFrame) -> DataFrame:
     repeat are each judged. An empty table gives an empty result. Other columns are not read.
     """
     rows = measured(docs)
-    ready = _of_language(rows, common_words(rows), "left").withColumn("found", _common_counts())
+    ready = _of_language(rows, common_words(docs), "left").withColumn("found", _common_counts())
     counts = F.transform("common", lambda w: F.size(F.filter("found.hits", lambda x: x == w)))
     ready = ready.withColumn("by_word", F.concat(counts.cast("array<double>"), F.array(F.col("found.other").cast("double"))))
     ready = cut(ready.withColumn("by_class", _characters().cast("array<double>")).drop("lowered", "found", "common"))
-    sums = [F.sum(F.coalesce(F.get(name, i), F.lit(0.0))).alias(f"{name}_{i}") for name, n in (("by_class", len(CLASSES) + 2), ("by_word", COMMON + 1)) for i in range(n)]
+    sums = [F.sum(F.coalesce(F.get(name, i), F.lit(0.0))).alias(f"{name}_{i}") for name, n in (("by_class", len(CLASSES) + 3), ("by_word", COMMON + 1)) for i in range(n)]
     totals = ready.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("n_words").alias("lang_words"), F.max(F.size("by_word")).alias("bins"), *sums)
     references = totals.filter(F.col("lang_words") >= REFERENCE_WORDS).select(
         "lang",
-        F.array(*[f"by_class_{i}" for i in range(len(CLASSES) + 2)]).alias("class_reference"),
+        F.array(*[f"by_class_{i}" for i in range(len(CLASSES) + 3)]).alias("class_reference"),
         F.slice(F.array(*[f"by_word_{i}" for i in range(COMMON + 1)]), F.lit(1), F.col("bins")).alias("word_reference"),
     )
     compared = _of_language(ready, references, "left").select(
