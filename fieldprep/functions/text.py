@@ -128,3 +128,16 @@ def to_number(col: Column) -> Column:
 
 def whole_number(col: Column) -> Column:
     return F.floor(to_number(col))
+
+
+def with_deletions(c: Column, most: int) -> Column:
+    """All different texts that are left when up to ``most`` characters are taken out."""
+    one = lambda t: F.transform(
+        F.sequence(F.lit(1), F.char_length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.char_length(t)))
+    )
+    less = lambda t: F.when(F.char_length(t) > 0, one(t)).otherwise(F.array().cast("array<string>"))
+    reached, last = F.array(c), F.array(c)
+    for _ in range(most):
+        last = F.array_distinct(F.flatten(F.transform(last, less)))
+        reached = F.concat(reached, last)
+    return F.array_distinct(reached)

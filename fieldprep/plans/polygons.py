@@ -96,6 +96,24 @@ def resolve_placenames(worklist: DataFrame, gazetteer: DataFrame) -> tuple[DataF
     return found, joins.anti(worklist, known, ["asked"]).select("names")
 
 
+def resolve_slips(worklist: DataFrame, gazetteer: DataFrame, most: int = 2) -> DataFrame:
+    """Names with the coordinates of the closest gazetteer name: names, known_as, lon, lat, slips.
+
+    ``slips`` is the number of letters put in, left out or replaced, up to ``most``; of equally close
+    names the first in order is taken. Two names within that distance share a text that is left when
+    up to ``most`` letters are taken out of each, so they meet on these texts; nothing else is compared.
+    """
+    known = gazetteer.select(F.col("names").alias("known_as"), "lon", "lat").dropna()
+    asked = worklist.select("asked").dropna().distinct()
+    left = asked.select("asked", F.explode(text.with_deletions(F.col("asked"), most)).alias("__left"))
+    right = known.select("known_as", F.explode(text.with_deletions(F.col("known_as"), most)).alias("__left")).distinct()
+    pairs = left.join(right, "__left").select("asked", "known_as").distinct()
+    close = pairs.withColumn("slips", F.levenshtein("asked", "known_as", most)).filter(F.col("slips") >= 0)
+    best = close.groupBy("asked").agg(F.min(F.struct("slips", "known_as")).alias("__best"))
+    best = best.select("asked", F.col("__best.known_as").alias("known_as"), F.col("__best.slips").alias("slips"))
+    return worklist.join(best, "asked").join(known, "known_as").select("names", "known_as", "lon", "lat", "slips")
+
+
 def with_coordinates(df: DataFrame, gazetteer: DataFrame, city: str) -> DataFrame:
     """Rows whose city has coordinates."""
     known = gazetteer.select(F.col("names").alias("__city"), "lon", "lat").dropna()

@@ -233,3 +233,33 @@ def placename_worklist(spark, d):
     known = append_rows(known, "names string, lon double, lat double", [("BUILDING", -120.5, 50.0), ("Montreal 3", -73.5, 45.5)])
     found, unknown = resolve_placenames(worklist(df), known)
     return found.unionByName(unknown, allowMissingColumns=True)
+
+
+@query(
+    """
+    WITH c AS (SELECT DISTINCT n_name AS n, c_custkey % (length(n_name) + 1) AS i, c_custkey % 4 AS kind FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    s AS (SELECT DISTINCT CASE kind WHEN 0 THEN n WHEN 1 THEN left(n, i::INT) || substr(n, i::INT + 2) WHEN 2 THEN left(n, i::INT) || 'x' || substr(n, i::INT + 1)
+                                    ELSE 'Q' || left(n, i::INT) || 'z' || substr(n, i::INT + 3) END AS names FROM c),
+    m AS (SELECT names, n_name AS known_as, levenshtein(names, n_name) AS slips, n_nationkey - 130.0 AS lon, row_number() OVER (PARTITION BY names ORDER BY levenshtein(names, n_name), n_name) AS k
+          FROM s JOIN nation ON levenshtein(names, n_name) <= 2)
+    SELECT names, known_as, lon, slips FROM m WHERE k = 1
+    """
+)
+def placename_slips(spark, d):
+    """Misspelt names of nations, met with the names they are one or two letters from."""
+    from fieldprep.plans.polygons import resolve_slips
+
+    nations = table(spark, d, "nation")
+    people = table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    i = (F.col("c_custkey") % (F.length("n_name") + 1)).cast("int")
+    n, kind = F.col("n_name"), F.col("c_custkey") % 4
+    upto, after = F.substring(n, F.lit(1), i), lambda k: F.substring(n, i + k, F.length(n))
+    typed = (
+        F.when(kind == 0, n)
+        .when(kind == 1, F.concat(upto, after(2)))
+        .when(kind == 2, F.concat(upto, F.lit("x"), after(1)))
+        .otherwise(F.concat(F.lit("Q"), upto, F.lit("z"), after(3)))
+    )
+    names = people.select(typed.alias("names")).distinct().withColumn("asked", F.col("names"))
+    gazetteer = nations.select(F.col("n_name").alias("names"), (F.col("n_nationkey") - 130.0).alias("lon"), F.lit(48.0).alias("lat"))
+    return resolve_slips(names, gazetteer).select("names", "known_as", "lon", F.col("slips").cast("bigint").alias("slips"))

@@ -205,3 +205,13 @@ def test_nearest_reads_a_layer_once_and_moves_no_rings(spark):
     found = sp.nearest_in_name(points, parts, "name", ["w"])
     assert "rings" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == 50
+
+
+def test_slips_of_placenames(spark):
+    from fieldprep.plans.polygons import resolve_slips
+
+    known = spark.createDataFrame([("Vernon", 1.0, 2.0), ("Venon", 3.0, 4.0), ("Nelson", 5.0, 6.0), ("Élan", 7.0, 8.0), ("X", None, 1.0)], "names string, lon double, lat double")
+    asked = ["Vernon", "Vrnon", "Velsn", "Nelso", "Nothing", "", "Elan", "Nleson", "X", None]
+    worklist = spark.createDataFrame([(a, a) for a in asked], "names string, asked string")
+    found = {r.names: (r.known_as, r.slips) for r in resolve_slips(worklist, known).collect()}
+    assert found == {"Vernon": ("Vernon", 0), "Vrnon": ("Venon", 1), "Velsn": ("Nelson", 2), "Nelso": ("Nelson", 1), "Elan": ("Élan", 1), "Nleson": ("Nelson", 2)}
