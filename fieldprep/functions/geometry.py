@@ -222,3 +222,25 @@ def part_moments(rings: Column) -> Column:
     real = F.filter(rings, lambda r: F.size(r) > 0)
     plus = lambda acc, m: F.struct(*[(acc[f] + m[f]).alias(f) for f in ("a", "mx", "my")])
     return F.aggregate(F.transform(F.transform(real, raw), signed), _nothing(), plus)
+
+
+HILBERT_BITS = 16
+
+
+def hilbert(x: Column, y: Column, bits: int = HILBERT_BITS) -> Column:
+    """The place along the Hilbert curve of a cell (x, y), two whole numbers of so many bits."""
+    big = lambda v: F.lit(v).cast("bigint")
+    start = F.struct(x.cast("bigint").alias("x"), y.cast("bigint").alias("y"), big(0).alias("d"))
+
+    def step(acc: Column, s: Column) -> Column:
+        right, up = acc["x"].bitwiseAND(s) > 0, acc["y"].bitwiseAND(s) > 0
+        quarter = F.when(right & up, big(2)).when(right, big(3)).when(up, big(1)).otherwise(big(0))
+        flip = lambda v: F.when(right, big((1 << bits) - 1) - v).otherwise(v)
+        return F.struct(
+            F.when(up, acc["x"]).otherwise(flip(acc["y"])).alias("x"),
+            F.when(up, acc["y"]).otherwise(flip(acc["x"])).alias("y"),
+            (acc["d"] + s * s * quarter).alias("d"),
+        )
+
+    sides = F.array(*[big(1 << b) for b in range(bits - 1, -1, -1)])
+    return F.aggregate(sides, start, step, lambda acc: acc["d"])

@@ -203,6 +203,33 @@ def attach_geometry(summary: DataFrame, parts: DataFrame, keys: Sequence[str]) -
     return null_safe_join(parts, summary, list(keys), "inner")
 
 
+BOX = ("x0", "y0", "x1", "y1")
+
+
+def in_space_order(parts: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Parts with the box of each beside its rings, in the order of a Hilbert curve through the layer.
+
+    Rows that are near each other come together in files and row groups, so a reader that asks for
+    a window (``within_window``) skips most of them by the statistics of the box columns. The curve
+    spans the extent of the layer, which is read first, from the outlines alone.
+    """
+    boxes = parts.withColumn("__b", g.bounds(F.col("rings")))
+    boxes = boxes.withColumns({c: F.col(f"__b.{c}") for c in BOX}).drop("__b")
+    x0, y0, x1, y1 = boxes.agg(F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")).first()
+    if x0 is None:
+        return boxes
+    side, top = max(x1 - x0, y1 - y0) or 1.0, (1 << g.HILBERT_BITS) - 1
+    at = lambda a, b, low: F.floor(((F.col(a) + F.col(b)) / 2 - F.lit(low)) / F.lit(side) * F.lit(top))
+    ordered = boxes.withColumn("__at", g.hilbert(at("x0", "x1", x0), at("y0", "y1", y0)))
+    ranged = ordered.repartitionByRange(partitions, "__at") if partitions else ordered.repartitionByRange("__at")
+    return ranged.sortWithinPartitions("__at").drop("__at")
+
+
+def within_window(parts: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
+    """Parts stored with their boxes whose box meets a window; the conditions reach the scan."""
+    return parts.filter((F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0))
+
+
 def project_parts(parts: DataFrame, projection: g.Albers, inverse: bool = False) -> DataFrame:
     return parts.withColumn("rings", g.project_rings(F.col("rings"), projection, inverse))
 

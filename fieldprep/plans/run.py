@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldprep.operators.filters import keep_year
+from fieldprep.operators.spatial import in_space_order
 from fieldprep.plans.cleaning import CleanTables, clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources
 from fieldprep.plans.polygons import (
@@ -109,7 +110,7 @@ def stored_waterbodies(
 ) -> DataFrame:
     """The layer of all named waterbodies, built once per folder."""
     path = f"{folder.rstrip('/')}/waterbodies"
-    return read_or_build(spark, path, lambda: waterbody_layer(lakes, rivers, manmade), refresh)
+    return read_or_build(spark, path, lambda: in_space_order(waterbody_layer(lakes, rivers, manmade)), refresh)
 
 
 def locate_placenames(df: DataFrame, gazetteer: DataFrame, folder: str) -> DataFrame:
@@ -137,7 +138,7 @@ def make_polygon_summaries(
     for scope in (None, year):
         summary = summarise_to_polygons(df, layers.waterbodies, places, *listed, year=scope, rows=rows)
         paths.append(f"{folder.rstrip('/')}/{rows_used.label(scope)}")
-        write_table(summary_layer(summary, layers.waterbodies), paths[-1])
+        write_table(in_space_order(summary_layer(summary, layers.waterbodies)), paths[-1])
     return spark.read.parquet(paths[0])
 
 

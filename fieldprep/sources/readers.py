@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from fieldprep.functions.geometry import RINGS_TYPE
 from fieldprep.operators.columns import repair_duplicate_names
 from fieldprep.operators.reshape import union_by_name
+from fieldprep.operators.spatial import BOX, within_window
 
 # Fixed value: names of the yearly extract files.
 EXTRACT_PATTERN = r"metabase_[0-9]+"
@@ -130,10 +131,18 @@ def read_points(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).load(path)
 
 
-def read_parts(spark: SparkSession, path: str, attributes: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
-    """Polygon parts: attribute columns and a ring array."""
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in attributes.items()), f"rings {RINGS_TYPE}"])
-    return spark.read.schema(schema).format(fmt).load(path)
+def read_parts(
+    spark: SparkSession,
+    path: str,
+    attributes: Mapping[str, str],
+    fmt: str = "parquet",
+    window: tuple[float, float, float, float] | None = None,
+) -> DataFrame:
+    """Polygon parts: attribute columns and a ring array; of a layer stored with boxes those in a window."""
+    boxes = [f"{c} double" for c in BOX] if window else []
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in attributes.items()), f"rings {RINGS_TYPE}", *boxes])
+    parts = spark.read.schema(schema).format(fmt).load(path)
+    return within_window(parts, *window).drop(*BOX) if window else parts
 
 
 def table_or_read(df: DataFrame | None, read) -> DataFrame:

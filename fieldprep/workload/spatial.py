@@ -263,3 +263,23 @@ def placename_slips(spark, d):
     names = people.select(typed.alias("names")).distinct().withColumn("asked", F.col("names"))
     gazetteer = nations.select(F.col("n_name").alias("names"), (F.col("n_nationkey") - 130.0).alias("lon"), F.lit(48.0).alias("lat"))
     return resolve_slips(names, gazetteer).select("names", "known_as", "lon", F.col("slips").cast("bigint").alias("slips"))
+
+
+@query(
+    f"""
+    WITH {_FEATURES}
+    SELECT s_suppkey, watershed, name, h FROM f WHERE fx - h <= 60000 AND fx + h >= 20250 AND fy - h <= 900 AND fy + h >= -200
+    """
+)
+def layer_window(spark, d):
+    """A layer stored in space order, then the parts of it that meet a window."""
+    from fieldprep.sources.readers import read_parts
+    from fieldprep.workload.storage import scratch
+
+    path = f"{scratch(spark)}/layer"
+    made = features(spark, d)
+    sp.in_space_order(made).write.parquet(path)
+    kinds = {n: t for n, t in made.dtypes if n != "rings"}
+    found = read_parts(spark, path, kinds, window=(20250.0, -200.0, 60000.0, 900.0))
+    wide = g.bounds(F.col("rings"))
+    return found.select("s_suppkey", "watershed", "name", ((wide["x1"] - wide["x0"]) / 2).alias("h"))

@@ -215,3 +215,38 @@ def test_slips_of_placenames(spark):
     worklist = spark.createDataFrame([(a, a) for a in asked], "names string, asked string")
     found = {r.names: (r.known_as, r.slips) for r in resolve_slips(worklist, known).collect()}
     assert found == {"Vernon": ("Vernon", 0), "Vrnon": ("Venon", 1), "Velsn": ("Nelson", 2), "Nelso": ("Nelson", 1), "Elan": ("Élan", 1), "Nleson": ("Nelson", 2)}
+
+
+def test_hilbert_curve_visits_every_cell_and_steps_to_neighbours(spark):
+    cells = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    order = sorted((r.d, r.x, r.y) for r in cells.select("x", "y", g.hilbert(F.col("x"), F.col("y"), 3).alias("d")).collect())
+    assert [d for d, _, _ in order] == list(range(64))
+    assert all(abs(a[1] - b[1]) + abs(a[2] - b[2]) == 1 for a, b in zip(order, order[1:]))
+
+
+def test_a_window_reads_a_fraction_of_the_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from fieldprep.sources.readers import read_parts
+
+    k = F.col("id")
+    x, y = (k * 7919 % 1000) * 10.0, (k * 104729 % 997) * 10.0
+    parts = spark.range(20_000).select("id", g.box(x, y, x + 4, y + 4).alias("rings"))
+    path = str(tmp_path / "layer")
+    sp.in_space_order(parts, partitions=32).write.parquet(path)
+    window = (2000.0, 3000.0, 2500.0, 3400.0)
+    met = total = 0
+    for file in (tmp_path / "layer").glob("*.parquet"):
+        about = pq.ParquetFile(file).metadata
+        for i in range(about.num_row_groups):
+            group = about.row_group(i)
+            stats = {group.column(j).path_in_schema: group.column(j).statistics for j in range(group.num_columns)}
+            total += 1
+            met += stats["x0"].min <= window[2] and stats["x1"].max >= window[0] and stats["y0"].min <= window[3] and stats["y1"].max >= window[1]
+    assert total == 32 and met <= 4
+    found = read_parts(spark, path, {"id": "bigint"}, window=window)
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "LessThanOrEqual(x0,2500.0)" in plan and "GreaterThanOrEqual(y1,3000.0)" in plan
+    ids = {i for i in range(20_000) if i * 7919 % 1000 * 10 <= 2500 and i * 7919 % 1000 * 10 + 4 >= 2000 and i * 104729 % 997 * 10 <= 3400 and i * 104729 % 997 * 10 + 4 >= 3000}
+    assert {r.id for r in found.collect()} == ids
+    assert sp.in_space_order(parts.limit(0)).count() == 0
