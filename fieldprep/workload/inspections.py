@@ -17,15 +17,16 @@ from fieldprep.operators.reshape import literal_rows, union_by_name
 from fieldprep.plans.cleaning import clean_inspections, clean_views
 from fieldprep.plans.combining import combine_sources, fouled_keys
 from fieldprep.plans.fixed_values import FOULED_LIST_ROWS
+from fieldprep.plans.options import run_from_options
 from fieldprep.plans.polygons import RowFilter, summarise_to_polygons, synthetic_boxes
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
-from fieldprep.plans.run import Layers, Lookups, Sources, run_all, store_canonical, stored_waterbodies
+from fieldprep.plans.run import Lookups, Sources, store_canonical
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
 from fieldprep.session import shared_folder
 from fieldprep.streaming.inspections import append_inspections
 from fieldprep.streaming.yearly import arriving_years, read_years
 from fieldprep.sources import readers
-from fieldprep.sources.sinks import committed, read_or_build, write_tables
+from fieldprep.sources.sinks import committed, read_or_build, write_table, write_tables
 from fieldprep.workload.registry import ORACLES, query, table
 from fieldprep.workload.storage import scratch
 
@@ -162,6 +163,13 @@ def raw_extracts(rows):
     return rows.filter("y >= 2020").selectExpr("y AS Year", *[f"{sql} AS `{h}`" for h, sql in columns.items()])
 
 
+def _recent_lists(late):
+    """The lists of 2020 and of 2023."""
+    listed = late.filter("k % 17 = 0").selectExpr("CAST(k AS STRING) AS `Watercraft Risk Assessment ID`")
+    # The list of 2020 counts up to its sixteenth row only; here a row's number is its key.
+    return late.selectExpr("k AS position", "CAST(k AS STRING) AS watercraftRiskAssessmentID"), listed
+
+
 def sources(spark, d) -> Sources:
     rows = base(spark, d)
     years = {y: raw_year(rows, y) for y in (2015, 2016, 2017, 2018, 2019)}
@@ -170,9 +178,7 @@ def sources(spark, d) -> Sources:
         y: keys.filter(f"y = {y} AND k % 13 = 0").selectExpr("CAST(k AS STRING) AS `Inspection ID`") for y in years if y >= 2016
     }
     late = keys.filter("y >= 2020")
-    listed = late.filter("k % 17 = 0").selectExpr("CAST(k AS STRING) AS `Watercraft Risk Assessment ID`")
-    # The list of 2020 counts up to its sixteenth row only; here a row's number is its key.
-    first = late.selectExpr("k AS position", "CAST(k AS STRING) AS watercraftRiskAssessmentID")
+    first, listed = _recent_lists(late)
     return Sources(years, raw_extracts(rows), by_year, fouled_keys({2020: first, 2023: listed}, FOULED_LIST_ROWS))
 
 
@@ -598,24 +604,45 @@ def run_everything(spark, d):
     return union_by_name(counts)
 
 
-def _run(spark, d):
-    """The folder of a whole run, done once per application; the layers come through their readers."""
+def _options(spark, d) -> str:
+    """The options of a whole run, all its inputs stored below one folder; made once per application."""
     tables = hashlib.sha1(str(d).encode()).hexdigest()[:12]
-    folder = f"{shared_folder(spark).rstrip('/')}/run-{spark.sparkContext.applicationId}-{tables}"
-    last = f"{folder}/{RowFilter().label(2020)}"
-    if not committed(spark, last):
-        made = {"states": states(spark, d), "stations": stations(spark, d), "regions": regions(spark, d), "lakes": waterbodies(spark, d)}
-        paths = write_tables(made, f"{folder}/layers")
-        parts = lambda name, **columns: readers.read_parts(spark, paths[name], columns)
-        lakes = parts("lakes", WATERSH=dict(made["lakes"].dtypes)["WATERSH"], GNIS_NA="string")
-        layers = Layers(
-            parts("states", NAME_0="string", NAME_1="string", HASC_1="string"),
-            readers.read_points(spark, paths["stations"]),
-            parts("regions", REGION_G="string", REGION_N="string"),
-            stored_waterbodies(spark, lakes.filter(~F.col("GNIS_NA").isin("Pacific Ocean", "Dry Storage")), lakes.limit(0), lakes.limit(0), folder),
-        )
-        run_all(spark, sources(spark, d), lookups(spark), layers, folder, 2020)
-    return folder
+    base = f"{shared_folder(spark).rstrip('/')}/run-{spark.sparkContext.applicationId}-{tables}"
+    if not committed(spark, f"{base}/options"):
+        made, known = sources(spark, d), lookups(spark)
+        late = table(spark, d, "orders").selectExpr("o_orderkey AS k", "year(o_orderdate) + 20 AS y").filter("y >= 2020")
+        first, listed = _recent_lists(late)
+        write_tables({str(y): raw for y, raw in made.years.items()} | {"extracts": made.extracts}, f"{base}/raw")
+        write_tables({str(y): df for y, df in made.fouled_by_year.items()} | {"2020": first, "2023": listed}, f"{base}/kept/fouled")
+        write_tables(vars(known), f"{base}/kept")
+        lakes = waterbodies(spark, d).filter(~F.col("GNIS_NA").isin("Pacific Ocean", "Dry Storage"))
+        waters = {name: lakes.filter(F.col("WATERSH") % 3 == n) for n, name in enumerate(("lakes", "rivers", "manmade"))}
+        write_tables({"states": states(spark, d), "stations": stations(spark, d), "regions": regions(spark, d)} | waters, f"{base}/layers")
+        folders = {"base_dir": "raw", "operations_folder": "kept", "spatial_folder": "layers", "figure_folder": "figures", "figure_output_folder": "out"}
+        row = spark.range(1).select(*[F.lit(f"{base}/{f}").alias(n) for n, f in folders.items()], F.lit("2020").alias("year"))
+        write_table(row, f"{base}/options", "csv")
+    return base
+
+
+def _run(spark, d):
+    """The folder of a whole run from its options, done once per application."""
+    base = _options(spark, d)
+    run_from_options(spark, f"{base}/options", fmt="parquet")
+    return f"{base}/out"
+
+
+@query(
+    f"""
+    WITH {CLEAN_SQL}, s(stage) AS (VALUES ('prepare'), ('reports'), ('polygons'))
+    SELECT stage, false AS ran, (SELECT count(*) FROM clean) AS n FROM s
+    """
+)
+def run_from_options_again(spark, d):
+    """A whole run from an options table, then again without any change: no stage runs; how many rows are stored."""
+    folder = _run(spark, d)
+    ran = run_from_options(spark, f"{_options(spark, d)}/options", fmt="parquet")
+    n = spark.read.parquet(f"{folder}/AllYears_All_Columns").count()
+    return literal_rows(spark, "stage string, ran boolean, n bigint", [(stage, now, n) for stage, now in ran.items()])
 
 
 @query(

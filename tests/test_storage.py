@@ -284,3 +284,52 @@ def test_filters_grow_with_their_partition(spark, tmp_path):
     assert other is None or other.count() == 0
     missing = spark.createDataFrame([(None, "1"), (2020, None), (None, None)], "Year int, id string").select(d1.alias("a"), d2.alias("b"))
     assert len({tuple(r) for r in missing.collect()}) == 3
+
+
+def test_a_run_from_options_does_only_what_changed(spark, tmp_path, monkeypatch):
+    from fieldprep.plans import options as plan
+
+    raw, kept, layers, out = (tmp_path / n for n in ("raw", "kept", "layers", "out"))
+    (kept / "fouled").mkdir(parents=True)
+    for folder, names in ((raw, [f"{y}.csv" for y in range(2015, 2020)]), (kept, [f"{n}.csv" for n in (*plan.PREPARING, "gazetteer")]), (layers, [*plan.REPORTING, *plan.WATERS])):
+        folder.mkdir(exist_ok=True)
+        for name in names:
+            (folder / name).write_text("x\n")
+    path = tmp_path / "options.csv"
+    told = lambda year: path.write_text(f"base_dir,operations_folder,year,spatial_folder,figure_folder,figure_output_folder\n{raw},{kept},{year},{layers},{tmp_path},{out}\n")
+    told(2020)
+    did = []
+    monkeypatch.setattr(plan.Inputs, "sources", lambda self: None)
+    monkeypatch.setattr(plan.Inputs, "lookups", lambda self: None)
+    monkeypatch.setattr(plan.Inputs, "layers", lambda self: None)
+    monkeypatch.setattr(plan, "_without_waters", lambda given: None)
+    for name in ("prepare_inspections", "make_reports", "make_polygon_summaries"):
+        monkeypatch.setattr(plan, name, lambda *_, name=name: did.append(name))
+
+    def run():
+        did.clear()
+        ran = plan.run_from_options(spark, str(path))
+        assert len(did) == sum(ran.values())
+        return [s for s, now in ran.items() if now]
+
+    assert run() == ["prepare", "reports", "polygons"]
+    assert run() == []
+    (layers / "rivers").write_text("longer\n")
+    assert run() == ["polygons"]
+    told(2021)
+    assert run() == ["reports", "polygons"]
+    (kept / "fouled" / "2017.csv").write_text("a list\n")
+    assert run() == ["prepare", "reports", "polygons"]
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    (layers / "states").write_text("longer\n")
+    with monkeypatch.context() as broken:
+        broken.setattr(plan, "make_reports", stop)
+        with pytest.raises(KeyboardInterrupt):
+            run()
+    assert run() == ["reports", "polygons"]
+    (raw / "2016.csv").unlink()
+    with pytest.raises(ValueError):
+        run()
