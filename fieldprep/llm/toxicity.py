@@ -82,15 +82,29 @@ def _train(said: list[str], toxic: np.ndarray, seed: int, epochs: int, rate: flo
 
 
 def _calibrate(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic curve through the scores, targets drawn in by one row each."""
+    """Scale and shift of a logistic curve through the scores, targets drawn in by one row each.
+
+    Newton steps, each halved until the loss falls; they end when no step lowers it.
+    """
     n1, n0 = toxic.sum(), (1 - toxic).sum()
     want = np.where(toxic == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x, beta = np.stack([z, np.ones_like(z)], axis=1), np.array([1.0, -2.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+    x, start = np.stack([z, np.ones_like(z)], axis=1), np.array([1.0, -2.0])
+
+    def loss(beta: np.ndarray) -> float:
+        at = x @ beta
+        return float((weight * (np.logaddexp(0, at) - want * at)).sum() + 5e-4 * ((beta - start) ** 2).sum())
+
+    beta, now = start, loss(start)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -60, 60)))
+        slope = x.T @ (weight * (p - want)) + 1e-3 * (beta - start)
         curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        move = np.linalg.solve(curve, x.T @ (weight * (p - want)) + 1e-3 * (beta - [1.0, -2.0]))
-        beta = beta - np.clip(move, -1, 1)
+        move = np.linalg.solve(curve, slope)
+        while (then := loss(beta - move)) >= now and np.abs(move).max() > 1e-9:
+            move = move / 2
+        if then >= now:
+            break
+        beta, now = beta - move, then
     return max(0.1, float(beta[0])), float(beta[1])
 
 
@@ -134,7 +148,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE)
     long as the class has ``LONGEST`` characters for each missing document. A document labelled twice
     has the larger label; of the texts of a doc_id that repeats the last in order is read.
     """
-    marked = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")  # other columns may bear any name
+    marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic").filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sizes = docs.filter(~held_out() & F.col("text").isNotNull()).groupBy("doc_id").agg(F.max(F.length("text")).alias("n"), F.count("*").alias("rows"))
     known = cut(sizes.join(marked, "doc_id"))
     counts = {r["toxic"]: r["rows"] for r in known.groupBy("toxic").agg(F.sum("rows").alias("rows")).collect()}
