@@ -181,7 +181,7 @@ class Model:
         base = base_matches(text)
         if not self.automata:
             return base, []
-        return base, [(a, 3, b, t) for a, b, t, _ in candidates(text, base) if self.score(t) > self.threshold]
+        return base, [(a, 3, b, t) for a, b, t, _ in candidates(text, base) if self.score(t) >= self.threshold]
 
 
 def fit(values: dict[str, list[str]], ordinary: list[str]) -> Model:
