@@ -31,6 +31,20 @@ def one_file(lines, path: str) -> None:
     files.rename(part, hadoop.Path(path))
 
 
+#: Files that a hand-made table is dealt to; each is written by a task of its own.
+FILES = 8
+
+
+def titled_files(records, title: str | None, header: str, folder: str) -> list[str]:
+    """The paths of files that begin with a title, if there is one, and a header, the records (at, value) dealt to them."""
+    spark = records.sparkSession
+    dealt = records.select("at", "value", F.pmod(F.xxhash64("at"), F.lit(FILES)).cast("int").alias("file"))
+    top = [(n - 2, line, k) for k in range(FILES) for n, line in enumerate((title, header)) if line is not None]
+    lines = spark.createDataFrame(top, "at bigint, value string, file int").unionByName(dealt)
+    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(folder)
+    return [f"{folder}/file={k}" for k in range(FILES)]
+
+
 def quoted(cell):
     return F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
 
@@ -53,9 +67,9 @@ def read_titled_tables(spark, d):
     docs = table(spark, d, "documents")
     value = F.concat(F.col("doc_id"), F.lit(","), quoted(F.col("text")), F.lit(",  "), F.col("lang"), F.lit("  ,NA,"))
     records = docs.select(F.col("doc_id").alias("at"), value.alias("value"))
-    like_header = spark.createDataFrame([(-1, "doc_id,text,lang,note,text")], "at bigint, value string").select((F.col("at") + 1).alias("at"), "value")
-    one_file(titled(spark, records.unionByName(like_header), "Inspections, all stations", "doc_id,text,lang,note,text"), f"{base}/raw.csv")
-    read = readers.read_year_tables(spark, {2017: f"{base}/raw.csv"})[2017]
+    like_header = spark.createDataFrame([(0, "doc_id,text,lang,note,text")], "at bigint, value string")
+    paths = titled_files(records.unionByName(like_header), "Inspections, all stations", "doc_id,text,lang,note,text", f"{base}/raw")
+    read = union_by_name(list(readers.read_year_tables(spark, dict(enumerate(paths))).values()))
     second = read.columns[4]
     return read.select("doc_id", F.md5(F.col(f"`{read.columns[1]}`").cast("binary")).alias("text_md5"), "lang", "note", F.col(f"`{second}`").alias("text_5"))
 
@@ -106,29 +120,25 @@ def write_in_order(spark, d):
 
 @query(
     """
-    SELECT c_custkey, c_custkey % 2 AS list, c_mktsegment AS said FROM customer WHERE c_custkey % 3 = 0
+    SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0 WHEN c_acctbal >= 9000 THEN 1 END AS list,
+           CASE WHEN c_acctbal < 0 OR c_acctbal >= 9000 THEN c_mktsegment END AS said FROM customer
     """
 )
 def read_key_lists(spark, d):
-    """Hand-kept lists, one titled and one plain, read, brought to one key column and met with the records."""
+    """Hand-kept lists, one titled and one plain, read, brought to one key column and met with all records."""
     base = scratch(spark)
-    customers = table(spark, d, "customer").filter("c_custkey % 3 = 0")
+    customers = table(spark, d, "customer")
     value = F.concat(F.lit(" "), F.col("c_custkey"), F.lit(' ,"said ""'), F.col("c_mktsegment"), F.lit('"""'))
-    records = customers.select(F.col("c_custkey").alias("at"), value.alias("value"))
-    header = "Watercraft Risk Assessment ID,Remark"
-    one_file(titled(spark, records.filter("at % 2 = 0"), "Fouled boats", header), f"{base}/2020.csv")
-    top = spark.createDataFrame([(-1, header)], "at bigint, value string")
-    one_file(top.unionByName(records.filter("at % 2 = 1")), f"{base}/2021.csv")
-    lists = {0: readers.read_key_list(spark, f"{base}/2020.csv"), 1: readers.read_key_list(spark, f"{base}/2021.csv", "csv")}
-    parts = [
-        df.select(
-            F.col(f"`{df.columns[0]}`").cast("bigint").alias("c_custkey"),
-            F.lit(n).cast("bigint").alias("list"),
-            F.regexp_extract(F.col(f"`{df.columns[1]}`"), '^said "(.*)"$', 1).alias("said"),
-        )
-        for n, df in lists.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    lists = {0: ("Debts, 2020", customers.filter("c_acctbal < 0")), 1: (None, customers.filter("c_acctbal >= 9000"))}
+    read = []
+    for n, (title, rows) in lists.items():
+        records = rows.select(F.col("c_custkey").alias("at"), value.alias("value"))
+        for path in titled_files(records, title, "Watercraft Risk Assessment ID,Remark", f"{base}/{n}"):
+            read.append((n, readers.read_key_list(spark, path, "titled_csv" if title else "csv")))
+    said = lambda df: F.regexp_extract(F.col(f"`{df.columns[1]}`"), '^said "(.*)"$', 1)
+    key = lambda df: F.col(f"`{df.columns[0]}`").cast("bigint")
+    listed = union_by_name([df.select(key(df).alias("c_custkey"), F.lit(n).alias("list"), said(df).alias("said")) for n, df in read])
+    return customers.select("c_custkey").join(listed, "c_custkey", "left")
 
 
 @query(
