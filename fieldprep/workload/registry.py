@@ -46,6 +46,7 @@ def load_all() -> None:
     """Import every workload module so that its queries are registered."""
     from fieldprep.workload import (  # noqa: F401
         aggregates,
+        canonical,
         clocks,
         inspections,
         lookups,

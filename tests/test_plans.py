@@ -9,6 +9,7 @@ from fieldprep.plans import cleaning, combining, reports
 from fieldprep.plans.fixed_values import SELECTED_COLUMNS
 from fieldprep.plans.schema_map import YEARLY_SCHEMA, map_schema
 from fieldprep.plans.fixed_values import FOULED_LIST_ROWS
+from fieldprep.workload.canonical import RULES
 
 DAY = {2015: "42186", 2016: "42552", 2017: "42917", 2018: "43282", 2019: "43647"}
 
@@ -164,3 +165,9 @@ def test_stricter_high_risk(spark):
         "i int, High_Risk_AIS_Ind boolean, Clean_Drain_Dry_After_Inspection_Ind boolean, Year int",
     )
     assert rows(reports.strict_high_risk(df), "i") == [(1,), (4,)]
+
+
+def test_every_canonical_column_is_compared():
+    assert len(YEARLY_SCHEMA) + 1 == 63
+    for year, rules in RULES.items():
+        assert set(rules) == {name for name, by_year in YEARLY_SCHEMA.items() if year in by_year}
