@@ -1,12 +1,14 @@
 """Secrets by fixed patterns, and by probabilistic automata inferred from what the patterns found.
 
-The values that the patterns label are samples of credential formats. Their prefix tree over
-character classes is folded into a probabilistic automaton per kind: states are taken in breadth
-first order, and a state is merged into an accepted one if end and branch frequencies of both, and
-of all their common successors, agree within Hoeffding's bound. Any token is then scored by its log
-likelihood per character under the automata against a bigram model of ordinary tokens. Tokens that
-gain as much by it as all but the least typical labelled values are added; pattern matches stay, and
-a token that they cover in part is scored as a whole.
+The values that the patterns label are samples of credential formats. Their prefix tree is folded
+into a probabilistic automaton per kind: a state holds how often each character class, or the end,
+came next; letters and digits lead on by their place, so that formats of few samples keep their
+lengths, and other characters by themselves. States are taken in breadth first order, and a state is
+merged into an accepted one if the frequencies of both, and of all their common successors, agree
+within Hoeffding's bound. Any token is then scored by its log likelihood per character under each
+automaton against a bigram model of ordinary tokens. Tokens that gain as much by it as all but the
+least typical of the kind's values that were kept aside are added; pattern matches stay, and a token
+that they cover in part is scored as a whole.
 """
 
 from __future__ import annotations
@@ -30,13 +32,14 @@ from fieldprep.llm.store import cut
 KINDS = ("assign", "access", "hex", "format")
 #: Labelled values of a kind that an automaton is inferred from, ordinary tokens for the background.
 VALUES, ORDINARY = 600, 4000
-#: Fewest labelled values of a kind, lengths that are learnt from.
-LEAST_VALUES, LENGTHS = 20, (12, 128)
-#: Confidence of the merge test; the share of labelled values that may score below the threshold.
-ALPHA, BELOW = 0.05, 0.05
+#: Fewest labelled values of a kind, lengths that are learnt from (tokens of any length are scored).
+LEAST_VALUES, LENGTHS = 8, (12, 128)
+#: Confidence of the merge test, fewest times that a state was seen to be tested; one value in this many is kept
+#: aside, of which this share may score below the threshold.
+ALPHA, SEEN, ASIDE, BELOW = 0.05, 8, 4, 0.05
 #: The least gain in log likelihood per character that makes a token a credential.
 LEAST_GAIN = 0.25
-#: Log likelihood of a branch or an end that an automaton has not seen.
+#: Log likelihood of a bigram that follows a class which ordinary tokens never have.
 UNSEEN = math.log(1e-4)
 
 # The base patterns.
@@ -51,6 +54,8 @@ SIZES = {"d": 10, "h": 6, "l": 20, "H": 6, "U": 20}
 _CLASS = {c: "d" for c in "0123456789"} | {c: "h" for c in "abcdef"} | {c: "l" for c in "ghijklmnopqrstuvwxyz"}
 _CLASS |= {c: "H" for c in "ABCDEF"} | {c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"} | {c: c for c in "+/_.=-"}
 _TABLE = str.maketrans(_CLASS)
+#: How many classes there are; what ends a token.
+CLASSES, END = len(set(_CLASS.values())), "$"
 
 
 def base_matches(text: str) -> list[tuple[int, int, int, str]]:
@@ -76,19 +81,31 @@ def candidates(text: str, taken: list[tuple[int, int, int, str]]) -> Iterator[tu
             yield m.start(), m.end(), m[0], bool(touching)
 
 
-@dataclass
 class Automaton:
-    """States with the log likelihood of ending and of each class, and the state that follows."""
+    """States of which each has seen some classes and ends, and the state that follows each ``move``.
+
+    What a state has not seen shares as much likelihood as it has seen different things (Witten and
+    Bell's estimate), so the rarer a state, the more it allows; the state then stays.
+    """
 
-    ends: list[float]
-    steps: list[dict[str, tuple[float, int]]]
+    def __init__(self, seen: list[Counter], moves: list[dict[str, int]]):
+        self.moves, self.logs, self.unseen = moves, [], []
+        for counts in seen:
+            n, kinds = sum(counts.values()), len(counts)
+            self.logs.append({c: math.log(k / (n + kinds)) for c, k in counts.items()})
+            self.unseen.append(math.log(kinds / (n + kinds) / max(1, CLASSES + 1 - kinds)))
 
     def score(self, shape: str) -> float:
         total, state = 0.0, 0
         for c in shape:
-            likelihood, state = self.steps[state].get(c, (UNSEEN, state))
-            total += likelihood - math.log(SIZES.get(c, 1))
-        return total + self.ends[state]
+            total += self.logs[state].get(c, self.unseen[state]) - math.log(SIZES.get(c, 1))
+            state = self.moves[state].get(_move(c), state)
+        return total + self.logs[state].get(END, self.unseen[state])
+
+
+def _move(c: str) -> str:
+    """What a class leads on by: letters and digits by their place alone, other characters by themselves."""
+    return "a" if c in SIZES else c
 
 
 def _agree(a: int, n: int, b: int, m: int) -> bool:
@@ -96,40 +113,46 @@ def _agree(a: int, n: int, b: int, m: int) -> bool:
 
 
 def infer(values: list[str]) -> Automaton:
-    """The automaton of some values, by merging compatible states of their prefix tree."""
-    count, ends, nexts, weights = [0], [0], [{}], [Counter()]
+    """The automaton of some values, by merging compatible states of their prefix tree.
+
+    States that were seen fewer than ``SEEN`` times prove nothing, as the bound exceeds every
+    difference there: each joins the accepted state that makes what follows it likeliest.
+    """
+    seen, nexts = [Counter()], [{}]
     for value in sorted(values):
         node = 0
         for c in value.translate(_TABLE):
-            count[node] += 1
-            weights[node][c] += 1
-            if c not in nexts[node]:
-                nexts[node][c] = len(count)
-                count.append(0), ends.append(0), nexts.append({}), weights.append(Counter())
-            node = nexts[node][c]
-        count[node] += 1
-        ends[node] += 1
+            seen[node][c] += 1
+            if (move := _move(c)) not in nexts[node]:
+                nexts[node][move] = len(seen)
+                seen.append(Counter()), nexts.append({})
+            node = nexts[node][move]
+        seen[node][END] += 1
 
     def compatible(a: int, b: int) -> bool:
         open_ = [(a, b)]
         while open_:
             a, b = open_.pop()
-            if not _agree(ends[a], count[a], ends[b], count[b]):
-                return False
-            if not all(_agree(weights[a][c], count[a], weights[b][c], count[b]) for c in weights[a].keys() | weights[b].keys()):
+            n, m = seen[a].total(), seen[b].total()
+            if not all(_agree(seen[a][c], n, seen[b][c], m) for c in seen[a].keys() | seen[b].keys()):
                 return False
             open_ += [(nexts[a][c], nexts[b][c]) for c in nexts[a].keys() & nexts[b].keys()]
         return True
 
+    def likelihood(a: int, b: int) -> float:
+        """Of what state b has seen, under state a."""
+        n, kinds = seen[a].total(), len(seen[a])
+        return sum(k * math.log((seen[a][c] or kinds / (CLASSES + 1)) / (n + kinds)) for c, k in seen[b].items())
+
     def fold(a: int, b: int) -> None:
         """The subtree at b into state a."""
         open_ = [(a, b)]
         while open_:
             a, b = open_.pop()
-            count[a] += count[b]
-            ends[a] += ends[b]
+            if a == b:
+                continue
+            seen[a] += seen[b]
             for c, child in nexts[b].items():
-                weights[a][c] += weights[b][c]
                 if c in nexts[a]:
                     open_.append((nexts[a][c], child))
                 else:
@@ -141,7 +164,10 @@ def infer(values: list[str]) -> Automaton:
         state = nexts[parent][c]
         if state in accepted:
             continue
-        like = next((a for a in accepted if compatible(a, state)), None)
+        if seen[state].total() < SEEN:
+            like = max(accepted, key=lambda a: likelihood(a, state))
+        else:
+            like = next((a for a in accepted if seen[a].total() >= SEEN and compatible(a, state)), None)
         if like is None:
             accepted.append(state)
             waiting += [(state, x) for x in sorted(nexts[state])]
@@ -151,56 +177,59 @@ def infer(values: list[str]) -> Automaton:
             # Folding may have given accepted states new branches.
             waiting += [(a, x) for a in accepted for x in sorted(nexts[a]) if nexts[a][x] not in accepted and (a, x) not in waiting]
     number = {state: i for i, state in enumerate(accepted)}
-    log = lambda k, n: math.log(k / n) if k else UNSEEN
-    return Automaton(
-        [log(ends[s], count[s]) for s in accepted],
-        [{c: (log(weights[s][c], count[s]), number[t]) for c, t in nexts[s].items() if t in number} for s in accepted],
-    )
+    return Automaton([seen[s] for s in accepted], [{c: number[t] for c, t in nexts[s].items()} for s in accepted])
 
 
 @dataclass
 class Model:
+    """Automata with the least gain that each asks for, and the bigrams of ordinary tokens."""
+
     automata: list[Automaton] = field(default_factory=list)
+    thresholds: list[float] = field(default_factory=list)
     background: dict[str, float] = field(default_factory=dict)
-    threshold: float = math.inf
 
     def ordinary(self, shape: str) -> float:
         """Log likelihood under the bigrams; one that was not seen counts as one seen once."""
         pairs = zip("^" + shape, shape + "$", strict=True)
         return sum(self.background.get(a + b, self.background.get(a, UNSEEN / 2)) - math.log(SIZES.get(b, 1)) for a, b in pairs)
 
-    def score(self, token: str) -> float:
-        """How much better per character the best automaton explains a token than the background does."""
-        if not self.automata:
-            return -math.inf
+    def gains(self, token: str) -> list[float]:
+        """How much better per character each automaton explains a token than the background does."""
         shape = token.translate(_TABLE)
-        return (max(a.score(shape) for a in self.automata) - self.ordinary(shape)) / len(shape)
+        ordinary = self.ordinary(shape)
+        return [(a.score(shape) - ordinary) / len(shape) for a in self.automata]
+
+    def is_secret(self, token: str) -> bool:
+        return any(g >= t for g, t in zip(self.gains(token), self.thresholds, strict=True))
 
     def spans(self, text: str) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, int, int, str]]]:
         """Base matches, and the added ones."""
         base = base_matches(text)
         if not self.automata:
             return base, []
-        return base, [(a, 3, b, t) for a, b, t, _ in candidates(text, base) if self.score(t) >= self.threshold]
+        return base, [(a, 3, b, t) for a, b, t, _ in candidates(text, base) if self.is_secret(t)]
 
 
 def fit(values: dict[str, list[str]], ordinary: list[str]) -> Model:
-    """Automata of the kinds with enough values; none without ordinary tokens to compare with."""
-    automata = [infer(values[k]) for k in KINDS[:3] if len(values.get(k, [])) >= LEAST_VALUES]
-    if not automata or not ordinary:
+    """An automaton per kind with enough values; none without ordinary tokens to compare with.
+
+    Each ``ASIDE``-th value of a kind is kept aside: the automaton has not seen it, and all of these
+    but the least typical set the gain that the kind asks for.
+    """
+    known = [values[k] for k in KINDS[:3] if len(values.get(k, [])) >= LEAST_VALUES]
+    if not known or not ordinary:
         return Model()
     pairs, first = Counter(), Counter()
-    shapes = [t.translate(_TABLE) for t in ordinary]
-    for shape in shapes:
+    for shape in (t.translate(_TABLE) for t in ordinary):
         for a, b in zip("^" + shape, shape + "$", strict=True):
             pairs[a + b] += 1
             first[a] += 1
-    classes = len(SIZES) + 7
-    background = {p: math.log((n + 1) / (first[p[0]] + classes)) for p, n in pairs.items()}
-    background |= {a: -math.log(n + classes) for a, n in first.items()}
-    model = Model(automata, background)
-    known = [model.score(v) for k in KINDS[:3] for v in values.get(k, [])]
-    model.threshold = max(LEAST_GAIN, float(np.quantile(known, BELOW)))
+    background = {p: math.log((n + 1) / (first[p[0]] + CLASSES + 1)) for p, n in pairs.items()}
+    background |= {a: -math.log(n + CLASSES + 1) for a, n in first.items()}
+    model = Model([infer([v for i, v in enumerate(vs) if i % ASIDE]) for vs in known], [], background)
+    for i, vs in enumerate(known):
+        gains = [model.gains(v)[i] for v in vs[::ASIDE]]
+        model.thresholds.append(max(LEAST_GAIN, float(np.quantile(gains, BELOW, method="lower"))))
     return model
 
 

@@ -139,7 +139,7 @@ def test_automaton_is_smaller_than_its_prefix_tree():
     r = random.Random(3)
     values = ["".join(r.choices("0123456789abcdef", k=32)) for _ in range(200)]
     automaton = secrets.infer(values)
-    assert len(automaton.ends) < 100
+    assert len(automaton.logs) == 33  # a state per place and one for the beginning
     score = lambda t: automaton.score(t.translate(secrets._TABLE)) / len(t)
     assert score("".join(r.choices("0123456789abcdef", k=32))) > score("thequickbrownfoxjumpsoverthelazy")
 
@@ -158,7 +158,7 @@ def test_ordinary_tokens_come_from_all_texts(spark):
         assert secrets.samples(docs)[""] == expected
         models.append(secrets.fit_on(docs))
     assert models[0].background == models[1].background == models[2].background
-    assert models[0].threshold == models[1].threshold == models[2].threshold
+    assert models[0].thresholds == models[1].thresholds == models[2].thresholds
     least = secrets.Smallest(5)
     for t in sorted(tokens):
         least.add(t)
@@ -237,3 +237,33 @@ def test_every_token_beside_base_matches_is_scored():
     assert [text[a:b] for a, _, b, _ in added] == text.split()[1::2][:2] and own == base[1][3]
     assert list(secrets.candidates("0123456789abcdef0123", secrets.base_matches("0123456789abcdef0123"))) == []
     assert [x[3] for x in secrets.candidates(text, base)] == [False, True]
+
+
+def test_automata_of_planted_formats():
+    r = random.Random(17)
+    letters, digits, hexes = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+    pick = lambda alphabet, k: "".join(r.choices(alphabet, k=k))
+    formats = {
+        "assign": lambda: "key_" + pick(letters + digits, 24),
+        "access": lambda: "AKIA" + pick(letters + digits, 16),
+        "hex": lambda: pick(hexes, r.choice((16, 40))),
+    }
+    words = prose(r, 12_000).split()
+    ordinary = [t for t in (a + b + c for a, b, c in zip(words, words[1:], words[2:])) if len(t) >= 12][:4000]
+    values = {k: [make() for _ in range(120)] for k, make in formats.items()}
+    model = secrets.fit(values, ordinary)
+    # Every length is a state of its own: key_ and 24 more, AKIA and 16 more, up to 40, and the empty beginning.
+    assert [len(a.logs) for a in model.automata] == [29, 21, 41]
+    for make in formats.values():
+        assert np.mean([model.is_secret(make()) for _ in range(400)]) >= 0.9
+    assert not any(model.is_secret(t) for t in ordinary)
+    assert not any(model.is_secret(pick("abcdefghijklmnop", 20) + ".") for _ in range(200))
+    few = secrets.fit({k: v[: secrets.LEAST_VALUES] for k, v in values.items()}, ordinary)
+    assert np.mean([few.is_secret(formats["access"]()) for _ in range(400)]) >= 0.5
+    assert secrets.fit({k: v[: secrets.LEAST_VALUES - 1] for k, v in values.items()}, ordinary).automata == []
+
+
+def test_likelihoods_of_an_automaton_sum_to_one():
+    a = secrets.infer(["ab1", "ab2", "xy-z", "x", "12345678"] * 3)
+    for logs, unseen in zip(a.logs, a.unseen, strict=True):
+        assert abs(sum(np.exp(x) for x in logs.values()) + (secrets.CLASSES + 1 - len(logs)) * np.exp(unseen) - 1) < 1e-9
