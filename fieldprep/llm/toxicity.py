@@ -26,7 +26,11 @@ from fieldprep.llm.batches import steps, texts
 from fieldprep.llm.store import cut
 from fieldprep.llm.subwords import Grams, blocks
 
-BITS, DIMENSIONS, SPREAD = 17, 8, 6
+BITS, DIMENSIONS = 17, 8
+#: Toxic texts per text that must hold an n-gram for it to be learnt, and the bounds of that number of texts.
+PER_SPREAD, SPREAD = 16, (3, 6)
+#: Texts read in all epochs together, and the bounds of the number of epochs: few texts are read more often.
+READ, EPOCHS = 4800, (8, 24)
 #: Words in a window; the next one begins half a window later.
 WINDOW = 24
 #: The most labelled documents, clean and toxic, that a model is fitted on; characters from which a document is long.
@@ -61,8 +65,10 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _train(said: list[str], toxic: np.ndarray, seed: int, epochs: int, rate: float) -> Model:
-    t = Trainer(said, 2, width=WINDOW, bits=BITS, dimensions=DIMENSIONS, spread=SPREAD, seed=seed)
+def _train(said: list[str], toxic: np.ndarray, seed: int, rate: float) -> Model:
+    spread = int(np.clip(toxic.sum() // PER_SPREAD, *SPREAD))
+    epochs = int(np.clip(READ // len(said), *EPOCHS))
+    t = Trainer(said, 2, width=WINDOW, bits=BITS, dimensions=DIMENSIONS, spread=spread, seed=seed)
     target = toxic[t.doc]
     for epoch in range(epochs):
         take = np.ones(len(t.doc), bool)
@@ -108,7 +114,7 @@ def _calibrate(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[fl
     return max(0.1, float(beta[0])), float(beta[1])
 
 
-def fit(said: list[str], toxic: np.ndarray, share: float, seed: int = 7, epochs: int = 8, rate: float = 0.3) -> Model:
+def fit(said: list[str], toxic: np.ndarray, share: float, seed: int = 7, rate: float = 1.0) -> Model:
     """A model from labelled texts; ``share`` is the part of all labelled texts that is toxic.
 
     Without texts of both classes every score is that share.
@@ -118,7 +124,7 @@ def fit(said: list[str], toxic: np.ndarray, share: float, seed: int = 7, epochs:
     if min(np.bincount(toxic[~held], minlength=2)) == 0 or min(np.bincount(toxic[held], minlength=2)) == 0:
         even = float(np.clip(share, 1e-12, 1 - 1e-12))
         return Model(np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.log(even / (1 - even))))
-    model = _train([t for t, h in zip(said, held, strict=True) if not h], toxic[~held], seed, epochs, rate)
+    model = _train([t for t, h in zip(said, held, strict=True) if not h], toxic[~held], seed, rate)
     z, y = model.logits([t for t, h in zip(said, held, strict=True) if h]), toxic[held]
     # Both classes weigh the same, so the threshold leans to neither, however rare toxic texts are.
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))

@@ -1,7 +1,10 @@
 """Toxicity, language and secret models: held-out accuracy, and plain versions of the fixed parts."""
 
+import itertools
+import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -267,3 +270,49 @@ def test_likelihoods_of_an_automaton_sum_to_one():
     a = secrets.infer(["ab1", "ab2", "xy-z", "x", "12345678"] * 3)
     for logs, unseen in zip(a.logs, a.unseen, strict=True):
         assert abs(sum(np.exp(x) for x in logs.values()) + (secrets.CLASSES + 1 - len(logs)) * np.exp(unseen) - 1) < 1e-9
+
+
+def plain_score(model, text):
+    """The score of one text, word by word and window by window."""
+    word_char = lambda c: ord(c) >= 0x10000 or unicodedata.category(c)[0] in "LMN"
+    words = "".join(c if word_char(c) else "\0" for c in (text or "").lower()).split("\0")
+    words = [w for w, _ in itertools.groupby(w for w in words if w)]
+    means = []
+    for word in words:
+        codes = [0, *map(ord, word), 0]
+        values = []
+        for n in subwords.SIZES:
+            for i in range(len(codes) - n + 1):
+                h = 0
+                for c in codes[i : i + n]:
+                    h = (h * 0x100000001B3 + c) % 2**64
+                values.append(float(model.value[((h + n) * 0x9E3779B97F4A7C15) % 2**64 >> (64 - toxicity.BITS)]))
+        means.append(sum(values) / len(values))
+    half = toxicity.WINDOW // 2
+    starts = range(0, max(1, len(words) - half), half)
+    best = max((sum(means[a : a + toxicity.WINDOW]) / toxicity.WINDOW + model.bias for a in starts), default=None)
+    z = min(model.bias, 0.0) if not words else best
+    return 1 / (1 + math.exp(-(model.scale * z + model.shift)))
+
+
+def test_scores_equal_a_plain_scorer():
+    r = random.Random(18)
+    rows = toxic_corpus(240)
+    model = toxicity.fit([t for _, t, _ in rows], np.array([b for _, _, b in rows]), 1 / 3)
+    texts = [None, "", " .,! ", "a", "x x x y", "é ÄÖ 𝒳𝒴 idiotic!", "q" * 700, *(t for _, t, _ in rows[:30])]
+    texts += [prose(r, n) for n in (11, 12, 13, 23, 24, 25, 36, 37, 48, 49)] + [prose(r, 500).replace(" ", "\n-", 40)]
+    assert np.allclose(model.scores(texts), [plain_score(model, t) for t in texts], rtol=1e-4, atol=1e-7)
+
+
+def test_few_toxic_texts_are_learnt_from():
+    found = []
+    rows = toxic_corpus(1200)
+    for seed in (7, 8):
+        r = random.Random(seed)
+        few = r.sample([x for x in rows if x[2]], 32) + r.sample([x for x in rows if not x[2]], 240)
+        model = toxicity.fit([t for _, t, _ in few], np.array([b for _, _, b in few]), 32 / 272, seed=seed)
+        rest = [x for x in rows if x not in few]
+        said = model.scores([t for _, t, _ in rest]) >= toxicity.THRESHOLD
+        found.append((np.mean([s for s, x in zip(said, rest, strict=True) if x[2]]), np.mean([s for s, x in zip(said, rest, strict=True) if not x[2]])))
+    # 24 texts to learn from and 8 to calibrate on: about two thirds are found (0.65 and 0.68), not nine tenths.
+    assert all(hit >= 0.55 and wrong <= 0.03 for hit, wrong in found), found
