@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with a lexicon of frequent words.
 
-Words are counted over all documents by lossy counting: every partition keeps a bounded table and
-drops its rarest words when the table is full, so a word of enough occurrences is never lost. The
-most frequent ones are merged once, compiled with their ids into a minimal acyclic transducer, and
+Words are counted over all documents by lossy counting: every partition keeps a bounded table, drops
+its rarest words with their counts when the table is full and hands on its most frequent ones, so
+counts are lower bounds, and a word that is rare in every partition may be missed. The most
+frequent ones are merged once, compiled with their ids into a minimal acyclic transducer, and
 the transducer is memory-mapped in every Python worker. Words that it does not hold are merged
 there, many at once, by the rule of the vocabulary: the pair of lowest rank first. So the lexicon
 decides the speed and never the ids.
@@ -274,12 +275,13 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoding(docs: DataFrame, path: str, words: int):
-    """A function that gives a worker its encoder, made once per worker and lexicon."""
+    """A function that gives a worker its encoder, made once per worker and content of vocabulary and lexicon."""
     vocabulary = Vocabulary(path)
-    spark = docs.sparkSession
+    lexicon = build_lexicon(docs, vocabulary, words).to_bytes()
     # Both have fixed bounds: the vocabulary file, and the lexicon's number of words.
-    shared = spark.sparkContext.broadcast((vocabulary, build_lexicon(docs, vocabulary, words).to_bytes()))
-    name = f"{spark.sparkContext.applicationId}-{id(shared)}"
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
+    with open(path, "rb") as file:
+        name = hashlib.blake2b(lexicon, key=hashlib.blake2b(file.read()).digest()).hexdigest()
 
     def encoder() -> Encoder:
         if name not in _ENCODERS:
