@@ -37,5 +37,5 @@ def test_documents_with_clashing_columns_are_learnt_from(spark):
 def test_a_token_as_typical_as_the_threshold_is_found():
     model = secrets.fit({"hex": [f"{i:016x}"[::-1] for i in range(1000, 1400)]}, ["ordinary", "words", "of", "texts", "and", "more"] * 20)
     token = "Zq3kP0dWm8RtY2xL"
-    model.threshold = model.score(token)
+    model.thresholds = model.gains(token)
     assert [t for _, _, _, t in model.spans(f"see {token} there")[1]] == [token]
