@@ -74,3 +74,19 @@ def test_repeated_rows_and_missing_ids(spark):
 
 def test_empty_table(spark):
     assert op.repeated_bytes(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_planted_passages_show_in_n_removed(spark):
+    """Passages of over 50 words: from 400 bytes on they go whole, below that they stay; n_bytes is the text's length."""
+    r = random.Random(5)
+    prose = lambda k: " ".join("".join(r.choices("abcdefghijklmnop", k=r.randint(3, 8))) for _ in range(k))
+    long, short = prose(90), " ".join("".join(r.choices("qrstuvwxyz", k=4)) for _ in range(60))
+    assert len(short) < 380 < 400 < len(long)
+    clean = [prose(150) for _ in range(12)]
+    planted = [f"{prose(r.randint(5, 90))} {p} {prose(r.randint(5, 90))}" for p in [long] * 5 + [short] * 5]
+    docs = spark.createDataFrame(list(enumerate(clean + planted)), "doc_id bigint, text string")
+    found = sorted(op.repeated_bytes(docs).collect())
+    assert [x.n_bytes for x in found] == [len(t) for t in clean + planted]
+    assert [x.n_removed >= len(long) for x in found] == [False] * 12 + [True] * 5 + [False] * 5
+    assert [x.n_removed for x in found[:12] + found[17:]] == [0] * 17
+    assert [(x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in found] == brute(clean + planted, 400)
