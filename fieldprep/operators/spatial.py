@@ -18,27 +18,77 @@ from fieldprep.operators.joins import null_safe_join
 from fieldprep.session import stored
 
 EDGE = ("x1", "y1", "x2", "y2")
+#: Bands of edges are 4 ** -TOP_LEVEL to 4 ** TOP_LEVEL high; the levels of a part are the bits of one number.
+TOP_LEVEL = 31
 
 
 def edge_rows(parts: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """One narrow row per edge: the attributes, the number ``__id`` of its part, x1, y1, x2, y2.
+    """One narrow row per edge: the attributes, the number ``__id`` of its part, x1, y1, x2, y2, ``__level``.
 
     The layer is read once and its edges are stored, so that all readers agree on the numbers;
-    two parts alike in everything keep numbers of their own.
+    two parts alike in everything keep numbers of their own. A layer without ``rings`` comes in
+    pieces, see ``_piece_edges``.
     """
+    if "rings" not in parts.columns:
+        return stored(_piece_edges(parts, attributes))
     numbered = parts.select(*attributes, "rings").withColumn("__id", F.monotonically_increasing_id())
-    apart = numbered.select(*attributes, "__id", F.explode(g.edges(F.col("rings"))).alias("__e"))
-    return stored(apart.select(*attributes, "__id", *[f"__e.{c}" for c in EDGE]))
+    apart = numbered.select(*attributes, "__id", g.edges(F.col("rings")).alias("__es"))
+    return stored(_levelled(apart.withColumn("__step", _step(F.col("__es"), "y1")), attributes))
 
 
-def _box_of(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _step(corners: Column, y: str) -> Column:
+    """Twice the height of so many corners, shared among them: about that of an edge if they go up and down once."""
+    ys = F.transform(corners, lambda c: c[y])
+    return 2 * (F.array_max(ys) - F.array_min(ys)) / F.nullif(F.size(corners), F.lit(0))
+
+
+def _levelled(rows: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """The edges ``__es`` of each row, with the level of the horizontal bands that they are filed in.
+
+    Bands there are at least as high as the edge, and as ``__step``, so that edges which are almost
+    level do not each bring a level of their own.
+    """
+    apart = rows.select(*attributes, "__id", "__step", F.explode("__es").alias("__e"))
+    high = F.greatest(F.abs(F.col("__e.y2") - F.col("__e.y1")), F.col("__step"))
+    level = F.when(high > 0, F.ceil(F.log2(high) / 2)).otherwise(0)
+    level = F.greatest(F.lit(-TOP_LEVEL), F.least(F.lit(TOP_LEVEL), level)).cast("int")
+    return apart.select(*attributes, "__id", *[f"__e.{c}" for c in EDGE], level.alias("__level"))
+
+
+def _piece_edges(pieces: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """The edges of rings that are too long for one value.
+
+    A row holds ``corners``, a run of corners of the ring ``ring`` of the part ``part``. Parts have
+    numbers of their own; the pieces of a ring are numbered by ``piece`` from 0 without a gap, and
+    the last one is followed by the first. No ring is put together: an edge that leaves a piece is
+    made from the ends of two, and what is missing or comes twice is refused.
+    """
+    key = ["__id", "__ring"]
+    own = pieces.select(*attributes, F.col("part").alias("__id"), F.col("ring").alias("__ring"), F.col("piece").alias("__piece"), "corners")
+    own = own.filter(F.size("corners") > 0).withColumn("__step", _step(F.col("corners"), "y"))
+    first, last = F.element_at("corners", 1), F.element_at("corners", -1)
+    ends = stored(own.withColumns({"__first": first, "__last": last}).drop("corners"))
+    size = ends.groupBy(*key).agg(F.max("__piece").alias("__top"), F.count(F.lit(1)).alias("__n"))
+    sized = null_safe_join(ends, size.withColumnsRenamed({"__id": "__i", "__ring": "__r"}), [("__id", "__i"), ("__ring", "__r")])
+    after = F.when(F.col("__piece") == F.col("__top"), 0).otherwise(F.col("__piece") + 1)
+    following = ends.select(*key, F.col("__piece").alias("__next"), F.col("__first").alias("__to"))
+    linked = sized.drop("__first").withColumn("__next", after).join(following, [*key, "__next"], "left")
+    whole = F.col("__to").isNotNull() & (F.col("__n") == F.col("__top") + 1)
+    wrong = F.raise_error(F.concat(F.lit("pieces of a ring are missing or come twice, ring "), F.coalesce(F.col("__ring").cast("string"), F.lit("NULL"))))
+    edge = lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))
+    links = linked.select(*attributes, "__id", "__step", F.array(F.when(whole, edge(F.col("__last"), F.col("__to"))).otherwise(wrong)).alias("__es"))
+    chain = F.zip_with(F.slice("corners", F.lit(1), F.size("corners") - 1), F.slice("corners", F.lit(2), F.size("corners") - 1), edge)
+    return _levelled(own.select(*attributes, "__id", "__step", chain.alias("__es")).unionByName(links), attributes)
+
+
+def _box_of(edges: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     """The box around the edges of each key, as ``__b``."""
     low = lambda a, b: F.min(F.least(a, b))
     high = lambda a, b: F.max(F.greatest(a, b))
     box = F.struct(
         low("x1", "x2").alias("x0"), low("y1", "y2").alias("y0"), high("x1", "x2").alias("x1"), high("y1", "y2").alias("y1")
     )
-    return edges.groupBy(*keys).agg(box.alias("__b"))
+    return edges.groupBy(*keys).agg(box.alias("__b"), *more)
 
 
 def _boxed(places: DataFrame, boxes: DataFrame, on: Sequence[str], cell: float) -> DataFrame:
@@ -72,17 +122,19 @@ def _covering(
     """``on``, __x, __y and ``carried`` of every part that covers a place, its edges included.
 
     An edge is filed in the horizontal bands that it touches, at the level whose bands are at least
-    as high as the edge is long: two bands at most. A place within the box of a part looks into its
+    as high as the edge: two bands at most. A place within the box of a part looks into its
     one band of each level that the part has, and what its ray crosses there is summed per place
     and part. A part of very many edges is so many rows, dealt by band.
     """
-    near = _boxed(places, _box_of(edges, ["__id", *on, *carried]), on, cell)
-    longest = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
-    level = F.when(longest > 0, F.ceil(F.log2(longest) / 2)).otherwise(0).cast("int")
-    levelled = edges.select("__id", *EDGE, level.alias("__level"))
+    one = F.expr(f"shiftleft(1L, __level + {TOP_LEVEL})")
+    levels = F.expr(f"filter(sequence(-{TOP_LEVEL}, {TOP_LEVEL}), v -> getbit(__levels, v + {TOP_LEVEL}) = 1)")
+    # Stored, so that few parts are known to be few and no place is moved to meet them.
+    boxes = stored(_box_of(edges, ["__id", *on, *carried], F.bit_or(one).alias("__levels")).withColumn("__levels", levels))
+    near = _boxed(places, boxes, on, cell)
+    levelled = edges.select("__id", *EDGE, "__level")
     low, high = _band(F.least("y1", "y2"), F.col("__level")), _band(F.greatest("y1", "y2"), F.col("__level"))
     banded = levelled.withColumn("__band", F.explode(F.sequence(low, high)))
-    probes = near.join(levelled.select("__id", "__level").distinct(), "__id")
+    probes = near.withColumn("__level", F.explode("__levels")).drop("__levels")
     probes = probes.withColumn("__band", _band(F.col("__y"), F.col("__level")))
     x, y, e = F.col("__x"), F.col("__y"), F.struct(*EDGE)
     # The ray goes towards greater x.
@@ -103,7 +155,8 @@ def locate_points(
 ) -> DataFrame:
     """Left join of points to the features that cover them (edges included), one row per feature.
 
-    ``cell`` is about the size of a small part. Equal points are looked up once.
+    ``cell`` is about the size of a small part. Equal points are looked up once. ``parts`` have ``rings``,
+    or come in pieces (see ``_piece_edges``) where a ring may be too long for one row.
     """
     edges = edge_rows(parts, attributes)
     places = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()

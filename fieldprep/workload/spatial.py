@@ -67,6 +67,21 @@ def point_in_polygon(spark, d):
     return sp.locate_points(places(spark, d), regions, ["region"], cell=64.0).select("c_custkey", "region")
 
 
+CORNERS_PER_PIECE = 4096
+
+
+def coastline(spark, n: int):
+    """A ring of n corners and two more, in pieces: as one value it would outgrow an executor."""
+    corner = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    ragged = lambda i: corner(1000 + i * 7919 % 997, i)
+    straight = lambda i: corner(F.lit(0), F.when(i == n, n - 1).otherwise(0))
+    first = F.col("piece") * CORNERS_PER_PIECE
+    places = F.sequence(first, F.least(first + (CORNERS_PER_PIECE - 1), F.lit(n + 1)))
+    pieces = spark.range(-(-(n + 2) // CORNERS_PER_PIECE)).withColumnRenamed("id", "piece")
+    corners = F.transform(places, lambda i: F.when(i < n, ragged(i)).otherwise(straight(i)))
+    return pieces.select(F.lit("coast").alias("region"), F.lit(0).alias("part"), F.lit(0).alias("ring"), "piece", corners.alias("corners"))
+
+
 @query(
     """
     WITH n AS (SELECT count(*) AS n FROM lineitem),
@@ -79,10 +94,7 @@ def point_in_polygon(spark, d):
 def point_in_large_polygon(spark, d):
     """One polygon with a corner per line item, ragged on one side, and a point per order."""
     n = table(spark, d, "lineitem").count()
-    corner = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-    ragged = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")), lambda i: corner(1000 + i * 7919 % 997, i))
-    straight = F.array(corner(F.lit(0), F.lit(n - 1)), corner(F.lit(0), F.lit(0)))
-    coast = spark.range(1).select(F.lit("coast").alias("region"), F.array(F.concat(ragged, straight)).alias("rings"))
+    coast = coastline(spark, n)
     o = F.col("o_orderkey")
     x, y = o * 7 % 2200 - 100, (o * 617 % (n + 10) - 5) + (o % 4) / 4
     points = table(spark, d, "orders").select("o_orderkey", x.cast("double").alias("x"), y.cast("double").alias("y"))

@@ -198,6 +198,51 @@ def test_a_large_polygon_meets_points_as_edges(spark):
     assert found.filter("w = 1").count() == expected
 
 
+def pieces_of(spark, features, size):
+    """A layer of (w, rings) as pieces of so many corners."""
+    cut = [
+        (w, part, ring, i // size, corners[i : i + size])
+        for part, (w, rings) in enumerate(features)
+        for ring, corners in enumerate(rings)
+        for i in range(0, len(corners), size)
+    ]
+    return spark.createDataFrame(cut, "w int, part int, ring int, piece int, corners array<struct<x:double,y:double>>")
+
+
+def test_a_ring_in_pieces_is_the_ring(spark):
+    ragged = [*[(10.0 + (i * 37 % 11) / 8, i / 8) for i in range(60)], (0.0, 59 / 8), (0.0, 0.0)]
+    features = [(1, [ragged, square(3, 3)]), (2, [square(3, 3, 2)[:4]]), (2, [square(3, 3, 2)]), (None, [square(9, 9, 9), []])]
+    asked = [(i, (i * 53 % 97) / 8, (i * 31 % 97) / 8) for i in range(200)] + [(900, 3.0, 3.0), (901, 4.0, 3.0), (902, 0.0, 0.0), (903, None, 1.0)]
+    points = spark.createDataFrame(asked, "i int, x double, y double")
+    whole = spark.createDataFrame(features, f"w int, rings {g.RINGS_TYPE}")
+    want = rows(sp.locate_points(points, whole, ["w"], cell=2.0), "i", "w")
+    assert {i for i, w in want if w == 1} == {i for i, x, y in asked if x is not None and inside(x, y, features[0][1])}
+    for size in (1, 4, 5, 100):
+        assert rows(sp.locate_points(points, pieces_of(spark, features, size), ["w"], cell=2.0), "i", "w") == want
+
+
+@pytest.mark.parametrize("lost", ["piece = 1", "piece = 4", "piece = 0"])
+def test_a_ring_with_a_piece_missing_or_twice_is_refused(spark, lost):
+    pieces = pieces_of(spark, [(1, [[(float(i), float(i * i)) for i in range(10)]])], 2)
+    points = spark.createDataFrame([(1, 1.0, 1.0)], "i int, x double, y double")
+    with pytest.raises(Exception, match="pieces of a ring"):
+        sp.locate_points(points, pieces.withColumn("piece", F.col("piece") + 1) if lost == "piece = 4" else pieces.filter(f"NOT {lost}"), ["w"], cell=2.0).count()
+    with pytest.raises(Exception, match="pieces of a ring"):
+        sp.locate_points(points, pieces.unionByName(pieces.filter(lost)), ["w"], cell=2.0).count()
+
+
+@pytest.mark.parametrize("n", [1, 4094, 4095, 4096, 9000])
+def test_the_coast_comes_in_pieces(spark, n):
+    """No row holds more corners than a piece; together they are the ring."""
+    from fieldprep.workload.spatial import CORNERS_PER_PIECE, coastline
+
+    pieces = sorted(coastline(spark, n).collect(), key=lambda r: r.piece)
+    assert [r.piece for r in pieces] == list(range(len(pieces))) and {(r.region, r.part, r.ring) for r in pieces} == {("coast", 0, 0)}
+    assert all(0 < len(r.corners) <= CORNERS_PER_PIECE for r in pieces)
+    ring = [(1000.0 + i * 7919 % 997, float(i)) for i in range(n)] + [(0.0, n - 1.0), (0.0, 0.0)]
+    assert [tuple(c) for r in pieces for c in r.corners] == ring
+
+
 def test_nearest_reads_a_layer_once_and_moves_no_rings(spark):
     k = F.col("id")
     parts = spark.range(2000).select((k % 50).cast("int").alias("w"), F.lit("Lake").alias("name"), g.box(k * 10.0, k * 0.0, k * 10.0 + 5, k * 0.0 + 5).alias("rings"))
