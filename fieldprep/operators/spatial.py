@@ -8,6 +8,8 @@ join nor all pairs of a group is ever formed.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +17,9 @@ from pyspark.sql import functions as F
 
 from fieldprep.functions import geometry as g
 from fieldprep.operators.joins import null_safe_join
-from fieldprep.session import stored
+from fieldprep.session import shared_folder, stored
+from fieldprep.sources.sinks import write_table
+from fieldprep.sources.versions import children
 
 EDGE = ("x1", "y1", "x2", "y2")
 #: Bands of edges are 4 ** -TOP_LEVEL to 4 ** TOP_LEVEL high; the levels of a part are the bits of one number.
@@ -164,16 +168,61 @@ def locate_points(
     return null_safe_join(points, hits, [(x, "__x"), (y, "__y")])
 
 
-def _tighten(candidates: DataFrame, place: Sequence[str]) -> DataFrame:
-    """Drop candidates that cannot hold the nearest edge of their place.
+def _nested(sizes: Sequence[int], most: int = 4) -> list[int]:
+    """Cell sizes as given, with others in between where a cell would hold more than 4 ** most next smaller ones."""
+    out = [int(sizes[0])]
+    for size in map(int, sizes[1:]):
+        bits = (out[-1] // size).bit_length() - 1
+        steps = max(1, math.ceil(bits / most))
+        out += [size << (bits - bits * i // steps) for i in range(1, steps)] + [size]
+    return out
 
-    The window holds the few cells that a single place still has to choose from.
+
+def _edge_tree(filed: DataFrame, sizes: Sequence[int]) -> list[DataFrame]:
+    """Per name and cell of each size the box of the edges filed there, coarse to fine; stored.
+
+    A level is a table of its own, so that few cells are known to be few. Below the first, __px and __py are the cell above.
     """
-    least, most = g.box_distance_bounds(F.col("__b"), F.col("__x"), F.col("__y"))
-    reach = F.min("__most").over(Window.partitionBy(*place))
-    bounded = candidates.withColumns({"__least": least, "__most": most}).drop("__b").withColumn("__reach", reach)
-    close = F.col("__least") <= F.col("__reach") * (1 + 1e-9) + 1e-9
-    return bounded.filter(close).drop("__least", "__most", "__reach")
+    spark = filed.sparkSession
+    bits = [(size // sizes[-1]).bit_length() - 1 for size in sizes]
+    cells = filed.withColumn("__bits", F.explode(F.array(*map(F.lit, bits))))
+    cells = cells.withColumns({c: F.expr(f"shiftright({c}, __bits)") for c in ("__cx", "__cy")})
+    nodes = _box_of(cells, ["__bits", "__name", "__cx", "__cy"])
+    path = f"{shared_folder(spark).rstrip('/')}/tree-{uuid.uuid4().hex[:12]}"
+    write_table(nodes, path, partition_by=["__bits"])
+    schema, made = nodes.drop("__bits").schema, set(children(spark, path))
+    read = lambda b: spark.read.schema(schema).parquet(f"{path}/__bits={b}") if f"__bits={b}" in made else spark.createDataFrame([], schema)
+    levels = [read(b) for b in bits]
+    for i, (above, own) in enumerate(zip(bits, bits[1:]), 1):
+        levels[i] = levels[i].withColumns({"__px": F.shiftright("__cx", above - own), "__py": F.shiftright("__cy", above - own)})
+    return levels
+
+
+def _below(found: DataFrame, level: DataFrame) -> DataFrame:
+    """Places with the cells of a level; below the first those of the cells found for them, which become __px, __py."""
+    if "__px" not in level.columns:
+        return found.join(level, "__name")
+    return found.withColumnsRenamed({"__cx": "__px", "__cy": "__py"}).join(level, ["__name", "__px", "__py"])
+
+
+def _reach(places: DataFrame, levels: Sequence[DataFrame], edges: DataFrame) -> DataFrame:
+    """Places with ``__reach``, within which there is an edge of their name, mostly the nearest one; stored.
+
+    From each level a place takes on the one cell that is closest, of those that hold it the smallest.
+    Cells are told apart while they are met, so a place is one row on all levels.
+    """
+    place, found = ["__name", "__x", "__y"], places.withColumn("__reach", F.lit(math.inf))
+    for level in levels:
+        met = _below(found, level)
+        least, most = g.box_distance_bounds(F.col("__b"), F.col("__x"), F.col("__y"))
+        met = met.withColumns({"__most": most, "__far": least + most / 1024})
+        keys = place + [c for c in ("__px", "__py") if c in met.columns]
+        one = [F.min_by(c, "__far").alias(c) for c in ("__cx", "__cy")]
+        found = met.groupBy(*keys).agg(*one, F.min(F.least("__reach", "__most")).alias("__reach")).drop("__px", "__py")
+    cell = ["__cx", "__cy"]
+    far = g.edge_distance(F.col("__x"), F.col("__y"), F.struct(*EDGE))
+    measured = found.join(edges, ["__name", *cell]).groupBy(*place, *cell).agg(F.min(F.least("__reach", far)).alias("__reach"))
+    return stored(measured.drop(*cell))
 
 
 def nearest_in_name(
@@ -189,37 +238,37 @@ def nearest_in_name(
     """Nearest feature among those that carry the point's name; ties go to the lowest feature key.
 
     Points whose name no feature carries yield nothing. The edges of all parts are filed by their
-    middle in nested cells (sizes in map units, each a power of two); every cell knows the box of
-    what it holds. For a point, a cell is kept only if its least possible distance is within the
-    greatest possible distance of the best cell, level by level, down to single edges, to which
-    exact distances are taken. Points inside a feature of their name are 0 away from it; these are
-    found by crossings. The layer is read once; only edges, numbers and boxes move. Equal points
-    are handled once.
+    middle in nested cells (sizes in map units, each a power of two; others are put in between); every
+    cell knows the box of what it holds. A first descent follows one cell per point down to edges;
+    their distance is the reach of the point. A second one keeps every cell that comes within the reach,
+    level by level, down to single edges, to which exact distances are taken. So a point is never one
+    row for each cell of a layer. Points inside a feature of their name are 0
+    away from it; these are found by crossings. The layer is read once; only edges, numbers and boxes move.
+    Equal points are handled once.
     """
-    place = ["__name", "__x", "__y"]
+    place, cell = ["__name", "__x", "__y"], ["__name", "__cx", "__cy"]
     places = points.select(F.col(name).alias("__name"), F.col(x).alias("__x"), F.col(y).alias("__y")).dropna().distinct()
-    named = parts.select(F.col(name).alias("__name"), F.struct(*feature).alias("__feature"), "rings")
+    shaped = [c for c in ("rings", "part", "ring", "piece", "corners") if c in parts.columns]
+    named = parts.select(F.col(name).alias("__name"), F.struct(*feature).alias("__feature"), *shaped)
     edges = edge_rows(named, ["__name", "__feature"])
     middle = lambda a, b: F.floor((F.col(a) + F.col(b)) / 2 / sizes[-1])
     filed = edges.withColumns({"__cx": middle("x1", "x2"), "__cy": middle("y1", "y2")})
-    cell = ["__name", "__cx", "__cy"]
-    whole = F.struct(
-        F.min("__b.x0").alias("x0"), F.min("__b.y0").alias("y0"), F.max("__b.x1").alias("x1"), F.max("__b.y1").alias("y1")
-    )
-    # Cells from fine to coarse; a coarse cell number is a fine one shifted right.
-    nodes = [_box_of(filed, cell)]
-    shifts = [int(big // small).bit_length() - 1 for big, small in zip(sizes, sizes[1:])]
-    for shift in reversed(shifts):
-        up = nodes[0].select("__name", F.shiftright("__cx", shift).alias("__cx"), F.shiftright("__cy", shift).alias("__cy"), "__b")
-        nodes.insert(0, up.groupBy(*cell).agg(whole.alias("__b")))
-    found = _tighten(places.join(nodes[0], "__name"), place)
-    for shift, level in zip(shifts, nodes[1:]):
-        below = level.withColumns({"__px": F.shiftright("__cx", shift), "__py": F.shiftright("__cy", shift)})
-        above = found.withColumnsRenamed({"__cx": "__px", "__cy": "__py"})
-        found = _tighten(above.join(below, ["__name", "__px", "__py"]), place).drop("__px", "__py")
+    levels = _edge_tree(filed, _nested(sizes))
+    reached = _reach(places, levels, filed.select(*cell, *EDGE))
+    within = F.col("__reach") * (1 + 1e-9) + 1e-9
+    least, most = g.box_distance_bounds(F.col("__b"), F.col("__x"), F.col("__y"))
+    found = reached
+    for level in levels:
+        found = _below(found, level).withColumns({"__least": least, "__most": most}).filter(F.col("__least") <= within)
+        if level not in (levels[0], levels[-1]):
+            # Where the first descent went astray; the window holds the few cells that a place still has to choose from.
+            found = found.withColumn("__reach", F.least("__reach", F.min("__most").over(Window.partitionBy(*place))))
+            found = found.filter(F.col("__least") <= within)
+        found = found.select(*place, "__reach", "__cx", "__cy")
     far = g.edge_distance(F.col("__x"), F.col("__y"), F.struct(*EDGE))
-    measured = found.join(filed, cell).select(*place, far.alias("__d"), "__feature")
-    inside = _covering(places, edges, ["__name"], ["__feature"], float(sizes[-1]))
+    measured = found.join(filed.select(*cell, *EDGE, "__feature"), cell).withColumn("__d", far)
+    measured = measured.filter(F.col("__d") <= within).select(*place, "__d", "__feature")
+    inside = _covering(reached.drop("__reach"), edges, ["__name"], ["__feature"], float(sizes[-1]))
     measured = measured.unionByName(inside.withColumn("__d", F.lit(0.0)))
     best = measured.groupBy(*place).agg(F.min(F.struct("__d", "__feature")).alias("__best"))
     answer = best.select(

@@ -209,6 +209,67 @@ def pieces_of(spark, features, size):
     return spark.createDataFrame(cut, "w int, part int, ring int, piece int, corners array<struct<x:double,y:double>>")
 
 
+def joined_rows(df):
+    """Rows that each join made while a table was collected."""
+    jvm, made, todo = df.sparkSession._jvm, [], []
+    df.collect()
+    todo.append(df._jdf.queryExecution().executedPlan())
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind.endswith("JoinExec"):
+            made.append(node.metrics().apply("numOutputRows").value())
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += list(jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.children()))
+    return made
+
+
+def test_nearest_takes_few_cells_of_a_wide_field_along(spark):
+    """40,000 features of one name in a field of many cells: no join makes a row per point and cell."""
+    k = F.col("id")
+    x, y = (k % 200) * 1000.0, F.floor(k / 200) * 1000.0
+    parts = spark.range(40_000).select((k % 50).cast("int").alias("w"), F.lit("Long Lake").alias("name"), g.box(x, y, x + 100, y + 100).alias("rings"))
+    points = spark.range(300).select("id", F.lit("Long Lake").alias("name"), (k * 617.0 % 200000).alias("x"), (k * 739.0 % 200000).alias("y"))
+    found = sp.nearest_in_name(points, parts, "name", ["w"])
+    made = joined_rows(found)
+    assert made and max(made) < 300 * 30
+    near = {r.id: r.distance for r in found.collect()}
+    for i in range(300):
+        dx, dy = (min(max(0, v % 1000 - 100), 1000 - v % 1000 if v < 199_000 else math.inf) for v in (i * 617 % 200000, i * 739 % 200000))
+        assert near[i] == pytest.approx(math.hypot(dx, dy), abs=1e-6)
+
+
+def test_nearest_where_the_closest_cell_has_no_close_edge(spark):
+    """Cells that hold a place by their box while what they hold is far, beside others with a near edge."""
+    spots = [(1, 2, 2), (2, 62, 62), (3, 2, 62), (4, 62, 2), (5, 66, 33), (6, -3, 40), (7, 130, 130), (8, 34, -2), (9, 1000, 1000), (9, -700, 30)]
+    made = [(w, "a", [square(x, y, 0.5)]) for w, x, y in spots]
+    asked = [(i, "a", i * 37 % 140 - 5.0, i * 61 % 140 - 5.25) for i in range(120)] + [(500, "a", 63.5, 33.0), (501, "a", 500.0, 500.0)]
+    df = spark.createDataFrame(asked, "i int, name string, x double, y double")
+    for sizes in ((64, 16, 4), (4096, 64, 1), (8,)):
+        got = {r.i: (r.w, r.distance) for r in sp.nearest_in_name(df, parts_of(spark, made), "name", ["w"], sizes=sizes).collect()}
+        for i, _, x, y in asked:
+            d = min(far(x, y, rings) for _, _, rings in made)
+            assert got[i][1] == pytest.approx(d, abs=1e-9)
+            assert got[i][0] in {w for w, _, rings in made if far(x, y, rings) < d + 1e-9}
+
+
+def test_nearest_in_an_empty_layer_or_of_no_points(spark):
+    some, none = parts_of(spark, [(1, "a", [square(0, 0)])]), parts_of(spark, [])
+    points = spark.createDataFrame([(1, "a", 0.0, 0.0), (2, None, 1.0, 1.0), (3, "a", None, 1.0)], "i int, name string, x double, y double")
+    assert sp.nearest_in_name(points, none, "name", ["w"]).count() == 0
+    assert sp.nearest_in_name(points.limit(0), some, "name", ["w"]).count() == 0
+    assert rows(sp.nearest_in_name(points, some, "name", ["w"]), "i", "w", "distance") == [(1, 1, 0.0)]
+
+
+def test_cell_sizes_in_between():
+    assert sp._nested((2**21, 2**14, 2**7)) == [2**21, 2**18, 2**14, 2**11, 2**7]
+    assert sp._nested((64, 16, 4)) == [64, 16, 4] and sp._nested((128,)) == [128]
+
+
 def test_a_ring_in_pieces_is_the_ring(spark):
     ragged = [*[(10.0 + (i * 37 % 11) / 8, i / 8) for i in range(60)], (0.0, 59 / 8), (0.0, 0.0)]
     features = [(1, [ragged, square(3, 3)]), (2, [square(3, 3, 2)[:4]]), (2, [square(3, 3, 2)]), (None, [square(9, 9, 9), []])]
