@@ -13,6 +13,7 @@ from fieldprep.operators import filters, joins, spatial
 from fieldprep.operators.aggregates import total
 from fieldprep.operators.reshape import literal_rows, stack_slots, stacked_distinct, union_by_name
 from fieldprep.plans import fixed_values as fixed
+from fieldprep.session import stored
 from fieldprep.sources.sinks import filter_label
 
 KEY = ("Year", "Watercraft_Risk_Assessment_ID")
@@ -181,7 +182,8 @@ def summarise_to_polygons(
     measures = count_columns()
     per_place = destinations(flagged).groupBy("GNIS_NA", "Closest_City").agg(*[c.alias(a) for a, c in measures.items()])
     located = with_coordinates(per_place, gazetteer, "Closest_City")
-    located = spatial.project_points(located, geometry.PROVINCIAL_GRID, "lon", "lat")
+    # Stored: the spatial join reads them more than once, and its plan need not hold that of the facts.
+    located = stored(spatial.project_points(located, geometry.PROVINCIAL_GRID, "lon", "lat"))
     matched = spatial.nearest_in_name(located, parts, "GNIS_NA", ["WATERSH", "GNIS_NA"])
     summed = matched.groupBy("WATERSH", "GNIS_NA").agg(*[total(F.col(m)).alias(m) for m in measures])
     motor = [f"HR_{c}" for c in fixed.COUNTERS if c != "Non_Motorized_Counter"]

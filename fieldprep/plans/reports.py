@@ -14,6 +14,7 @@ from fieldprep.operators.columns import move_first
 from fieldprep.operators.filters import keep_year
 from fieldprep.plans import fixed_values as fixed
 from fieldprep.plans.cleaning import DEST, DEST_CITY, SOURCE
+from fieldprep.session import stored
 
 COUNTER_ORDER = tuple(fixed.CRAFT_COUNTERS.values())
 # Cell of the region grid in map units (metres).
@@ -161,7 +162,9 @@ def report_tables(
     by_source = inspections_by_source(df, states, year)
     by_station = inspections_by_station(df, stations)
     named = add_effort(df).withColumn("CityName", city_name(F.col(DEST_CITY), F.col("Destination_Major_City")))
-    everything = joins.null_safe_join(named, city_regions(named, gazetteer, regions), ["CityName"])
+    # A city is one row; stored, so that what finds its region is done once and stands in no plan of the facts.
+    cities = stored(city_regions(named, gazetteer, regions))
+    everything = joins.null_safe_join(named, cities, ["CityName"])
     return ReportTables(
         this_year=with_destination_region(keep_year(everything, year), toggle=True),
         everything=everything,

@@ -19,7 +19,8 @@ from fieldprep.plans.polygons import (
     summary_layer,
     waterbody_layer,
 )
-from fieldprep.plans.reports import report_tables, strict_high_risk, with_destination_region
+from fieldprep.plans.reports import label_layers, report_tables, strict_high_risk, with_destination_region
+from fieldprep.session import stored as laid_down
 from fieldprep.sources.readers import table_or_read
 from fieldprep.sources.sinks import read_or_build, write_table, write_tables
 
@@ -98,9 +99,10 @@ def make_reports(
         "figure_dat_mf": with_destination_region(stored.filter("MusselsFound_Ind"), toggle=False),
         "Inspections_by_source_centroid": made.by_source,
         "Inspections_Summarised_at_Station_level": made.by_station,
-        **made.labels,
     }
     paths = write_tables(tables, folder)
+    # The counts behind them are taken once, not once per layer.
+    paths |= write_tables(label_layers(spark.read.parquet(paths["Inspections_by_source_centroid"])), folder)
     write_table(stored, f"{folder.rstrip('/')}/figure_dat_all_csv", "csv")
     return {"figure_dat_all": stored, **{n: spark.read.parquet(p) for n, p in paths.items()}}
 
@@ -138,7 +140,8 @@ def make_polygon_summaries(
     for scope in (None, year):
         summary = summarise_to_polygons(df, layers.waterbodies, places, *listed, year=scope, rows=rows)
         paths.append(f"{folder.rstrip('/')}/{rows_used.label(scope)}")
-        write_table(in_space_order(summary_layer(summary, layers.waterbodies)), paths[-1])
+        # The order asks for the extent first: what it is taken of is not made twice.
+        write_table(in_space_order(laid_down(summary_layer(summary, layers.waterbodies))), paths[-1])
     return spark.read.parquet(paths[0])
 
 

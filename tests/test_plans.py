@@ -4,8 +4,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from fieldprep.functions import clock
-from fieldprep.plans import cleaning, combining, reports
+from fieldprep.functions import clock, geometry
+from fieldprep.plans import cleaning, combining, polygons, reports
+from fieldprep.plans import fixed_values as fixed
 from fieldprep.plans.fixed_values import SELECTED_COLUMNS
 from fieldprep.plans.schema_map import YEARLY_SCHEMA, map_schema
 from fieldprep.plans.fixed_values import FOULED_LIST_ROWS
@@ -171,3 +172,48 @@ def test_every_canonical_column_is_compared():
     assert len(YEARLY_SCHEMA) + 1 == 63
     for year, rules in RULES.items():
         assert set(rules) == {name for name, by_year in YEARLY_SCHEMA.items() if year in by_year}
+
+
+def facts_and_places(spark, folder):
+    """Three inspections, a gazetteer of one town, and a square around it as a waterbody and as a region."""
+    counters = {c: F.lit(1.0) for c in fixed.COUNTERS}
+    flags = {c: F.lit(False) for c in ("High_Risk_AIS_Ind", "MusselsFound_Ind", "Commercially_Hauled_Ind", "Clean_Drain_Dry_After_Inspection_Ind", "Unknown_Destination_Waterbody_Ind", "DestNotBC", "DryStorage", "OceanBoat")}
+    texts = {c: F.lit(None).cast("string") for c in (*fixed.SELECTED_COLUMNS, *[f"Destination_Waterbody_{i}_{f}" for i in (1, 2, 3) for f in ("Name", "Closest_City")])}
+    made = spark.range(3).select(
+        F.lit(2020).alias("Year"),
+        *[v.alias(c) for c, v in (texts | counters | flags).items() if c not in ("Year", "Start_Time", "End_Time", cleaning.DEST, cleaning.DEST_CITY, "Destination_Major_City", combining.ID)],
+        *[F.to_timestamp_ntz(F.lit("2020-07-01 06:00:00")).alias(c) for c in ("Start_Time", "End_Time")],
+        F.col("id").cast("string").alias(combining.ID),
+        F.when(F.col("id") < 2, "Long Lake").alias(cleaning.DEST),
+        F.lit("Nelson").alias(cleaning.DEST_CITY),
+        F.lit("Nelson, British Columbia, CAN").alias("Destination_Major_City"),
+    )
+    made.write.parquet(f"{folder}/facts")
+    town = spark.createDataFrame([("Nelson", -117.25, 49.5)], "names string, lon double, lat double")
+    x, y = geometry.PROVINCIAL_GRID.forward(F.col("lon"), F.col("lat"))
+    square = town.select(geometry.box(x - 10, y - 10, x + 10, y + 10).alias("rings"))
+    square.write.parquet(f"{folder}/layer")
+    return spark.read.parquet(f"{folder}/facts"), town, spark.read.parquet(f"{folder}/layer")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_facts_are_summed_once_before_anything_spatial(spark, tmp_path):
+    df, town, square = facts_and_places(spark, tmp_path)
+    parts = square.select(F.lit(7).alias("WATERSH"), F.lit("Long Lake").alias("GNIS_NA"), "rings")
+    done = polygons.summarise_to_polygons(df, parts, town, df.limit(0), df.limit(0))
+    assert f"{tmp_path}/facts" not in plan_of(done) and f"{tmp_path}/layer" not in plan_of(done)
+    assert rows(done, "WATERSH", "GNIS_NA", "TotalInspections", "NumberMusselFouled") == [(7, "Long Lake", 2, 0)]
+
+
+def test_regions_of_cities_stand_in_no_plan_of_the_facts(spark, tmp_path):
+    df, town, square = facts_and_places(spark, tmp_path)
+    regions = square.select(F.lit("4").alias("REGION_G"), F.lit("Kootenay").alias("REGION_N"), "rings")
+    states = square.select(F.lit("C").alias("NAME_0"), F.lit("P").alias("NAME_1"), F.lit("CA.BC").alias("HASC_1"), "rings")
+    stations = spark.createDataFrame([("Golden",)], "map_label string")
+    made = reports.report_tables(df, states, stations, regions, town, 2020)
+    assert plan_of(made.everything).count(f"{tmp_path}/facts") == 1
+    assert rows(made.everything, combining.ID, "City_region_n") == [(str(i), "Kootenay") for i in range(3)]
+    assert rows(made.this_year, combining.ID, "DestRegion") == [("0", "Long Lake"), ("1", "Long Lake"), ("2", "Kootenay")]
