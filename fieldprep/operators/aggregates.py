@@ -115,7 +115,9 @@ def classify_multi_value(
     every row is prepared once.
     """
     own = {cls: f"__own{i}" for i, cls in enumerate(classes)}
-    classed = lambda rows: _with_own_counts(rows, column, lookup, key, value, own, slots, missing, also_missing)
+    # Every slot of every branch reads it: stored, it is made once and its size is known.
+    counts = stored(class_lookup(lookup, key, value, list(own)))
+    classed = lambda rows: _with_own_counts(rows, column, counts, key, own, slots, missing, also_missing)
     narrow = df.select(F.col(id_column).alias("__id"), column)
     repeated = stored(
         classed(narrow)
@@ -160,7 +162,9 @@ def class_parts(
     the sums of their counts; those of several tables add up. ``pool_parts`` puts both together.
     """
     own = {cls: f"__own{i}" for i, cls in enumerate(classes)}
-    classed = lambda rows: _with_own_counts(rows, column, lookup, key, value, own, slots, missing, also_missing)
+    # Every slot of every branch reads it: stored, it is made once and its size is known.
+    counts = stored(class_lookup(lookup, key, value, list(own)))
+    classed = lambda rows: _with_own_counts(rows, column, counts, key, own, slots, missing, also_missing)
     narrow = classed(df.select(F.col(id_column).alias("__id"), column))
     adds = narrow.groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(a).alias(f"{a}_all") for a in own.values()])
     repeated = stored(adds.filter(F.col("__rows") > 1).select("__id"))
@@ -195,9 +199,8 @@ def pool_parts(rows: DataFrame, adds: DataFrame, id_column: str, classes: Mappin
 def _with_own_counts(
     df: DataFrame,
     column: str,
-    lookup: DataFrame,
+    counts: DataFrame,
     key: str,
-    value: str,
     own: Mapping[str, str],
     slots: int,
     missing: str,
@@ -205,11 +208,10 @@ def _with_own_counts(
 ) -> DataFrame:
     """The parts of a cell and how often a row holds each class; rows without any class dropped.
 
-    Each part meets the lookup once as a row of counts, so nothing is exploded or gathered and the
+    Each part meets the lookup (``class_lookup``) once as a row of counts, so nothing is exploded or gathered and the
     row never has to be put together again; a key listed k times weighs the other parts k-fold,
     as a row-multiplying join would.
     """
-    counts = class_lookup(lookup, key, value, list(own))
     columns = [c for c in counts.columns if c != key]
     parts = F.split(F.col(column), ",", -1)
     work = df.withColumns({f"__part{i}": F.get(parts, F.lit(i)) for i in range(slots)})

@@ -22,7 +22,7 @@ from fieldprep.plans.polygons import RowFilter, summarise_to_polygons, synthetic
 from fieldprep.plans.reports import inspections_by_source, inspections_by_station, report_tables
 from fieldprep.plans.run import Lookups, Sources, store_canonical
 from fieldprep.plans.schema_map import YEARLY_SCHEMA
-from fieldprep.session import shared_folder
+from fieldprep.session import shared_folder, stored
 from fieldprep.streaming.inspections import append_inspections
 from fieldprep.streaming.yearly import arriving_years, read_years
 from fieldprep.sources import readers
@@ -170,8 +170,9 @@ def _recent_lists(late):
     return late.selectExpr("k AS position", "CAST(k AS STRING) AS watercraftRiskAssessmentID"), listed
 
 
-def sources(spark, d) -> Sources:
-    rows = base(spark, d)
+def sources(spark, d, rows=None) -> Sources:
+    # Stored: six raw tables are made of it.
+    rows = stored(base(spark, d)) if rows is None else rows
     years = {y: raw_year(rows, y) for y in (2015, 2016, 2017, 2018, 2019)}
     keys = table(spark, d, "orders").selectExpr("o_orderkey AS k", "year(o_orderdate) + 20 AS y")
     by_year = {
@@ -323,10 +324,11 @@ def _clean_columns(df):
 def stream_inspections(spark, d):
     """The extracts arriving in several files a year, cleaned and appended batch by batch, then all replayed."""
     folder, known = scratch(spark), lookups(spark)
-    raw = raw_extracts(base(spark, d))
+    rows = base(spark, d)
+    raw = raw_extracts(rows)
     # A file per year and task; no year passes through one task.
     raw.repartition(4).write.partitionBy("Year").parquet(f"{folder}/arrived")
-    fouled = sources(spark, d).fouled_recent
+    fouled = sources(spark, d, rows).fouled_recent
     for replay, files in (("first", 12), ("again", 12)):
         append_inspections(
             spark, f"{folder}/arrived", raw.schema, fouled, known, f"{folder}/table", f"{folder}/checkpoint-{replay}", "parquet", files_per_batch=files

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from fieldprep.functions import clock, geometry
+from fieldprep.operators.aggregates import classify_multi_value
 from fieldprep.plans import cleaning, combining, polygons, reports
 from fieldprep.plans import fixed_values as fixed
 from fieldprep.plans.fixed_values import SELECTED_COLUMNS
@@ -217,3 +218,13 @@ def test_regions_of_cities_stand_in_no_plan_of_the_facts(spark, tmp_path):
     assert plan_of(made.everything).count(f"{tmp_path}/facts") == 1
     assert rows(made.everything, combining.ID, "City_region_n") == [(str(i), "Kootenay") for i in range(3)]
     assert rows(made.this_year, combining.ID, "DestRegion") == [("0", "Long Lake"), ("1", "Long Lake"), ("2", "Kootenay")]
+
+
+def test_a_class_lookup_is_counted_once(spark, tmp_path):
+    """What the slots of all branches read is the stored list of counts, not the lookup again and again."""
+    spark.createDataFrame([("a", "A"), ("a", "B"), ("b", "B")], "t string, c string").write.parquet(f"{tmp_path}/lookup")
+    lookup = spark.read.parquet(f"{tmp_path}/lookup")
+    df = spark.createDataFrame([(1, "a,b"), (2, "b"), (2, "a"), (3, "x"), (4, None)], "id int, t string")
+    done = classify_multi_value(df, "id", "t", lookup, "t", "c", {"A": "n_a", "B": "n_b"})
+    assert f"{tmp_path}/lookup" not in plan_of(done)
+    assert rows(done, "id", "n_a", "n_b") == [(1, 1.0, 3.0), (2, 0.0, 2.0), (2, 1.0, 2.0)]
